@@ -12,7 +12,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import dates, money, text
-from ..functions.draw import draw
 from ..operators import audit, facts, generate, history, metrics, quality, scd2
 from ..operators.calendar import calendar_stats, describe_days
 from ..plans import reports
@@ -33,12 +32,12 @@ def portable(df: DataFrame) -> DataFrame:
     out = []
     for f in df.schema:
         if isinstance(f.dataType, (T.DateType, T.TimestampType, T.TimestampNTZType)):
-            out.append(F.col(f.name).cast("string").alias(f.name))
+            out.append(f"cast({f.name} as string) AS {f.name}")
         elif isinstance(f.dataType, T.DecimalType):
-            out.append(F.col(f.name).cast("double").alias(f.name))
+            out.append(f"cast({f.name} as double) AS {f.name}")
         else:
             out.append(f.name)
-    return df.select(*out)
+    return df.selectExpr(*out)
 
 
 def query(name: str):
@@ -116,8 +115,7 @@ def _(w: Loaded):
 @query("cl03_guid_check")
 def _(w: Loaded):
     raw = w.source.dirty_clicks()
-    return raw.select("event_id", F.coalesce(text.is_guid(F.col("transaction_id")), F.lit(False))
-                      .alias("is_guid"))
+    return raw.selectExpr("event_id", f"{text.is_guid('transaction_id')} AS is_guid")
 
 
 @query("cl05_typed_with_rejects")
@@ -294,11 +292,10 @@ def _(w: Loaded):
 
 @query("sf03_attribute_hash")
 def _(w: Loaded):
-    return w.source.staged("tb_user", 2).select(
-        "user_id", text.attribute_hash(scd2.USERS.hashed).alias("attribute_hash"),
-        text.attribute_hash(scd2.USERS.hashed, "|").alias("delimited_hash"),
-        text.short_id("usr", F.col("user_id")).alias("short_id"),
-        F.concat_ws(", ", "city", "country").alias("place"))
+    return w.source.staged("tb_user", 2).selectExpr(
+        "user_id", f"{text.attribute_hash(scd2.USERS.hashed)} AS attribute_hash",
+        f"{text.attribute_hash(scd2.USERS.hashed, '|')} AS delimited_hash",
+        f"{text.short_id('usr', 'user_id')} AS short_id", "concat_ws(', ', city, country) AS place")
 
 
 @query("sf20_tags")

@@ -1,46 +1,54 @@
-"""Repeatable draws: integer arithmetic on an id, so any engine computes the same rows."""
+"""Repeatable draws: integer arithmetic on an id, so any engine computes the same rows.
 
-from __future__ import annotations
+The functions return SQL text over column names, for ``selectExpr`` and ``expr``.
+"""
 
-from collections.abc import Sequence
+from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from collections.abc import Mapping, Sequence
 
 MODULUS = 2147483647
 
 
-def draw(identity: Column, salt: int, bound: int | Column) -> Column:
+def draw(identity: str, salt: int, bound: int | str) -> str:
     """An integer in [0, bound), fixed by ``identity`` and ``salt``.
 
     A linear step, a square and a second linear step modulo a prime; every product stays
     below 2**63.
     """
-    first = (F.pmod(identity.cast("bigint"), F.lit(MODULUS)) * 48271 + salt * 69621) % MODULUS
-    second = (first * first) % MODULUS
-    mixed = (second * 16807 + first * 40692 + salt) % MODULUS
-    return mixed % bound
+    first = f"((cast({identity} as bigint) % {MODULUS} * 48271 + {salt * 69621}) % {MODULUS})"
+    second = f"({first} * {first} % {MODULUS})"
+    return f"(({second} * 16807 + {first} * 40692 + {salt}) % {MODULUS} % ({bound}))"
+
+
+def between(identity: str, salt: int, low: int, high: int) -> str:
+    """A whole number from ``low`` to ``high``, both included."""
+    return f"({draw(identity, salt, high - low + 1)} + {low})"
+
+
+def chance(identity: str, salt: int, percent: int) -> str:
+    return f"({draw(identity, salt, 100)} < {percent})"
 
 
-def pick(identity: Column, salt: int, values: Sequence[str]) -> Column:
+def pick(identity: str, salt: int, values: Sequence[str]) -> str:
     """One of ``values``, all equally likely."""
-    options = F.array(*[F.lit(v) for v in values])
-    return F.element_at(options, (draw(identity, salt, len(values)) + 1).cast("int"))
+    options = ", ".join(f"'{v}'" for v in values)
+    return f"element_at(array({options}), cast({draw(identity, salt, len(values))} + 1 as int))"
 
 
-def weighted(identity: Column, salt: int, weights: dict[object, int]) -> Column:
-    """One of the keys of ``weights``; the weights are percentages and add up to 100."""
+def weighted(identity: str, salt: int, weights: Mapping[object, int]) -> str:
+    """One of the keys of ``weights``, which are percentages adding up to 100.
+
+    The draw falls among the running totals of the weights; the number of totals it has
+    reached is the position of the choice.
+    """
     if sum(weights.values()) != 100:
         raise ValueError("weights must add up to 100")
-    ticket = draw(identity, salt, 100)
-    options = list(weights.items())
-    choice, reached = None, 0
-    for value, weight in options[:-1]:
+    totals, reached = [], 0
+    for weight in weights.values():
+        totals.append(reached)
         reached += weight
-        hit = ticket < reached
-        choice = F.when(hit, F.lit(value)) if choice is None else choice.when(hit, F.lit(value))
-    last = F.lit(options[-1][0])
-    return last if choice is None else choice.otherwise(last)
-
-
-def chance(identity: Column, salt: int, percent: int) -> Column:
-    return draw(identity, salt, 100) < percent
+    ticket = draw(identity, salt, 100)
+    options = ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in weights)
+    place = f"size(filter(array({', '.join(map(str, totals))}), t -> t <= {ticket}))"
+    return f"element_at(array({options}), {place})"

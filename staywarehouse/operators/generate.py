@@ -7,13 +7,11 @@ and texts are coded values. Columns with a leading underscore are helpers.
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from .. import schemas as S
-from ..functions.draw import MODULUS, chance, draw, pick, weighted
-from ..functions.money import SERVICE_SHARE, share
+from ..functions.draw import MODULUS, between, chance, draw, pick, weighted
+from ..functions.money import SERVICE_SHARE
 from ..functions.text import SEED, short_id
 from .keys import materialise, number
 from .metrics import host_listings, with_metrics
@@ -43,17 +41,16 @@ SAMPLE_BUCKETS = 1 << 18
 Count = int | Column
 
 
-def _between(identity: Column, salt: int, low: int, high: int) -> Column:
-    """A whole number from ``low`` to ``high``, both included."""
-    return draw(identity, salt, high - low + 1) + low
+def _count(n: Count) -> Column:
+    return n if isinstance(n, Column) else F.lit(n)
 
 
-def _code(prefix: str, identity: Column, salt: int, bound: int) -> Column:
-    return F.concat(F.lit(prefix), draw(identity, salt, bound).cast("string"))
+def _code(prefix: str, identity: str, salt: int, bound: int) -> str:
+    return f"concat('{prefix}', {draw(identity, salt, bound)})"
 
 
-def _day(first: str, offset: Column) -> Column:
-    return F.date_add(F.lit(first).cast("date"), offset.cast("int"))
+def _day(first: str, offset: str) -> str:
+    return f"date_add(DATE '{first}', cast({offset} as int))"
 
 
 def ids(spark: SparkSession, n: int) -> DataFrame:
@@ -66,9 +63,8 @@ def sample(rows: DataFrame, n: Count, key: str, salt: int) -> DataFrame:
     The rows with the lowest draws are taken. A histogram of the draws finds the bucket the
     n-th row falls in; only the rows of that one bucket are ranked.
     """
-    lot = draw(F.col(key), salt, MODULUS)
-    drawn = rows.withColumn("_lot", lot).withColumn(
-        "_bucket", F.floor(F.col("_lot") * SAMPLE_BUCKETS / MODULUS).cast("int"))
+    drawn = rows.selectExpr("*", f"{draw(key, salt, MODULUS)} AS _lot").selectExpr(
+        "*", f"cast(floor(_lot * {SAMPLE_BUCKETS} / {MODULUS}) as int) AS _bucket")
     # one row per bucket reaches this window, however many rows there are
     so_far = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
     before = F.sum("_n").over(so_far) - F.col("_n")
@@ -84,178 +80,163 @@ def sample(rows: DataFrame, n: Count, key: str, salt: int) -> DataFrame:
 
 
 def users(identities: DataFrame) -> DataFrame:
-    i = F.col(identities.columns[0])
+    i = identities.columns[0]
     joined = draw(i, 5, MEMBER_DAYS)
-    return identities.select(
-        i.cast("int").alias("user_id"), short_id("usr", i).alias("user_uuid"),
-        F.concat(F.lit("User "), i.cast("string")).alias("full_name"),
-        F.concat(F.lit("user"), i.cast("string"), F.lit("@example.com")).alias("email"),
-        F.concat(F.lit("+55"), (draw(i, 1, 90_000_000) + 10_000_000).cast("string"))
-        .alias("phone"),
-        _code("COUNTRY_", i, 2, 200).alias("country"), _code("CITY_", i, 3, 1000).alias("city"),
-        weighted(i, 4, USER_TYPE_WEIGHTS).alias("user_type"),
-        chance(i, 6, 50).alias("is_verified"),
-        F.lit(Decimal("0.00")).cast("decimal(18,2)").alias("total_spent"),
-        F.lit(0).alias("total_bookings"),
-        _day(MEMBER_SINCE, joined + _between(i, 7, 1, 365)).cast("timestamp_ntz")
-        .alias("last_login"))
+    return identities.selectExpr(
+        f"cast({i} as int) AS user_id", f"{short_id('usr', i)} AS user_uuid",
+        f"concat('User ', {i}) AS full_name", f"concat('user', {i}, '@example.com') AS email",
+        f"concat('+55', {between(i, 1, 10_000_000, 99_999_999)}) AS phone",
+        f"{_code('COUNTRY_', i, 2, 200)} AS country", f"{_code('CITY_', i, 3, 1000)} AS city",
+        f"{weighted(i, 4, USER_TYPE_WEIGHTS)} AS user_type",
+        f"{chance(i, 6, 50)} AS is_verified", "cast(0 as decimal(18,2)) AS total_spent",
+        "0 AS total_bookings",
+        f"cast({_day(MEMBER_SINCE, f'{joined} + {between(i, 7, 1, 365)}')} as timestamp_ntz) "
+        "AS last_login")
 
 
 def hosts(user_rows: DataFrame, n: Count) -> DataFrame:
     """``n`` of the users become hosts 1..n."""
     chosen = sample(user_rows.select("user_id", "full_name", "email", "phone", "city",
                                      "country"), n, "user_id", SEED)
-    i = F.col("host_id")
-    return number(materialise(chosen, ["user_id"], "hosts"), "host_id").select(
-        i.cast("int").alias("host_id"), short_id("host", i).alias("host_uuid"), "user_id",
+    i = "host_id"
+    return number(materialise(chosen, ["user_id"], "hosts"), i).selectExpr(
+        f"cast({i} as int) AS host_id", f"{short_id('host', i)} AS host_uuid", "user_id",
         "full_name", "email", "phone",
-        _day(MEMBER_SINCE, draw(i, 11, MEMBER_DAYS)).alias("host_since"),
-        F.concat_ws(", ", "city", "country").alias("host_location"),
-        _between(i, 12, 70, 100).cast("smallint").alias("response_rate"),
-        pick(i, 13, HOST_RESPONSE_TIMES).alias("response_time"),
-        chance(i, 14, 50).alias("is_superhost"), F.lit(0).alias("total_listings"),
-        F.lit(0).alias("total_reviews_received"),
-        F.lit(None).cast("decimal(3,2)").alias("average_rating"))
+        f"{_day(MEMBER_SINCE, draw(i, 11, MEMBER_DAYS))} AS host_since",
+        "concat_ws(', ', city, country) AS host_location",
+        f"cast({between(i, 12, 70, 100)} as smallint) AS response_rate",
+        f"{pick(i, 13, HOST_RESPONSE_TIMES)} AS response_time",
+        f"{chance(i, 14, 50)} AS is_superhost", "0 AS total_listings",
+        "0 AS total_reviews_received", "cast(null as decimal(3,2)) AS average_rating")
 
 
 def properties(identities: DataFrame, host_count: Count) -> DataFrame:
-    i = F.col(identities.columns[0])
-    tags = F.array(*[F.lit(a) for a in AMENITIES])
-    first, many = draw(i, 37, len(AMENITIES)) + 1, _between(i, 38, 3, 8)
-    return identities.select(
-        i.cast("int").alias("property_id"), short_id("prop", i).alias("property_uuid"),
-        (draw(i, 21, host_count) + 1).cast("int").alias("host_id"),
-        F.concat(F.lit("Stay "), i.cast("string")).alias("title"),
-        F.concat(F.lit("Description of stay "), i.cast("string")).alias("description"),
-        pick(i, 22, S.PROPERTY_TYPES).alias("property_type"),
-        pick(i, 23, S.ROOM_TYPES).alias("room_type"),
-        _between(i, 24, 1, 10).cast("smallint").alias("accommodates"),
-        _between(i, 25, 1, 5).cast("smallint").alias("bedrooms"),
-        _between(i, 26, 1, 4).cast("smallint").alias("bathrooms"),
-        _code("CITY_", i, 27, 1000).alias("city"),
-        F.concat(F.chr(draw(i, 28, 26) + 65), F.chr(draw(i, 29, 26) + 65)).alias("state"),
-        F.lit("Brazil").alias("country"),
-        ((draw(i, 30, 180_000_001) - 90_000_000) / F.lit(1_000_000)).cast("decimal(10,8)")
-        .alias("latitude"),
-        ((draw(i, 31, 360_000_001) - 180_000_000) / F.lit(1_000_000)).cast("decimal(11,8)")
-        .alias("longitude"),
-        _between(i, 32, 50, 800).cast("decimal(10,2)").alias("price_per_night"),
-        _between(i, 33, 20, 100).cast("decimal(10,2)").alias("cleaning_fee"),
-        F.array_join(F.slice(F.concat(tags, tags), first.cast("int"), many.cast("int")), ",")
-        .alias("_amenities"),
-        _between(i, 35, 1, 7).cast("int").alias("_min_nights"),
-        _between(i, 36, 7, 90).cast("int").alias("_max_nights"))
+    i = identities.columns[0]
+    tags = ", ".join(f"'{a}'" for a in AMENITIES * 2)
+    first, many = draw(i, 37, len(AMENITIES)), between(i, 38, 3, 8)
+    return identities.withColumn("_hosts", _count(host_count)).selectExpr(
+        f"cast({i} as int) AS property_id", f"{short_id('prop', i)} AS property_uuid",
+        f"cast({draw(i, 21, '_hosts')} + 1 as int) AS host_id", f"concat('Stay ', {i}) AS title",
+        f"concat('Description of stay ', {i}) AS description",
+        f"{pick(i, 22, S.PROPERTY_TYPES)} AS property_type",
+        f"{pick(i, 23, S.ROOM_TYPES)} AS room_type",
+        f"cast({between(i, 24, 1, 10)} as smallint) AS accommodates",
+        f"cast({between(i, 25, 1, 5)} as smallint) AS bedrooms",
+        f"cast({between(i, 26, 1, 4)} as smallint) AS bathrooms",
+        f"{_code('CITY_', i, 27, 1000)} AS city",
+        f"concat(chr({between(i, 28, 65, 90)}), chr({between(i, 29, 65, 90)})) AS state",
+        "'Brazil' AS country",
+        f"cast(({draw(i, 30, 180_000_001)} - 90000000) / 1e6 as decimal(10,8)) AS latitude",
+        f"cast(({draw(i, 31, 360_000_001)} - 180000000) / 1e6 as decimal(11,8)) AS longitude",
+        f"cast({between(i, 32, 50, 800)} as decimal(10,2)) AS price_per_night",
+        f"cast({between(i, 33, 20, 100)} as decimal(10,2)) AS cleaning_fee",
+        f"array_join(slice(array({tags}), cast({first} + 1 as int), cast({many} as int)), ',') "
+        "AS _amenities",
+        f"cast({between(i, 35, 1, 7)} as int) AS _min_nights",
+        f"cast({between(i, 36, 7, 90)} as int) AS _max_nights")
 
 
 def bookings(identities: DataFrame, user_count: Count, property_rows: DataFrame,
              property_count: Count) -> DataFrame:
     """Bookings of random users and properties; guests never exceed what a property takes."""
-    key = identities.columns[0]
-    i = F.col(key)
+    i = identities.columns[0]
     place = property_rows.select("property_id", "price_per_night", "cleaning_fee",
                                  "accommodates", "_min_nights", "_max_nights")
-    drawn = identities.select(
-        i, (draw(i, 41, user_count) + 1).cast("int").alias("user_id"),
-        (draw(i, 42, property_count) + 1).cast("int").alias("property_id"),
-        _day(CHECKIN_FROM, draw(i, 43, CHECKIN_DAYS)).alias("checkin_date"),
-        weighted(i, 44, BOOKING_STATUS_WEIGHTS).alias("booking_status"))
-    rows = drawn.join(place, "property_id")
-    span = F.least("_max_nights", F.lit(30)) - F.col("_min_nights") + 1
-    nights = (F.col("_min_nights") + draw(i, 45, span)).cast("int")
-    rows = rows.withColumn("_nights", nights).withColumn(
-        "_subtotal", (F.col("price_per_night") * F.col("_nights")).cast("decimal(12,2)"))
-    fee, service = F.col("cleaning_fee"), share(F.col("_subtotal"), SERVICE_SHARE)
-    day = F.col("checkin_date")
-    return rows.select(
-        i.cast("bigint").alias("booking_id"), short_id("bok", i).alias("booking_uuid"),
-        "user_id", "property_id", day, F.date_add(day, F.col("_nights")).alias("checkout_date"),
-        F.col("_nights").cast("smallint").alias("number_of_nights"),
-        (draw(i, 46, F.col("accommodates")) + 1).cast("smallint").alias("number_of_guests"),
-        F.col("_subtotal").alias("subtotal"), fee.cast("decimal(12,2)").alias("cleaning_fee"),
-        service.alias("service_fee"),
-        (F.col("_subtotal") + fee + service).cast("decimal(12,2)").alias("total_price"),
+    drawn = (identities.withColumn("_users", _count(user_count))
+             .withColumn("_properties", _count(property_count)).selectExpr(
+        i, f"cast({draw(i, 41, '_users')} + 1 as int) AS user_id",
+        f"cast({draw(i, 42, '_properties')} + 1 as int) AS property_id",
+        f"{_day(CHECKIN_FROM, draw(i, 43, CHECKIN_DAYS))} AS checkin_date",
+        f"{weighted(i, 44, BOOKING_STATUS_WEIGHTS)} AS booking_status"))
+    span = "least(_max_nights, 30) - _min_nights + 1"
+    rows = (drawn.join(place, "property_id")
+            .selectExpr("*", f"cast(_min_nights + {draw(i, 45, span)} as int) AS _nights")
+            .selectExpr("*", "cast(price_per_night * _nights as decimal(12,2)) AS _subtotal")
+            .selectExpr("*", f"cast(round(_subtotal * {SERVICE_SHARE}, 2) as decimal(12,2)) "
+                             "AS service_fee"))
+    return rows.selectExpr(
+        f"cast({i} as bigint) AS booking_id", f"{short_id('bok', i)} AS booking_uuid", "user_id",
+        "property_id", "checkin_date", "date_add(checkin_date, _nights) AS checkout_date",
+        "cast(_nights as smallint) AS number_of_nights",
+        f"cast({draw(i, 46, 'accommodates')} + 1 as smallint) AS number_of_guests",
+        "_subtotal AS subtotal", "cast(cleaning_fee as decimal(12,2)) AS cleaning_fee",
+        "service_fee",
+        "cast(_subtotal + cleaning_fee + service_fee as decimal(12,2)) AS total_price",
         "booking_status",
-        F.when(F.col("booking_status") == "cancelled",
-               F.date_sub(day, _between(i, 47, 1, 30).cast("int"))).alias("cancellation_date"),
-        F.date_sub(day, _between(i, 48, 1, 90).cast("int")).alias("created_date"))
+        f"CASE WHEN booking_status = 'cancelled' THEN "
+        f"date_sub(checkin_date, cast({between(i, 47, 1, 30)} as int)) END AS cancellation_date",
+        f"date_sub(checkin_date, cast({between(i, 48, 1, 90)} as int)) AS created_date")
 
 
 def payments(booking_rows: DataFrame, n: Count | None = None) -> DataFrame:
     """Payments 1..m of confirmed and completed bookings, at most ``n`` of them."""
-    eligible = booking_rows.where(
-        F.col("booking_status").isin("confirmed", "completed")).select(
+    eligible = booking_rows.where("booking_status IN ('confirmed', 'completed')").select(
         "booking_id", "user_id", "total_price", "checkin_date")
     if n is not None:
         eligible = sample(eligible, n, "booking_id", SEED)
-    i = F.col("payment_id")
-    return number(materialise(eligible, ["booking_id"], "payments"), "payment_id").select(
-        i.cast("int").alias("payment_id"), short_id("txn", i).alias("transaction_id"),
-        "booking_id", "user_id", F.col("total_price").alias("amount"),
-        pick(i, 51, S.PAYMENT_METHODS).alias("payment_method"),
-        F.when(chance(i, 52, 40), _between(i, 53, 1, 12)).otherwise(1).cast("smallint")
-        .alias("installments"),
-        weighted(i, 54, PAYMENT_STATUS_WEIGHTS).alias("payment_status"),
-        F.date_sub("checkin_date", _between(i, 55, 0, 30).cast("int")).alias("payment_date"))
+    i = "payment_id"
+    return number(materialise(eligible, ["booking_id"], "payments"), i).selectExpr(
+        f"cast({i} as int) AS payment_id", f"{short_id('txn', i)} AS transaction_id",
+        "booking_id", "user_id", "total_price AS amount",
+        f"{pick(i, 51, S.PAYMENT_METHODS)} AS payment_method",
+        f"cast(if({chance(i, 52, 40)}, {between(i, 53, 1, 12)}, 1) as smallint) "
+        "AS installments",
+        f"{weighted(i, 54, PAYMENT_STATUS_WEIGHTS)} AS payment_status",
+        f"date_sub(checkin_date, cast({between(i, 55, 0, 30)} as int)) AS payment_date")
 
 
 def reviews(booking_rows: DataFrame, n: Count | None = None) -> DataFrame:
     """Reviews 1..m of completed bookings, at most ``n`` of them."""
-    done = booking_rows.where(F.col("booking_status") == "completed").select(
+    done = booking_rows.where("booking_status = 'completed'").select(
         "booking_id", "user_id", "property_id", "checkout_date")
     if n is not None:
         done = sample(done, n, "booking_id", SEED)
-    i = F.col("review_id")
-    rated = number(materialise(done, ["booking_id"], "reviews"), "review_id").withColumn(
-        "overall_rating", weighted(i, 61, RATING_WEIGHTS))
-    comment = F.concat(F.lit("Comment "), i.cast("string"))
-    return rated.select(
-        i.cast("bigint").alias("review_id"), "booking_id", "user_id", "property_id",
-        F.col("overall_rating").cast("smallint").alias("overall_rating"),
-        F.when((F.col("overall_rating") >= 3) | chance(i, 62, 70), comment)
-        .alias("comment_text"),
-        F.date_add("checkout_date", _between(i, 63, 1, 14).cast("int")).alias("review_date"),
-        F.when(chance(i, 64, 40), F.concat(F.lit("Response "), i.cast("string")))
-        .alias("host_response"))
+    i = "review_id"
+    rated = number(materialise(done, ["booking_id"], "reviews"), i).selectExpr(
+        "*", f"cast({weighted(i, 61, RATING_WEIGHTS)} as smallint) AS overall_rating")
+    return rated.selectExpr(
+        i, "booking_id", "user_id", "property_id", "overall_rating",
+        f"if(overall_rating >= 3 OR {chance(i, 62, 70)}, concat('Comment ', {i}), null) "
+        "AS comment_text",
+        f"date_add(checkout_date, cast({between(i, 63, 1, 14)} as int)) AS review_date",
+        f"if({chance(i, 64, 40)}, concat('Response ', {i}), null) AS host_response")
 
 
 def clickstream(identities: DataFrame, user_count: Count, property_count: Count) -> DataFrame:
-    i = F.col(identities.columns[0])
-    return identities.select(
-        i.cast("bigint").alias("event_id"),
-        (draw(i, 71, user_count) + 1).cast("int").alias("user_id"),
-        short_id("sess", draw(i, 72, 10_000) + 1).alias("session_id"),
-        pick(i, 73, EVENT_TYPES).alias("event_type"),
-        F.when(chance(i, 74, 50), (draw(i, 75, property_count) + 1).cast("int"))
-        .alias("property_id"),
-        F.when(chance(i, 76, 30), _code("CITY_", i, 77, 1000)).alias("search_query"),
-        pick(i, 78, DEVICES).alias("device_type"),
-        _day(CLICK_FROM, draw(i, 79, CLICK_DAYS)).cast("timestamp_ntz")
-        .alias("event_timestamp"))
-
-
-def _check_digit(digits: Column, weight: int) -> Column:
-    """Weighted sum modulo 11; remainders 0 and 1 give 0."""
-    total = F.aggregate(
-        F.transform(F.sequence(F.lit(1), F.length(digits)),
-                    lambda p: F.substring(digits, p, F.lit(1)).cast("int") * (weight + 1 - p)),
-        F.lit(0), lambda a, b: a + b)
-    rest = total % 11
-    return F.when(rest < 2, "0").otherwise((11 - rest).cast("string"))
+    i = identities.columns[0]
+    return (identities.withColumn("_users", _count(user_count))
+            .withColumn("_properties", _count(property_count)).selectExpr(
+        f"cast({i} as bigint) AS event_id",
+        f"cast({draw(i, 71, '_users')} + 1 as int) AS user_id",
+        f"{short_id('sess', between(i, 72, 1, 10_000))} AS session_id",
+        f"{pick(i, 73, EVENT_TYPES)} AS event_type",
+        f"if({chance(i, 74, 50)}, cast({draw(i, 75, '_properties')} + 1 as int), null) "
+        "AS property_id",
+        f"if({chance(i, 76, 30)}, {_code('CITY_', i, 77, 1000)}, null) AS search_query",
+        f"{pick(i, 78, DEVICES)} AS device_type",
+        f"cast({_day(CLICK_FROM, draw(i, 79, CLICK_DAYS))} as timestamp_ntz) "
+        "AS event_timestamp"))
+
+
+def _check_digit(digits: str, weight: int) -> str:
+    """Weighted digit sum modulo 11; remainders 0 and 1 give 0."""
+    terms = " + ".join(f"cast(substring({digits}, {p}, 1) as int) * {weight + 1 - p}"
+                       for p in range(1, weight))
+    return f"cast(if(({terms}) % 11 < 2, 0, 11 - ({terms}) % 11) as string)"
 
 
 def sensitive(identities: DataFrame) -> DataFrame:
     """Card ends, card brands and formally valid taxpayer numbers, kept apart from users."""
-    i = F.col(identities.columns[0])
-    base = F.lpad(draw(i, 83, 1_000_000_000).cast("string"), 9, "0")
-    rows = identities.select(
-        i.cast("int").alias("user_id"),
-        _between(i, 81, 1000, 9999).cast("string").alias("credit_card_last4"),
-        pick(i, 82, CARD_BRANDS).alias("credit_card_brand"), base.alias("_nine"))
-    rows = rows.withColumn("_ten", F.concat("_nine", _check_digit(F.col("_nine"), 10)))
-    rows = rows.withColumn("_all", F.concat("_ten", _check_digit(F.col("_ten"), 11)))
-    return rows.select(
-        "user_id", "credit_card_last4", "credit_card_brand",
-        F.regexp_replace("_all", r"^(\d{3})(\d{3})(\d{3})(\d{2})$", "$1.$2.$3-$4").alias("cpf"))
+    i = identities.columns[0]
+    return (identities.selectExpr(
+        f"cast({i} as int) AS user_id",
+        f"cast({between(i, 81, 1000, 9999)} as string) AS credit_card_last4",
+        f"{pick(i, 82, CARD_BRANDS)} AS credit_card_brand",
+        f"lpad(cast({draw(i, 83, 1_000_000_000)} as string), 9, '0') AS _nine")
+        .selectExpr("*", f"concat(_nine, {_check_digit('_nine', 10)}) AS _ten")
+        .selectExpr("*", f"concat(_ten, {_check_digit('_ten', 11)}) AS _all")
+        .select("user_id", "credit_card_last4", "credit_card_brand", F.regexp_replace(
+            "_all", r"^(\d{3})(\d{3})(\d{3})(\d{2})$", "$1.$2.$3-$4").alias("cpf")))
 
 
 def normal_status(status: Column) -> Column:

@@ -147,19 +147,24 @@ STAGING_RULES["tb_review"] += [
 
 
 def _is_bad(rule: RowRule) -> Column:
-    return F.coalesce(F.expr(rule.bad), F.lit(False))
+    return F.expr(f"coalesce({rule.bad}, false)")
 
 
-def _tag(rule: Rule, table: str, count: Column) -> list[Column]:
-    return [F.lit(rule.rule).alias("rule"), F.lit(table).alias("table_name"),
-            F.lit(rule.check).alias("check_name"),
-            F.coalesce(count, F.lit(0)).cast("bigint").alias("violations")]
+def _line(rule: Rule, table: str, count: str) -> str:
+    check = rule.check.replace("'", "\\'")
+    return (f"'{rule.rule}' AS rule, '{table}' AS table_name, '{check}' AS check_name, "
+            f"cast(coalesce({count}, 0) as bigint) AS violations")
+
+
+def _counted(bad: DataFrame, total: str, rule: Rule, table: str) -> DataFrame:
+    return bad.agg(F.expr(f"{total} AS _v")).selectExpr(
+        f"inline(array(struct({_line(rule, table, '_v')})))")
 
 
 def _row_rules(df: DataFrame, table: str, rules: list[RowRule]) -> DataFrame:
-    totals = df.agg(*[F.count_if(_is_bad(r)).alias(f"v{i}") for i, r in enumerate(rules)])
-    lines = F.array(*[F.struct(*_tag(r, table, F.col(f"v{i}"))) for i, r in enumerate(rules)])
-    return totals.select(F.inline(lines))
+    totals = df.agg(*[F.expr(f"count_if({r.bad}) AS v{i}") for i, r in enumerate(rules)])
+    lines = ", ".join(f"struct({_line(r, table, f'v{i}')})" for i, r in enumerate(rules))
+    return totals.selectExpr(f"inline(array({lines}))")
 
 
 def _duplicates(df: DataFrame, rule: UniqueRule) -> DataFrame:
@@ -201,15 +206,12 @@ def audit(tables: dict[str, DataFrame], rules: dict[str, list[Rule]],
             parts.append(_row_rules(df, table, rows))
         for rule in table_rules:
             if isinstance(rule, UniqueRule):
-                parts.append(_duplicates(df, rule).agg(F.count("*").alias("_v"))
-                             .select(*_tag(rule, table, F.col("_v"))))
+                parts.append(_counted(_duplicates(df, rule), "count(*)", rule, table))
             elif isinstance(rule, ReferenceRule) and rule.parent in tables:
-                parts.append(_orphans(df, rule, tables[rule.parent])
-                             .agg(F.sum("_n").alias("_v"))
-                             .select(*_tag(rule, table, F.col("_v"))))
+                parts.append(_counted(_orphans(df, rule, tables[rule.parent]), "sum(_n)",
+                                      rule, table))
             elif isinstance(rule, ChainRule):
-                parts.append(_broken_chain(df, rule).agg(F.count("*").alias("_v"))
-                             .select(*_tag(rule, table, F.col("_v"))))
+                parts.append(_counted(_broken_chain(df, rule), "count(*)", rule, table))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -173,7 +173,7 @@ def merge(current: DataFrame, staged: DataFrame, dim: Dimension, batch_ts: datet
         "is_current": F.lit(True), "created_at": now, "created_by": F.lit(created_by),
     }
     if dim.hashed:
-        computed["attribute_hash"] = attribute_hash(dim.hashed)
+        computed["attribute_hash"] = F.expr(attribute_hash(dim.hashed))
     staged_audit = [c for c in ("valid_from", "valid_to", "is_current", "created_at",
                                 "created_by", "updated_at", "updated_by") if c in due.columns]
     fresh = enforce(number(due.drop(*staged_audit), dim.surrogate, start_key),

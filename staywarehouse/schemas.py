@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import re
 from collections.abc import Mapping
-from decimal import Decimal
 from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame, functions as F, types as T
@@ -137,12 +136,12 @@ _DDL = {
 }
 
 # Declared column defaults (load times and users are run parameters).
-DEFAULTS: dict[str, dict[str, object]] = {
-    "tb_user": {"is_verified": False, "total_spent": Decimal("0.00"), "total_bookings": 0},
-    "tb_host": {"is_superhost": False, "total_listings": 0, "total_reviews_received": 0},
-    "tb_property": {"cleaning_fee": Decimal("0.00")},
-    "tb_booking": {"service_fee": Decimal("0.00")},
-    "tb_payment": {"installments": 1},
+DEFAULTS = {
+    "tb_user": {"is_verified": "false", "total_spent": "0", "total_bookings": "0"},
+    "tb_host": {"is_superhost": "false", "total_listings": "0", "total_reviews_received": "0"},
+    "tb_property": {"cleaning_fee": "0"},
+    "tb_booking": {"service_fee": "0"},
+    "tb_payment": {"installments": "1"},
 }
 
 # Business key of every staging table, then further unique columns.
@@ -247,18 +246,20 @@ def enforce(df: DataFrame, table: str, computed: Mapping[str, Column] | None = N
     computed = computed or {}
     defaults = DEFAULTS.get(table, {})
     given = {f.name: f.dataType for f in df.schema}
+    cast = "try_cast" if safe else "cast"
     out: list[Column | str] = []
     for field in schema(table):
         name, kind = field.name, field.dataType
-        fallback = computed.get(name)
-        if fallback is None and name in defaults:
-            fallback = F.lit(defaults[name])
-        if name in given and fallback is None and given[name] == kind:
+        if name in computed:
+            value = computed[name]
+            if name in given:
+                value = F.coalesce(F.col(name), value)
+            out.append(value.cast(kind).alias(name))
+        elif given.get(name) == kind and name not in defaults:
             out.append(name)
-            continue
-        if name not in given:
-            value = F.lit(None) if fallback is None else fallback
         else:
-            value = F.col(name) if fallback is None else F.coalesce(F.col(name), fallback)
-        out.append((value.try_cast(kind) if safe else value.cast(kind)).alias(name))
+            value = name if name in given else "null"
+            if name in defaults:
+                value = f"coalesce({value}, {defaults[name]})"
+            out.append(F.expr(f"{cast}({value} as {kind.simpleString()}) as {name}"))
     return df.select(*out)

@@ -11,15 +11,19 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.draw import draw
-from ..functions.text import guid_from
+from ..functions.text import guid_from, short_id
 from . import staging
 
 SHIFT_DAYS = 9497
 LOADED_AT = datetime(2024, 1, 1)
 
 
+def _email(name: str) -> str:
+    return f"lower(concat(replace({name}, '#', '.'), '@example.com')) AS email"
+
+
 class TestTables:
-    """Raw frames (``users_1`` ...) and typed staging frames (``tb_user(1)`` ...)."""
+    """Raw frames (``users(1)`` ...) and typed staging frames (``staged("tb_user", 1)`` ...)."""
 
     __test__ = False
 
@@ -29,165 +33,127 @@ class TestTables:
     def raw(self, table: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.folder}/{table}.parquet")
 
-    def _places(self) -> DataFrame:
-        return self.raw("nation").join(self.raw("region"),
-                                       F.col("n_regionkey") == F.col("r_regionkey"))
-
-    def _email(self, name: str):
-        return F.lower(F.concat(F.replace(F.col(name), F.lit("#"), F.lit(".")),
-                                F.lit("@example.com")))
-
-    def _uuid(self, prefix: str, key):
-        return F.md5(F.concat(F.lit(prefix + ":"), key.cast("string")))
+    def _placed(self, table: str, nation: str) -> DataFrame:
+        places = self.raw("nation").join(self.raw("region"), F.expr("n_regionkey = r_regionkey"))
+        return self.raw(table).join(places, F.expr(f"{nation} = n_nationkey"))
 
     def users(self, batch: int) -> DataFrame:
-        k = F.col("c_custkey")
-        segment = F.col("c_mktsegment")
-        kind = (F.when(segment == "AUTOMOBILE", "vip").when(segment == "BUILDING", "premium")
-                .otherwise("standard"))
-        number = F.concat(F.lit("+55"), (k + 10000000).cast("string"))
-        rows = self.raw("customer").join(self._places(),
-                                         F.col("c_nationkey") == F.col("n_nationkey"))
+        number = "concat('+55', c_custkey + 10000000)"
+        kind = ("CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'vip' WHEN 'BUILDING' THEN 'premium' "
+                "ELSE 'standard' END")
         if batch == 1:
-            rows = rows.where(k % 10 != 9)
-            phone = F.when(k % 7 == 0, None).when(k % 7 == 1, "").otherwise(number)
-            city, verified = F.col("n_name"), k % 2 == 0
+            keep = "c_custkey % 10 <> 9"
+            phone = f"CASE c_custkey % 7 WHEN 0 THEN null WHEN 1 THEN '' ELSE {number} END"
+            city, verified = "n_name", "c_custkey % 2 = 0"
         else:
-            rows = rows.where(k % 13 != 12)
-            phone = F.when((k % 7).isin(0, 1), "").otherwise(number)
-            city = F.when(k % 11 == 0, F.concat("n_name", F.lit(" NEW"))).otherwise(
-                F.col("n_name"))
-            moved = (F.when(segment == "AUTOMOBILE", "premium").when(segment == "BUILDING", "vip")
-                     .otherwise("premium"))
-            kind = F.when(k % 5 == 0, moved).otherwise(kind)
-            verified = (k % 2 == 0) != (k % 17 == 0)
-        return rows.select(
-            (k + 1).cast("int").alias("user_id"), self._uuid("user", k).alias("user_uuid"),
-            F.col("c_name").alias("full_name"), self._email("c_name").alias("email"),
-            phone.alias("phone"), F.col("r_name").alias("country"), city.alias("city"),
-            kind.alias("user_type"), verified.alias("is_verified"))
+            keep = "c_custkey % 13 <> 12"
+            phone = f"if(c_custkey % 7 IN (0, 1), '', {number})"
+            city = "if(c_custkey % 11 = 0, concat(n_name, ' NEW'), n_name)"
+            moved = ("CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'premium' WHEN 'BUILDING' "
+                     "THEN 'vip' ELSE 'premium' END")
+            kind = f"if(c_custkey % 5 = 0, {moved}, {kind})"
+            verified = "(c_custkey % 2 = 0) <> (c_custkey % 17 = 0)"
+        return self._placed("customer", "c_nationkey").where(keep).selectExpr(
+            "cast(c_custkey + 1 as int) AS user_id",
+            "md5(concat('user:', c_custkey)) AS user_uuid", "c_name AS full_name",
+            _email("c_name"), f"{phone} AS phone", "r_name AS country", f"{city} AS city",
+            f"{kind} AS user_type", f"{verified} AS is_verified")
 
     def hosts(self, batch: int) -> DataFrame:
-        k = F.col("s_suppkey")
-        rate = (k % 31 + 70).cast("smallint")
-        zero = F.lit(0).cast("smallint")
-        superhost = k % 3 == 0
+        rate = "s_suppkey % 31 + 70"
         if batch == 1:
-            rate = F.when(k % 5 == 0, None).when(k % 5 == 1, zero).otherwise(rate)
+            rate = f"CASE s_suppkey % 5 WHEN 0 THEN null WHEN 1 THEN 0 ELSE {rate} END"
+            superhost = "s_suppkey % 3 = 0"
         else:
-            rate = F.when((k % 5).isin(0, 1), zero).otherwise(rate)
-            superhost = superhost != (k % 4 == 1)
-        rows = self.raw("supplier").join(self._places(),
-                                         F.col("s_nationkey") == F.col("n_nationkey"))
-        key = (k + 1).cast("int")
-        return rows.select(
-            key.alias("host_id"), self._uuid("host", k).alias("host_uuid"),
-            key.alias("user_id"), F.col("s_name").alias("full_name"),
-            self._email("s_name").alias("email"),
-            F.date_add(F.lit("2020-01-01").cast("date"), (k % 1826).cast("int"))
-            .alias("host_since"),
-            F.concat_ws(", ", "n_name", "r_name").alias("host_location"),
-            rate.alias("response_rate"), superhost.alias("is_superhost"))
+            rate = f"if(s_suppkey % 5 IN (0, 1), 0, {rate})"
+            superhost = "(s_suppkey % 3 = 0) <> (s_suppkey % 4 = 1)"
+        return self._placed("supplier", "s_nationkey").selectExpr(
+            "cast(s_suppkey + 1 as int) AS host_id",
+            "md5(concat('host:', s_suppkey)) AS host_uuid",
+            "cast(s_suppkey + 1 as int) AS user_id", "s_name AS full_name", _email("s_name"),
+            "date_add(DATE '2020-01-01', cast(s_suppkey % 1826 as int)) AS host_since",
+            "concat_ws(', ', n_name, r_name) AS host_location",
+            f"cast({rate} as smallint) AS response_rate", f"{superhost} AS is_superhost")
 
     def properties(self, batch: int) -> DataFrame:
-        k = F.col("p_partkey")
-        hosts = self.raw("supplier").agg((F.count("*") + 1).alias("n")).scalar()
-        kinds = {"MEDIUM": "apartment", "STANDARD": "house", "LARGE": "cabin", "PROMO": "loft",
-                 "SMALL": "studio"}
-        kind = F.lit("villa")
-        for source, target in kinds.items():
-            kind = F.when(F.col("p_type") == source, target).otherwise(kind)
-        room = (F.when(F.col("p_size") % 3 == 0, "entire_place")
-                .when(F.col("p_size") % 3 == 1, "private_room").otherwise("shared_room"))
-        first = self.raw("part").select(
-            (k + 1).cast("int").alias("property_id"),
-            self._uuid("prop", k).alias("property_uuid"),
-            (k % hosts + 1).cast("int").alias("host_id"), F.col("p_name").alias("title"),
-            kind.alias("property_type"), room.alias("room_type"),
-            (F.col("p_size") % 10 + 1).cast("smallint").alias("accommodates"),
-            F.concat(F.lit("CITY_"), (k % 25).cast("string")).alias("city"),
-            F.lit("Brazil").alias("country"),
-            F.col("p_retailprice").cast("decimal(10,2)").alias("price_per_night"),
-            (k % 81 + 20).cast("decimal(10,2)").alias("cleaning_fee"))
+        hosts = self.raw("supplier").agg(F.count("*").alias("n")).scalar()
+        first = self.raw("part").withColumn("_hosts", hosts).selectExpr(
+            "cast(p_partkey + 1 as int) AS property_id",
+            "md5(concat('prop:', p_partkey)) AS property_uuid",
+            "cast(p_partkey % (_hosts + 1) + 1 as int) AS host_id", "p_name AS title",
+            "CASE p_type WHEN 'MEDIUM' THEN 'apartment' WHEN 'STANDARD' THEN 'house' "
+            "WHEN 'LARGE' THEN 'cabin' WHEN 'PROMO' THEN 'loft' WHEN 'SMALL' THEN 'studio' "
+            "ELSE 'villa' END AS property_type",
+            "CASE p_size % 3 WHEN 0 THEN 'entire_place' WHEN 1 THEN 'private_room' "
+            "ELSE 'shared_room' END AS room_type",
+            "cast(p_size % 10 + 1 as smallint) AS accommodates",
+            "concat('CITY_', p_partkey % 25) AS city", "'Brazil' AS country",
+            "cast(p_retailprice as decimal(10,2)) AS price_per_night",
+            "cast(p_partkey % 81 + 20 as decimal(10,2)) AS cleaning_fee")
         if batch == 1:
             return first
-        p = F.col("property_id")
-        raised = (F.col("price_per_night") * F.lit(1.1).cast("decimal(2,1)"))
-        return first.withColumns({
-            "host_id": F.when(p % 23 == 0, F.lit(1)).otherwise(F.col("host_id")),
-            "property_type": F.when(p % 19 == 0, "villa").otherwise(F.col("property_type")),
-            "accommodates": (F.col("accommodates") + F.when(p % 29 == 0, 1).otherwise(0))
-            .cast("smallint"),
-            "city": F.when(p % 31 == 0, F.concat("city", F.lit("_X"))).otherwise(F.col("city")),
-            "price_per_night": F.when(p % 10 == 0, raised).otherwise(F.col("price_per_night"))
-            .cast("decimal(10,2)"),
-            "cleaning_fee": (F.col("cleaning_fee") + F.when(p % 3 == 0, 5).otherwise(0))
-            .cast("decimal(10,2)"),
-        })
+        return first.selectExpr(
+            "property_id", "property_uuid",
+            "if(property_id % 23 = 0, 1, host_id) AS host_id", "title",
+            "if(property_id % 19 = 0, 'villa', property_type) AS property_type", "room_type",
+            "cast(accommodates + if(property_id % 29 = 0, 1, 0) as smallint) AS accommodates",
+            "if(property_id % 31 = 0, concat(city, '_X'), city) AS city", "country",
+            "cast(if(property_id % 10 = 0, price_per_night * 1.1, price_per_night) "
+            "as decimal(10,2)) AS price_per_night",
+            "cast(cleaning_fee + if(property_id % 3 = 0, 5, 0) as decimal(10,2)) "
+            "AS cleaning_fee")
 
     def bookings(self) -> DataFrame:
-        k = F.col("o_orderkey")
         lowest = self.raw("lineitem").groupBy("l_orderkey").agg(
             F.min("l_partkey").alias("min_part"))
-        rows = self.raw("orders").join(lowest, k == F.col("l_orderkey"), "left")
-        status = (F.when(k % 20 < 2, "pending").when(k % 20 < 12, "confirmed")
-                  .when(k % 20 < 15, "cancelled").when(k % 20 < 19, "completed")
-                  .otherwise("no_show"))
-        subtotal = F.col("o_totalprice").cast("decimal(12,2)")
-        fee = (k % 81 + 20).cast("decimal(12,2)")
-        service = F.round(subtotal * F.lit(0.1).cast("decimal(3,2)"), 2).cast("decimal(12,2)")
-        rows = rows.select(
-            (k + 1).alias("booking_id"), (F.col("o_custkey") + 1).cast("int").alias("user_id"),
-            F.coalesce(F.col("min_part") + 1, F.lit(0)).cast("int").alias("property_id"),
-            F.date_add(F.col("o_orderdate").cast("date"), SHIFT_DAYS).alias("checkin_date"),
-            (k % 14 + 1).cast("smallint").alias("number_of_nights"),
-            subtotal.alias("subtotal"), fee.alias("cleaning_fee"), service.alias("service_fee"),
-            status.alias("booking_status"))
-        b, day = F.col("booking_id"), F.col("checkin_date")
-        return rows.select(
-            "*", self._uuid("bok", b).alias("booking_uuid"),
-            F.date_add(day, F.col("number_of_nights").cast("int")).alias("checkout_date"),
-            (b % 4 + 1).cast("smallint").alias("number_of_guests"),
-            (F.col("subtotal") + F.col("cleaning_fee") + F.col("service_fee"))
-            .cast("decimal(12,2)").alias("total_price"),
-            F.when(F.col("booking_status") == "cancelled",
-                   F.date_sub(day, (b % 30 + 1).cast("int"))).alias("cancellation_date"),
-            F.date_sub(day, (b % 90 + 1).cast("int")).alias("created_date"))
+        rows = self.raw("orders").join(lowest, F.expr("o_orderkey = l_orderkey"), "left")
+        return rows.selectExpr(
+            "o_orderkey + 1 AS booking_id", "cast(o_custkey + 1 as int) AS user_id",
+            "cast(coalesce(min_part + 1, 0) as int) AS property_id",
+            f"date_add(cast(o_orderdate as date), {SHIFT_DAYS}) AS checkin_date",
+            "cast(o_orderkey % 14 + 1 as smallint) AS number_of_nights",
+            "cast(o_totalprice as decimal(12,2)) AS subtotal",
+            "cast(o_orderkey % 81 + 20 as decimal(12,2)) AS cleaning_fee",
+            "cast(round(cast(o_totalprice as decimal(12,2)) * 0.10, 2) as decimal(12,2)) "
+            "AS service_fee",
+            "CASE WHEN o_orderkey % 20 < 2 THEN 'pending' WHEN o_orderkey % 20 < 12 "
+            "THEN 'confirmed' WHEN o_orderkey % 20 < 15 THEN 'cancelled' "
+            "WHEN o_orderkey % 20 < 19 THEN 'completed' ELSE 'no_show' END AS booking_status"
+        ).selectExpr(
+            "*", "md5(concat('bok:', booking_id)) AS booking_uuid",
+            "date_add(checkin_date, number_of_nights) AS checkout_date",
+            "cast(booking_id % 4 + 1 as smallint) AS number_of_guests",
+            "cast(subtotal + cleaning_fee + service_fee as decimal(12,2)) AS total_price",
+            "CASE WHEN booking_status = 'cancelled' THEN "
+            "date_sub(checkin_date, cast(booking_id % 30 + 1 as int)) END AS cancellation_date",
+            "date_sub(checkin_date, cast(booking_id % 90 + 1 as int)) AS created_date")
 
     def payments(self) -> DataFrame:
-        b = F.col("booking_id")
-        twenty = F.floor(b / 20) % 20
-        raw_id = F.concat(F.lit("txn_"), F.substring(
-            F.md5(F.concat(F.lit("txn_"), b.cast("string"), F.lit("_42"))), 1, 8))
-        method = (F.when(b % 5 == 0, "credit_card").when(b % 5 == 1, "debit_card")
-                  .when(b % 5 == 2, "pix").when(b % 5 == 3, "bank_transfer")
-                  .otherwise("paypal"))
-        status = (F.when(twenty == 0, "pending").when(twenty == 1, "refunded")
-                  .when(twenty == 2, "failed").otherwise("paid"))
-        return (self.bookings().where(F.col("booking_status").isin("confirmed", "completed"))
-                .select(b.cast("int").alias("payment_id"), raw_id.alias("transaction_id"), b,
-                        "user_id", F.col("total_price").alias("amount"),
-                        method.alias("payment_method"),
-                        F.when(b % 10 < 4, b % 12 + 1).otherwise(1).cast("smallint")
-                        .alias("installments"), status.alias("payment_status"),
-                        F.date_sub("checkin_date", (b % 31).cast("int")).alias("payment_date")))
+        paid_for = self.bookings().where("booking_status IN ('confirmed', 'completed')")
+        return paid_for.selectExpr(
+            "cast(booking_id as int) AS payment_id",
+            f"{short_id('txn', 'booking_id')} AS transaction_id", "booking_id", "user_id",
+            "total_price AS amount",
+            "CASE booking_id % 5 WHEN 0 THEN 'credit_card' WHEN 1 THEN 'debit_card' "
+            "WHEN 2 THEN 'pix' WHEN 3 THEN 'bank_transfer' ELSE 'paypal' END AS payment_method",
+            "cast(if(booking_id % 10 < 4, booking_id % 12 + 1, 1) as smallint) AS installments",
+            "CASE booking_id div 20 % 20 WHEN 0 THEN 'pending' WHEN 1 THEN 'refunded' "
+            "WHEN 2 THEN 'failed' ELSE 'paid' END AS payment_status",
+            "date_sub(checkin_date, cast(booking_id % 31 as int)) AS payment_date")
 
     def reviews(self) -> DataFrame:
-        b = F.col("booking_id")
-        k = F.floor(b / 20) % 20
-        rating = (F.when(k == 0, 1).when(k == 1, 2).when(k < 4, 3).when(k < 10, 4).otherwise(5))
-        return (self.bookings().where(F.col("booking_status") == "completed")
-                .select(b.alias("review_id"), b, "user_id", "property_id",
-                        rating.cast("smallint").alias("overall_rating"),
-                        F.date_add("checkout_date", (b % 14 + 1).cast("int"))
-                        .alias("review_date")))
+        done = self.bookings().where("booking_status = 'completed'")
+        return done.selectExpr("*", "booking_id div 20 % 20 AS _k").selectExpr(
+            "booking_id AS review_id", "booking_id", "user_id", "property_id",
+            "cast(CASE WHEN _k = 0 THEN 1 WHEN _k = 1 THEN 2 WHEN _k < 4 THEN 3 "
+            "WHEN _k < 10 THEN 4 ELSE 5 END as smallint) AS overall_rating",
+            "date_add(checkout_date, cast(booking_id % 14 + 1 as int)) AS review_date")
 
     def clicks(self) -> DataFrame:
-        e = F.col("event_id")
-        device = (F.when(e % 3 == 0, "mobile").when(e % 3 == 1, "desktop").otherwise("tablet"))
-        return self.raw("events").select(
-            e, (F.col("user_id") + 1).cast("int").alias("user_id"), "event_type",
-            device.alias("device_type"), F.col("ts").alias("event_timestamp"))
+        return self.raw("events").selectExpr(
+            "event_id", "cast(user_id + 1 as int) AS user_id", "event_type",
+            "CASE event_id % 3 WHEN 0 THEN 'mobile' WHEN 1 THEN 'desktop' ELSE 'tablet' END "
+            "AS device_type", "ts AS event_timestamp")
 
     def staged(self, table: str, batch: int = 1) -> DataFrame:
         """The cleaned and typed staging frame of a table."""
@@ -200,13 +166,11 @@ class TestTables:
 
     def dirty_clicks(self) -> DataFrame:
         """Events with unclean identifiers, texts and numbers, as an export might hold them."""
-        e = F.col("event_id")
-        tokens = ("None", "NAN", "null", " null", "Paris", "nullable", "")
-        valid = guid_from(F.concat(F.lit("evt:"), e.cast("string")))
-        raw_id = (F.when(e % 4 == 0, valid).when(e % 4 == 1, F.upper(valid))
-                  .when(e % 4 == 2, F.concat(F.lit("txn_"), e.cast("string"))))
-        place = F.element_at(F.array(*[F.lit(t) for t in tokens]),
-                             (draw(e, 1, len(tokens)) + 1).cast("int"))
-        return self.raw("events").select(
-            e, raw_id.alias("transaction_id"), place.alias("search_query"), "event_type",
-            F.when(e % 5 == 0, F.lit(float("nan"))).otherwise(F.col("value")).alias("value"))
+        valid = guid_from("concat('evt:', event_id)")
+        tokens = "array('None', 'NAN', 'null', ' null', 'Paris', 'nullable', '')"
+        return self.raw("events").selectExpr(
+            "event_id",
+            f"CASE event_id % 4 WHEN 0 THEN {valid} WHEN 1 THEN upper({valid}) "
+            "WHEN 2 THEN concat('txn_', event_id) END AS transaction_id",
+            f"element_at({tokens}, cast({draw('event_id', 1, 7)} + 1 as int)) AS search_query",
+            "event_type", "if(event_id % 5 = 0, double('nan'), value) AS value")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from .. import schemas as S
 from ..functions.text import null_token, repair_guid
@@ -20,18 +20,18 @@ def prune(df: DataFrame) -> DataFrame:
 
 def clean(df: DataFrame, key: str) -> DataFrame:
     """Repair GUID columns, turn null tokens in texts and NaN in floats into NULL."""
-    out: list[Column | str] = []
+    out = []
     for field in df.schema:
-        name = field.name
+        name, kind = field.name, field.dataType
         if name in S.GUID_COLUMNS:
-            out.append(repair_guid(F.col(name), name, F.col(key)).alias(name))
-        elif isinstance(field.dataType, T.StringType):
-            out.append(null_token(F.col(name)).alias(name))
-        elif isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-            out.append(F.when(~F.isnan(name), F.col(name)).alias(name))
+            out.append(f"{repair_guid(name, key)} AS {name}")
+        elif isinstance(kind, T.StringType):
+            out.append(f"{null_token(name)} AS {name}")
+        elif isinstance(kind, (T.DoubleType, T.FloatType)):
+            out.append(f"nanvl({name}, null) AS {name}")
         else:
             out.append(name)
-    return df.select(*out)
+    return df.selectExpr(*out)
 
 
 def prepare(df: DataFrame, table: str, loaded_at: datetime, safe: bool = False) -> DataFrame:

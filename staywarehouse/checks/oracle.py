@@ -826,6 +826,16 @@ STATEMENTS: dict[str, str] = {
           max(p.accommodates) AS accommodates
         FROM stg_booking s JOIN stg_property_2 p ON s.property_id = p.property_id
         WHERE s.number_of_guests > p.accommodates GROUP BY 1""",
+    "lg01_batch_log_of_full_load": " UNION ALL ".join(
+        f"SELECT table_name, 'MERGE_SCD2' AS operation_type, rows_affected, "
+        f"'{STAGED_AT if b == 1 else LOADED}' AS start_time FROM ({_rows_affected(b, n, p)}) "
+        "t(batch, table_name, rows_updated, rows_inserted, rows_affected)"
+        for n, p in (("user", "users"), ("host", "hosts"), ("property", "properties"))
+        for b in (1, 2)) + f"""
+        UNION ALL SELECT 'fact_bookings', 'LOAD', count(*), '{LOADED}' FROM fact_bookings
+        UNION ALL SELECT 'fact_payments', 'LOAD', count(*), '{LOADED}' FROM fact_payments
+        UNION ALL SELECT 'dim_users', 'UPDATE_METRICS', count(*), '{LOADED}' FROM dim_users
+          WHERE is_current""",
     "lg03_etl_summary": """
         SELECT event_id AS batch_id, event_type AS table_name,
           CASE WHEN event_id % 2 = 0 THEN 'MERGE_SCD2' ELSE 'LOAD' END AS operation_type,

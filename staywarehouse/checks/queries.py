@@ -472,7 +472,7 @@ def _event_log(w: Loaded) -> DataFrame:
 
 @query("lg03_etl_summary")
 def _(w: Loaded):
-    return audit.etl_summary(_event_log(w), F.lit(AS_OF), 7)
+    return audit.etl_summary(_event_log(w), AS_OF, 7)
 
 
 @query("lg04_error_summary")
@@ -483,7 +483,21 @@ def _(w: Loaded):
         F.lit(0).alias("error_number"), F.lit("load").alias("error_procedure"),
         F.col("props").alias("error_message"), at.alias("error_timestamp"),
         F.lit("loader").alias("created_by"))
-    return audit.error_summary(errors, F.lit(AS_OF), 7)
+    return audit.error_summary(errors, AS_OF, 7)
+
+
+@query("lg01_batch_log_of_full_load")
+def _(w: Loaded):
+    """Both batches and the facts through the store, as the batch log tells it."""
+    now = [LOADED_AT]
+    run, src = Run(_store(w), "loader", lambda: now[0]), w.source
+    run.run({"users": src.users(1), "hosts": src.hosts(1), "properties": src.properties(1)},
+            load=False, refresh_metrics=False)
+    now[0] = LOADED
+    run.run({"users": src.users(2), "hosts": src.hosts(2), "properties": src.properties(2),
+             "bookings": src.bookings(), "payments": src.payments()}, truncate=True)
+    return run.etl_summary(days_back=100).select("table_name", "operation_type",
+                                                 "rows_affected", "start_time")
 
 
 # ---- reports ------------------------------------------------------------------------

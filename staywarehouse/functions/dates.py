@@ -2,9 +2,16 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column, functions as F
 
 
+def moment(at: datetime) -> Column:
+    """A date-time without zone, in whole seconds, whatever the zone of the session."""
+    return F.lit(at.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+
+
 def date_key(d: Column) -> Column:
     """yyyymmdd as an integer."""
     return (F.year(d) * 10000 + F.month(d) * 100 + F.dayofmonth(d)).cast("int")

@@ -7,7 +7,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from ..functions.dates import days_before, seconds_between
+from ..functions.dates import days_before, moment, seconds_between
 from ..schemas import schema
 
 MERGE, LOAD = "MERGE_SCD2", "LOAD"
@@ -38,11 +38,11 @@ def error_entry(spark: SparkSession, batch_id: int | None, procedure: str, error
     return spark.createDataFrame([row], schema("etl_error_log"))
 
 
-def _since(column: str, as_of: Column, days_back: int) -> Column:
-    return F.col(column) >= days_before(as_of.cast("timestamp_ntz"), days_back)
+def _since(column: str, as_of: datetime, days_back: int) -> Column:
+    return F.col(column) >= days_before(moment(as_of), days_back)
 
 
-def etl_summary(batch_log: DataFrame, as_of: Column, days_back: int = 7) -> DataFrame:
+def etl_summary(batch_log: DataFrame, as_of: datetime, days_back: int = 7) -> DataFrame:
     """Batches started in the last ``days_back`` days with their duration, newest first."""
     return (batch_log.where(_since("start_time", as_of, days_back))
             .select("batch_id", "table_name", "operation_type", "rows_affected",
@@ -52,7 +52,7 @@ def etl_summary(batch_log: DataFrame, as_of: Column, days_back: int = 7) -> Data
             .orderBy(F.col("start_time").desc(), F.col("batch_id").desc()))
 
 
-def error_summary(error_log: DataFrame, as_of: Column, days_back: int = 7) -> DataFrame:
+def error_summary(error_log: DataFrame, as_of: datetime, days_back: int = 7) -> DataFrame:
     """Errors of the last ``days_back`` days, newest first."""
     return (error_log.where(_since("error_timestamp", as_of, days_back))
             .select("error_id", "batch_id", "error_number", "error_procedure",

@@ -13,6 +13,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from ..functions.dates import moment
 from ..functions.money import FEE_SHARE, NET_SHARE, share
 from ..schemas import enforce
 from .calendar import with_date_key
@@ -150,7 +151,6 @@ def load(resolved: DataFrame, fact: Fact, staged_columns: list[str], batch_ts: d
     tally = written.agg(F.count_if("_accepted").alias("loaded"),
                         F.count_if(~F.col("_accepted")).alias("rejected")).first()
     numbered = number(written.where("_accepted"), fact.surrogate, start_key)
-    accepted = enforce(numbered, fact.table,
-                       {"created_at": F.lit(batch_ts).cast("timestamp_ntz")})
+    accepted = enforce(numbered, fact.table, {"created_at": moment(batch_ts)})
     return Load(accepted, rejects(written.where(~F.col("_accepted")), staged_columns),
                 tally["loaded"], tally["rejected"], start_key + tally["loaded"])

@@ -16,6 +16,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from ..functions.dates import moment
 from ..functions.text import attribute_hash
 from ..schemas import OPEN_END, enforce, schema
 from .keys import last_key, materialise, number
@@ -167,7 +168,7 @@ def merge(current: DataFrame, staged: DataFrame, dim: Dimension, batch_ts: datet
     tally = due.agg(F.count("*").alias("inserted"),
                     F.count_if("_replaces").alias("updated")).first()
 
-    now = F.lit(batch_ts).cast("timestamp_ntz")
+    now = moment(batch_ts)
     computed = {
         "valid_from": now, "valid_to": F.lit(OPEN_END).cast("timestamp_ntz"),
         "is_current": F.lit(True), "created_at": now, "created_by": F.lit(created_by),

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame
 
 from ..operators import audit, facts, metrics, scd2
 from ..operators.calendar import FIRST_DAY, LAST_DAY, calendar
@@ -30,14 +30,22 @@ class Run:
     store: Store
     created_by: str = field(default_factory=getpass.getuser)
     clock: Callable[[], datetime] = lambda: datetime.now().replace(microsecond=0)
+    _last_batch: int | None = None
 
     # ---- shared steps -------------------------------------------------------------
 
+    def next_batch_id(self) -> int:
+        """One more than the last id; the store is asked once, as a run is its only writer."""
+        if self._last_batch is None:
+            self._last_batch = self.store.last_batch_id()
+        self._last_batch += 1
+        return self._last_batch
+
     def _logged(self, table: str, operation: str, procedure: str,
                 work: Callable[[int, datetime], dict]) -> dict:
         """Run ``work`` as one batch with a batch log row, or an error log row."""
         spark, store = self.store.spark, self.store
-        batch_id, start = store.next_batch_id(), self.clock()
+        batch_id, start = self.next_batch_id(), self.clock()
         try:
             result = work(batch_id, start)
         except Exception as error:
@@ -56,12 +64,12 @@ class Run:
         if not self.store.is_empty("dim_dates"):
             return False
         days = calendar(self.store.spark, first, last)
-        self.store.append("dim_dates", days.coalesce(1), self.store.next_batch_id(), self.clock())
+        self.store.append("dim_dates", days.coalesce(1), self.next_batch_id(), self.clock())
         return True
 
     def stage(self, frames: dict[str, DataFrame], truncate: bool = False) -> dict[str, int]:
         """Load the given frames (users, hosts, ...) into their staging tables."""
-        batch_id, now = self.store.next_batch_id(), self.clock()
+        batch_id, now = self.next_batch_id(), self.clock()
         return {table: staging.load(self.store, df, table, batch_id, now, truncate)
                 for table, df in staging.route(frames)}
 
@@ -128,8 +136,10 @@ class Run:
             done = facts.load(resolved, fact, rows.columns, now, state.last_key)
             if done.rows_loaded:
                 store.append(table, done.accepted, batch_id, now, done.last_key)
+            if done.rows_rejected:
+                store.write_rejects(table, done.rejects, batch_id)
             return {"rows_loaded": done.rows_loaded, "rows_rejected": done.rows_rejected,
-                    "rows_affected": done.rows_loaded, "rejects": done.rejects}
+                    "rows_affected": done.rows_loaded}
 
         return self._logged(table, audit.LOAD, f"load_{table}", work)
 
@@ -175,9 +185,8 @@ class Run:
     # ---- summaries ----------------------------------------------------------------
 
     def etl_summary(self, days_back: int = 7) -> DataFrame:
-        return audit.etl_summary(self.store.read_log("etl_batch_log"),
-                                 F.lit(self.clock()), days_back)
+        return audit.etl_summary(self.store.read_log("etl_batch_log"), self.clock(), days_back)
 
     def error_summary(self, days_back: int = 7) -> DataFrame:
-        return audit.error_summary(self.store.read_log("etl_error_log"),
-                                   F.lit(self.clock()), days_back)
+        return audit.error_summary(self.store.read_log("etl_error_log"), self.clock(),
+                                   days_back)

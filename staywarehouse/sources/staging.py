@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, types as T
 
 from .. import schemas as S
+from ..functions.dates import moment
 from ..functions.text import null_token, repair_guid
 from ..operators.quality import require_unique
 from .store import Store
@@ -37,7 +38,7 @@ def clean(df: DataFrame, key: str) -> DataFrame:
 def prepare(df: DataFrame, table: str, loaded_at: datetime, safe: bool = False) -> DataFrame:
     """A generated or external frame as a typed staging frame."""
     ready = clean(prune(df), S.STAGING_KEYS[table])
-    return S.enforce(ready, table, {"loaded_at": F.lit(loaded_at).cast("timestamp_ntz")}, safe)
+    return S.enforce(ready, table, {"loaded_at": moment(loaded_at)}, safe)
 
 
 def check_keys(df: DataFrame, table: str) -> None:

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..schemas import nullable, schema
 
@@ -41,6 +41,7 @@ class Store:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._states: dict[str, State] = {}
 
     def _base(self, table: str) -> str:
         return f"{self.root}/data/{table}"
@@ -48,7 +49,17 @@ class Store:
     def _commits(self, table: str) -> str:
         return f"{self.root}/commits/{table}"
 
+    def refresh(self) -> None:
+        """Look again for commits made through other store objects."""
+        self._states.clear()
+
     def state(self, table: str) -> State:
+        """The state as of the first look at the table or the last commit made here."""
+        if table not in self._states:
+            self._states[table] = self._read_state(table)
+        return self._states[table]
+
+    def _read_state(self, table: str) -> State:
         reader = self.spark.read.schema(_COMMIT)
         try:
             rows = reader.json(self._commits(table)).orderBy("batch_id").collect()
@@ -109,6 +120,7 @@ class Store:
                batch_ts.isoformat())
         (self.spark.createDataFrame([row], _COMMIT).coalesce(1)
          .write.mode("append").json(self._commits(table)))
+        self._states.pop(table, None)
 
     def append(self, table: str, df: DataFrame, batch_id: int, batch_ts: datetime,
                last_key: int | None = None, verify: Verify | None = None) -> int:
@@ -156,6 +168,23 @@ class Store:
         self._commit(table, 0, "create", [], [], 0, 0, datetime(1970, 1, 1))
         return True
 
+    def write_rejects(self, table: str, rejects: DataFrame, batch_id: int) -> None:
+        """Keep the rejected staging rows of one load with their reasons."""
+        rejects.write.mode("overwrite").parquet(
+            f"{self.root}/rejects/{table}/batch_id={batch_id}")
+
+    def read_rejects(self, table: str, staging_table: str) -> DataFrame:
+        """Rejected rows of all loads; those of a failed load may be among them."""
+        fields = T.StructType([*nullable(schema(staging_table)),
+                               T.StructField("reject_reason", T.StringType()),
+                               T.StructField("batch_id", T.LongType())])
+        try:
+            return self.spark.read.schema(fields).parquet(f"{self.root}/rejects/{table}")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], fields)
+
     def log(self, table: str, entry: DataFrame) -> None:
         """Append to an operation log; a log row is its own commit."""
         entry.coalesce(1).write.mode("append").parquet(f"{self.root}/logs/{table}")
@@ -169,8 +198,8 @@ class Store:
                 raise
             return self.spark.createDataFrame([], declared)
 
-    def next_batch_id(self) -> int:
-        """One more than the highest batch id logged or committed for any table."""
+    def last_batch_id(self) -> int:
+        """The highest batch id logged or committed for any table."""
         known = [self.read_log(t).agg(F.max("batch_id")).first()[0] or 0
                  for t in ("etl_batch_log", "etl_error_log")]
         reader = self.spark.read.schema(_COMMIT)
@@ -180,4 +209,4 @@ class Store:
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-        return max(known) + 1
+        return max(known)

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import facts, scd2
 from ..operators.calendar import calendar
-from ..schemas import nullable
+from ..schemas import empty, nullable, schema
 from ..session import scratch_path
 from ..sources.fixtures import TestTables
 
@@ -45,7 +45,7 @@ class Loaded:
                           enrich=enrich)
 
     def first(self, dim: scd2.Dimension, hosts: DataFrame | None = None) -> scd2.Merge:
-        return self._merge(dim, scd2.empty(self.spark, dim.table), 1, 0, hosts)
+        return self._merge(dim, empty(self.spark, schema(dim.table)), 1, 0, hosts)
 
     def second(self, dim: scd2.Dimension, before: scd2.Merge,
                hosts: DataFrame | None = None) -> scd2.Merge:

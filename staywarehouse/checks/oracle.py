@@ -358,6 +358,12 @@ _FACT_BOOKING = f"""
       booking_status, cancellation_date, CAST(NULL AS VARCHAR) AS cancellation_reason,
       TIMESTAMP '{LOADED}' AS created_at, CAST(NULL AS TIMESTAMP) AS updated_at
     FROM %s WHERE reject_reason IS NULL"""
+CTE["known_bookings"] = """
+    SELECT s.booking_id FROM stg_booking s JOIN stg_user_2 u ON s.user_id = u.user_id
+    JOIN stg_property_2 p ON s.property_id = p.property_id
+    JOIN dim_dates d1 ON s.checkin_date = d1.full_date
+    JOIN dim_dates d2 ON s.checkout_date = d2.full_date
+    JOIN dim_dates d3 ON s.created_date = d3.full_date"""
 CTE["fact_bookings"] = _FACT_BOOKING % "resolved_bookings"
 CTE["fact_bookings_as_of"] = _FACT_BOOKING % "resolved_bookings_as_of"
 CTE["resolved_payments"] = f"""
@@ -826,16 +832,18 @@ STATEMENTS: dict[str, str] = {
           max(p.accommodates) AS accommodates
         FROM stg_booking s JOIN stg_property_2 p ON s.property_id = p.property_id
         WHERE s.number_of_guests > p.accommodates GROUP BY 1""",
-    "lg01_batch_log_of_full_load": " UNION ALL ".join(
-        f"SELECT table_name, 'MERGE_SCD2' AS operation_type, rows_affected, "
-        f"'{STAGED_AT if b == 1 else LOADED}' AS start_time FROM ({_rows_affected(b, n, p)}) "
-        "t(batch, table_name, rows_updated, rows_inserted, rows_affected)"
-        for n, p in (("user", "users"), ("host", "hosts"), ("property", "properties"))
-        for b in (1, 2)) + f"""
-        UNION ALL SELECT 'fact_bookings', 'LOAD', count(*), '{LOADED}' FROM fact_bookings
-        UNION ALL SELECT 'fact_payments', 'LOAD', count(*), '{LOADED}' FROM fact_payments
-        UNION ALL SELECT 'dim_users', 'UPDATE_METRICS', count(*), '{LOADED}' FROM dim_users
-          WHERE is_current""",
+    "lg01_batch_log_of_full_load": f"""
+        SELECT table_name, operation_type, rows_affected, '{LOADED}' AS start_time,
+          CAST(0 AS BIGINT) AS duration_seconds, 'loader' AS created_by
+        FROM (SELECT 'dim_users' AS table_name, 'MERGE_SCD2' AS operation_type,
+                count(*) AS rows_affected FROM stg_user_2
+          UNION ALL SELECT 'dim_hosts', 'MERGE_SCD2', count(*) FROM stg_host_2
+          UNION ALL SELECT 'dim_properties', 'MERGE_SCD2', count(*) FROM stg_property_2
+          UNION ALL SELECT 'fact_bookings', 'LOAD', count(*) FROM known_bookings
+          UNION ALL SELECT 'fact_payments', 'LOAD', count(*) FROM stg_payment s
+            JOIN known_bookings b ON s.booking_id = b.booking_id
+            JOIN dim_dates d ON s.payment_date = d.full_date
+          UNION ALL SELECT 'dim_users', 'UPDATE_METRICS', count(*) FROM stg_user_2) x""",
     "lg03_etl_summary": """
         SELECT event_id AS batch_id, event_type AS table_name,
           CASE WHEN event_id % 2 = 0 THEN 'MERGE_SCD2' ELSE 'LOAD' END AS operation_type,

@@ -8,7 +8,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.dates import days_before, moment, seconds_between
-from ..schemas import schema
+from ..schemas import one_row, schema
 
 MERGE, LOAD = "MERGE_SCD2", "LOAD"
 
@@ -18,7 +18,7 @@ def batch_entry(spark: SparkSession, batch_id: int, table: str, operation: str,
                 created_by: str) -> DataFrame:
     row = (batch_id, table, operation, rows_affected, start.replace(microsecond=0),
            end.replace(microsecond=0), created_by, end.replace(microsecond=0))
-    return spark.createDataFrame([row], schema("etl_batch_log"))
+    return one_row(spark, schema("etl_batch_log"), row)
 
 
 def error_entry(spark: SparkSession, batch_id: int | None, procedure: str, error: Exception,
@@ -35,7 +35,7 @@ def error_entry(spark: SparkSession, batch_id: int | None, procedure: str, error
     text = f"[{condition}] {error}" if condition else f"{type(error).__name__}: {error}"
     row = (uuid.uuid4().hex, batch_id, 0, 16, 1, line, procedure, text[:4000],
            at.replace(microsecond=0), created_by)
-    return spark.createDataFrame([row], schema("etl_error_log"))
+    return one_row(spark, schema("etl_error_log"), row)
 
 
 def _since(column: str, as_of: datetime, days_back: int) -> Column:

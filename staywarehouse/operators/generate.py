@@ -61,22 +61,23 @@ def sample(rows: DataFrame, n: Count, key: str, salt: int) -> DataFrame:
     """Exactly ``n`` rows (or all) without replacement, the same ones every time.
 
     The rows with the lowest draws are taken. A histogram of the draws finds the bucket the
-    n-th row falls in; only the rows of that one bucket are ranked.
+    n-th row falls in, ranking that one bucket finds the row, and a filter takes all rows up
+    to it. The input is read three times: write it first if it is costly.
     """
     drawn = rows.selectExpr("*", f"{draw(key, salt, MODULUS)} AS _lot").selectExpr(
-        "*", f"cast(floor(_lot * {SAMPLE_BUCKETS} / {MODULUS}) as int) AS _bucket")
+        "*", f"cast(_lot * {SAMPLE_BUCKETS} div {MODULUS} as int) AS _bucket")
     # one row per bucket reaches this window, however many rows there are
     so_far = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
     before = F.sum("_n").over(so_far) - F.col("_n")
     reached = (drawn.groupBy("_bucket").agg(F.count("*").alias("_n"))
                .select("_bucket", before.alias("_before")).where(F.col("_before") < n))
     edge = reached.agg(F.max(F.struct("_bucket", "_before")).alias("edge")).scalar()
-    whole = drawn.where(F.col("_bucket") < edge.getField("_bucket")).select(rows.columns)
     rank = F.row_number().over(Window.partitionBy("_bucket").orderBy("_lot", key))
-    rest = (drawn.where(F.col("_bucket") == edge.getField("_bucket"))
-            .withColumn("_rank", rank)
-            .where(F.col("_rank") + edge.getField("_before") <= n).select(rows.columns))
-    return whole.unionByName(rest)
+    last = (drawn.where(F.col("_bucket") == edge.getField("_bucket"))
+            .select(F.struct("_lot", key).alias("_place"), rank.alias("_rank"))
+            .where(F.col("_rank") + edge.getField("_before") <= n)
+            .agg(F.max("_place").alias("last")).scalar())
+    return drawn.where(F.struct("_lot", key) <= last).select(rows.columns)
 
 
 def users(identities: DataFrame) -> DataFrame:
@@ -173,7 +174,8 @@ def payments(booking_rows: DataFrame, n: Count | None = None) -> DataFrame:
     eligible = booking_rows.where("booking_status IN ('confirmed', 'completed')").select(
         "booking_id", "user_id", "total_price", "checkin_date")
     if n is not None:
-        eligible = sample(eligible, n, "booking_id", SEED)
+        written = materialise(eligible, ["booking_id"], "eligible")
+        eligible = sample(written, n, "booking_id", SEED)
     i = "payment_id"
     return number(materialise(eligible, ["booking_id"], "payments"), i).selectExpr(
         f"cast({i} as int) AS payment_id", f"{short_id('txn', i)} AS transaction_id",
@@ -190,7 +192,7 @@ def reviews(booking_rows: DataFrame, n: Count | None = None) -> DataFrame:
     done = booking_rows.where("booking_status = 'completed'").select(
         "booking_id", "user_id", "property_id", "checkout_date")
     if n is not None:
-        done = sample(done, n, "booking_id", SEED)
+        done = sample(materialise(done, ["booking_id"], "done"), n, "booking_id", SEED)
     i = "review_id"
     rated = number(materialise(done, ["booking_id"], "reviews"), i).selectExpr(
         "*", f"cast({weighted(i, 61, RATING_WEIGHTS)} as smallint) AS overall_rating")

@@ -14,11 +14,11 @@ from datetime import datetime
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.dates import moment
 from ..functions.text import attribute_hash
-from ..schemas import OPEN_END, enforce, schema
+from ..schemas import OPEN_END, enforce
 from .keys import last_key, materialise, number
 from .lookup import lookup
 
@@ -191,7 +191,3 @@ def merge(current: DataFrame, staged: DataFrame, dim: Dimension, batch_ts: datet
     snapshot = enforce(kept, dim.table).unionByName(fresh)
     return Merge(snapshot, fresh, tally["updated"], tally["inserted"],
                  start_key + tally["inserted"])
-
-
-def empty(spark: SparkSession, table: str) -> DataFrame:
-    return spark.createDataFrame([], schema(table))

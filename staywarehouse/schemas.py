@@ -7,10 +7,11 @@ date-times carry no zone and whole seconds.
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
+from datetime import datetime
 from functools import lru_cache
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 OPEN_END = "9999-12-31 23:59:59"
 
@@ -235,6 +236,19 @@ def nullable(struct: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, f.dataType, True) for f in struct])
 
 
+def one_row(spark: SparkSession, struct: T.StructType, values: Sequence[object]) -> DataFrame:
+    """One row of literals, such as a log entry."""
+    cells = [F.lit(f"{v:%Y-%m-%d %H:%M:%S}" if isinstance(v, datetime) else v)
+             .cast(f.dataType).alias(f.name) for f, v in zip(struct, values, strict=True)]
+    return spark.range(0, 1, 1, 1).select(*cells)
+
+
+def empty(spark: SparkSession, struct: T.StructType) -> DataFrame:
+    """No rows; the optimiser sees this and drops joins with it."""
+    columns = [f"cast(null as {f.dataType.simpleString()}) AS {f.name}" for f in struct]
+    return spark.range(0, 1, 1, 1).where("false").selectExpr(*columns)
+
+
 def enforce(df: DataFrame, table: str, computed: Mapping[str, Column] | None = None,
             safe: bool = False) -> DataFrame:
     """Project ``df`` on the declared columns, filling defaults and casting.

@@ -18,12 +18,17 @@ from datetime import datetime
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from ..schemas import nullable, schema
+from ..schemas import empty, nullable, one_row, schema
 
 Verify = Callable[[DataFrame], None]
 
-_COMMIT = """batch_id bigint, table_name string, operation string, added array<string>,
-    removed array<string>, row_count bigint, last_key bigint, batch_ts string"""
+_COMMIT = T.StructType([
+    T.StructField("batch_id", T.LongType()), T.StructField("table_name", T.StringType()),
+    T.StructField("operation", T.StringType()),
+    T.StructField("added", T.ArrayType(T.StringType())),
+    T.StructField("removed", T.ArrayType(T.StringType())),
+    T.StructField("row_count", T.LongType()), T.StructField("last_key", T.LongType()),
+    T.StructField("batch_ts", T.StringType())])
 
 
 @dataclass(frozen=True)
@@ -62,7 +67,8 @@ class Store:
     def _read_state(self, table: str) -> State:
         reader = self.spark.read.schema(_COMMIT)
         try:
-            rows = reader.json(self._commits(table)).orderBy("batch_id").collect()
+            rows = sorted(reader.json(self._commits(table)).collect(),
+                          key=lambda row: row["batch_id"])
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -95,7 +101,7 @@ class Store:
     def _read(self, table: str, paths: Iterable[str]) -> DataFrame:
         declared = schema(table)
         if not paths:
-            return self.spark.createDataFrame([], nullable(declared))
+            return empty(self.spark, declared)
         base = self._base(table)
         rows = (self.spark.read.schema(nullable(declared)).option("basePath", base)
                 .parquet(*[f"{base}/{p}" for p in paths]))
@@ -118,8 +124,7 @@ class Store:
                 removed: list[str], row_count: int, last_key: int, batch_ts: datetime) -> None:
         row = (batch_id, table, operation, added, removed, row_count, last_key,
                batch_ts.isoformat())
-        (self.spark.createDataFrame([row], _COMMIT).coalesce(1)
-         .write.mode("append").json(self._commits(table)))
+        one_row(self.spark, _COMMIT, row).write.mode("append").json(self._commits(table))
         self._states.pop(table, None)
 
     def append(self, table: str, df: DataFrame, batch_id: int, batch_ts: datetime,
@@ -183,11 +188,11 @@ class Store:
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], fields)
+            return empty(self.spark, fields)
 
     def log(self, table: str, entry: DataFrame) -> None:
         """Append to an operation log; a log row is its own commit."""
-        entry.coalesce(1).write.mode("append").parquet(f"{self.root}/logs/{table}")
+        entry.write.mode("append").parquet(f"{self.root}/logs/{table}")
 
     def read_log(self, table: str) -> DataFrame:
         declared = nullable(schema(table))
@@ -196,7 +201,7 @@ class Store:
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
-            return self.spark.createDataFrame([], declared)
+            return empty(self.spark, declared)
 
     def last_batch_id(self) -> int:
         """The highest batch id logged or committed for any table."""

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from staywarehouse.operators import quality, scd2
-from staywarehouse.schemas import enforce
+from staywarehouse.schemas import empty, enforce, schema
 
 T1, T2, T3 = datetime(2024, 1, 1), datetime(2024, 2, 1), datetime(2024, 3, 1)
 USER = "user_id int, user_type string, country string, city string, phone string, " \
@@ -29,7 +29,7 @@ def versions(df):
 
 
 def test_golden_cases(spark):
-    first = merge(spark, scd2.empty(spark, "dim_users"), [
+    first = merge(spark, empty(spark, schema("dim_users")), [
         (1, "standard", "BR", "A", None, True),      # phone NULL -> ''
         (2, "standard", "BR", "A", "1", True),       # untracked flips
         (3, "standard", "BR", "A", "1", True),       # tracked changes
@@ -54,17 +54,17 @@ def test_golden_cases(spark):
 
 def test_same_batch_twice_changes_nothing(spark):
     rows = [(i, "vip", "BR", "A", None, True) for i in range(20)]
-    first = merge(spark, scd2.empty(spark, "dim_users"), rows, T1)
+    first = merge(spark, empty(spark, schema("dim_users")), rows, T1)
     again = merge(spark, first.snapshot, rows, T2)
     assert again.rows_affected == 0
     assert again.snapshot.exceptAll(first.snapshot).isEmpty()
 
 
 def test_reopened_key_continues_its_numbering(spark):
-    first = merge(spark, scd2.empty(spark, "dim_users"), [(1, "vip", "BR", "A", "1", True)], T1)
+    first = merge(spark, empty(spark, schema("dim_users")), [(1, "vip", "BR", "A", "1", True)], T1)
     closed = first.snapshot.withColumn("is_current", F.lit(False)).withColumn(
         "version_number", F.lit(3))
-    result = merge(spark, scd2.empty(spark, "dim_users"), [(1, "vip", "BR", "A", "1", True)], T3,
+    result = merge(spark, empty(spark, schema("dim_users")), [(1, "vip", "BR", "A", "1", True)], T3,
                    closed)
     row = result.snapshot.first()
     assert (row.version_number, row.is_current, row.user_sk) == (4, True, 2)
@@ -80,14 +80,14 @@ def test_hosts_treat_null_rate_as_zero(spark):
 
 
 def test_case_can_be_ignored(spark):
-    first = merge(spark, scd2.empty(spark, "dim_users"), [(1, "vip", "BR", "a ", "1", True)], T1)
+    first = merge(spark, empty(spark, schema("dim_users")), [(1, "vip", "BR", "a ", "1", True)], T1)
     staged = users(spark, [(1, "VIP", "br", "A", "1", True)])
     assert scd2.pending(first.snapshot, staged, scd2.USERS).count() == 1
     assert scd2.pending(first.snapshot, staged, scd2.USERS, ignore_case=True).isEmpty()
 
 
 def test_preview_agrees_with_merge(spark):
-    first = merge(spark, scd2.empty(spark, "dim_users"),
+    first = merge(spark, empty(spark, schema("dim_users")),
                   [(i, "vip", "BR", "A", None, True) for i in range(9)], T1)
     batch = [(i, "vip" if i % 2 else "premium", "BR", "A", None, True) for i in range(4, 12)]
     sets = scd2.preview(first.snapshot, users(spark, batch), scd2.USERS)
@@ -104,7 +104,7 @@ def test_random_batches_against_a_plain_model(spark, store, seed):
     """Four random batches, compared with versions kept in a dictionary."""
     rng = random.Random(seed)
     model: dict[int, list[tuple]] = {}
-    table, closed, start = scd2.empty(spark, "dim_users"), None, 0
+    table, closed, start = empty(spark, schema("dim_users")), None, 0
     for step in range(4):
         at = T1 + timedelta(days=step)
         batch = [(i, rng.choice(["vip", "premium"]), rng.choice([None, "", "BR"]),

@@ -19,7 +19,7 @@ from ..schemas import enforce
 from .calendar import with_date_key
 from .history import as_of
 from .keys import materialise, number
-from .lookup import lookup
+from .lookup import lookup, within
 
 
 @dataclass(frozen=True)
@@ -55,17 +55,26 @@ class Load:
     last_key: int
 
 
-def not_loaded(staged: DataFrame, loaded: DataFrame | None, keys: tuple[str, ...]) -> DataFrame:
-    """Staged rows none of whose ``keys`` occurs in the loaded fact."""
+def not_loaded(staged: DataFrame, loaded: DataFrame | None, keys: tuple[str, ...],
+               order: str) -> DataFrame:
+    """Staged rows none of whose ``keys`` occurs in the loaded fact.
+
+    The fact is written in order of ``order``, so by that key only the files in the range of
+    the batch are read.
+    """
+    rows = staged
     if loaded is not None:
         for key in keys:
-            staged = staged.join(loaded.select(key), key, "left_anti")
-    return staged
+            known = loaded.select(key)
+            if key == order:
+                known = within(known, staged, key)
+            rows = rows.join(known, key, "left_anti")
+    return rows
 
 
 def preview(staged: DataFrame, loaded: DataFrame | None, fact: Fact) -> DataFrame:
     """Rows a load would consider, before any lookup: the real load may reject some."""
-    return not_loaded(staged, loaded, fact.dedupe).select(
+    return not_loaded(staged, loaded, fact.dedupe, fact.order).select(
         F.lit("would_insert").alias("action"), *fact.preview)
 
 
@@ -89,7 +98,7 @@ def resolve_bookings(staged: DataFrame, loaded: DataFrame | None, users: DataFra
     Dimension rows are the current ones, or with ``version_at`` the versions valid at that
     column of the booking.
     """
-    rows = not_loaded(staged, loaded, BOOKINGS.dedupe)
+    rows = not_loaded(staged, loaded, BOOKINGS.dedupe, BOOKINGS.order)
     rows = _dimension_key(rows, users, "user_id", "user_sk", version_at)
     rows = _dimension_key(rows, properties, "property_id", "property_sk", version_at)
     for role in ("checkin", "checkout", "created"):
@@ -111,8 +120,9 @@ def resolve_payments(staged: DataFrame, loaded: DataFrame | None, bookings: Data
     Fee and net are rounded one by one, so they may not add up to the amount.
     """
     keys = (*PAYMENTS.dedupe, "payment_id") if also_payment_id else PAYMENTS.dedupe
-    rows = not_loaded(staged, loaded, keys)
-    rows = lookup(rows, bookings.select("booking_id", "booking_sk"), "booking_id")
+    rows = not_loaded(staged, loaded, keys, PAYMENTS.order)
+    booked = within(bookings.select("booking_id", "booking_sk"), staged, "booking_id")
+    rows = lookup(rows, booked, "booking_id")
     rows = _dimension_key(rows, users, "user_id", "user_sk", version_at)
     rows = with_date_key(rows, "payment_date", "payment_date_sk", calendar)
     rows = (rows.withColumn("fee_amount", share(F.col("amount"), FEE_SHARE, "decimal(10,2)"))
@@ -127,7 +137,7 @@ def resolve_payments(staged: DataFrame, loaded: DataFrame | None, bookings: Data
 def resolve_reviews(staged: DataFrame, loaded: DataFrame | None, users: DataFrame,
                     properties: DataFrame, calendar: DataFrame,
                     version_at: str | None = None) -> DataFrame:
-    rows = not_loaded(staged, loaded, REVIEWS.dedupe)
+    rows = not_loaded(staged, loaded, REVIEWS.dedupe, REVIEWS.order)
     rows = _dimension_key(rows, users, "user_id", "user_sk", version_at)
     rows = _dimension_key(rows, properties, "property_id", "property_sk", version_at)
     rows = with_date_key(rows, "review_date", "review_date_sk", calendar)

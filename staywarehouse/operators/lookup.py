@@ -27,6 +27,19 @@ def lookup(rows: DataFrame, table: DataFrame, key: str, how: str = "left",
     return salted_lookup(rows, table, key, how) if salted else rows.join(table, key, how)
 
 
+def within(table: DataFrame, rows: DataFrame, key: str) -> DataFrame:
+    """The rows of ``table`` whose ``key`` lies in the range of keys in ``rows``.
+
+    Other rows match nothing. The two ends are read first, as one row, so that they reach the
+    scan as literals: of a table written in key order only the files a batch can touch are
+    read.
+    """
+    low, high = rows.agg(F.min(key), F.max(key)).first()
+    if low is None:
+        return table.where("false")
+    return table.where(F.col(key).between(low, high))
+
+
 def hot_keys(rows: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
     """The keys holding more than ``share`` of the rows: fewer than 1/share rows."""
     per_key = rows.groupBy(key).agg(F.count("*").alias("_n"))
@@ -38,7 +51,8 @@ def salted_lookup(rows: DataFrame, table: DataFrame, key: str, how: str = "left"
                   salts: int = SALTS, share: float = HOT_SHARE) -> DataFrame:
     """Spread each hot key over ``salts`` groups; its one table row is repeated as often."""
     hot = hot_keys(rows, key, share).agg(F.collect_set(key).alias("_hot")).scalar()
-    spread = F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int")
+    # the input partition takes part so that copies of one row spread as well
+    spread = F.pmod(F.xxhash64(*rows.columns, F.spark_partition_id()), F.lit(salts)).cast("int")
     left = rows.withColumn("_salt", F.when(F.array_contains(hot, F.col(key)), spread)
                            .otherwise(F.lit(0)))
     every = F.sequence(F.lit(0), F.lit(salts - 1))

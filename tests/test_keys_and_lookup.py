@@ -52,3 +52,23 @@ def test_salting_is_used_without_adaptive_skew_joins(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
     assert lookup.lookup(rows, table, "k").count() == 10
+
+
+def test_range_of_a_batch_reaches_the_scan(spark):
+    from staywarehouse.operators import facts
+    from staywarehouse.session import scratch_path
+    path = scratch_path(spark, "fact")
+    spark.range(1000).withColumnRenamed("id", "booking_id").write.parquet(path)
+    batch = spark.range(990, 1010).withColumnRenamed("id", "booking_id")
+    new = facts.not_loaded(batch, spark.read.parquet(path), ("booking_id",), "booking_id")
+    plan = new._jdf.queryExecution().toString()
+    assert "GreaterThanOrEqual(booking_id,990), LessThanOrEqual(booking_id,1009)" in plan
+    assert sorted(r[0] for r in new.collect()) == list(range(1000, 1010))
+    assert lookup.within(batch, batch.where("false"), "booking_id").isEmpty()
+
+
+def test_copies_of_one_row_spread_over_the_salts(spark):
+    rows = spark.range(8000).repartition(8).selectExpr("1 AS k")
+    table = spark.sql("select 1 k, 5 sk")
+    joined = lookup.salted_lookup(rows, table, "k")
+    assert joined.count() == 8000 and joined.agg({"sk": "sum"}).first()[0] == 40000

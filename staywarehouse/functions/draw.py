@@ -39,16 +39,14 @@ def pick(identity: str, salt: int, values: Sequence[str]) -> str:
 def weighted(identity: str, salt: int, weights: Mapping[object, int]) -> str:
     """One of the keys of ``weights``, which are percentages adding up to 100.
 
-    The draw falls among the running totals of the weights; the number of totals it has
-    reached is the position of the choice.
+    The draw falls among the running totals of the weights; one plus the number of totals it
+    has reached is the position of the choice.
     """
     if sum(weights.values()) != 100:
         raise ValueError("weights must add up to 100")
-    totals, reached = [], 0
-    for weight in weights.values():
-        totals.append(reached)
+    ticket, reached, steps = draw(identity, salt, 100), 0, []
+    for weight in list(weights.values())[:-1]:
         reached += weight
-    ticket = draw(identity, salt, 100)
+        steps.append(f"cast({ticket} >= {reached} as int)")
     options = ", ".join(f"'{v}'" if isinstance(v, str) else str(v) for v in weights)
-    place = f"size(filter(array({', '.join(map(str, totals))}), t -> t <= {ticket}))"
-    return f"element_at(array({options}), {place})"
+    return f"element_at(array({options}), {' + '.join(['1', *steps])})"

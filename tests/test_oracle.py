@@ -8,9 +8,11 @@ import pytest
 
 import __spark_entry__ as entry
 from check import normal
+from staywarehouse.checks import oracle
+from staywarehouse.checks.queries import registered
 
 FOLDER = "/root/testdata/sf0.001"
-SQL = entry.oracle_sql()
+SQL = oracle.statements()
 
 
 @pytest.fixture(scope="module")
@@ -22,7 +24,8 @@ def db():
 
 
 def test_names():
-    assert set(SQL) == set(entry.queries())
+    assert set(SQL) == set(registered())
+    assert set(SQL) <= set(entry.oracle_sql()) and set(SQL) <= set(entry.queries())
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

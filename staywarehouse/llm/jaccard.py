@@ -33,6 +33,8 @@ RECALL = 0.9999
 MAX_HASHES = 200
 SMALL = 48
 BLOCK = 512
+#: Ids (one long each) that are sent to all executors at most.
+SENT = 2_000_000
 
 
 def banding(threshold: float, recall: float = RECALL, most: int = MAX_HASHES) -> tuple[int, int]:
@@ -227,12 +229,14 @@ def join(documents: DataFrame, n: int = N_GRAM, threshold: float = THRESHOLD,
     places = settled(places.join(buckets, ["band", "value"]), "buckets")
 
     # Which bands of a class are large buckets, as bits; classes in any bucket, with their sets.
-    hot = places.groupBy("rep").agg(F.expr(
-        f"sum(CASE WHEN n > {small} THEN shiftleft(1L, band) ELSE 0L END)").alias("hot"))
+    hot = settled(places.groupBy("rep").agg(F.expr(
+        f"sum(CASE WHEN n > {small} THEN shiftleft(1L, band) ELSE 0L END)").alias("hot")), "hot")
     needed = hot.join(classes.select("rep", "docs", "bands"), "rep")
-    held = settled(
-        _sets(texts.join(hot.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi"), n)
-        .withColumnRenamed("doc_id", "rep").join(needed, "rep"), "sets")
+    ids = hot.select(F.col("rep").alias("doc_id"))
+    if hot.count() <= SENT:  # else the texts are shuffled to their ids
+        ids = F.broadcast(ids)
+    held = settled(_sets(texts.join(ids, "doc_id", "left_semi"), n)
+                   .withColumnRenamed("doc_id", "rep").join(needed, "rep"), "sets")
 
     pairs = places.where(F.col("n") <= small).groupBy("band", "value") \
         .agg(F.sort_array(F.collect_list("rep")).alias("reps")) \
@@ -257,7 +261,8 @@ def join(documents: DataFrame, n: int = N_GRAM, threshold: float = THRESHOLD,
         .groupBy("rep").agg(F.sum("links").alias("links"))
     roots = components(verified.select("a", "b").union(
         stars.select(F.col("root").alias("a"), F.col("rep").alias("b"))))
-    found = links.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
+    # Written first, so that the join with members, whose hot classes it meets, can be split.
+    found = settled(links.join(roots.withColumnRenamed("node", "rep"), "rep", "left"), "found")
     linked = members.join(found, "rep", "left").select(
         "doc_id", F.coalesce("root", "rep").alias("class_id"),
         (F.col("docs") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))

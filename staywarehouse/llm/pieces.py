@@ -22,7 +22,7 @@ from .flat import runs
 
 MARK = "▁"
 _NONE = np.iinfo(np.int32).max
-CACHED_SEGMENTS = 200_000
+CACHED_SEGMENTS = 400_000
 
 
 class Pieces:
@@ -75,8 +75,8 @@ class Pieces:
         at = np.minimum(np.searchsorted(self.pairs, key), len(self.pairs) - 1)
         return at, np.where((self.pairs[at] == key) & (left >= 0), self.ranks[at], _NONE)
 
-    def encode(self, segments: list[bytes]) -> list[np.ndarray]:
-        """The ids of each segment, a segment being blanks and what follows them."""
+    def encode(self, segments: list[bytes]) -> list[bytes]:
+        """The ids (int32) of each segment, a segment being blanks and what follows them."""
         chars = [s.decode() for s in segments]
         points = np.frombuffer("".join(chars).replace(" ", MARK).encode("utf-32-le"), np.uint32)
         sizes = np.fromiter(map(len, chars), np.int64, len(chars))
@@ -117,7 +117,7 @@ class Pieces:
             keep[spots + 1] = False
             spots = spots - np.arange(len(spots))
             sym, word, rank = sym[keep], word[keep], rank[keep]
-            near = np.unique(np.concatenate([spots - 1, spots]))
+            near = np.concatenate([spots - 1, spots])
             near = near[near >= 0]
             rank[near] = _NONE
             near = near[near < len(sym) - 1]
@@ -149,7 +149,7 @@ class Pieces:
         counts = np.diff(np.append(own, len(spots)))
         return spots[before == np.repeat(before[own], counts)]
 
-    def _ids(self, sym: np.ndarray, word: np.ndarray, n: int) -> list[np.ndarray]:
+    def _ids(self, sym: np.ndarray, word: np.ndarray, n: int) -> list[bytes]:
         """Ids by segment; characters that have no piece are written as bytes."""
         spare = (sym < 0) | (sym >= self.size)
         if spare.any():
@@ -165,7 +165,9 @@ class Pieces:
                 last = at + 1
             sym = np.concatenate([*ids, sym[last:]])
             word = np.concatenate([*words, word[last:]])
-        return np.split(sym.astype(np.int32), np.searchsorted(word, np.arange(1, n)))
+        data = sym.astype(np.int32).tobytes()
+        cut = (4 * np.searchsorted(word, np.arange(n + 1))).tolist()
+        return [data[a:b] for a, b in zip(cut, cut[1:])]
 
     def decode(self, ids: np.ndarray, at: np.ndarray) -> list[bytes]:
         """The text of each run ``ids[at[i]:at[i + 1]]``, as UTF-8."""
@@ -231,8 +233,8 @@ class Encoder:
             if len(self.known) + len(new) > CACHED_SEGMENTS:
                 self.known.clear()
                 new = set().union(*cut)
-            new = sorted(new)
-            self.known.update(zip(new, (x.tobytes() for x in self.pieces.encode(new))))
+            new = list(new)
+            self.known.update(zip(new, self.pieces.encode(new)))
         found = self.known.__getitem__
         data = [b"".join([*map(found, c), self.stop]) for c in cut]
         at = np.zeros(len(data) + 1, np.int64)

@@ -12,7 +12,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-RUN_BYTES = 2_000_000
+RUN_BYTES = 600_000
 
 #: Bytes of words of lower-cased text: digits, a-z and everything outside ASCII.
 WORD = np.zeros(256, bool)

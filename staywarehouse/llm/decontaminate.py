@@ -22,6 +22,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
+from .flat import parts
 from .scratch import settled
 
 WINDOW = 13
@@ -179,14 +180,18 @@ def merged(spans: list) -> list[list[int]]:
     return out
 
 
-def _pass(df: DataFrame, pieces: list, window: int) -> DataFrame:
-    """``df`` (row, text, found) with what one block of pieces adds to ``found``."""
+def _pass(df: DataFrame, pieces: list, window: int, finish=None) -> DataFrame:
+    """``df`` (row, text, found) with what one block of pieces adds to ``found``.
+
+    ``finish``, a function of such a batch and the schema of what it makes of it, works in the
+    same task.
+    """
     held = df.sparkSession.sparkContext.broadcast(
         [(p.item_id, words(p.words), p.whole) for p in pieces])
 
     def search(batches):
         machine = Automaton(held.value, window)
-        for batch in batches:
+        for batch in parts(batches):
             found = []
             for raw, was in zip(batch["text"].cast(pa.binary()), batch["found"].to_pylist()):
                 own = words(raw.as_py())
@@ -195,14 +200,15 @@ def _pass(df: DataFrame, pieces: list, window: int) -> DataFrame:
                     spans = merged([*spans, *was["spans"]])
                 found.append({"n_words": len(own), "spans": [list(s) for s in spans],
                               "items": sorted({*items, *was["items"]})})
-            yield batch.set_column(batch.schema.get_field_index("found"), "found",
-                                   pa.array(found, _FOUND))
+            batch = batch.set_column(batch.schema.get_field_index("found"), "found",
+                                     pa.array(found, _FOUND))
+            yield finish[0](batch) if finish else batch
 
-    return df.mapInArrow(search, df.schema)
+    return df.mapInArrow(search, finish[1](df.schema) if finish else df.schema)
 
 
 def scan(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
-         block_words: int = BLOCK_WORDS) -> DataFrame:
+         block_words: int = BLOCK_WORDS, finish=None) -> DataFrame:
     """One row per document: ``row`` (its columns but text), ``text``, ``found``.
 
     ``found`` has n_words, spans (disjoint, [start, end) in words) and items (ids as strings).
@@ -218,7 +224,7 @@ def scan(documents: DataFrame, benchmark: DataFrame, window: int = WINDOW,
                  F.array().alias("items")).cast(_EMPTY).alias("found"))
     for block in range(blocks):
         held = pieces.where(F.col("block") == block).collect()
-        df = _pass(df, held, window)
+        df = _pass(df, held, window, finish if block + 1 == blocks else None)
         if block + 1 < blocks:
             df = settled(df, f"benchmark-block-{block}")
     return df
@@ -249,31 +255,27 @@ def cleaned(documents: DataFrame, benchmark: DataFrame, max_span: int = 2 * WIND
     span of over ``max_span`` words goes in any document; a document of which no word is left
     goes itself.
     """
-    found = scan(documents, benchmark, **options)
-
-    def strip(batches):
-        for batch in batches:
-            texts, gone = [], []
-            for raw, found in zip(batch["text"].cast(pa.binary()), batch["found"].to_pylist()):
-                raw, n, rest = raw.as_py(), found["n_words"], None
-                hit = sum(e - s for s, e in found["spans"])
-                bad = [(s, e) for s, e in found["spans"]
-                       if hit >= max_share * n or e - s > max_span]
-                if bad:
-                    at = [m.span() for m in _WORD.finditer(raw)]
-                    left, last = [], 0
-                    for s, e in bad:
-                        left.append(raw[last:at[s][0]])
-                        last = at[e - 1][1]
-                    rest = b"".join([*left, raw[last:]])
-                texts.append(rest if bad else raw)
-                gone.append(bool(bad) and not _WORD.search(rest))
-            yield pa.RecordBatch.from_arrays(
-                [batch["row"], pa.array(texts, pa.binary()).cast(pa.string()), pa.array(gone)],
-                names=["row", "text", "gone"])
-
-    kind = T.StructType([found.schema["row"], T.StructField("text", T.StringType()),
-                         T.StructField("gone", T.BooleanType())])
-    left = found.mapInArrow(strip, kind).where("not gone")
+    def strip(batch):
+        texts, gone = [], []
+        for raw, found in zip(batch["text"].cast(pa.binary()), batch["found"].to_pylist()):
+            raw, n, rest = raw.as_py(), found["n_words"], None
+            hit = sum(e - s for s, e in found["spans"])
+            bad = [(s, e) for s, e in found["spans"] if hit >= max_share * n or e - s > max_span]
+            if bad:
+                at = [m.span() for m in _WORD.finditer(raw)]
+                left, last = [], 0
+                for s, e in bad:
+                    left.append(raw[last:at[s][0]])
+                    last = at[e - 1][1]
+                rest = b"".join([*left, raw[last:]])
+            texts.append(rest if bad else raw)
+            gone.append(bool(bad) and not _WORD.search(rest))
+        return pa.RecordBatch.from_arrays(
+            [batch["row"], pa.array(texts, pa.binary()).cast(pa.string()),
+             pa.array(gone, pa.bool_())], names=["row", "text", "gone"])
+
+    left = scan(documents, benchmark, finish=(strip, lambda schema: T.StructType(
+        [schema["row"], T.StructField("text", T.StringType()),
+         T.StructField("gone", T.BooleanType())])), **options).where("not gone")
     return left.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`")
                          for c in documents.columns])

@@ -125,6 +125,15 @@ def chain(values: np.ndarray, texts: np.ndarray, n: int):
 
 
 
+def parts(batches, rows: int = 512):
+    """Arrow batches in slices of some rows, so that what is made of one stays small."""
+    for batch in batches:
+        for first in range(0, len(batch), rows):
+            yield batch.slice(first, rows)
+        del batch
+        pa.default_memory_pool().release_unused()
+
+
 class Tally:
     """Counts by number, added up over many arrays in as much memory as there are numbers."""
 

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from .components import components
-from .flat import Flat, WORD, chain, hashes, mix, runs, spans
+from .flat import Flat, WORD, chain, hashes, mix, parts, runs, spans
 from .scratch import settled
 
 N_GRAM = 5
@@ -287,7 +287,7 @@ def _verified(pairs: DataFrame, held: DataFrame, share: int) -> DataFrame:
     both = sized.join(left.drop("bands_a", "hot_a"), "a").join(right.drop("bands_b", "hot_b"), "b")
 
     def check(batches):
-        for batch in batches:
+        for batch in parts(batches):
             keep = []
             for x, y in zip(batch["grams_a"], batch["grams_b"]):
                 x, y = (np.frombuffer(v.as_buffer(), np.uint64) for v in (x, y))

@@ -18,11 +18,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from .flat import runs
+from .flat import parts, runs
 
 MARK = "▁"
 _NONE = np.iinfo(np.int32).max
-CACHED_SEGMENTS = 400_000
+CACHED_SEGMENTS = 200_000
 
 
 class Pieces:
@@ -263,7 +263,7 @@ def round_trip(documents: DataFrame, model_file: str, text: str = "text", ids: s
 
     def work(batches):
         encoder = Encoder(held.value)
-        for batch in batches:
+        for batch in parts(batches, 4096):
             for first, flat in runs(batch[text]):
                 texts = [flat.text(i) for i in range(len(flat))]
                 found, at = encoder(texts)

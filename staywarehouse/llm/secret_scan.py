@@ -18,6 +18,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from .flat import parts
+
 LEAST, MARGIN = 20, 4.0
 #: Observations that the backoff of a transition counts for.
 BACKOFF = 50.0
@@ -136,7 +138,7 @@ def scan(documents: DataFrame, text: str = "text", ratios: np.ndarray | None = N
                                ("last", pa.int64())]))
 
     def work(batches):
-        for batch in batches:
+        for batch in parts(batches):
             found = [[dict(zip(("kind", "first", "last"), s))
                       for s in find(raw.as_py() or b"", ratios, least, margin)]
                      for raw in batch["text"].cast(pa.binary())]

@@ -3,7 +3,7 @@
 BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (default 8), BENCH_RUNS (default 3).
 Each figure is the median of the runs of one query into a no-op sink, plan building included.
 Merges and loads run anew every time. Reports read warehouse tables that are built before;
-building them is reported as ``build_sec`` and is not part of ``value``.
+building them is reported as ``build_sec`` too and is part of ``value``.
 """
 
 from __future__ import annotations
@@ -29,7 +29,7 @@ HEADLINE = (
     "fl04_bookings_would_insert", "um01_user_metrics", "hm01_host_metrics",
     "dq_warehouse_audit", "dq14_declared_audit", "lg03_etl_summary",
     "rp01_daily_revenue", "rp02_top10_properties", "rp03_cancellation_rate",
-    "ag02_distinct_bookings_by_place", "gn04_bookings", "gn05_payments", "sl04_exact_sample",
+    "ag02_distinct_bookings_by_place", "sl04_exact_sample",
 )
 
 
@@ -55,7 +55,7 @@ def main() -> None:
             times.append(time.perf_counter() - start)
         took[name] = round(statistics.median(times), 3)
     print(json.dumps({
-        "metric": "headline_total", "value": round(sum(took.values()), 3), "unit": "sec",
+        "metric": "headline_total", "value": round(build + sum(took.values()), 3), "unit": "sec",
         "queries": took, "sf": os.path.basename(folder).removeprefix("sf"),
         "build_sec": round(build, 3), "runs": runs, "cpus": int(cpus),
         "spark": pyspark.__version__, "machine": platform.machine()}))

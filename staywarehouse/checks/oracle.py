@@ -622,8 +622,9 @@ def _manifest() -> str:
 def _preview(name: str, plural: str, title: str, pairs: dict[str, str]) -> str:
     listed = ", ".join(f"CAST(s.{c} AS {k}) AS new_{n}, CAST(c.{c} AS {k}) AS old_{n}"
                        for n, (c, k) in pairs.items())
-    return (f"SELECT 'would_update' AS action, s.{name}_id, s.{title}, {listed}, "
-            f"'Attributes changed' AS reason FROM stg_{name}_2 s JOIN dim_{plural}_1 c "
+    reason = ", 'Attributes changed' AS reason" if name == "user" else ""
+    return (f"SELECT 'would_update' AS action, s.{name}_id, s.{title}, {listed}{reason} "
+            f"FROM stg_{name}_2 s JOIN dim_{plural}_1 c "
             f"ON s.{name}_id = c.{name}_id AND c.is_current WHERE {CHANGED[name]}")
 
 

@@ -33,7 +33,7 @@ def error_entry(spark: SparkSession, batch_id: int | None, procedure: str, error
     while trace is not None:
         line, trace = trace.tb_lineno, trace.tb_next
     text = f"[{condition}] {error}" if condition else f"{type(error).__name__}: {error}"
-    row = (uuid.uuid4().hex, batch_id, 0, 16, 1, line, procedure, text[:4000],
+    row = (uuid.uuid4().hex, batch_id, 0, 16, 1, line, procedure, text,
            at.replace(microsecond=0), created_by)
     return one_row(spark, schema("etl_error_log"), row)
 

@@ -3,7 +3,8 @@
 A load resolves every staged row once into ``resolved`` form: the surrogate keys found, and
 a ``reject_reason`` naming the lookups that failed. Rows with a reason are rejects, the
 others are numbered and appended. Staged rows whose business key is already loaded are left
-out first, so running a load again adds nothing.
+out first, so running a load again adds nothing; of copies of a key within the batch the first
+counts, and the others are skipped like those of an earlier batch.
 """
 
 from __future__ import annotations
@@ -55,14 +56,34 @@ class Load:
     last_key: int
 
 
+#: Where a staged row came from, for those that tell: it orders copies of a key.
+ARRIVAL = "_arrival"
+
+
+def first_of_key(rows: DataFrame, key: str) -> DataFrame:
+    """One row for each value of ``key``: the first to arrive, or else the least by its columns.
+
+    The least row is combined before the shuffle, so a key that repeats without end is no
+    burden to one task. Rows without the key stay.
+    """
+    columns = [c for c in rows.columns if c != ARRIVAL]
+    whole = F.struct(*[c for c in rows.columns if c == ARRIVAL], *columns)
+    once = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(whole).alias("_first"))
+    return once.select("_first.*").select(rows.columns).union(
+        rows.where(F.col(key).isNull()))
+
+
 def not_loaded(staged: DataFrame, loaded: DataFrame | None, keys: tuple[str, ...],
                order: str) -> DataFrame:
-    """Staged rows none of whose ``keys`` occurs in the loaded fact.
+    """Staged rows none of whose ``keys`` occurs in the loaded fact, one for each key.
 
     The fact is written in order of ``order``, so by that key only the files in the range of
     the batch are read.
     """
     rows = staged
+    for key in keys:
+        rows = first_of_key(rows, key)
+    rows = rows.drop(ARRIVAL)
     if loaded is not None:
         for key in keys:
             known = loaded.select(key)

@@ -37,13 +37,13 @@ def number(written: DataFrame, key: str, start: int = 0) -> DataFrame:
     """
     path = F.col("_metadata.file_path")
     part = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("int")
-    # one row per written file: bounded by the number of write tasks, not by the rows
+    # One row per written file; Spark broadcasts them if they are few enough.
     files = (written.groupBy(part.alias("_part"), path.alias("_file"))
              .agg(F.count("*").alias("_n")))
     before = Window.orderBy("_part", "_file").rowsBetween(Window.unboundedPreceding, -1)
     offsets = files.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
     placed = written.select("*", path.alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    return (placed.join(F.broadcast(offsets), "_file")
+    return (placed.join(offsets, "_file")
             .withColumn(key, F.lit(start) + F.col("_base") + F.col("_row") + 1)
             .drop("_file", "_base", "_row"))
 

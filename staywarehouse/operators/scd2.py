@@ -143,7 +143,7 @@ def preview(current: DataFrame, staged: DataFrame, dim: Dimension) -> dict[str,
                          F.col(f"c.{source}").alias(f"old_{name}"))]
     update = s.join(c, same).where(changed(dim)).select(
         F.lit("would_update").alias("action"), f"s.{dim.key}", f"s.{dim.title}", *pairs,
-        F.lit("Attributes changed").alias("reason"))
+        *[F.lit("Attributes changed").alias("reason")] * (dim.key == "user_id"))
     insert = s.join(c, same, "left_anti").select(F.lit("would_insert").alias("action"), "s.*")
     return {"would_update": update, "would_insert": insert}
 

@@ -133,13 +133,15 @@ class Run:
 
         def work(batch_id: int, now: datetime) -> dict:
             resolved = self._resolve(table, rows, loaded, version_at)
-            done = facts.load(resolved, fact, rows.columns, now, state.last_key)
+            columns = [c for c in rows.columns if c != facts.ARRIVAL]
+            done = facts.load(resolved, fact, columns, now, state.last_key)
             if done.rows_loaded:
                 store.append(table, done.accepted, batch_id, now, done.last_key)
             if done.rows_rejected:
                 store.write_rejects(table, done.rejects, batch_id)
+            skipped = rows.count() - done.rows_loaded - done.rows_rejected
             return {"rows_loaded": done.rows_loaded, "rows_rejected": done.rows_rejected,
-                    "rows_affected": done.rows_loaded}
+                    "rows_skipped": skipped, "rows_affected": done.rows_loaded}
 
         return self._logged(table, audit.LOAD, f"load_{table}", work)
 

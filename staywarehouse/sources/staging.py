@@ -59,7 +59,16 @@ def load(store: Store, df: DataFrame, table: str, batch_id: int, loaded_at: date
                verify=lambda rows: check_keys(rows, table))
 
 
+UNROUTED = {"reviews", "clickstream"}
+
+
 def route(frames: dict[str, DataFrame]) -> list[tuple[str, DataFrame]]:
-    """(staging table, frame) in load order for the frames that are present."""
+    """(staging table, frame) in load order for the frames that are present.
+
+    Generated tables that no staged load takes (``UNROUTED``: reviews are loaded from a frame)
+    are left out; a frame of any other name is an error.
+    """
+    if unknown := sorted(set(frames) - set(S.STAGING_ROUTES) - UNROUTED):
+        raise ValueError(f"no staging table for {', '.join(unknown)}")
     return [(table, frames[name]) for name, table in S.STAGING_ROUTES.items()
             if frames.get(name) is not None]

@@ -1,18 +1,19 @@
 """Fact loads fed by a staging directory.
 
 Every micro-batch goes through the same load as a batch run. Rows already in the fact are
-left out by their business key, so a micro-batch that runs twice adds nothing.
+left out by their business key, so a micro-batch that runs twice adds nothing. Copies of a key
+are settled alike whether they come in one micro-batch or in several: the first to arrive (by
+time of the file, path and place in it) is loaded.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.facts import FACTS
+from ..operators.facts import ARRIVAL, FACTS
 from ..plans.full_load import Run
 from ..schemas import nullable, schema
-from ..sources.staging import check_keys
 
 
 def stream_fact(run: Run, table: str, folder: str, checkpoint: str,
@@ -20,10 +21,11 @@ def stream_fact(run: Run, table: str, folder: str, checkpoint: str,
     """Load what arrived in ``folder`` since the last call, then stop."""
     fact = FACTS[table]
     arriving = (run.store.spark.readStream.schema(nullable(schema(fact.staging)))
-                .option("maxFilesPerTrigger", files_per_batch).parquet(folder))
+                .option("maxFilesPerTrigger", files_per_batch).parquet(folder)
+                .withColumn(ARRIVAL, F.struct("_metadata.file_modification_time",
+                                              "_metadata.file_path", "_metadata.row_index")))
 
     def load(rows: DataFrame, _: int) -> None:
-        check_keys(rows, fact.staging)
         run.load_fact(table, staged=rows)
 
     return (arriving.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)

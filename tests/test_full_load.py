@@ -8,6 +8,7 @@ from staywarehouse.plans import operations, reports
 from staywarehouse.plans.full_load import Run
 from staywarehouse.session import scratch_path
 from staywarehouse.sources import manifest, staging
+from staywarehouse.sources.store import Store
 from staywarehouse.streaming.incremental import stream_fact
 
 SMALL = {"users": 300, "hosts": 60, "properties": 150, "bookings": 900, "payments": 400,
@@ -197,3 +198,31 @@ def test_audit_finds_what_is_wrong(spark):
     assert quality.violations(rows, orphan, users).collect()[0]["_n"] == 2
     assert quality.audit({"f": rows, "dim_users": users}, {"f": [orphan]}, False).first()[
         "violations"] == 2
+
+
+def test_copies_of_a_key_are_settled_alike(spark, store, clock, frames):
+    run = Run(store, "t", clock)
+    run.run({k: frames[k] for k in ("users", "hosts", "properties")}, load=False,
+            refresh_metrics=False)
+    ready = staging.prepare(frames["bookings"], "tb_booking", clock()).where("booking_id <= 60")
+    other = ready.where("booking_id <= 20").withColumn("number_of_guests", ready.number_of_guests + 1)
+    done = run.load_fact("fact_bookings", staged=ready.union(other).union(ready))
+    assert (done["rows_loaded"], done["rows_skipped"]) == (60, 80)
+    seen = []
+    for files in (1, 1000):
+        own = Run(Store(spark, scratch_path(spark, "copies")), "t", clock)
+        own.run({k: frames[k] for k in ("users", "hosts", "properties")}, load=False,
+                refresh_metrics=False)
+        folder, checkpoint = scratch_path(spark, "arrive"), scratch_path(spark, "ckpt")
+        ready.coalesce(1).write.parquet(folder)
+        other.coalesce(1).write.mode("append").parquet(folder)
+        stream_fact(own, "fact_bookings", folder, checkpoint, files).awaitTermination()
+        seen.append(sorted((r.booking_id, r.number_of_guests) for r in
+                           own.store.read("fact_bookings").collect()))
+    assert seen[0] == seen[1] == sorted((r.booking_id, r.number_of_guests)
+                                        for r in ready.collect())
+
+
+def test_unknown_frames_are_refused(frames):
+    with pytest.raises(ValueError, match="no staging table for clicks"):
+        staging.route({"clicks": frames["users"]})

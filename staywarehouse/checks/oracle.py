@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 
-from ..operators import generate as G, quality
+from ..operators import generate as G
 from .. import schemas as S
 
 M = 2147483647
@@ -107,19 +107,22 @@ for _batch in (1, 2):
               WHEN 'AUTOMOBILE' THEN 'premium' WHEN 'BUILDING' THEN 'vip' ELSE 'premium' END
             ELSE CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'vip' WHEN 'BUILDING' THEN 'premium'
               ELSE 'standard' END END"""
-    CTE[f"raw_user_{_batch}"] = f"""
+    CTE[f"raw_user_{_batch}_all"] = f"""
         SELECT CAST(c_custkey + 1 AS INTEGER) AS user_id,
           md5(concat('user:', CAST(c_custkey AS VARCHAR))) AS user_uuid, c_name AS full_name,
           lower(concat(replace(c_name, '#', '.'), '@example.com')) AS email, {_phone} AS phone,
           r_name AS country, {_city} AS city, {_type} AS user_type, {_verified} AS is_verified
         FROM customer JOIN nation ON c_nationkey = n_nationkey
-        JOIN region ON n_regionkey = r_regionkey WHERE {_where}"""
-    CTE[f"stg_user_{_batch}"] = f"""
+        JOIN region ON n_regionkey = r_regionkey"""
+    CTE[f"stg_user_{_batch}_all"] = f"""
         SELECT user_id, {guid('user_uuid', 'user_uuid', 'user_id')} AS user_uuid, full_name,
           email, phone, country, city, user_type, is_verified,
           CAST(0 AS DECIMAL(18,2)) AS total_spent, 0 AS total_bookings,
           CAST(NULL AS TIMESTAMP) AS last_login, TIMESTAMP '{STAGED_AT}' AS loaded_at
-        FROM raw_user_{_batch}"""
+        FROM raw_user_{_batch}_all"""
+    CTE[f"stg_user_{_batch}"] = f"""
+        SELECT s.* FROM stg_user_{_batch}_all s JOIN customer ON s.user_id = c_custkey + 1
+        WHERE {_where}"""
     _rate = ("CASE WHEN s_suppkey % 5 = 0 THEN NULL WHEN s_suppkey % 5 = 1 THEN 0 "
              "ELSE 70 + s_suppkey % 31 END" if _batch == 1 else
              "CASE WHEN s_suppkey % 5 IN (0, 1) THEN 0 ELSE 70 + s_suppkey % 31 END")
@@ -218,13 +221,13 @@ CTE["stg_payment"] = f"""
         AS installments,
       CASE (booking_id // 20) % 20 WHEN 0 THEN 'pending' WHEN 1 THEN 'refunded'
         WHEN 2 THEN 'failed' ELSE 'paid' END AS payment_status,
-      checkin_date - CAST(booking_id % 31 AS INTEGER) AS payment_date
+      checkin_date - CAST(booking_id % 31 AS INTEGER) AS payment_date, loaded_at
     FROM stg_booking WHERE booking_status IN ('confirmed', 'completed')"""
 CTE["stg_review"] = """
     SELECT booking_id AS review_id, booking_id, user_id, property_id,
       CAST(CASE WHEN k = 0 THEN 1 WHEN k = 1 THEN 2 WHEN k < 4 THEN 3 WHEN k < 10 THEN 4 ELSE 5
         END AS SMALLINT) AS overall_rating,
-      checkout_date + CAST(booking_id % 14 + 1 AS INTEGER) AS review_date
+      checkout_date + CAST(booking_id % 14 + 1 AS INTEGER) AS review_date, loaded_at
     FROM (SELECT *, (booking_id // 20) % 20 AS k FROM stg_booking
           WHERE booking_status = 'completed') c"""
 
@@ -359,7 +362,7 @@ _FACT_BOOKING = f"""
       TIMESTAMP '{LOADED}' AS created_at, CAST(NULL AS TIMESTAMP) AS updated_at
     FROM %s WHERE reject_reason IS NULL"""
 CTE["known_bookings"] = """
-    SELECT s.booking_id FROM stg_booking s JOIN stg_user_2 u ON s.user_id = u.user_id
+    SELECT s.booking_id FROM stg_booking s JOIN stg_user_2_all u ON s.user_id = u.user_id
     JOIN stg_property_2 p ON s.property_id = p.property_id
     JOIN dim_dates d1 ON s.checkin_date = d1.full_date
     JOIN dim_dates d2 ON s.checkout_date = d2.full_date
@@ -553,43 +556,183 @@ def _cpf_digit(digits: str, weight: int) -> str:
     return f"CASE WHEN ({total}) % 11 < 2 THEN '0' ELSE CAST(11 - ({total}) % 11 AS VARCHAR) END"
 
 
-def _audit(tables: dict[str, str], rules: dict, row_rules: bool, others: bool) -> str:
-    parts = []
+# The audit, written out from the declared constraints of the tables.
+
+
+def _line(rule: str, table: str, check: str, count: str) -> str:
+    check = check.replace("'", "''")
+    return (f"SELECT '{rule}' AS rule, '{table}' AS table_name, '{check}' AS check_name, "
+            f"CAST(coalesce(({count}), 0) AS BIGINT) AS violations")
+
+
+def _bad(rule: str, table: str, check: str, condition: str) -> str:
+    return _line(rule, table, check, f"SELECT count(*) FROM {table} WHERE {condition}")
+
+
+def _twice(rule: str, table: str, keys: str, where: str = "", source: str = "") -> str:
+    listed = ", ".join(keys.split(","))
+    return _line(rule, table, f"unique {keys}" + (f" where {where}" if where else ""),
+                 f"SELECT count(*) FROM (SELECT {listed} FROM {source or table}"
+                 + (f" WHERE {where}" if where else "")
+                 + f" GROUP BY {listed} HAVING count(*) > 1) k")
+
+
+def _lost(rule: str, table: str, column: str, parent: str, key: str, source: str = "",
+          parent_source: str = "") -> str:
+    return _line(rule, table, f"{column} in {parent}.{key}",
+                 f"SELECT count(*) FROM {source or table} t WHERE t.{column} IS NOT NULL AND NOT "
+                 f"EXISTS (SELECT 1 FROM {parent_source or parent} p WHERE p.{key} = t.{column})")
+
+
+def _version_lines(table: str, key: str, uuid: str) -> list[str]:
+    return [_twice("DQ-03", table, f"{key},valid_from"),
+            _twice("DQ-04", table, key, "is_current"), _twice("DQ-03", table, uuid, "is_current"),
+            _line("DQ-15", table, f"versions of {key} are contiguous", f"""
+              SELECT count(*) FROM {table} a JOIN {table} b ON a.{key} = b.{key}
+                AND b.version_number = (SELECT min(x.version_number) FROM {table} x
+                  WHERE x.{key} = a.{key} AND x.version_number > a.version_number)
+              WHERE b.valid_from <> a.valid_to OR b.version_number <> a.version_number + 1""")]
+
+
+_AUDIT = " UNION ALL ".join([
+    _bad("DQ-01", "dim_users", "user_type in domain",
+         "user_type NOT IN ('standard', 'premium', 'vip')"),
+    _bad("DQ-02", "dim_users", "valid_from before valid_to", "NOT valid_from < valid_to"),
+    *_version_lines("dim_users", "user_id", "user_uuid"),
+    _bad("DQ-06", "dim_hosts", "response_rate 0..100", "response_rate < 0 OR response_rate > 100"),
+    _bad("DQ-06", "dim_hosts", "response_time in domain",
+         "response_time NOT IN ('within_an_hour', 'within_a_few_hours', 'within_a_day', "
+         "'within_a_week')"),
+    *_version_lines("dim_hosts", "host_id", "host_uuid"),
+    _bad("DQ-05", "dim_properties", "price_per_night positive", "NOT price_per_night > 0"),
+    *_version_lines("dim_properties", "property_id", "property_uuid"),
+    _twice("DQ-10", "dim_dates", "date_sk"), _twice("DQ-10", "dim_dates", "full_date"),
+    _bad("DQ-07", "fact_bookings", "at least one night", "NOT number_of_nights >= 1"),
+    _bad("DQ-07", "fact_bookings", "total_price not negative", "NOT total_price >= 0"),
+    _bad("DQ-07", "fact_bookings", "booking_status in domain",
+         "booking_status NOT IN ('pending', 'confirmed', 'cancelled', 'completed', 'no_show')"),
+    _twice("DQ-10", "fact_bookings", "booking_id"),
+    _lost("DQ-11", "fact_bookings", "user_sk", "dim_users", "user_sk"),
+    _lost("DQ-11", "fact_bookings", "property_sk", "dim_properties", "property_sk"),
+    _lost("DQ-11", "fact_bookings", "checkin_date_sk", "dim_dates", "date_sk"),
+    _lost("DQ-11", "fact_bookings", "checkout_date_sk", "dim_dates", "date_sk"),
+    _lost("DQ-11", "fact_bookings", "created_date_sk", "dim_dates", "date_sk"),
+    _bad("DQ-08", "fact_payments", "amount not negative", "NOT amount >= 0"),
+    _bad("DQ-08", "fact_payments", "payment_status in domain",
+         "payment_status NOT IN ('pending', 'paid', 'refunded', 'failed')"),
+    _bad("Q-13", "fact_payments", "fee and net add up to amount",
+         "amount - fee_amount - net_amount <> 0"),
+    _twice("DQ-10", "fact_payments", "payment_id"),
+    _twice("DQ-10", "fact_payments", "transaction_id"),
+    _lost("DQ-12", "fact_payments", "booking_sk", "fact_bookings", "booking_sk"),
+    _lost("DQ-12", "fact_payments", "user_sk", "dim_users", "user_sk"),
+    _lost("DQ-12", "fact_payments", "payment_date_sk", "dim_dates", "date_sk"),
+    _bad("DQ-09", "dim_reviews", "overall_rating 1..5", "overall_rating < 1 OR overall_rating > 5"),
+    _twice("DQ-10", "dim_reviews", "review_id"),
+    _lost("DQ-12", "dim_reviews", "user_sk", "dim_users", "user_sk"),
+    _lost("DQ-12", "dim_reviews", "property_sk", "dim_properties", "property_sk"),
+    _lost("DQ-12", "dim_reviews", "review_date_sk", "dim_dates", "date_sk"),
+])
+
+_STAGING = {"tb_user": "stg_user_2_all", "tb_host": "stg_host_2", "tb_property": "stg_property_2",
+            "tb_booking": "stg_booking", "tb_payment": "stg_payment", "tb_review": "stg_review"}
+
 
-    def add(rule, table, count):
-        check = rule.check.replace("'", "''")
-        parts.append(f"SELECT '{rule.rule}' AS rule, '{table}' AS table_name, "
-                     f"'{check}' AS check_name, CAST(coalesce(({count}), 0) AS BIGINT) "
-                     "AS violations")
-    for table, listed in rules.items():
-        if table not in tables:
-            continue
-        name = tables[table]
-        for rule in listed:
-            if isinstance(rule, quality.RowRule) and row_rules:
-                add(rule, table, f"SELECT count(*) FROM {name} WHERE {rule.bad}")
-            elif isinstance(rule, quality.UniqueRule) and others:
-                where = f" WHERE {rule.where}" if rule.where else ""
-                add(rule, table, "SELECT count(*) FROM (SELECT 1 AS one FROM "
-                    f"{name}{where} GROUP BY {', '.join(rule.columns)} HAVING count(*) > 1) k")
-            elif isinstance(rule, quality.ReferenceRule) and others and rule.parent in tables:
-                add(rule, table, f"SELECT count(*) FROM {name} t WHERE t.{rule.column} IS NOT "
-                    f"NULL AND NOT EXISTS (SELECT 1 FROM {tables[rule.parent]} p "
-                    f"WHERE p.{rule.parent_column} = t.{rule.column})")
-            elif isinstance(rule, quality.ChainRule) and others:
-                add(rule, table, f"SELECT count(*) FROM {name} a JOIN {name} b ON a.{rule.key} = "
-                    f"b.{rule.key} AND b.version_number = (SELECT min(x.version_number) FROM "
-                    f"{name} x WHERE x.{rule.key} = a.{rule.key} AND x.version_number > "
-                    "a.version_number) WHERE b.valid_from <> a.valid_to OR b.version_number <> "
-                    "a.version_number + 1")
+def _staged_lost(rule: str, table: str, column: str, parent: str) -> str:
+    return _lost(rule, table, column, parent, column, _STAGING[table], _STAGING[parent])
+
+
+_STAGING_AUDIT = " UNION ALL ".join([
+    *[_twice("DQ-13", table, key, source=_STAGING[table]) for table, key in (
+        ("tb_user", "user_id"), ("tb_host", "host_id"), ("tb_property", "property_id"),
+        ("tb_booking", "booking_id"), ("tb_payment", "payment_id"),
+        ("tb_payment", "transaction_id"), ("tb_review", "review_id"))],
+    _staged_lost("DQ-11", "tb_property", "host_id", "tb_host"),
+    _staged_lost("DQ-11", "tb_booking", "user_id", "tb_user"),
+    _staged_lost("DQ-11", "tb_booking", "property_id", "tb_property"),
+    _staged_lost("DQ-12", "tb_payment", "booking_id", "tb_booking"),
+    _staged_lost("DQ-12", "tb_payment", "user_id", "tb_user"),
+    _staged_lost("DQ-12", "tb_review", "user_id", "tb_user"),
+    _staged_lost("DQ-12", "tb_review", "property_id", "tb_property"),
+])
+
+
+def _declared(required: dict[str, str], lengths: dict[str, dict[str, int]],
+              sources: dict[str, str] | None = None) -> str:
+    """DQ-14: required columns (``a b c``) and text lengths of tables."""
+    parts, sources = [], sources or {}
+    for table in required:
+        source = sources.get(table, table)
+        parts += [_line("DQ-14", table, f"{c} not null",
+                        f"SELECT count(*) - count({c}) FROM {source}")
+                  for c in required[table].split()]
+        parts += [_line("DQ-14", table, f"{c} at most {size} characters",
+                        f"SELECT count(*) FROM {source} WHERE length({c}) > {size}")
+                  for c, size in lengths.get(table, {}).items()]
     return " UNION ALL ".join(parts)
 
 
-_WAREHOUSE = {t: t for t in quality.RULES}
-_STAGING = {"tb_user": "stg_user_2", "tb_host": "stg_host_2", "tb_property": "stg_property_2",
-            "tb_booking": "stg_booking", "tb_payment": "stg_payment", "tb_review": "stg_review"}
+_REQUIRED = {
+    "dim_users": "user_sk user_id user_uuid full_name email user_type is_verified total_spent "
+                 "total_bookings valid_from valid_to is_current version_number created_at "
+                 "created_by",
+    "dim_hosts": "host_sk host_id host_uuid full_name email host_since is_superhost "
+                 "total_listings total_reviews_received valid_from valid_to is_current "
+                 "version_number created_at created_by",
+    "dim_properties": "property_sk property_id property_uuid title property_type room_type "
+                      "accommodates city country price_per_night cleaning_fee valid_from "
+                      "valid_to is_current version_number created_at created_by",
+    "dim_dates": "date_sk full_date year_number quarter_number semester_number month_number "
+                 "month_name month_abbreviation week_number week_of_month day_of_month "
+                 "day_of_week day_name day_abbreviation is_weekend is_month_start is_month_end "
+                 "is_quarter_start is_quarter_end is_year_start is_year_end",
+    "fact_bookings": "booking_sk booking_id booking_uuid user_sk property_sk checkin_date_sk "
+                     "checkout_date_sk created_date_sk number_of_nights number_of_guests "
+                     "subtotal cleaning_fee service_fee total_price booking_status created_at",
+    "fact_payments": "payment_sk payment_id transaction_id booking_sk user_sk payment_date_sk "
+                     "amount payment_method installments fee_amount net_amount payment_status "
+                     "created_at",
+    "dim_reviews": "review_sk review_id booking_id user_sk property_sk review_date_sk "
+                   "overall_rating created_at",
+}
+_STAGING_REQUIRED = {
+    "tb_user": "user_id user_uuid full_name email user_type is_verified total_spent "
+               "total_bookings loaded_at",
+    "tb_host": "host_id host_uuid user_id full_name email host_since is_superhost "
+               "total_listings total_reviews_received",
+    "tb_property": "property_id property_uuid host_id title property_type room_type "
+                   "accommodates city country price_per_night cleaning_fee loaded_at",
+    "tb_booking": "booking_id booking_uuid user_id property_id checkin_date checkout_date "
+                  "number_of_nights number_of_guests subtotal cleaning_fee service_fee "
+                  "total_price booking_status created_date loaded_at",
+    "tb_payment": "payment_id transaction_id booking_id user_id amount payment_method "
+                  "installments payment_status payment_date loaded_at",
+    "tb_review": "review_id booking_id user_id property_id overall_rating review_date loaded_at",
+}
+_PERSON = {"full_name": 150, "email": 320, "phone": 20}
+_BY = {"created_by": 100, "updated_by": 100}
+_PLACE_LENGTHS = {"title": 200, "property_type": 50, "room_type": 30, "city": 100, "state": 2,
+                  "country": 100}
+_PAID = {"transaction_id": 100, "payment_method": 30, "payment_status": 20}
+_USER_LENGTHS = {**_PERSON, "country": 100, "city": 100, "user_type": 20}
+_HOST_LENGTHS = {**_PERSON, "host_location": 200, "response_time": 30}
+_LENGTHS = {
+    "dim_users": {**_USER_LENGTHS, "attribute_hash": 64, **_BY},
+    "dim_hosts": {**_HOST_LENGTHS, **_BY},
+    "dim_properties": {**_PLACE_LENGTHS, **_BY},
+    "fact_bookings": {"booking_status": 20, "cancellation_reason": 200},
+    "fact_payments": _PAID,
+    "dim_reviews": {"comment_title": 200},
+}
+_STAGING_LENGTHS = {
+    "tb_user": _USER_LENGTHS,
+    "tb_host": {"host_uuid": 36, **_HOST_LENGTHS},
+    "tb_property": _PLACE_LENGTHS,
+    "tb_booking": {"booking_status": 20},
+    "tb_payment": _PAID,
+}
 _MANIFEST = {
-    "users": ("raw_user_2", "user_id:int user_uuid:string full_name:string email:string "
+    "users": ("raw_user_2_all", "user_id:int user_uuid:string full_name:string email:string "
               "phone:string country:string city:string user_type:string is_verified:boolean"),
     "hosts": ("raw_host_2", "host_id:int host_uuid:string user_id:int full_name:string "
               "email:string host_since:date host_location:string response_rate:smallint "
@@ -652,7 +795,18 @@ STATEMENTS: dict[str, str] = {
     "io02_manifest": _manifest(),
     "io03_staging_append": f"SELECT {cols(_BOOKING_COLS + 'loaded_at:t')} FROM stg_booking",
     "io04_staging_truncate_load":
-        f"SELECT {cols(_USER_COLS + 'loaded_at:t')} FROM stg_user_2",
+        f"SELECT {cols(_USER_COLS + 'loaded_at:t')} FROM stg_user_2_all",
+    "io10_dry_run_previews": f"""
+        SELECT 'merge_dim_users' AS operation, 'would_update' AS action, least(count(*), 5) AS shown
+        FROM stg_user_2 s JOIN dim_users_1 c ON s.user_id = c.user_id WHERE {CHANGED['user']}
+        UNION ALL SELECT 'merge_dim_users', 'would_insert', least(count(*), 5) FROM stg_user_2 s
+        WHERE s.user_id NOT IN (SELECT user_id FROM dim_users_1)
+        UNION ALL SELECT 'load_fact_bookings', 'would_insert', least(count(*), 5)
+        FROM stg_booking""",
+    "io11_created_once": """
+        SELECT 'tb_booking' AS table_name, false AS created, false AS created_again,
+          count(*) AS row_count FROM stg_booking
+        UNION ALL SELECT 'tb_payment', true, false, 0""",
     "io06_pruned_columns": "SELECT " + cols(
         "host_id host_uuid user_id full_name email host_since:t host_location response_rate "
         "is_superhost") + " FROM raw_host_2",
@@ -669,11 +823,14 @@ STATEMENTS: dict[str, str] = {
     "cl03_guid_check":
         f"SELECT event_id, {is_guid('transaction_id')} AS is_guid FROM dirty_clicks",
     "cl05_typed_with_rejects": """
-        SELECT event_id, user_id, CAST(event_day AS VARCHAR) AS event_day,
-          user_id IS NULL OR event_day IS NULL AS rejected
+        SELECT event_id, user_id, event_type, CAST(stamp AS VARCHAR) AS event_timestamp,
+          nullif(concat_ws(',', CASE WHEN user_id IS NULL THEN 'bad_user_id' END,
+            CASE WHEN event_type IS NULL THEN 'missing_event_type' END,
+            CASE WHEN stamp IS NULL THEN 'bad_event_timestamp' END), '') AS reject_reason
         FROM (SELECT event_id,
-                CASE WHEN event_id % 9 <> 0 THEN CAST(user_id AS INTEGER) END AS user_id,
-                CASE WHEN event_id % 11 <> 0 THEN CAST(ts AS DATE) END AS event_day
+                CASE WHEN event_id % 9 <> 0 THEN CAST(user_id + 1 AS INTEGER) END AS user_id,
+                CASE WHEN event_id % 13 <> 0 THEN event_type END AS event_type,
+                CASE WHEN event_id % 11 <> 0 THEN date_trunc('second', ts) END AS stamp
               FROM events) e""",
     "cl06_staged_clicks": """
         SELECT event_id, CAST(user_id + 1 AS INTEGER) AS user_id,
@@ -689,8 +846,9 @@ STATEMENTS: dict[str, str] = {
           GROUP BY 1) b ON d.full_date = b.checkin_date""",
     "dd02_calendar_stats": """
         SELECT count(*) AS total_dates, CAST(min(full_date) AS VARCHAR) AS min_date,
-          CAST(max(full_date) AS VARCHAR) AS max_date
-        FROM dim_dates WHERE full_date IN (SELECT checkin_date FROM stg_booking)""",
+          CAST(max(full_date) AS VARCHAR) AS max_date,
+          (SELECT count(DISTINCT checkin_date_sk) FROM fact_bookings) AS checkin_days
+        FROM dim_dates""",
     "pf01_current_users": """SELECT user_sk, user_id, user_type, country, city, version_number
         FROM dim_users WHERE is_current""",
     "pf02_null_default_inequality": """
@@ -753,7 +911,7 @@ STATEMENTS: dict[str, str] = {
           sha256(concat(coalesce(user_type, ''), '|', coalesce(country, ''), '|',
             coalesce(city, ''), '|', coalesce(phone, ''))) AS delimited_hash,
           {short_id('usr', 'user_id')} AS short_id, concat_ws(', ', city, country) AS place
-        FROM stg_user_2""",
+        FROM stg_user_2_all""",
     "sf20_tags": """SELECT amenity, count(*) AS properties FROM
         (SELECT unnest(string_split(_amenities, ',')) AS amenity FROM gen_properties) t
         GROUP BY 1""",
@@ -762,6 +920,16 @@ STATEMENTS: dict[str, str] = {
     "sc02_merge_hosts": f"SELECT {cols('host_sk ' + _HOST_COLS + _VERSION)} FROM dim_hosts",
     "sc03_merge_properties":
         f"SELECT {cols('property_sk host_sk ' + _PLACE_COLS + _VERSION)} FROM dim_properties",
+    "sc01_reopened_key": f"""
+        SELECT (SELECT max(user_sk) FROM dim_users) + row_number() OVER (ORDER BY user_id)
+            AS user_sk, {cols(_USER_COLS)}, {_HASH} AS attribute_hash, '{LOADED}' AS valid_from,
+          '{END}' AS valid_to, true AS is_current, known + 1 AS version_number,
+          '{LOADED}' AS created_at, 'loader' AS created_by,
+          CAST(NULL AS VARCHAR) AS updated_at, CAST(NULL AS VARCHAR) AS updated_by
+        FROM (SELECT s.*, k.known FROM stg_user_2 s JOIN
+               (SELECT user_id, max(version_number) AS known,
+                  bool_or(is_current AND user_type <> 'vip') AS open
+                FROM dim_users GROUP BY 1) k ON s.user_id = k.user_id WHERE NOT k.open) r""",
     "sc04_users_would_update": _preview("user", "users", "full_name", {
         "user_type": ("user_type", "VARCHAR"), "city": ("city", "VARCHAR")}),
     "sc04_hosts_would_update": _preview("host", "hosts", "full_name", {
@@ -773,6 +941,8 @@ STATEMENTS: dict[str, str] = {
     "sc04_properties_would_insert": _insert(
         "property", "properties", _PLACE_COLS + "host_id loaded_at:t"),
     "hi01_user_history": "SELECT * FROM user_history",
+    "pf06_history_of_one_user": """SELECT * FROM user_history WHERE user_id =
+        (SELECT user_id FROM stg_booking GROUP BY 1 ORDER BY count(*) DESC, user_id LIMIT 1)""",
     "hi02_point_in_time": """
         SELECT s.booking_id, s.user_id, CAST(s.created_date AS VARCHAR) AS created_date,
           u.user_sk, u.user_type, u.version_number
@@ -802,6 +972,30 @@ STATEMENTS: dict[str, str] = {
         + """ FROM stg_payment s WHERE NOT EXISTS
         (SELECT 1 FROM fact_payments f WHERE f.transaction_id = s.transaction_id)""",
     "st01_streamed_bookings": f"SELECT {cols(_FACT_COLS)} FROM fact_bookings",
+    "st02_two_micro_batches": f"""SELECT {cols(_FACT_COLS)} FROM (SELECT * REPLACE (
+        number_of_guests + CASE WHEN booking_status = 'completed' THEN 0 ELSE 1 END
+          AS number_of_guests) FROM fact_bookings) f""",
+    "fl01_reload_with_duplicates": f"""
+        SELECT row_number() OVER (ORDER BY booking_status = 'completed' DESC, booking_id)
+          AS booking_sk, {cols(_FACT_COLS)} FROM fact_bookings""",
+    "fl02_reload": "SELECT row_number() OVER (ORDER BY payment_status = 'paid' DESC, payment_id) "
+                   "AS payment_sk, " + cols(
+        "payment_id transaction_id booking_sk user_sk payment_date_sk amount:d "
+        "payment_method installments fee_amount:d net_amount:d payment_status refund_date:t "
+        "refund_amount:d created_at:t") + " FROM fact_payments",
+    "fl05_reload_tally": """
+        SELECT 1 AS load, good AS rows_loaded, bad AS rows_rejected,
+          3 * (good + bad) - good - bad AS rows_skipped, good AS rows_affected,
+          bad AS rejects_kept
+        FROM (SELECT count(*) FILTER (reject_reason IS NULL) AS good,
+                count(*) FILTER (reject_reason IS NOT NULL) AS bad
+              FROM resolved_bookings WHERE booking_status = 'completed') a
+        UNION ALL
+        SELECT 2, fresh, bad, 3 * n - fresh - bad, fresh, bad
+        FROM (SELECT count(*) AS n, count(*) FILTER (reject_reason IS NOT NULL) AS bad,
+                count(*) FILTER (reject_reason IS NULL AND booking_status <> 'completed')
+                  AS fresh
+              FROM resolved_bookings) b""",
     "um01_user_metrics": """
         SELECT u.user_sk, u.user_id, CAST(coalesce(b.n, 0) AS INTEGER) AS total_bookings,
           CAST(coalesce(p.spent, 0) AS DOUBLE) AS total_spent, u.version_number
@@ -815,7 +1009,7 @@ STATEMENTS: dict[str, str] = {
     "um01_staged_user_metrics": """
         SELECT s.user_id, CAST(coalesce(b.n, 0) AS INTEGER) AS total_bookings,
           CAST(coalesce(p.spent, 0) AS DOUBLE) AS total_spent
-        FROM stg_user_2 s
+        FROM stg_user_2_all s
         LEFT JOIN (SELECT user_id, count(*) AS n FROM stg_booking GROUP BY 1) b
           ON s.user_id = b.user_id
         LEFT JOIN (SELECT user_id, sum(amount) AS spent FROM stg_payment
@@ -824,27 +1018,47 @@ STATEMENTS: dict[str, str] = {
         SELECT h.host_id, CAST(coalesce(n, 0) AS INTEGER) AS total_listings FROM stg_host_2 h
         LEFT JOIN (SELECT host_id, count(*) AS n FROM stg_property_2 GROUP BY 1) p
           ON h.host_id = p.host_id""",
-    "dq_warehouse_audit": _audit(_WAREHOUSE, quality.RULES, True, True),
-    "dq14_declared_audit": _audit(
-        _WAREHOUSE, {t: quality.declared(t) for t in quality.RULES}, True, False),
-    "dq13_staging_audit": _audit(_STAGING, quality.STAGING_RULES, True, True),
+    "dq_warehouse_audit": _AUDIT,
+    "dq14_declared_audit": _declared(_REQUIRED, _LENGTHS),
+    "dq14_staging_audit": _declared(_STAGING_REQUIRED, _STAGING_LENGTHS, _STAGING),
+    "dq13_staging_audit": _STAGING_AUDIT,
     "dq19_over_capacity": """
         SELECT s.property_id, count(*) AS bookings, max(s.number_of_guests) AS most_guests,
           max(p.accommodates) AS accommodates
         FROM stg_booking s JOIN stg_property_2 p ON s.property_id = p.property_id
         WHERE s.number_of_guests > p.accommodates GROUP BY 1""",
     "lg01_batch_log_of_full_load": f"""
-        SELECT table_name, operation_type, rows_affected, '{LOADED}' AS start_time,
+        SELECT batch_id, table_name, operation_type, rows_affected, '{LOADED}' AS start_time,
           CAST(0 AS BIGINT) AS duration_seconds, 'loader' AS created_by
-        FROM (SELECT 'dim_users' AS table_name, 'MERGE_SCD2' AS operation_type,
-                count(*) AS rows_affected FROM stg_user_2
-          UNION ALL SELECT 'dim_hosts', 'MERGE_SCD2', count(*) FROM stg_host_2
-          UNION ALL SELECT 'dim_properties', 'MERGE_SCD2', count(*) FROM stg_property_2
-          UNION ALL SELECT 'fact_bookings', 'LOAD', count(*) FROM known_bookings
-          UNION ALL SELECT 'fact_payments', 'LOAD', count(*) FROM stg_payment s
+        FROM (SELECT 3 AS batch_id, 'dim_users' AS table_name, 'MERGE_SCD2' AS operation_type,
+                count(*) AS rows_affected FROM stg_user_2_all
+          UNION ALL SELECT 4, 'dim_hosts', 'MERGE_SCD2', count(*) FROM stg_host_2
+          UNION ALL SELECT 5, 'dim_properties', 'MERGE_SCD2', count(*) FROM stg_property_2
+          UNION ALL SELECT 6, 'fact_bookings', 'LOAD', count(*) FROM known_bookings
+          UNION ALL SELECT 7, 'fact_payments', 'LOAD', count(*) FROM stg_payment s
             JOIN known_bookings b ON s.booking_id = b.booking_id
             JOIN dim_dates d ON s.payment_date = d.full_date
-          UNION ALL SELECT 'dim_users', 'UPDATE_METRICS', count(*) FROM stg_user_2) x""",
+          UNION ALL SELECT 8, 'dim_reviews', 'LOAD', count(*) FROM stg_review s
+            JOIN stg_user_2_all u ON s.user_id = u.user_id
+            JOIN stg_property_2 p ON s.property_id = p.property_id
+            JOIN dim_dates d ON s.review_date = d.full_date
+          UNION ALL SELECT 9, 'dim_users', 'UPDATE_METRICS', count(*) FROM stg_user_2_all) x""",
+    "lg02_failures": f"""
+        SELECT error_procedure, 0 AS error_number, error_message,
+          '{LOADED}' AS error_timestamp, CAST(0 AS BIGINT) AS staged_rows
+        FROM (VALUES
+          ('stage_tb_user', 'ValueError: tb_user: user_id is not unique in the batch'),
+          ('merge_dim_users',
+           'ValueError: dim_users: batch time {LOADED} is not after the last merge'))
+          e(error_procedure, error_message) WHERE EXISTS (SELECT 1 FROM customer)""",
+    "pl02_steps_alone": """
+        SELECT batch_id, table_name, operation_type, rows_affected,
+          false AS calendar_written_again
+        FROM (SELECT 3 AS batch_id, 'dim_users' AS table_name, 'MERGE_SCD2' AS operation_type,
+                count(*) AS rows_affected FROM stg_user_2_all
+          UNION ALL SELECT 4, 'dim_hosts', 'MERGE_SCD2', count(*) FROM stg_host_2
+          UNION ALL SELECT 5, 'dim_properties', 'MERGE_SCD2', 0
+          UNION ALL SELECT 6, 'dim_users', 'UPDATE_METRICS', count(*) FROM stg_user_2_all) x""",
     "lg03_etl_summary": """
         SELECT event_id AS batch_id, event_type AS table_name,
           CASE WHEN event_id % 2 = 0 THEN 'MERGE_SCD2' ELSE 'LOAD' END AS operation_type,
@@ -869,7 +1083,8 @@ STATEMENTS: dict[str, str] = {
     "rp04_current_counts": " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {t}"
         + (" WHERE is_current" if t in ("dim_users", "dim_hosts", "dim_properties") else "")
-        for t in quality.RULES if t != "dim_dates"),
+        for t in ("dim_users", "dim_hosts", "dim_properties", "fact_bookings", "fact_payments",
+                  "dim_reviews")),
     "gn01_users": f"SELECT {cols(_USER_COLS)} FROM gen_users",
     "gn02_hosts": f"SELECT {cols(_STG_HOST_COLS)} FROM gen_hosts",
     "gn03_properties": "SELECT " + cols(_GEN_NAMES + " _amenities _min_nights _max_nights")

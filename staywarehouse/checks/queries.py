@@ -12,16 +12,17 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions import dates, money, text
+from ..functions.dates import moment
 from ..operators import audit, facts, generate, history, metrics, quality, scd2
-from ..operators.calendar import calendar_stats, describe_days
-from ..plans import reports
+from ..operators.calendar import calendar_stats
+from ..plans import operations, reports
 from ..plans.full_load import Run
 from ..session import scratch_path
 from ..sources import manifest as snapshots, staging
 from ..sources.fixtures import LOADED_AT, TestTables
 from ..sources.store import Store
 from ..streaming.incremental import stream_fact
-from .loaded import LOADED, Loaded, keep, loaded
+from .loaded import BATCH_1, CREATED_BY, LOADED, Loaded, loaded
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -68,7 +69,7 @@ def _(w: Loaded):
 @query("io02_manifest")
 def _(w: Loaded):
     src = w.source
-    return snapshots.manifest({"users": src.users(2), "hosts": src.hosts(2),
+    return snapshots.manifest({"users": src.users(2, True), "hosts": src.hosts(2),
                                "properties": src.properties(2), "bookings": src.bookings(),
                                "payments": src.payments()})
 
@@ -87,8 +88,8 @@ def _(w: Loaded):
 @query("io04_staging_truncate_load")
 def _(w: Loaded):
     store = _store(w)
-    staging.load(store, w.source.users(1), "tb_user", 1, LOADED_AT)
-    staging.load(store, w.source.users(2), "tb_user", 2, LOADED_AT, truncate=True)
+    staging.load(store, w.source.users(1, True), "tb_user", 1, LOADED_AT)
+    staging.load(store, w.source.users(2, True), "tb_user", 2, LOADED_AT, truncate=True)
     return store.read("tb_user")
 
 
@@ -99,6 +100,32 @@ def _(w: Loaded):
     return staging.prune(helpers)
 
 
+@query("io10_dry_run_previews")
+def _(w: Loaded):
+    """Result sets of dry runs by name, and how many of the first rows each one shows."""
+    run = _run_on(w)
+    run.store.merge("dim_users", w.users_1.snapshot, "user_id", 5, LOADED, 0)
+    staging.load(run.store, w.source.users(2), "tb_user", 6, LOADED_AT)
+    staging.load(run.store, w.source.bookings(), "tb_booking", 7, LOADED_AT)
+    parts = [df.agg(F.count("*").alias("shown")).select(
+        F.lit(name).alias("operation"), F.lit(action).alias("action"), "shown")
+        for name in ("merge_dim_users", "load_fact_bookings")
+        for action, df in operations.preview(run, name).items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("io11_created_once")
+def _(w: Loaded):
+    """Staging tables that exist are not created again; new ones are, without rows."""
+    store = _store(w)
+    staging.load(store, w.source.bookings(), "tb_booking", 1, LOADED_AT)
+    made = {t: (store.create(t), store.create(t)) for t in ("tb_booking", "tb_payment")}
+    parts = [store.read(t).agg(F.count("*").alias("row_count")).select(
+        F.lit(t).alias("table_name"), F.lit(once).alias("created"),
+        F.lit(again).alias("created_again"), "row_count") for t, (once, again) in made.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("io12_staged_hosts_with_defaults")
 def _(w: Loaded):
     return w.source.staged("tb_host", 2)
@@ -120,15 +147,23 @@ def _(w: Loaded):
 
 @query("cl05_typed_with_rejects")
 def _(w: Loaded):
-    e = F.col("event_id")
-    raw = w.source.raw("events").select(
-        e, F.concat(F.col("user_id").cast("string"), F.when(e % 9 == 0, "x").otherwise(""))
-        .alias("user_text"),
-        F.concat(F.date_format("ts", "yyyy-MM-dd"), F.when(e % 11 == 0, "?").otherwise(""))
-        .alias("day_text"))
-    typed = raw.select(e, F.col("user_text").try_cast("int").alias("user_id"),
-                       F.col("day_text").try_cast("date").alias("event_day"))
-    return typed.withColumn("rejected", F.col("user_id").isNull() | F.col("event_day").isNull())
+    """Events as texts, some of them no numbers or times, staged with rejects."""
+    e, store = F.col("event_id"), _store(w)
+    raw = w.source.clicks().withColumns({
+        "user_id": F.concat(F.col("user_id").cast("string"), F.when(e % 9 == 0, "x").otherwise("")),
+        "event_timestamp": F.concat(F.date_format("event_timestamp", "yyyy-MM-dd HH:mm:ss"),
+                                    F.when(e % 11 == 0, "?").otherwise("")),
+        "event_type": F.when(e % 13 != 0, F.col("event_type"))})
+    staging.load(store, raw, "tb_click", 1, LOADED_AT, safe=True)
+    good = store.read("tb_click").select("event_id", "user_id", "event_type", "event_timestamp",
+                                         F.lit(None).cast("string").alias("reject_reason"))
+    given = F.from_json("raw", "event_id bigint, user_id string, event_type string,"
+                               "event_timestamp string")
+    bad = store.read_rejects("tb_click").select(given.alias("given"), "reject_reason").select(
+        "given.event_id", F.col("given.user_id").try_cast("int").alias("user_id"),
+        "given.event_type", F.col("given.event_timestamp").try_cast("timestamp_ntz")
+        .alias("event_timestamp"), "reject_reason")
+    return good.unionByName(bad)
 
 
 @query("cl06_staged_clicks")
@@ -148,8 +183,9 @@ def _(w: Loaded):
 
 @query("dd02_calendar_stats")
 def _(w: Loaded):
-    days = w.staged_bookings.select(F.col("checkin_date").alias("full_date")).distinct()
-    return calendar_stats(describe_days(days))
+    """The calendar, and how many of its days the bookings use."""
+    used = w.bookings.agg(F.count_distinct("checkin_date_sk").alias("n")).scalar()
+    return calendar_stats(w.dates).withColumn("checkin_days", used)
 
 
 # ---- single clauses -----------------------------------------------------------------
@@ -252,12 +288,12 @@ def _(w: Loaded):
 
 @query("ag11_rows_affected")
 def _(w: Loaded):
-    outcomes = [(1, "dim_users", w.users_1), (2, "dim_users", w.users_2),
-                (1, "dim_hosts", w.hosts_1), (2, "dim_hosts", w.hosts_2),
-                (1, "dim_properties", w.properties_1), (2, "dim_properties", w.properties_2)]
-    rows = [(n, t, m.rows_updated, m.rows_inserted, m.rows_affected) for n, t, m in outcomes]
-    return w.spark.createDataFrame(rows, "batch int, table_name string, rows_updated bigint,"
-                                         "rows_inserted bigint, rows_affected bigint")
+    dims = {"dim_users": w.users, "dim_hosts": w.hosts, "dim_properties": w.properties}
+    tallies = [history.merge_tally(rows).select(
+        F.when(F.col("batch_ts") == moment(BATCH_1), 1).otherwise(2).alias("batch"),
+        F.lit(name).alias("table_name"), "rows_updated", "rows_inserted", "rows_affected")
+        for name, rows in dims.items()]
+    return reduce(DataFrame.unionByName, tallies)
 
 
 @query("sl04_exact_sample")
@@ -292,7 +328,7 @@ def _(w: Loaded):
 
 @query("sf03_attribute_hash")
 def _(w: Loaded):
-    return w.source.staged("tb_user", 2).selectExpr(
+    return w.source.staged("tb_user", 2, True).selectExpr(
         "user_id", f"{text.attribute_hash(scd2.USERS.hashed)} AS attribute_hash",
         f"{text.attribute_hash(scd2.USERS.hashed, '|')} AS delimited_hash",
         f"{text.short_id('usr', 'user_id')} AS short_id", "concat_ws(', ', city, country) AS place")
@@ -326,6 +362,15 @@ def _(w: Loaded):
     return w.second(scd2.PROPERTIES, before, w.hosts).snapshot
 
 
+@query("sc01_reopened_key")
+def _(w: Loaded):
+    """Versions of users whose last version was closed, as of vip users here."""
+    gone = F.col("is_current") & (F.col("user_type") == "vip")
+    rows = w.users.withColumn("is_current", F.col("is_current") & ~gone)
+    return scd2.merge(rows.where("is_current"), w.source.staged("tb_user", 2), scd2.USERS, LOADED,
+                      CREATED_BY, closed=rows.where("not is_current")).inserted
+
+
 def _preview(w: Loaded, dim: scd2.Dimension, before: scd2.Merge, action: str) -> DataFrame:
     return scd2.preview(before.snapshot, w.source.staged(dim.staging, 2), dim)[action]
 
@@ -343,6 +388,12 @@ def _(w: Loaded):
     return history.user_history(w.users)
 
 
+@query("pf06_history_of_one_user")
+def _(w: Loaded):
+    most = w.staged_bookings.groupBy("user_id").count().orderBy(F.desc("count"), "user_id")
+    return history.user_history(w.users, most.first()["user_id"])
+
+
 @query("hi02_point_in_time")
 def _(w: Loaded):
     return history.as_of(w.staged_bookings.select("booking_id", "user_id", "created_date"),
@@ -403,15 +454,77 @@ def _(w: Loaded):
 def _(w: Loaded):
     folder = scratch_path(w.spark, "arriving")
     w.staged_bookings.write.parquet(folder)
-    run = Run(_store(w), "loader", lambda: LOADED)
-    for table, rows in (("dim_users", w.users), ("dim_properties", w.properties)):
-        run.store.merge(table, rows, 1, LOADED, 0)
-    run.store.append("dim_dates", w.dates, 1, LOADED)
+    run = _run_on(w)
     stream_fact(run, "fact_bookings", folder,
                 scratch_path(w.spark, "stream")).awaitTermination()
     return run.store.read("fact_bookings").drop("booking_sk")
 
 
+def _run_on(w: Loaded) -> Run:
+    """A run over a store that holds the merged dimensions and the calendar."""
+    run = Run(_store(w), "loader", lambda: LOADED)
+    for table, rows, key in (("dim_users", w.users, "user_id"),
+                             ("dim_properties", w.properties, "property_id")):
+        run.store.merge(table, rows, key, 1, LOADED, 0)
+    run.store.append("dim_dates", w.dates, 1, LOADED)
+    return run
+
+
+def _with_copies(rows: DataFrame, column: str) -> DataFrame:
+    """Every row, its repetition, and a copy of it that differs in ``column``."""
+    kind = rows.schema[column].dataType
+    return rows.unionByName(rows).unionByName(
+        rows.withColumn(column, (F.col(column) + 1).cast(kind)))
+
+
+@query("fl01_reload_with_duplicates")
+def _(w: Loaded):
+    """Completed bookings, then all of them; either load holds copies of every row."""
+    run, first = _run_on(w), F.col("booking_status") == "completed"
+    for rows in (w.staged_bookings.where(first), w.staged_bookings):
+        run.load_fact("fact_bookings", staged=_with_copies(rows, "number_of_guests"))
+    return run.store.read("fact_bookings")
+
+
+@query("fl02_reload")
+def _(w: Loaded):
+    """Paid payments, then all of them; either load holds copies of every row."""
+    run, first = _run_on(w), F.col("payment_status") == "paid"
+    run.store.append("fact_bookings", w.bookings, 2, LOADED)
+    for rows in (w.staged_payments.where(first), w.staged_payments):
+        run.load_fact("fact_payments", staged=_with_copies(rows, "installments"))
+    return run.store.read("fact_payments")
+
+
+@query("fl05_reload_tally")
+def _(w: Loaded):
+    """What two overlapping loads with copies report, and the rejects they keep."""
+    run, first = _run_on(w), F.col("booking_status") == "completed"
+    parts = []
+    for batch, rows in ((1, w.staged_bookings.where(first)), (2, w.staged_bookings)):
+        done = run.load_fact("fact_bookings", staged=_with_copies(rows, "number_of_guests"))
+        kept = run.store.read_rejects("fact_bookings", "tb_booking").where(
+            F.col("batch_id") == done["batch_id"])
+        parts.append(kept.agg(F.count("*").alias("rejects_kept")).select(
+            F.lit(batch).alias("load"), *[F.lit(done[n]).cast("bigint").alias(n) for n in (
+                "rows_loaded", "rows_rejected", "rows_skipped", "rows_affected")],
+            "rejects_kept"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+@query("st02_two_micro_batches")
+def _(w: Loaded):
+    """Completed bookings arrive, then copies of all bookings with one more guest."""
+    run = _run_on(w)
+    folder, checkpoint = scratch_path(w.spark, "arriving"), scratch_path(w.spark, "stream")
+    more = w.staged_bookings.withColumn(
+        "number_of_guests", (F.col("number_of_guests") + 1).cast("smallint"))
+    for rows in (w.staged_bookings.where("booking_status = 'completed'"), more):
+        rows.write.mode("append").parquet(folder)
+        stream_fact(run, "fact_bookings", folder, checkpoint).awaitTermination()
+    return run.store.read("fact_bookings").drop("booking_sk")
+
+
 # ---- metrics, audit, logs -----------------------------------------------------------
 
 
@@ -424,7 +537,7 @@ def _(w: Loaded):
 
 @query("um01_staged_user_metrics")
 def _(w: Loaded):
-    return metrics.with_metrics(w.source.staged("tb_user", 2).select("user_id"),
+    return metrics.with_metrics(w.source.staged("tb_user", 2, True).select("user_id"),
                                 w.staged_bookings, w.staged_payments)
 
 
@@ -446,12 +559,22 @@ def _(w: Loaded):
     return quality.audit(w.tables, rules, with_declared=True)
 
 
-@query("dq13_staging_audit")
-def _(w: Loaded):
-    rows = {"tb_user": w.source.staged("tb_user", 2), "tb_host": w.source.staged("tb_host", 2),
+def _staging_tables(w: Loaded) -> dict[str, DataFrame]:
+    return {"tb_user": w.source.staged("tb_user", 2, True),
+            "tb_host": w.source.staged("tb_host", 2),
             "tb_property": w.source.staged("tb_property", 2), "tb_booking": w.staged_bookings,
             "tb_payment": w.staged_payments, "tb_review": w.staged_reviews}
-    return quality.audit(rows, quality.STAGING_RULES, with_declared=False)
+
+
+@query("dq13_staging_audit")
+def _(w: Loaded):
+    return quality.audit(_staging_tables(w), quality.STAGING_RULES, with_declared=False)
+
+
+@query("dq14_staging_audit")
+def _(w: Loaded):
+    tables = _staging_tables(w)
+    return quality.audit(tables, {t: [] for t in tables}, with_declared=True)
 
 
 @query("dq19_over_capacity")
@@ -490,12 +613,44 @@ def _(w: Loaded):
 def _(w: Loaded):
     """Staging, merges, facts and metrics through a store, as its batch log tells it."""
     run, src = Run(_store(w), "loader", lambda: LOADED), w.source
-    run.run({"users": src.users(2), "hosts": src.hosts(2), "properties": src.properties(2),
-             "bookings": src.bookings(), "payments": src.payments()})
-    return run.etl_summary().select("table_name", "operation_type", "rows_affected",
+    run.run({"users": src.users(2, True), "hosts": src.hosts(2),
+             "properties": src.properties(2), "bookings": src.bookings(),
+             "payments": src.payments(), "reviews": src.reviews()})
+    return run.etl_summary().select("batch_id", "table_name", "operation_type", "rows_affected",
                                     "start_time", "duration_seconds", "created_by")
 
 
+@query("lg02_failures")
+def _(w: Loaded):
+    """The error log after a failed staging and a failed merge, and what they left behind."""
+    run, users = _run_on(w), w.source.users(2, True)
+    run.store.merge("dim_users", w.users, "user_id", 2, LOADED, 0)
+    for work in (lambda: run.stage({"users": users.unionByName(users)}),
+                 lambda: run.merge_dimension("dim_users")):
+        try:
+            work()
+        except ValueError:
+            continue
+    kept = run.store.read("tb_user").agg(F.count("*").alias("n")).scalar()
+    return run.error_summary().select("error_procedure", "error_number", "error_message",
+                                      "error_timestamp", kept.alias("staged_rows"))
+
+
+@query("pl02_steps_alone")
+def _(w: Loaded):
+    """Merges as a dry run, then by themselves, loads without metrics: the log of each step."""
+    run, src = Run(_store(w), "loader", lambda: LOADED), w.source
+    run.run({"users": src.users(2, True), "hosts": src.hosts(2)}, merge=False, load=False,
+            refresh_metrics=False)
+    run.merge_all()
+    run.load_all()
+    run.run(merge=True, load=False, refresh_metrics=False)
+    run.run(merge=False, load=False, refresh_metrics=True)
+    again = run.populate_dates()
+    return run.etl_summary().select("batch_id", "table_name", "operation_type", "rows_affected",
+                                    F.lit(again).alias("calendar_written_again"))
+
+
 # ---- reports ------------------------------------------------------------------------
 
 

@@ -78,7 +78,9 @@ def not_loaded(staged: DataFrame, loaded: DataFrame | None, keys: tuple[str, ...
     """Staged rows none of whose ``keys`` occurs in the loaded fact, one for each key.
 
     The fact is written in order of ``order``, so by that key only the files in the range of
-    the batch are read.
+    the batch are read. By any other key one column of the whole fact is read; the fact is
+    first reduced to the keys of the batch, so a batch small enough to broadcast spares the
+    fact a shuffle, and a larger one lets Spark filter the fact by a Bloom filter before it.
     """
     rows = staged
     for key in keys:
@@ -89,7 +91,8 @@ def not_loaded(staged: DataFrame, loaded: DataFrame | None, keys: tuple[str, ...
             known = loaded.select(key)
             if key == order:
                 known = within(known, staged, key)
-            rows = rows.join(known, key, "left_anti")
+            found = known.join(staged.select(key), key, "left_semi")
+            rows = rows.join(found, key, "left_anti")
     return rows
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.dates import days_between
+from .lookup import salted_sides, salting
 
 
 def user_history(users: DataFrame, user_id: int | None = None) -> DataFrame:
@@ -40,10 +41,31 @@ def as_of(rows: DataFrame, versions: DataFrame, key: str, moment: str,
     """Left join ``rows`` with the version of ``key`` valid at column ``moment``.
 
     The key equality makes it a hash or sort-merge join; the validity range is a residual
-    test over the few versions of that key.
+    test over the few versions of that key. Hot keys are split as in ``lookup``.
     """
-    v = versions.select(F.col(key).alias("_key"), F.col("valid_from").alias("_from"),
+    v = versions.select(key, F.col("valid_from").alias("_from"),
                         F.col("valid_to").alias("_to"), *columns)
+    salted = salting(rows.sparkSession)
+    left, right = salted_sides(rows, v, key) if salted else (rows, v)
+    right = right.withColumnRenamed(key, "_key")
     test = (F.col(key) == F.col("_key")) & valid_at(
         F.col(moment).cast("timestamp_ntz"), F.col("_from"), F.col("_to"))
-    return rows.join(v, test, "left").drop("_key", "_from", "_to")
+    if salted:
+        right = right.withColumnRenamed("_salt", "_other")
+        test &= F.col("_salt") == F.col("_other")
+    return left.join(right, test, "left").drop("_key", "_from", "_to", "_salt", "_other")
+
+
+def merge_tally(versions: DataFrame) -> DataFrame:
+    """What every merge did to a dimension, by batch time, from its versions alone.
+
+    A replaced key counts twice as affected: its old version closes, its new one is inserted.
+    """
+    events = versions.select(F.inline(F.array(
+        F.struct(F.col("valid_from").alias("batch_ts"), F.lit(0).alias("_closed")),
+        F.struct(F.when(~F.col("is_current"), F.col("valid_to")).alias("batch_ts"),
+                 F.lit(1).alias("_closed")))))
+    return (events.where(F.col("batch_ts").isNotNull()).groupBy("batch_ts")
+            .agg(F.sum("_closed").cast("bigint").alias("rows_updated"),
+                 F.count_if(F.col("_closed") == 0).alias("rows_inserted"),
+                 F.count("*").alias("rows_affected")))

@@ -2,7 +2,8 @@
 
 The fact side may hold a third of its rows under one key. With adaptive skew joins on,
 Spark splits such a partition at run time. Without them the hot keys are found by a
-map-side combined count and both sides are salted for just these keys.
+map-side combined count and both sides are salted for just these keys. Rows without a key
+match nothing and are spread alike.
 """
 
 from __future__ import annotations
@@ -19,11 +20,16 @@ def _adaptive_skew(spark: SparkSession) -> bool:
     return all(spark.conf.get(k, "true").lower() == "true" for k in keys)
 
 
+def salting(spark: SparkSession) -> bool:
+    """Whether joins must spread hot keys themselves."""
+    return not _adaptive_skew(spark)
+
+
 def lookup(rows: DataFrame, table: DataFrame, key: str, how: str = "left",
            salted: bool | None = None) -> DataFrame:
     """Join ``rows`` with ``table``, unique on ``key``, whatever the skew of ``rows``."""
     if salted is None:
-        salted = not _adaptive_skew(rows.sparkSession)
+        salted = salting(rows.sparkSession)
     return salted_lookup(rows, table, key, how) if salted else rows.join(table, key, how)
 
 
@@ -50,13 +56,20 @@ def hot_keys(rows: DataFrame, key: str, share: float = HOT_SHARE) -> DataFrame:
 def salted_lookup(rows: DataFrame, table: DataFrame, key: str, how: str = "left",
                   salts: int = SALTS, share: float = HOT_SHARE) -> DataFrame:
     """Spread each hot key over ``salts`` groups; its one table row is repeated as often."""
+    left, right = salted_sides(rows, table, key, salts, share)
+    return left.join(right, [key, "_salt"], how).drop("_salt")
+
+
+def salted_sides(rows: DataFrame, table: DataFrame, key: str, salts: int = SALTS,
+                 share: float = HOT_SHARE) -> tuple[DataFrame, DataFrame]:
+    """Both sides of a join on ``key`` with a ``_salt`` to join on as well."""
     hot = hot_keys(rows, key, share).agg(F.collect_set(key).alias("_hot")).scalar()
     # the input partition takes part so that copies of one row spread as well
     spread = F.pmod(F.xxhash64(*rows.columns, F.spark_partition_id()), F.lit(salts)).cast("int")
-    left = rows.withColumn("_salt", F.when(F.array_contains(hot, F.col(key)), spread)
-                           .otherwise(F.lit(0)))
+    wide = F.col(key).isNull() | F.array_contains(hot, F.col(key))
+    left = rows.withColumn("_salt", F.when(wide, spread).otherwise(F.lit(0)))
     every = F.sequence(F.lit(0), F.lit(salts - 1))
     one = F.array(F.lit(0))
     right = table.withColumn("_salt", F.explode(
         F.when(F.array_contains(hot, F.col(key)), every).otherwise(one)))
-    return left.join(right, [key, "_salt"], how).drop("_salt")
+    return left, right

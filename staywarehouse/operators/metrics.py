@@ -6,7 +6,7 @@ task; the joins then see one row per key on both sides.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 _SPENT = "decimal(18,2)"
 
@@ -45,6 +45,28 @@ def user_metrics(versions: DataFrame, fact_bookings: DataFrame,
             .withColumn("total_spent", F.coalesce("total_spent", F.lit(0)).cast(_SPENT)))
 
 
+def outdated(current: DataFrame, metrics: DataFrame) -> DataFrame:
+    """The metrics that differ from those of the current user rows."""
+    old = current.select("user_id", F.col("total_bookings").alias("_bookings"),
+                         F.col("total_spent").alias("_spent"))
+    return metrics.join(old, "user_id").where(
+        "NOT (total_bookings <=> _bookings AND total_spent <=> _spent)"
+    ).drop("_bookings", "_spent")
+
+
+def apply_metrics(current: DataFrame, changed: DataFrame, at: Column, by: str) -> DataFrame:
+    """Current user rows with the ``changed`` metrics, marked as updated where they have any."""
+    new = changed.select("user_id", F.col("total_bookings").alias("_bookings"),
+                         F.col("total_spent").alias("_spent"))
+    hit = F.col("_bookings").isNotNull()
+    return (current.join(new, "user_id", "left")
+            .withColumns({"total_bookings": F.coalesce("_bookings", "total_bookings"),
+                          "total_spent": F.coalesce("_spent", "total_spent"),
+                          "updated_at": F.when(hit, at).otherwise(F.col("updated_at")),
+                          "updated_by": F.when(hit, F.lit(by)).otherwise(F.col("updated_by"))})
+            .select(*current.columns))
+
+
 def refresh_users(current: DataFrame, metrics: DataFrame) -> DataFrame:
     """Current user rows with refreshed metrics: an update in place, no new version."""
     return (current.drop("total_bookings", "total_spent")

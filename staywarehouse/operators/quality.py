@@ -1,7 +1,9 @@
 """Declared constraints as an audit: every rule yields its number of violations.
 
-Row rules of a table share one pass. Key and reference rules shrink the rows to one per key
-with map-side combine before they are compared, so a hot key is one row.
+Rules share passes: the row rules of a table, the rules on versions of a business key (one
+shuffle by that key), the other keys of a table, and the references of all tables. Key and
+reference rules shrink the rows to one per key with map-side combine before they are
+compared, so a hot key is one row.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from dataclasses import dataclass
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from .. import schemas as S
 
@@ -156,15 +158,82 @@ def _line(rule: Rule, table: str, count: str) -> str:
             f"cast(coalesce({count}, 0) as bigint) AS violations")
 
 
-def _counted(bad: DataFrame, total: str, rule: Rule, table: str) -> DataFrame:
-    return bad.agg(F.expr(f"{total} AS _v")).selectExpr(
-        f"inline(array(struct({_line(rule, table, '_v')})))")
+def _lines(totals: DataFrame, rules: list[tuple[str, Rule]]) -> DataFrame:
+    """One line for each rule from one row with its count in ``v0``, ``v1``, ..."""
+    lines = ", ".join(f"struct({_line(r, t, f'v{i}')})" for i, (t, r) in enumerate(rules))
+    return totals.selectExpr(f"inline(array({lines}))")
 
 
 def _row_rules(df: DataFrame, table: str, rules: list[RowRule]) -> DataFrame:
     totals = df.agg(*[F.expr(f"count_if({r.bad}) AS v{i}") for i, r in enumerate(rules)])
-    lines = ", ".join(f"struct({_line(r, table, f'v{i}')})" for i, r in enumerate(rules))
-    return totals.selectExpr(f"inline(array({lines}))")
+    return _lines(totals, [(table, r) for r in rules])
+
+
+def _version_rules(df: DataFrame, table: str, key: str, rules: list[Rule]) -> DataFrame:
+    """Chains and the keys that start with ``key``, by one shuffle on ``key``.
+
+    A group is the versions of one business key: at most one for each merge.
+    """
+    line = Window.partitionBy(key).orderBy("version_number")
+    rows = df.withColumns({"_from": F.lead("valid_from").over(line),
+                           "_version": F.lead("version_number").over(line)})
+    pair = next((r for r in rules if isinstance(r, UniqueRule) and len(r.columns) > 1), None)
+    per_row, per_key, total = [], [], []
+    for i, rule in enumerate(rules):
+        chain = isinstance(rule, ChainRule)
+        hit = ("_from <> valid_to OR _version <> version_number + 1" if chain
+               else rule.where or "true")
+        per_row.append(F.expr(f"count_if({hit}) AS n{i}"))
+        per_key.append(F.expr(f"count_if(n{i} > 1) AS k{i}" if rule is pair
+                              else f"sum(n{i}) AS k{i}"))
+        total.append(F.expr(f"sum(k{i}) AS v{i}" if chain or rule is pair
+                            else f"count_if(k{i} > 1) AS v{i}"))
+    # grouping by (key, ...) and by key both keep to the partitions of the window
+    fine = rows.groupBy(key, *(pair.columns[1:] if pair else ())).agg(*per_row)
+    totals = fine.groupBy(key).agg(*per_key).agg(*total)
+    return _lines(totals, [(table, r) for r in rules])
+
+
+def _key_rules(df: DataFrame, table: str, rules: list[UniqueRule]) -> DataFrame:
+    """Single-column keys of a table in one pass; keys of several rules are compared as text."""
+    if len(rules) == 1:
+        return _lines(_duplicates(df, rules[0]).agg(F.count("*").alias("v0")),
+                      [(table, rules[0])])
+    pairs = ", ".join(f"struct(if({r.where or 'true'}, {i}, null) AS _rule, "
+                      f"cast({r.columns[0]} as string) AS _key)" for i, r in enumerate(rules))
+    twice = (df.selectExpr(f"inline(array({pairs}))").where("_rule IS NOT NULL")
+             .groupBy("_rule", "_key").agg(F.count("*").alias("_n")).where("_n > 1"))
+    return _lines(twice.agg(*[F.expr(f"count_if(_rule = {i}) AS v{i}")
+                              for i in range(len(rules))]), [(table, r) for r in rules])
+
+
+def _reference_rules(tables: dict[str, DataFrame],
+                     rules: list[tuple[str, ReferenceRule]]) -> DataFrame:
+    """References of all tables at once: every table and every parent is read one time.
+
+    Children come down to one row for each (parent, key), with a count for each rule, which is
+    how the parents' keys are partitioned as well.
+    """
+    parents = sorted({(r.parent, r.parent_column) for _, r in rules})
+    place = {p: n for n, p in enumerate(parents)}
+    kinds = [tables[t].schema[r.column].dataType for t, r in rules]
+    kinds += [tables[p].schema[c].dataType for p, c in parents]
+    kind = "bigint" if all(isinstance(k, T.IntegralType) for k in kinds) else "string"
+    children = []
+    for table in dict.fromkeys(t for t, _ in rules):
+        cells = ", ".join(
+            f"struct({i} AS _rule, {place[r.parent, r.parent_column]} AS _parent, "
+            f"cast({r.column} as {kind}) AS _key)"
+            for i, (t, r) in enumerate(rules) if t == table)
+        children.append(tables[table].selectExpr(f"inline(array({cells}))")
+                        .where("_key IS NOT NULL"))
+    per_key = reduce(DataFrame.unionByName, children).groupBy("_parent", "_key").agg(
+        *[F.expr(f"count_if(_rule = {i}) AS n{i}") for i in range(len(rules))])
+    known = reduce(DataFrame.unionByName, [
+        tables[p].selectExpr(f"{n} AS _parent", f"cast({c} as {kind}) AS _key")
+        for (p, c), n in place.items()])
+    lost = per_key.join(known, ["_parent", "_key"], "left_anti")
+    return _lines(lost.agg(*[F.expr(f"sum(n{i}) AS v{i}") for i in range(len(rules))]), rules)
 
 
 def _duplicates(df: DataFrame, rule: UniqueRule) -> DataFrame:
@@ -194,7 +263,7 @@ def audit(tables: dict[str, DataFrame], rules: dict[str, list[Rule]],
 
     Duplicates count keys, orphans count rows.
     """
-    parts = []
+    parts, references = [], []
     for table, table_rules in rules.items():
         if table not in tables:
             continue
@@ -204,14 +273,23 @@ def audit(tables: dict[str, DataFrame], rules: dict[str, list[Rule]],
             rows += declared(table)
         if rows:
             parts.append(_row_rules(df, table, rows))
-        for rule in table_rules:
-            if isinstance(rule, UniqueRule):
-                parts.append(_counted(_duplicates(df, rule), "count(*)", rule, table))
-            elif isinstance(rule, ReferenceRule) and rule.parent in tables:
-                parts.append(_counted(_orphans(df, rule, tables[rule.parent]), "sum(_n)",
-                                      rule, table))
-            elif isinstance(rule, ChainRule):
-                parts.append(_counted(_broken_chain(df, rule), "count(*)", rule, table))
+        unique = [r for r in table_rules if isinstance(r, UniqueRule)]
+        chains = [r for r in table_rules if isinstance(r, ChainRule)]
+        for chain in chains:
+            shared = [r for r in unique if r.columns == (chain.key,)]
+            shared += [r for r in unique if len(r.columns) > 1 and r.columns[0] == chain.key][:1]
+            unique = [r for r in unique if r not in shared]
+            parts.append(_version_rules(df, table, chain.key, [chain, *shared]))
+        if single := [r for r in unique if len(r.columns) == 1]:
+            parts.append(_key_rules(df, table, single))
+        for rule in unique:
+            if len(rule.columns) > 1:
+                parts.append(_lines(_duplicates(df, rule).agg(F.count("*").alias("v0")),
+                                    [(table, rule)]))
+        references += [(table, r) for r in table_rules
+                       if isinstance(r, ReferenceRule) and r.parent in tables]
+    if references:
+        parts.append(_reference_rules(tables, references))
     return reduce(DataFrame.unionByName, parts)
 
 

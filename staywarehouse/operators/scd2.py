@@ -134,14 +134,15 @@ def with_current_host(properties: DataFrame, hosts: DataFrame) -> DataFrame:
     return found.withColumn("host_sk", F.coalesce("host_sk", F.lit(-1)))
 
 
-def preview(current: DataFrame, staged: DataFrame, dim: Dimension) -> dict[str, DataFrame]:
+def preview(current: DataFrame, staged: DataFrame, dim: Dimension,
+            ignore_case: bool = False) -> dict[str, DataFrame]:
     """What a merge would do: changed keys with old and new values, and keys to insert."""
     s, c = staged.alias("s"), current.where("is_current").alias("c")
     same = F.col(f"s.{dim.key}") == F.col(f"c.{dim.key}")
     pairs = [col for name, source in dim.preview
              for col in (F.col(f"s.{source}").alias(f"new_{name}"),
                          F.col(f"c.{source}").alias(f"old_{name}"))]
-    update = s.join(c, same).where(changed(dim)).select(
+    update = s.join(c, same).where(changed(dim, ignore_case=ignore_case)).select(
         F.lit("would_update").alias("action"), f"s.{dim.key}", f"s.{dim.title}", *pairs,
         *[F.lit("Attributes changed").alias("reason")] * (dim.key == "user_id"))
     insert = s.join(c, same, "left_anti").select(F.lit("would_insert").alias("action"), "s.*")
@@ -151,11 +152,13 @@ def preview(current: DataFrame, staged: DataFrame, dim: Dimension) -> dict[str,
 def merge(current: DataFrame, staged: DataFrame, dim: Dimension, batch_ts: datetime,
           created_by: str, closed: DataFrame | None = None, start_key: int | None = None,
           enrich: Callable[[DataFrame], DataFrame] | None = None,
-          ignore_case: bool = False) -> Merge:
+          ignore_case: bool = False,
+          rewritten: Callable[[DataFrame], DataFrame] | None = None) -> Merge:
     """Apply one staged batch to a dimension.
 
     ``current`` holds the current rows. Keys absent from the batch stay as they are, and so
-    do keys whose tracked columns are equal, whatever their other attributes say.
+    do keys whose tracked columns are equal, whatever their other attributes say. ``rewritten``
+    takes the rows due and returns the current rows that the snapshot must hold (default: all).
     """
     if start_key is None:
         start_key = last_key(current, dim.surrogate)
@@ -182,7 +185,8 @@ def merge(current: DataFrame, staged: DataFrame, dim: Dimension, batch_ts: datet
 
     replaced = due.where("_replaces").select(dim.key, F.lit(True).alias("_closing"))
     closing = F.coalesce("_closing", F.lit(False))
-    kept = (current.where("is_current").join(replaced, dim.key, "left")
+    touched = current if rewritten is None else rewritten(due)
+    kept = (touched.where("is_current").join(replaced, dim.key, "left")
             .withColumn("is_current", ~closing)
             .withColumn("valid_to", F.when(closing, now).otherwise(F.col("valid_to")))
             .withColumn("updated_at", F.when(closing, now).otherwise(F.col("updated_at")))

@@ -7,20 +7,23 @@ itself; a failure is written to the error log and raised again.
 from __future__ import annotations
 
 import getpass
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.sql import DataFrame
 
 from ..operators import audit, facts, metrics, scd2
+from ..functions.dates import moment
 from ..operators.calendar import FIRST_DAY, LAST_DAY, calendar
+from ..operators.keys import materialise
 from ..sources import staging
-from ..sources.store import Store
+from ..sources.store import Store, key_bucket
 
 # Merge and load order.
 MERGE_ORDER = ("dim_users", "dim_hosts", "dim_properties")
-LOAD_ORDER = ("fact_bookings", "fact_payments")
+LOAD_ORDER = ("fact_bookings", "fact_payments", "dim_reviews")
 
 
 @dataclass
@@ -41,17 +44,23 @@ class Run:
         self._last_batch += 1
         return self._last_batch
 
+    @contextmanager
+    def errors_logged(self, procedure: str, batch_id: int | None = None) -> Iterator[None]:
+        """Write an error log row for what goes wrong inside, then raise it again."""
+        try:
+            yield
+        except Exception as error:
+            self.store.log("etl_error_log", audit.error_entry(
+                self.store.spark, batch_id, procedure, error, self.clock(), self.created_by))
+            raise
+
     def _logged(self, table: str, operation: str, procedure: str,
                 work: Callable[[int, datetime], dict]) -> dict:
         """Run ``work`` as one batch with a batch log row, or an error log row."""
         spark, store = self.store.spark, self.store
         batch_id, start = self.next_batch_id(), self.clock()
-        try:
+        with self.errors_logged(procedure, batch_id):
             result = work(batch_id, start)
-        except Exception as error:
-            store.log("etl_error_log", audit.error_entry(
-                spark, batch_id, procedure, error, self.clock(), self.created_by))
-            raise
         store.log("etl_batch_log", audit.batch_entry(
             spark, batch_id, table, operation, result["rows_affected"], start, self.clock(),
             self.created_by))
@@ -67,20 +76,37 @@ class Run:
         self.store.append("dim_dates", days.coalesce(1), self.next_batch_id(), self.clock())
         return True
 
-    def stage(self, frames: dict[str, DataFrame], truncate: bool = False) -> dict[str, int]:
-        """Load the given frames (users, hosts, ...) into their staging tables."""
-        batch_id, now = self.next_batch_id(), self.clock()
-        return {table: staging.load(self.store, df, table, batch_id, now, truncate)
-                for table, df in staging.route(frames)}
+    def stage(self, frames: dict[str, DataFrame], truncate: bool = False,
+              safe: bool = False) -> dict[str, int]:
+        """Load the given frames (users, hosts, ...) into their staging tables.
+
+        ``safe`` sets badly typed rows aside as rejects instead of failing.
+        """
+        batch_id, now, done = self.next_batch_id(), self.clock(), {}
+        with self.errors_logged("stage", batch_id):
+            routed = staging.route(frames)
+        for table, df in routed:
+            with self.errors_logged(f"stage_{table}", batch_id):
+                done[table] = staging.load(self.store, df, table, batch_id, now, truncate, safe)
+        return done
+
+    def _buckets(self, rows: DataFrame, key: str) -> set[int]:
+        """The buckets that ``rows`` touch, of which there are a fixed number."""
+        return {r[0] for r in rows.select(key_bucket(key)).distinct().collect()}
 
     # ---- merges -------------------------------------------------------------------
 
-    def merge_dimension(self, table: str, dry_run: bool = False) -> dict:
-        """Merge the staged rows, or return the previews and write nothing."""
+    def merge_dimension(self, table: str, dry_run: bool = False,
+                        ignore_case: bool = False) -> dict:
+        """Merge the staged rows, or return the previews and write nothing.
+
+        Only the buckets of current rows that the batch changes are written anew.
+        ``ignore_case`` compares texts without regard to case and trailing blanks.
+        """
         dim, store = scd2.DIMENSIONS[table], self.store
         staged = store.read(dim.staging)
         if dry_run:
-            return scd2.preview(store.read_current(table), staged, dim)
+            return scd2.preview(store.read_current(table), staged, dim, ignore_case)
 
         def work(batch_id: int, now: datetime) -> dict:
             state = store.state(table)
@@ -93,10 +119,16 @@ class Run:
 
                 def enrich(rows: DataFrame) -> DataFrame:
                     return scd2.with_current_host(rows, hosts)
+            buckets: set[int] = set()
+
+            def rewritten(due: DataFrame) -> DataFrame:
+                buckets.update(self._buckets(due, dim.key))
+                return store.read_current(table, buckets)
             outcome = scd2.merge(store.read_current(table), staged, dim, now, self.created_by,
-                                 closed, state.last_key, enrich)
+                                 closed, state.last_key, enrich, ignore_case, rewritten)
             if outcome.rows_affected:
-                store.merge(table, outcome.snapshot, batch_id, now, outcome.last_key)
+                store.merge(table, outcome.snapshot, dim.key, batch_id, now, outcome.last_key,
+                            buckets=buckets)
             return {"rows_updated": outcome.rows_updated,
                     "rows_inserted": outcome.rows_inserted,
                     "rows_affected": outcome.rows_affected}
@@ -109,7 +141,7 @@ class Run:
     # ---- facts --------------------------------------------------------------------
 
     def _resolve(self, table: str, staged: DataFrame, loaded: DataFrame,
-                 version_at: str | None) -> DataFrame:
+                 version_at: str | None, also_payment_id: bool) -> DataFrame:
         store, dates = self.store, self.store.read("dim_dates")
         read = store.read if version_at else store.read_current
         if table == "fact_bookings":
@@ -117,13 +149,18 @@ class Run:
                                           read("dim_properties"), dates, version_at)
         if table == "fact_payments":
             return facts.resolve_payments(staged, loaded, store.read("fact_bookings"),
-                                          read("dim_users"), dates, version_at)
+                                          read("dim_users"), dates, version_at,
+                                          also_payment_id)
         return facts.resolve_reviews(staged, loaded, read("dim_users"),
                                      read("dim_properties"), dates, version_at)
 
     def load_fact(self, table: str, dry_run: bool = False, staged: DataFrame | None = None,
-                  version_at: str | None = None) -> dict:
-        """Load one fact from its staging table or a given staged frame."""
+                  version_at: str | None = None, also_payment_id: bool = False) -> dict:
+        """Load one fact from its staging table or a given staged frame.
+
+        ``version_at`` names the date whose dimension versions count; ``also_payment_id`` takes
+        a repeated payment id for a repeated payment as well.
+        """
         fact, store = facts.FACTS[table], self.store
         rows = store.read(fact.staging) if staged is None else staged
         state = store.state(table)
@@ -132,7 +169,7 @@ class Run:
             return {"would_insert": facts.preview(rows, loaded, fact)}
 
         def work(batch_id: int, now: datetime) -> dict:
-            resolved = self._resolve(table, rows, loaded, version_at)
+            resolved = self._resolve(table, rows, loaded, version_at, also_payment_id)
             columns = [c for c in rows.columns if c != facts.ARRIVAL]
             done = facts.load(resolved, fact, columns, now, state.last_key)
             if done.rows_loaded:
@@ -151,17 +188,23 @@ class Run:
     # ---- metrics and totals -------------------------------------------------------
 
     def update_user_metrics(self) -> dict:
-        """Refresh bookings and spending of the current user rows in place."""
+        """Refresh bookings and spending of the current user rows in place.
+
+        All current rows count as affected; only buckets with other figures are written.
+        """
         store = self.store
 
         def work(batch_id: int, now: datetime) -> dict:
             figures = metrics.user_metrics(store.read("dim_users"), store.read("fact_bookings"),
                                            store.read("fact_payments"))
             current = store.read_current("dim_users")
-            refreshed = metrics.refresh_users(current, figures)
-            store.merge("dim_users", refreshed, batch_id, now,
-                        store.state("dim_users").last_key, operation="metrics")
-            return {"rows_affected": store.read_current("dim_users").count()}
+            changed = materialise(metrics.outdated(current, figures), ["user_id"], "user_metrics")
+            if buckets := self._buckets(changed, "user_id"):
+                refreshed = metrics.apply_metrics(store.read_current("dim_users", buckets),
+                                                  changed, moment(now), self.created_by)
+                store.merge("dim_users", refreshed, "user_id", batch_id, now,
+                            store.state("dim_users").last_key, "metrics", buckets)
+            return {"rows_affected": current.count()}
 
         return self._logged("dim_users", "UPDATE_METRICS", "update_user_metrics", work)
 
@@ -171,11 +214,12 @@ class Run:
     # ---- everything ---------------------------------------------------------------
 
     def run(self, frames: dict[str, DataFrame] | None = None, truncate: bool = False,
-            merge: bool = True, load: bool = True, refresh_metrics: bool = True) -> dict:
+            merge: bool = True, load: bool = True, refresh_metrics: bool = True,
+            safe: bool = False) -> dict:
         """All stages, or those asked for, in order; returns what each stage did."""
         done: dict = {"dates": self.populate_dates()}
         if frames:
-            done["staged"] = self.stage(frames, truncate)
+            done["staged"] = self.stage(frames, truncate, safe)
         if merge:
             done["merges"] = self.merge_all(dry_run=False)
         if load:

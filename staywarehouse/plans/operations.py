@@ -11,10 +11,10 @@ PREVIEW_ROWS = 5
 
 # name -> (what it does, whether it has a dry run)
 OPERATIONS = {
-    "merge_dim_users": (lambda run, dry, **k: run.merge_dimension("dim_users", dry), True),
-    "merge_dim_hosts": (lambda run, dry, **k: run.merge_dimension("dim_hosts", dry), True),
+    "merge_dim_users": (lambda run, dry, **k: run.merge_dimension("dim_users", dry, **k), True),
+    "merge_dim_hosts": (lambda run, dry, **k: run.merge_dimension("dim_hosts", dry, **k), True),
     "merge_dim_properties": (
-        lambda run, dry, **k: run.merge_dimension("dim_properties", dry), True),
+        lambda run, dry, **k: run.merge_dimension("dim_properties", dry, **k), True),
     "load_fact_bookings": (lambda run, dry, **k: run.load_fact("fact_bookings", dry, **k), True),
     "load_fact_payments": (lambda run, dry, **k: run.load_fact("fact_payments", dry, **k), True),
     "load_dim_reviews": (lambda run, dry, **k: run.load_fact("dim_reviews", dry, **k), True),

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.money import percent
+from ..operators.lookup import lookup
 
 _MONEY = "decimal(38,2)"
 
@@ -43,10 +44,10 @@ def _on_version(per_key: DataFrame, properties: DataFrame, columns: list[str],
     """
     current = properties.where("is_current")
     if not repoint:
-        return per_key.join(current.select("property_sk", *columns), "property_sk")
+        return lookup(per_key, current.select("property_sk", *columns), "property_sk", "inner")
     owner = properties.select("property_sk", "property_id")
-    return (per_key.join(owner, "property_sk")
-            .join(current.select("property_id", *columns), "property_id"))
+    return lookup(lookup(per_key, owner, "property_sk", "inner"),
+                  current.select("property_id", *columns), "property_id", "inner")
 
 
 def revenue_by_place(bookings: DataFrame, properties: DataFrame, repoint: bool = False,

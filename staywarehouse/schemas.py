@@ -21,6 +21,7 @@ _VERSION_COLUMNS = """
     created_at timestamp_ntz not null, created_by string not null,
     updated_at timestamp_ntz, updated_by string"""
 
+# Columns, types and not-null marks of all tables.
 _DDL = {
     # staging
     "tb_user": """
@@ -164,6 +165,7 @@ STAGING_ROUTES = {
     "properties": "tb_property",
     "bookings": "tb_booking",
     "payments": "tb_payment",
+    "reviews": "tb_review",
 }
 
 # Columns that hold GUIDs.
@@ -251,11 +253,17 @@ def empty(spark: SparkSession, struct: T.StructType) -> DataFrame:
 
 def enforce(df: DataFrame, table: str, computed: Mapping[str, Column] | None = None,
             safe: bool = False) -> DataFrame:
-    """Project ``df`` on the declared columns, filling defaults and casting.
+    """Project ``df`` on the declared columns, filling defaults and casting."""
+    return df.select(*typed(df, table, computed, safe))
+
+
+def typed(df: DataFrame, table: str, computed: Mapping[str, Column] | None = None,
+          safe: bool = False) -> list[Column | str]:
+    """The declared columns of ``table`` as expressions over ``df``.
 
     A column missing from ``df`` takes its value from ``computed``, then from the declared
     default, then NULL. A column that is present keeps its value, NULLs taking the default.
-    ``safe`` turns a bad cast into NULL, to be reported by the audit, instead of an error.
+    ``safe`` turns a bad cast into NULL, to be rejected by the caller, instead of an error.
     """
     computed = computed or {}
     defaults = DEFAULTS.get(table, {})
@@ -276,4 +284,4 @@ def enforce(df: DataFrame, table: str, computed: Mapping[str, Column] | None = N
             if name in defaults:
                 value = f"coalesce({value}, {defaults[name]})"
             out.append(F.expr(f"{cast}({value} as {kind.simpleString()}) as {name}"))
-    return df.select(*out)
+    return out

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings the jobs count on; all but the zone are Spark's defaults, stated to be explicit.
 SETTINGS = {
@@ -41,6 +41,21 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
+def kept_once(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``df`` written to the shared folder and read back, and where it lies."""
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete one scratch table that no later read needs; other paths are refused."""
+    if not path.startswith(f"{shared_folder(spark)}/staywarehouse/"):
+        raise ValueError(f"{path} is not a scratch table")
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path for one written intermediate table."""
     app = spark.sparkContext.applicationId

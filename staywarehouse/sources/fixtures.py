@@ -37,7 +37,8 @@ class TestTables:
         places = self.raw("nation").join(self.raw("region"), F.expr("n_regionkey = r_regionkey"))
         return self.raw(table).join(places, F.expr(f"{nation} = n_nationkey"))
 
-    def users(self, batch: int) -> DataFrame:
+    def users(self, batch: int, whole: bool = False) -> DataFrame:
+        """Users of a batch; each batch lacks some customers unless the ``whole`` is asked for."""
         number = "concat('+55', c_custkey + 10000000)"
         kind = ("CASE c_mktsegment WHEN 'AUTOMOBILE' THEN 'vip' WHEN 'BUILDING' THEN 'premium' "
                 "ELSE 'standard' END")
@@ -53,7 +54,8 @@ class TestTables:
                      "THEN 'vip' ELSE 'premium' END")
             kind = f"if(c_custkey % 5 = 0, {moved}, {kind})"
             verified = "(c_custkey % 2 = 0) <> (c_custkey % 17 = 0)"
-        return self._placed("customer", "c_nationkey").where(keep).selectExpr(
+        rows = self._placed("customer", "c_nationkey")
+        return (rows if whole else rows.where(keep)).selectExpr(
             "cast(c_custkey + 1 as int) AS user_id",
             "md5(concat('user:', c_custkey)) AS user_uuid", "c_name AS full_name",
             _email("c_name"), f"{phone} AS phone", "r_name AS country", f"{city} AS city",
@@ -155,10 +157,10 @@ class TestTables:
             "CASE event_id % 3 WHEN 0 THEN 'mobile' WHEN 1 THEN 'desktop' ELSE 'tablet' END "
             "AS device_type", "ts AS event_timestamp")
 
-    def staged(self, table: str, batch: int = 1) -> DataFrame:
+    def staged(self, table: str, batch: int = 1, whole: bool = False) -> DataFrame:
         """The cleaned and typed staging frame of a table."""
         source = {
-            "tb_user": lambda: self.users(batch), "tb_host": lambda: self.hosts(batch),
+            "tb_user": lambda: self.users(batch, whole), "tb_host": lambda: self.hosts(batch),
             "tb_property": lambda: self.properties(batch), "tb_booking": self.bookings,
             "tb_payment": self.payments, "tb_review": self.reviews, "tb_click": self.clicks,
         }[table]()

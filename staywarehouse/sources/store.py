@@ -5,8 +5,9 @@ commit row saying which directories the table gained and lost. Readers see the d
 of the committed rows only: a batch that fails before its commit row leaves the table as it
 was. Directories being read are never overwritten. One writer per table is assumed.
 
-``<root>/data/<table>/batch_id=<n>[/is_current=<bool>]`` holds rows, ``<root>/commits/<table>``
-the commit rows. Paths may be on any file system Spark can write to.
+``<root>/data/<table>/batch_id=<n>[/is_current=<bool>/key_bucket=<k>]`` holds rows,
+``<root>/commits/<table>`` the commit rows. A merge replaces only the buckets of current rows
+that it touches. Paths may be on any file system Spark can write to.
 """
 
 from __future__ import annotations
@@ -16,11 +17,14 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from ..schemas import empty, nullable, one_row, schema
 
-Verify = Callable[[DataFrame], None]
+Verify = Callable[[DataFrame, DataFrame | None], None]
+
+#: Current rows of a dimension lie in this many directories, by hash of the business key.
+KEY_BUCKETS = 64
 
 _COMMIT = T.StructType([
     T.StructField("batch_id", T.LongType()), T.StructField("table_name", T.StringType()),
@@ -31,6 +35,11 @@ _COMMIT = T.StructType([
     T.StructField("batch_ts", T.StringType())])
 
 
+def key_bucket(key: str) -> Column:
+    """The bucket of a business key."""
+    return F.pmod(F.xxhash64(key), F.lit(KEY_BUCKETS)).cast("int")
+
+
 @dataclass(frozen=True)
 class State:
     """What the commit rows of a table add up to; their number is the number of batches."""
@@ -90,13 +99,17 @@ class Store:
         """The committed rows with the declared schema; an unknown table is empty."""
         return self._read(table, self.state(table).paths)
 
+    def _versions(self, table: str, current: bool, buckets: set[int] | None = None) -> list[str]:
+        """Paths of current or closed rows, of the given buckets only if there are any."""
+        mark = f"/is_current={str(current).lower()}/key_bucket="
+        return [p for p in self.state(table).paths
+                if mark in p and (buckets is None or int(p.split(mark)[1]) in buckets)]
+
     def read_closed(self, table: str) -> DataFrame:
-        paths = [p for p in self.state(table).paths if p.endswith("is_current=false")]
-        return self._read(table, paths)
+        return self._read(table, self._versions(table, False))
 
-    def read_current(self, table: str) -> DataFrame:
-        paths = [p for p in self.state(table).paths if p.endswith("is_current=true")]
-        return self._read(table, paths)
+    def read_current(self, table: str, buckets: set[int] | None = None) -> DataFrame:
+        return self._read(table, self._versions(table, True, buckets))
 
     def _read(self, table: str, paths: Iterable[str]) -> DataFrame:
         declared = schema(table)
@@ -113,8 +126,7 @@ class Store:
     def _written(self, table: str, path: str) -> int:
         """Rows of a just written directory, from its file footers."""
         try:
-            return self.spark.read.schema(nullable(schema(table))).parquet(
-                f"{self._base(table)}/{path}").count()
+            return self.spark.read.schema(nullable(schema(table))).parquet(path).count()
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -138,33 +150,40 @@ class Store:
 
     def _put(self, table: str, df: DataFrame, batch_id: int, batch_ts: datetime,
              last_key: int | None, truncate: bool, verify: Verify | None) -> int:
-        """Write, let ``verify`` raise on what the table would become, then commit."""
+        """Write, let ``verify`` raise on the new rows and those before, then commit."""
         before = self.state(table)
         if batch_id in before.batches:
             raise ValueError(f"{table}: batch {batch_id} is already committed")
         path = f"batch_id={batch_id}"
         df.write.mode("overwrite").parquet(f"{self._base(table)}/{path}")
-        rows = self._written(table, path)
+        rows = self._written(table, f"{self._base(table)}/{path}")
         removed = list(before.paths) if truncate else []
         if verify is not None:
-            kept = [] if truncate else before.paths
-            verify(self._read(table, [*kept, path]))
+            earlier = self._read(table, before.paths) if before.paths and not truncate else None
+            verify(self._read(table, [path]), earlier)
         self._commit(table, batch_id, "replace" if truncate else "append", [path], removed,
                      rows, before.last_key if last_key is None else last_key, batch_ts)
         return rows
 
-    def merge(self, table: str, snapshot: DataFrame, batch_id: int, batch_ts: datetime,
-              last_key: int, operation: str = "merge") -> None:
-        """Commit a merge: new current rows replace the old ones, closed rows are added."""
-        path = f"batch_id={batch_id}"
-        (snapshot.write.mode("overwrite").partitionBy("is_current")
-         .parquet(f"{self._base(table)}/{path}"))
-        counts = {value: self._written(table, f"{path}/is_current={value}")
-                  for value in ("true", "false")}
-        added = [f"{path}/is_current={value}" for value, rows in counts.items() if rows]
-        removed = [p for p in self.state(table).paths if p.endswith("is_current=true")]
-        self._commit(table, batch_id, operation, added, removed, sum(counts.values()),
-                     last_key, batch_ts)
+    def merge(self, table: str, snapshot: DataFrame, key: str, batch_id: int,
+              batch_ts: datetime, last_key: int, operation: str = "merge",
+              buckets: set[int] | None = None) -> None:
+        """Commit a merge: new current rows replace the old ones, closed rows are added.
+
+        ``snapshot`` holds whole buckets of ``key``: all, or those in ``buckets``.
+        """
+        path = f"{self._base(table)}/batch_id={batch_id}"
+        split = ("is_current", "key_bucket")
+        (snapshot.withColumn("key_bucket", key_bucket(key)).hint("rebalance", *split)
+         .write.mode("overwrite").partitionBy(*split).parquet(path))
+        fields = T.StructType([*nullable(schema(table)),
+                               T.StructField("key_bucket", T.IntegerType())])
+        written = (self.spark.read.schema(fields).parquet(path).groupBy(*split)
+                   .agg(F.count("*").alias("n")).collect() if self._written(table, path) else [])
+        added = [f"batch_id={batch_id}/is_current={str(r.is_current).lower()}/"
+                 f"key_bucket={r.key_bucket}" for r in written]
+        self._commit(table, batch_id, operation, added, self._versions(table, True, buckets),
+                     sum(r["n"] for r in written), last_key, batch_ts)
 
     def create(self, table: str) -> bool:
         """Register an empty table unless it exists."""
@@ -178,10 +197,16 @@ class Store:
         rejects.write.mode("overwrite").parquet(
             f"{self.root}/rejects/{table}/batch_id={batch_id}")
 
-    def read_rejects(self, table: str, staging_table: str) -> DataFrame:
-        """Rejected rows of all loads; those of a failed load may be among them."""
-        fields = T.StructType([*nullable(schema(staging_table)),
-                               T.StructField("reject_reason", T.StringType()),
+    def read_rejects(self, table: str, staging_table: str | None = None) -> DataFrame:
+        """Rejected rows of all loads, told apart by ``batch_id``.
+
+        Rows that a fact load rejects again are there once for each load, the highest
+        ``batch_id`` being the latest; those of a failed load may be among them. Without
+        ``staging_table`` the rejects of a staging load, as JSON in ``raw``.
+        """
+        rows = (nullable(schema(staging_table)) if staging_table
+                else [T.StructField("raw", T.StringType())])
+        fields = T.StructType([*rows, T.StructField("reject_reason", T.StringType()),
                                T.StructField("batch_id", T.LongType())])
         try:
             return self.spark.read.schema(fields).parquet(f"{self.root}/rejects/{table}")

@@ -3,7 +3,8 @@
 Every micro-batch goes through the same load as a batch run. Rows already in the fact are
 left out by their business key, so a micro-batch that runs twice adds nothing. Copies of a key
 are settled alike whether they come in one micro-batch or in several: the first to arrive (by
-time of the file, path and place in it) is loaded.
+time of the file, path and place in it) is loaded. A micro-batch is cleaned, typed and written
+once, and removed when its load is done; failures go to the error log.
 """
 
 from __future__ import annotations
@@ -11,9 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from ..functions.dates import moment
 from ..operators.facts import ARRIVAL, FACTS
 from ..plans.full_load import Run
-from ..schemas import nullable, schema
+from ..schemas import STAGING_KEYS, nullable, schema, typed
+from ..session import discard, kept_once
+from ..sources import staging
 
 
 def stream_fact(run: Run, table: str, folder: str, checkpoint: str,
@@ -26,7 +30,12 @@ def stream_fact(run: Run, table: str, folder: str, checkpoint: str,
                                               "_metadata.file_path", "_metadata.row_index")))
 
     def load(rows: DataFrame, _: int) -> None:
-        run.load_fact(table, staged=rows)
+        with run.errors_logged(f"stream_{table}"):
+            ready = staging.clean(rows, STAGING_KEYS[fact.staging])
+            columns = typed(ready, fact.staging, {"loaded_at": moment(run.clock())})
+            kept, path = kept_once(ready.select(*columns, ARRIVAL), f"stream-{table}")
+        run.load_fact(table, staged=kept)
+        discard(run.store.spark, path)
 
     return (arriving.writeStream.foreachBatch(load).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

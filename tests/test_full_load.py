@@ -33,7 +33,8 @@ def test_everything_once_and_again(spark, store, clock, frames):
     assert store.create("dim_users") and not store.create("dim_users")
     done = run.run(frames)
     assert done["dates"] and done["staged"] == {
-        "tb_user": 300, "tb_host": 60, "tb_property": 150, "tb_booking": 900, "tb_payment": 400}
+        "tb_user": 300, "tb_host": 60, "tb_property": 150, "tb_booking": 900, "tb_payment": 400,
+        "tb_review": frames["reviews"].count()}
     assert done["merges"]["dim_users"]["rows_affected"] == 300
     assert done["loads"]["fact_bookings"]["rows_loaded"] == 900
     assert done["loads"]["fact_payments"]["rows_loaded"] == 400
@@ -44,9 +45,10 @@ def test_everything_once_and_again(spark, store, clock, frames):
     assert (spent[0], spent[1]) == (paid[0], 900)
     audit = quality.audit({t: store.read(t) for t in quality.RULES}, quality.RULES)
     assert audit.where("violations > 0 and rule <> 'Q-13'").isEmpty()
+    assert done["loads"]["dim_reviews"]["rows_loaded"] == frames["reviews"].count() > 0
     reviewed = run.load_fact("dim_reviews",
                              staged=staging.prepare(frames["reviews"], "tb_review", clock()))
-    assert reviewed["rows_loaded"] == frames["reviews"].count()
+    assert reviewed["rows_loaded"] == 0
     assert run.totals().first().payments == 400
 
     # the same batch again: nothing changes, and the log says so
@@ -54,7 +56,7 @@ def test_everything_once_and_again(spark, store, clock, frames):
     again = run.run(frames, truncate=True)
     assert not again["dates"]
     assert [m["rows_affected"] for m in again["merges"].values()] == [0, 0, 0]
-    assert [m["rows_loaded"] for m in again["loads"].values()] == [0, 0]
+    assert [m["rows_loaded"] for m in again["loads"].values()] == [0, 0, 0]
     assert {t: store.state(t).paths for t in before} == before
     log = run.etl_summary().collect()
     assert [r.rows_affected for r in log if r.table_name == "fact_bookings"] == [0, 900]
@@ -119,7 +121,7 @@ def test_duplicate_keys_reject_the_batch(spark, store, clock, frames):
         staging.load(store, double, "tb_user", 1, clock())
     assert store.read("tb_user").isEmpty()
     assert staging.load(store, frames["users"], "tb_user", 2, clock()) == 300
-    with pytest.raises(ValueError, match="is not unique"):
+    with pytest.raises(ValueError, match="is not unique, staged rows have it too"):
         staging.load(store, frames["users"], "tb_user", 3, clock())
     assert store.read("tb_user").count() == 300
     with pytest.raises(ValueError, match="already committed"):
@@ -226,3 +228,80 @@ def test_copies_of_a_key_are_settled_alike(spark, store, clock, frames):
 def test_unknown_frames_are_refused(frames):
     with pytest.raises(ValueError, match="no staging table for clicks"):
         staging.route({"clicks": frames["users"]})
+
+
+def test_a_merge_rewrites_touched_buckets_only(spark, store, clock, frames):
+    run = Run(store, "t", clock)
+    run.run({"users": frames["users"]}, load=False, refresh_metrics=False)
+    before = {p: store._read("dim_users", [p]).inputFiles() for p in store.state("dim_users").paths}
+    run.stage({"users": frames["users"].withColumn(
+        "city", F.expr("if(user_id = 7, 'Elsewhere', city)"))}, truncate=True)
+    assert run.merge_dimension("dim_users")["rows_updated"] == 1
+    paths = store.state("dim_users").paths
+    left = set(before) - set(paths)
+    assert len(left) == 1 and {len(p.split("/")) for p in paths} == {3}
+    assert all(store._read("dim_users", [p]).inputFiles() == before[p]
+               for p in set(before) - left)
+    rows = store.read("dim_users")
+    assert rows.count() == 301 and rows.where("is_current").count() == 300
+    assert [r.city for r in rows.where("user_id = 7").orderBy("version_number").collect()][1:] == [
+        "Elsewhere"]
+
+
+def test_metrics_write_changed_buckets_and_mark_rows(spark, store, clock, frames):
+    run = Run(store, "t", clock)
+    run.run({**frames, "users": frames["users"].drop("total_bookings", "total_spent")})
+    marked = store.read_current("dim_users").where("updated_by = 't'")
+    changed = store.read_current("dim_users").where("total_bookings > 0 or total_spent > 0")
+    assert marked.count() == changed.count() > 0
+    state = store.state("dim_users")
+    assert run.update_user_metrics()["rows_affected"] == 300
+    assert store.state("dim_users") == state
+
+
+def test_bad_rows_go_to_the_rejects(spark, store, clock, frames):
+    run = Run(store, "t", clock)
+    odd = frames["users"].withColumns({
+        "is_verified": F.expr("if(user_id = 3, 'perhaps', cast(is_verified as string))"),
+        "email": F.expr("if(user_id = 4, null, email)"),
+        "phone": F.expr("if(user_id = 5, repeat('1', 21), phone)")})
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        run.stage({"users": odd})
+    assert [e.error_procedure for e in run.error_summary().collect()] == ["stage_tb_user"]
+    assert run.stage({"users": odd}, safe=True) == {"tb_user": 297}
+    kept = store.read_rejects("tb_user").collect()
+    assert sorted(r.reject_reason for r in kept) == ["bad_is_verified", "long_phone",
+                                                     "missing_email"]
+    assert all('"user_id":' in r.raw for r in kept)
+    missing = staging.sorted_out(frames["users"].drop("email"), "tb_user", clock())
+    assert missing.where("reject_reason is null").isEmpty()
+    assert staging.load(store, frames["hosts"].where("false"), "tb_host", 50, clock(),
+                        safe=True) == 0
+
+
+def test_options_reach_the_operators(spark, store, clock, frames):
+    run = Run(store, "t", clock)
+    some = {k: frames[k] for k in ("users", "hosts", "properties", "bookings", "payments")}
+    run.run(some)
+    loud = frames["users"].withColumn("city", F.upper("city")).withColumn(
+        "country", F.lower("country"))
+    run.stage({"users": loud}, truncate=True)
+    sets = operations.preview(run, "merge_dim_users", ignore_case=True)
+    assert sets["would_update"].isEmpty()
+    assert operations.execute(run, "merge_dim_users", ignore_case=True)["rows_affected"] == 0
+    assert not operations.preview(run, "merge_dim_users")["would_update"].isEmpty()
+    again = staging.prepare(frames["payments"], "tb_payment", clock()).withColumn(
+        "transaction_id", F.concat(F.lit("x"), "transaction_id"))
+    assert operations.execute(run, "load_fact_payments", staged=again,
+                              also_payment_id=True)["rows_loaded"] == 0
+
+
+def test_a_failing_stream_is_logged(spark, store, clock, frames):
+    run = Run(store, "t", clock)
+    folder = scratch_path(spark, "arrive")
+    staging.prepare(frames["bookings"], "tb_booking", clock()).withColumn(
+        "checkin_date", F.lit("soon")).write.parquet(folder)
+    with pytest.raises(Exception):
+        stream_fact(run, "fact_bookings", folder, scratch_path(spark, "ckpt")).awaitTermination()
+    assert {e.error_procedure for e in run.error_summary().collect()} == {"stream_fact_bookings"}
+    assert store.read("fact_bookings").isEmpty()

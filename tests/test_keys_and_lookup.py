@@ -72,3 +72,27 @@ def test_copies_of_one_row_spread_over_the_salts(spark):
     table = spark.sql("select 1 k, 5 sk")
     joined = lookup.salted_lookup(rows, table, "k")
     assert joined.count() == 8000 and joined.agg({"sk": "sum"}).first()[0] == 40000
+
+
+def test_rows_without_a_key_spread_and_versions_are_found_under_skew(spark):
+    """A third of the rows has no key, a third the same one."""
+    from staywarehouse.operators.history import as_of
+    rows = spark.range(9000).selectExpr(
+        "id", "case id % 3 when 0 then null when 1 then 5 else id end AS k",
+        "timestamp_ntz'2024-01-15' AS at")
+    versions = spark.range(9000).selectExpr(
+        "id AS k", "timestamp_ntz'2024-01-01' AS valid_from",
+        "timestamp_ntz'2024-02-01' AS valid_to", "id + 1 AS sk")
+    salted, _ = lookup.salted_sides(rows, versions, "k")
+    largest = salted.groupBy("k", "_salt").count().agg(F.max("count")).first()[0]
+    assert largest < 3000 / lookup.SALTS * 2
+    plain = as_of(rows, versions, "k", "at", ["sk"])
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    try:
+        split = as_of(rows, versions, "k", "at", ["sk"])
+        assert "_salt" in split._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    assert split.columns == plain.columns == ["id", "k", "at", "sk"]
+    assert split.exceptAll(plain).isEmpty() and plain.exceptAll(split).isEmpty()
+    assert split.where("sk is null").count() == 3000

@@ -12,6 +12,7 @@ import json
 import os
 import platform
 import statistics
+import tempfile
 import time
 
 import pyspark
@@ -39,6 +40,7 @@ def main() -> None:
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     spark = (session.builder("bench").master(f"local[{cpus}]")
              .config("spark.ui.enabled", "false").config("spark.driver.memory", "8g")
+             .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="staywarehouse-"))
              .config("spark.sql.shuffle.partitions", cpus).getOrCreate())
     spark.sparkContext.setLogLevel("ERROR")
     start = time.perf_counter()

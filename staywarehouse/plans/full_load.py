@@ -18,6 +18,7 @@ from ..operators import audit, facts, metrics, scd2
 from ..functions.dates import moment
 from ..operators.calendar import FIRST_DAY, LAST_DAY, calendar
 from ..operators.keys import materialise
+from ..session import scratch_released
 from ..sources import staging
 from ..sources.store import Store, key_bucket
 
@@ -59,7 +60,7 @@ class Run:
         """Run ``work`` as one batch with a batch log row, or an error log row."""
         spark, store = self.store.spark, self.store
         batch_id, start = self.next_batch_id(), self.clock()
-        with self.errors_logged(procedure, batch_id):
+        with self.errors_logged(procedure, batch_id), scratch_released(spark):
             result = work(batch_id, start)
         store.log("etl_batch_log", audit.batch_entry(
             spark, batch_id, table, operation, result["rows_affected"], start, self.clock(),

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -56,7 +59,26 @@ def discard(spark: SparkSession, path: str) -> None:
     place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
+_made: ContextVar[list[str] | None] = ContextVar("scratch tables made", default=None)
+
+
+@contextmanager
+def scratch_released(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch tables made inside once all is done; after a failure they stay."""
+    made: list[str] = []
+    before = _made.set(made)
+    try:
+        yield
+    finally:
+        _made.reset(before)
+    for path in made:
+        discard(spark, path)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh path for one written intermediate table."""
     app = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/staywarehouse/{app}/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/staywarehouse/{app}/{label}-{uuid.uuid4().hex}"
+    if (made := _made.get()) is not None:
+        made.append(path)
+    return path

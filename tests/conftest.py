@@ -9,8 +9,9 @@ from staywarehouse import session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     made = (session.builder("tests").master("local[8]").config("spark.ui.enabled", "false")
+            .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
             .config("spark.sql.shuffle.partitions", "8").getOrCreate())
     made.sparkContext.setLogLevel("ERROR")
     yield made

@@ -305,3 +305,14 @@ def test_a_failing_stream_is_logged(spark, store, clock, frames):
         stream_fact(run, "fact_bookings", folder, scratch_path(spark, "ckpt")).awaitTermination()
     assert {e.error_procedure for e in run.error_summary().collect()} == {"stream_fact_bookings"}
     assert store.read("fact_bookings").isEmpty()
+
+
+def test_scratch_tables_go_when_a_batch_is_done(spark, store, clock, frames):
+    from pathlib import Path
+    from staywarehouse.session import shared_folder
+    home = Path(shared_folder(spark)) / "staywarehouse" / spark.sparkContext.applicationId
+    run = Run(store, "t", clock)
+    kept = {p.name for p in home.iterdir()} | {Path(store.root).name}
+    run.run({k: frames[k] for k in ("users", "hosts", "properties", "bookings")})
+    assert {p.name for p in home.iterdir()} == kept
+    assert store.read("fact_bookings").count() == 900

@@ -207,6 +207,16 @@ def _key_rules(df: DataFrame, table: str, rules: list[UniqueRule]) -> DataFrame:
                               for i in range(len(rules))]), [(table, r) for r in rules])
 
 
+def _without(per_key: DataFrame, known: DataFrame, key: list[str]) -> DataFrame:
+    """Rows of ``per_key`` whose key is not known.
+
+    An outer join, as Spark moves an anti join below the aggregation, where a hot key is not
+    one row yet and every table would be joined with all parents.
+    """
+    marked = known.withColumn("_known", F.lit(True))
+    return per_key.join(marked, key, "left").where("_known IS NULL").drop("_known")
+
+
 def _reference_rules(tables: dict[str, DataFrame],
                      rules: list[tuple[str, ReferenceRule]]) -> DataFrame:
     """References of all tables at once: every table and every parent is read one time.
@@ -232,7 +242,7 @@ def _reference_rules(tables: dict[str, DataFrame],
     known = reduce(DataFrame.unionByName, [
         tables[p].selectExpr(f"{n} AS _parent", f"cast({c} as {kind}) AS _key")
         for (p, c), n in place.items()])
-    lost = per_key.join(known, ["_parent", "_key"], "left_anti")
+    lost = _without(per_key, known, ["_parent", "_key"])
     return _lines(lost.agg(*[F.expr(f"sum(n{i}) AS v{i}") for i in range(len(rules))]), rules)
 
 
@@ -244,8 +254,8 @@ def _duplicates(df: DataFrame, rule: UniqueRule) -> DataFrame:
 def _orphans(df: DataFrame, rule: ReferenceRule, parent: DataFrame) -> DataFrame:
     per_key = (df.where(F.col(rule.column).isNotNull()).groupBy(rule.column)
                .agg(F.count("*").alias("_n")))
-    keys = parent.select(F.col(rule.parent_column).alias("_key"))
-    return per_key.join(keys, F.col(rule.column) == F.col("_key"), "left_anti")
+    keys = parent.select(F.col(rule.parent_column).alias(rule.column))
+    return _without(per_key, keys, [rule.column])
 
 
 def _broken_chain(df: DataFrame, rule: ChainRule) -> DataFrame:

@@ -1,17 +1,19 @@
 r"""Line dedup with a log-template tree.
 
 A line is ``\n``-split; its tokens are what ASCII white space leaves, and a token with a digit is
-a variable field. The tree has a level for the number of tokens and one for the leading tokens;
-lines in one leaf whose tokens agree, position by position, for at least ``similar`` of the line
-become one template, with the differing positions generalised. A template that occurs in two or
+a variable field. The tree has a level for the number of tokens and one for the ``DEPTH`` leading
+tokens. The lines of a leaf are taken by first document: a line joins the first template that it
+agrees with, position by position, for at least ``similar`` of the line, or begins a template; the
+positions in which lines of a template differ are generalised. A template that occurs in two or
 more documents is recurring: its lines stay in the document of the least doc_id and are dropped
 from all others. Lines of fewer than ``least`` tokens are left alone.
 
 The tree is built by shuffles, not in one place. Lines that are the same once variable fields are
-masked are one row (a very common line is combined before it is shuffled). A leaf that holds more
-than ``WIDE`` different lines goes on by twice as many leading tokens, and so on up to the whole
-line; so no group that a task compares line by line holds more than ``WIDE`` of them, and nothing
-is left out. Tokens travel as 16 bits of their hash, which is what the comparison needs.
+masked are one row (a very common line is combined before it is shuffled). A leaf of up to ``WIDE``
+different lines is one group. A wider one is worked off in rounds with the same result: one task
+finds the templates that the first lines begin, all lines of the leaf meet these in groups of
+bounded size, and those that join none go on to the next round. Tokens travel as 16 bits of their
+hash, which is what the comparison needs.
 
 Defined results: null and empty texts have no lines to drop and stay; lines repeated within one
 document do not recur by that; rows of one doc_id are one document; rows without doc_id count as
@@ -23,14 +25,15 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from .flat import INK, Flat, hashes, lines, mix, runs, spans
 from .scratch import settled
 
 LEAST, SIMILAR = 4, 0.7
-DEPTHS = (4, 8, 16)
-WIDE = 64
+DEPTH = 4
+#: Lines of a leaf that one task takes at once; the templates do not depend on it.
+WIDE = 1000
 
 _DIGIT = np.zeros(256, np.int64)
 _DIGIT[48:58] = 1
@@ -38,7 +41,7 @@ _FIELD = np.uint64(0x2545F4914F6CDD1D)
 
 
 def _parse(flat: Flat):
-    """Lines (starts, ends, texts), and for each: tokens, first token, whole hash, leaf hashes."""
+    """Lines (starts, ends, texts), and for each: tokens, first token, leaf hash, whole hash."""
     starts, ends, texts = lines(flat)
     first, last, _ = spans(flat, INK)
     token = hashes(flat.data, first, last)
@@ -50,7 +53,7 @@ def _parse(flat: Flat):
     place = np.arange(len(token)) - np.repeat(at[:-1], count)
     spread = mix(token + (place.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
     out = []
-    for depth in (*DEPTHS, None):
+    for depth in (DEPTH, None):
         total = np.zeros(len(token) + 1, np.uint64)
         np.cumsum(spread if depth is None else np.where(place < depth, spread, 0), out=total[1:],
                   dtype=np.uint64)
@@ -73,7 +76,7 @@ def _slim(documents: DataFrame, least: int) -> DataFrame:
         for batch in batches:
             doc = _doc(batch)
             for first, flat in runs(batch["text"]):
-                _, _, texts, count, _, _, (leaf, *_, line) = _parse(flat)
+                _, _, texts, count, _, _, (leaf, line) = _parse(flat)
                 own = np.flatnonzero(count >= least)
                 order = own[np.lexsort((line[own], texts[own]))]
                 new = np.ones(len(order), bool)
@@ -88,49 +91,124 @@ def _slim(documents: DataFrame, least: int) -> DataFrame:
 
 
 def _full(documents: DataFrame, least: int) -> DataFrame:
-    """(line, tokens as 16-bit hashes, leaves by depth), once for each different line of a run."""
+    """(line, tokens as 16-bit hashes), once for each different line of a run."""
     def work(batches):
         for batch in batches:
             for _, flat in runs(batch["text"]):
-                _, _, _, count, at, token, (*leaves, line) = _parse(flat)
+                _, _, _, count, at, token, (_, line) = _parse(flat)
                 own = np.flatnonzero(count >= least)
                 own = own[np.unique(line[own], return_index=True)[1]]
                 short = (token >> np.uint64(48)).astype(np.uint16)
                 data = [short[at[i]:at[i + 1]].tobytes() for i in own.tolist()]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(line[own].view(np.int64)), pa.array(data, pa.binary()),
-                     *[pa.array(x[own].view(np.int64)) for x in leaves]],
-                    names=["line", "tokens", *[f"leaf_{d}" for d in DEPTHS]])
+                    [pa.array(line[own].view(np.int64)), pa.array(data, pa.binary())],
+                    names=["line", "tokens"])
 
-    kinds = ", ".join(f"leaf_{d} long" for d in DEPTHS)
-    return _texts(documents).mapInArrow(work, f"line long, tokens binary, {kinds}")
+    return _texts(documents).mapInArrow(work, "line long, tokens binary")
 
 
-def grow(leaf: list[dict], similar: float) -> list[tuple[int, int]]:
-    """(line, owner) of the recurring lines of one leaf; its lines have as many tokens.
-
-    Lines join, by first document, the template that they agree with most.
-    """
+def _ordered(leaf: list[dict]) -> tuple[list[dict], np.ndarray]:
+    """Lines of one leaf in the order in which they are taken, and their tokens."""
     leaf = sorted(leaf, key=lambda x: (x["first"], x["line"]))
-    tokens = np.stack([np.frombuffer(x["tokens"], np.uint16) for x in leaf])
-    made = np.zeros_like(tokens)
-    fixed = np.zeros(tokens.shape, bool)
-    groups: list[list[int]] = []
-    for i, own in enumerate(tokens):
-        k = len(groups)
-        share = ((made[:k] == own) & fixed[:k]).mean(1)
-        best = int(share.argmax()) if k else 0
-        if k and share[best] >= similar:
-            fixed[best] &= made[best] == own
-            groups[best].append(i)
-        else:
-            made[k], fixed[k] = own, True
-            groups.append([i])
-    out = []
-    for group in groups:
-        owner = min(leaf[i]["first"] for i in group)
-        if max(leaf[i]["last"] for i in group) > owner:
-            out += [(leaf[i]["line"], owner) for i in group]
+    return leaf, np.stack([np.frombuffer(x["tokens"], np.uint16) for x in leaf])
+
+
+def grow(tokens: np.ndarray, similar: float) -> np.ndarray:
+    """For each line of a leaf, in order, the line that begins its template."""
+    begun = np.full(len(tokens), -1)
+    rest = np.arange(len(tokens))
+    while len(rest):
+        joins = (tokens[rest] == tokens[rest[0]]).mean(1) >= similar
+        joins[0] = True
+        begun[rest[joins]] = rest[0]
+        rest = rest[~joins]
+    return begun
+
+
+def _grown(leaves: DataFrame, similar: float) -> DataFrame:
+    """(line, owner) of the recurring lines of whole leaves."""
+    def work(batches):
+        for batch in batches:
+            found = []
+            for leaf in batch["leaf"].to_pylist():
+                leaf, tokens = _ordered(leaf)
+                owners = [leaf[i]["first"] for i in grow(tokens, similar)]
+                found += [(x["line"], o) for x, o in zip(leaf, owners) if x["last"] > o]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[0] for x in found], pa.int64()),
+                 pa.array([x[1] for x in found], pa.int64())], names=["line", "owner"])
+
+    return leaves.select("leaf").mapInArrow(work, "line long, owner long")
+
+
+def _begun(heads: DataFrame, similar: float) -> DataFrame:
+    """The lines that begin a template: leaf, line, first, tokens, groups."""
+    def work(batches):
+        for batch in batches:
+            found = []
+            for leaf, groups, lines_ in zip(batch["leaf"].to_pylist(), batch["groups"].to_pylist(),
+                                            batch["lines"].to_pylist()):
+                lines_, tokens = _ordered(lines_)
+                found += [{"leaf": leaf, "groups": groups} | lines_[i]
+                          for i in np.unique(grow(tokens, similar)).tolist()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[c] for x in found], k) for c, k in (
+                    ("leaf", pa.int64()), ("groups", pa.int64()), ("line", pa.int64()),
+                    ("first", pa.int64()), ("tokens", pa.binary()))],
+                names=["leaf", "groups", "line", "first", "tokens"])
+
+    return heads.mapInArrow(work, "leaf long, groups long, line long, first long, tokens binary")
+
+
+def _met(groups: DataFrame, similar: float) -> DataFrame:
+    """All lines of the groups, with the owner of the first template that each agrees with."""
+    kinds = {"leaf": "long", "groups": "long", "line": "long", "first": "long", "last": "long",
+             "tokens": "binary", "owner": "long"}
+
+    def work(batches):
+        for batch in batches:
+            found = []
+            for leaf, n, members in zip(batch["leaf"].to_pylist(), batch["groups"].to_pylist(),
+                                        batch["lines"].to_pylist()):
+                own = [x for x in members if x["last"] is not None]
+                begins = [x for x in members if x["last"] is None]
+                if not own:
+                    continue
+                own, tokens = _ordered(own)
+                rest, owner = np.arange(len(own)), [None] * len(own)
+                for start in sorted(begins, key=lambda x: (x["first"], x["line"])):
+                    joins = (tokens[rest] == np.frombuffer(start["tokens"], np.uint16)
+                             ).mean(1) >= similar
+                    for i in rest[joins].tolist():
+                        owner[i] = start["first"]
+                    rest = rest[~joins]
+                found += [{"leaf": leaf, "groups": n, "owner": o} | x for x, o in zip(own, owner)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([x[c] for x in found], pa.binary() if k == "binary" else pa.int64())
+                 for c, k in kinds.items()], names=list(kinds))
+
+    return groups.mapInArrow(work, ", ".join(f"{c} {k}" for c, k in kinds.items()))
+
+
+def _wide(rows: DataFrame, similar: float) -> DataFrame:
+    """(line, owner) of the recurring lines of wide leaves: leaf, n, line, first, last, tokens."""
+    out, heads = None, WIDE
+    rows = rows.withColumn("groups", F.expr(f"cast(ceil(n / {4 * WIDE}) AS bigint)"))
+    place = Window.partitionBy("leaf").orderBy("first", "line")
+    while not rows.isEmpty():
+        first = rows.withColumn("place", F.row_number().over(place)).where(f"place <= {heads}")
+        begun = settled(_begun(first.groupBy("leaf", "groups").agg(F.collect_list(
+            F.struct("line", "first", "tokens")).alias("lines")), similar), "wide-templates")
+        own = rows.select("leaf", "groups", F.expr("pmod(xxhash64(line, 7), groups)").alias("part"),
+                          F.struct("line", "first", "last", "tokens").alias("x"))
+        sent = begun.withColumn("last", F.lit(None).cast("long")).select(
+            "leaf", "groups", F.explode(F.expr("sequence(0L, groups - 1)")).alias("part"),
+            F.struct("line", "first", "last", "tokens").alias("x"))
+        met = settled(_met(own.union(sent).groupBy("leaf", "groups", "part").agg(
+            F.collect_list("x").alias("lines")), similar), "wide-lines")
+        joined = met.where("last > owner").select("line", "owner")
+        out = joined if out is None else out.union(joined)
+        rows, heads = met.where("owner IS NULL").drop("owner"), heads * 2
     return out
 
 
@@ -147,28 +225,16 @@ def recurring(documents: DataFrame, least: int = LEAST, similar: float = SIMILAR
     alone = seen.groupBy("leaf").agg(F.count("*").alias("n"))
     seen = seen.join(alone, "leaf")
     single = seen.where("n = 1 AND first < last").select("line", F.col("first").alias("owner"))
-    several = seen.where("n > 1").select("line", "first", "last")
+    several = seen.where("n > 1").select("line", "leaf", "n", "first", "last")
     found = settled(_full(documents, least).join(several, "line").groupBy(
-        "line", "first", "last", *[f"leaf_{d}" for d in DEPTHS]).agg(
-            F.min("tokens").alias("tokens")), "leaf-lines")
-    key = F.col("line")
-    for depth in reversed(DEPTHS):
-        name = f"leaf_{depth}"
-        n = found.groupBy(name).agg(F.count("*").alias(f"n_{depth}"))
-        found = found.join(n, name)
-        key = F.when(F.col(f"n_{depth}") <= WIDE, F.col(name)).otherwise(key)
-    leaves = found.withColumn("key", key).groupBy("key", F.length("tokens")).agg(
-        F.collect_list(F.struct("line", "first", "last", "tokens")).alias("leaf"))
-
-    def work(batches):
-        for batch in batches:
-            rows = [x for leaf in batch["leaf"].to_pylist() for x in grow(leaf, similar)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([x[0] for x in rows], pa.int64()),
-                 pa.array([x[1] for x in rows], pa.int64())], names=["line", "owner"])
-
-    grown = leaves.select("leaf").mapInArrow(work, "line long, owner long")
-    owners = settled(single.union(grown), "templates")
+        "line", "leaf", "n", "first", "last").agg(F.min("tokens").alias("tokens")), "leaf-lines")
+    narrow, wide = found.where(f"n <= {WIDE}"), found.where(f"n > {WIDE}")
+    owners = single.union(_grown(narrow.groupBy("leaf", F.length("tokens")).agg(F.collect_list(
+        F.struct("line", "first", "last", "tokens")).alias("lines")).select(
+            F.col("lines").alias("leaf")), similar))
+    if not wide.isEmpty():
+        owners = owners.union(_wide(wide, similar))
+    owners = settled(owners, "templates")
     return slim.join(owners, "line").where("doc <> owner").select("doc", "line")
 
 

@@ -218,6 +218,32 @@ def test_wide_leaves_go_deeper(spark, monkeypatch):
     assert dropped >= {doc for doc, text in docs if first[re.sub(r"n\d+", "<*>", text)] < doc}
 
 
+def test_width_of_a_leaf_does_not_change_templates(spark, monkeypatch):
+    rng = random.Random(8)
+    # One field after the leading tokens with 150 values, and lines that agree more or less.
+    docs = [(i, f"order placed by customer w{'abcdefghij'[i % 10]}{'klmnopqrstuvwxy'[i // 10]} "
+                "in our shop today") for i in range(150)]
+    docs += [(1000 + i, "same first four tokens " + " ".join(rng.choice("abc") for _ in range(6)))
+             for i in range(200)]
+    begun, wanted = [], {}
+    for doc, text in docs:
+        own = text.split()
+        fits = [b for b in begun if len(b[1]) == len(own) and b[1][:4] == own[:4]
+                and sum(x == y for x, y in zip(b[1], own)) >= 0.7 * len(own)]
+        wanted[doc] = fits[0][0] if fits else doc
+        begun += [] if fits else [(doc, own)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    for wide in (templates.WIDE, 64, 7, 1):
+        monkeypatch.setattr(templates, "WIDE", wide)
+        found = {r[0]: r[2] for r in got(templates.report(df))}
+        lines, exact = dict(docs), {}
+        for doc, text in docs:
+            exact.setdefault(text, doc)
+        # Copies of one line are one row of the leaf, of which the first document decides.
+        assert found == {d: int(wanted[exact[lines[d]]] != d) for d in lines}
+    assert sum(found.values()) > 250 and found[0] == 0 and found[149] == 1
+
+
 # ---- 2 quality
 
 

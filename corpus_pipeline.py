@@ -31,7 +31,7 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Lines of templates that recur stay in one document; others lose them, or go."""
+    """Lines of templates that recur stay in one document; others lose them."""
     return _counted(templates.cleaned(docs))
 
 

@@ -287,12 +287,11 @@ def report(documents: DataFrame, **options) -> DataFrame:
         "row.doc_id", "n_lines", "n_dropped", "n_tokens", "n_tokens_dropped", "text")
 
 
-def cleaned(documents: DataFrame, max_share: float = 0.6, **options) -> DataFrame:
+def cleaned(documents: DataFrame, **options) -> DataFrame:
     """``documents`` without recurring lines.
 
-    A document goes as a whole if more than ``max_share`` of its tokens were recurring lines: it
-    is a copy of others, and the rest of it, torn out of context, is no text.
+    A document goes only if it had words and all of them were in dropped lines.
     """
-    left = dedup(documents, **options).where(f"n_tokens_dropped <= {max_share} * n_tokens")
+    left = dedup(documents, **options).where("n_tokens = 0 OR n_tokens_dropped < n_tokens")
     return left.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`")
                          for c in documents.columns])

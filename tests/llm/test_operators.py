@@ -244,6 +244,19 @@ def test_width_of_a_leaf_does_not_change_templates(spark, monkeypatch):
     assert sum(found.values()) > 250 and found[0] == 0 and found[149] == 1
 
 
+def test_lines_of_their_own_stay(spark):
+    shared = "a passage that two documents share " * 10
+    docs = [(1, f"{shared}\nthe first text says something else"), (2, f"{shared}\nonly here is this"),
+            (3, shared), (4, ""), (5, None),
+            # 6 keeps the line that 7 loses, though most of 6 stands in document 1.
+            (6, f"{shared}\nkept by number six for number seven"),
+            (7, "kept by number six for number seven\nand words of number seven")]
+    left = templates.cleaned(spark.createDataFrame(docs, "doc_id long, text string"))
+    assert got(left) == [docs[0], (2, "only here is this"), (4, ""), (5, None),
+                         (6, "kept by number six for number seven"),
+                         (7, "and words of number seven")]
+
+
 # ---- 2 quality
 
 

@@ -6,7 +6,8 @@ tokens. The lines of a leaf are taken by first document: a line joins the first
 agrees with, position by position, for at least ``similar`` of the line, or begins a template; the
 positions in which lines of a template differ are generalised. A template that occurs in two or
 more documents is recurring: its lines stay in the document of the least doc_id and are dropped
-from all others. Lines of fewer than ``least`` tokens are left alone.
+from all others. In lines of fewer than ``EXACT`` tokens no token is a variable field, so these
+recur as they are. Lines of fewer than ``least`` tokens, by default those without any, stay.
 
 The tree is built by shuffles, not in one place. Lines that are the same once variable fields are
 masked are one row (a very common line is combined before it is shuffled). A leaf of up to ``WIDE``
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 from .flat import INK, Flat, hashes, lines, mix, runs, spans
 from .scratch import settled
 
-LEAST, SIMILAR = 4, 0.7
+LEAST, SIMILAR, EXACT = 1, 0.7, 4
 DEPTH = 4
 #: Lines of a leaf that one task takes at once; the templates do not depend on it.
 WIDE = 1000
@@ -46,10 +47,11 @@ def _parse(flat: Flat):
     first, last, _ = spans(flat, INK)
     token = hashes(flat.data, first, last)
     digits = np.concatenate([[0], np.cumsum(_DIGIT[flat.data])])
-    token = np.where(digits[last] > digits[first], _FIELD, token)
     at = np.searchsorted(first, np.append(starts, len(flat.data) + 1))
     at = np.maximum.accumulate(at)
     count = np.diff(at)
+    field = (digits[last] > digits[first]) & np.repeat(count >= EXACT, count)
+    token = np.where(field, _FIELD, token)
     place = np.arange(len(token)) - np.repeat(at[:-1], count)
     spread = mix(token + (place.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
     out = []

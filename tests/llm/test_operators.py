@@ -244,6 +244,15 @@ def test_width_of_a_leaf_does_not_change_templates(spark, monkeypatch):
     assert sum(found.values()) > 250 and found[0] == 0 and found[149] == 1
 
 
+def test_short_lines_recur_as_they_are(spark):
+    docs = [(1, "All rights reserved.\nend\n\nsection 1\nfirst words of a text"),
+            (2, "end\n\nsection 2\nAll  rights reserved.\nAll rights kept.\nother words than these"),
+            (3, "section 2\nend"), (4, "All rights\n 12 \n")]
+    found = got(templates.report(spark.createDataFrame(docs, "doc_id long, text string")))
+    assert [r[5] for r in found] == [
+        docs[0][1], "\nsection 2\nAll rights kept.\nother words than these", "", docs[3][1]]
+
+
 def test_lines_of_their_own_stay(spark):
     shared = "a passage that two documents share " * 10
     docs = [(1, f"{shared}\nthe first text says something else"), (2, f"{shared}\nonly here is this"),

@@ -4,11 +4,14 @@ Tokens are character classes. The network sees two tokens on each side of a mask
 class beyond the text) and predicts it: embeddings, one hidden layer, a softmax over the classes.
 A text scores the sum of its tokens' conditional log-probabilities.
 
-Training data are all windows of all texts: Spark counts the distinct ones, and the network is
-fitted to the counts by rounds of synchronous averaging: every partition of the counted windows
-takes stochastic steps from the same weights, drawing windows in proportion to their counts, and
-the driver averages the weights (some ten thousand numbers for each of ``PARTS`` partitions).
-Every step is seeded, so a task that is run again gives the same result.
+Training data are all windows of all texts: Spark counts the distinct ones and deals each count
+out in shares of at most the mean count, so that no step holds a very common window alone. The
+shares, at most twice as many as windows, go by hash to parts of about ``PART``. The network is
+fitted by rounds of synchronous averaging: in each round every part passes over all its shares,
+from the same weights, in steps of ``BATCH`` weighted by share, so parts and steps grow with the
+number of distinct windows; a small part passes over its shares until it has taken ``STEPS``. The
+weights are averaged part by part in tasks, ``FAN`` parts to one row for the driver. Every step is
+seeded, so a task that is run again gives the same result.
 
 Defined results: null and empty texts have no tokens and the score 0; without any text the
 network stays as it was initialised.
@@ -25,7 +28,7 @@ from .flat import Tally, runs
 from .scratch import settled
 
 SIDE, EMBED, HIDDEN = 2, 16, 48
-ROUNDS, STEPS, BATCH, PARTS, RATE = 6, 80, 2048, 6, 0.01
+ROUNDS, STEPS, BATCH, PART, FAN, RATE = 6, 80, 2048, 200_000, 64, 0.01
 
 
 def _start() -> dict[str, np.ndarray]:
@@ -60,31 +63,36 @@ def log_p(net: dict, keys: np.ndarray, most: int = 50_000) -> np.ndarray:
     return out
 
 
-def _steps(net: dict, keys: np.ndarray, counts: np.ndarray, seed: int, rate: float) -> dict:
-    """``net`` after STEPS steps of Adam on windows drawn in proportion to their counts."""
+def _steps(net: dict, keys: np.ndarray, weights: np.ndarray, seed: int, rate: float) -> dict:
+    """``net`` after steps of Adam over all windows, weighted; STEPS at least."""
     rng = np.random.default_rng(seed)
     net = {k: v.copy() for k, v in net.items()}
     first = {k: np.zeros_like(v) for k, v in net.items()}
     second = {k: np.zeros_like(v) for k, v in net.items()}
-    ends = np.cumsum(counts)
-    for step in range(1, STEPS + 1):
-        drawn = np.searchsorted(ends, rng.integers(0, ends[-1], BATCH), "right")
-        context, masked = _split(keys[drawn])
-        x, h, log = _forward(net, context)
-        dz = np.exp(log)
-        dz[np.arange(BATCH), masked] -= 1
-        dz /= BATCH
-        dh = (dz @ net["out"].T) * (1 - h * h)
-        dx = (dh @ net["into"].T).reshape(-1, EMBED)
-        embed = np.zeros_like(net["embed"])
-        np.add.at(embed, context.reshape(-1), dx)
-        slope = {"embed": embed, "into": x.T @ dh, "bias": dh.sum(0), "out": h.T @ dz,
-                 "base": dz.sum(0)}
-        for name, g in slope.items():
-            first[name] = 0.9 * first[name] + 0.1 * g
-            second[name] = 0.99 * second[name] + 0.01 * g * g
-            net[name] -= (rate * (first[name] / (1 - 0.9 ** step))
-                          / (np.sqrt(second[name] / (1 - 0.99 ** step)) + 1e-8)).astype(np.float32)
+    weights = (weights / weights.mean()).astype(np.float32)
+    passes = -(-STEPS // -(-len(keys) // BATCH))
+    step, signs = 0, np.arange(CLASSES)[:, None]
+    for _ in range(passes):
+        order = rng.permutation(len(keys))
+        for at in range(0, len(keys), BATCH):
+            step += 1
+            taken = order[at:at + BATCH]
+            context, masked = _split(keys[taken])
+            x, h, log = _forward(net, context)
+            dz = np.exp(log)
+            dz[np.arange(len(taken)), masked] -= 1
+            dz *= weights[taken, None] / len(taken)
+            dh = (dz @ net["out"].T) * (1 - h * h)
+            dx = (dh @ net["into"].T).reshape(-1, EMBED)
+            embed = (signs == context.reshape(-1)).astype(np.float32) @ dx
+            slope = {"embed": embed, "into": x.T @ dh, "bias": dh.sum(0), "out": h.T @ dz,
+                     "base": dz.sum(0)}
+            for name, g in slope.items():
+                first[name] = 0.9 * first[name] + 0.1 * g
+                second[name] = 0.99 * second[name] + 0.01 * g * g
+                net[name] -= (rate * (first[name] / (1 - 0.9 ** step))
+                              / (np.sqrt(second[name] / (1 - 0.99 ** step)) + 1e-8)
+                              ).astype(np.float32)
     return net
 
 
@@ -117,35 +125,62 @@ def count(documents: DataFrame) -> DataFrame:
         work, "window int, n long").groupBy("window").agg(F.sum("n").alias("n"))
 
 
+def _parts(documents: DataFrame) -> DataFrame:
+    """(part, windows, weights): each part one row, its shares as packed arrays."""
+    counted = settled(count(documents), "windows")
+    mean = counted.agg(F.avg("n")).first()[0] or 1.0
+    shares = counted.withColumn("k", F.explode(F.expr(f"sequence(1L, cast(ceil(n / {mean}D) AS "
+                                                      "bigint))"))) \
+        .select("window", "k", F.expr(f"n / ceil(n / {mean}D)").cast("float").alias("weight"))
+    parts = -(-shares.count() // PART) or 1
+
+    def pack(table):
+        keys, weights = table["window"].to_numpy(), table["weight"].to_numpy()
+        order = np.argsort(keys, kind="stable")  # the shares of a window are alike
+        return pa.table({"part": table["part"][:1], "windows": pa.array([keys[order].tobytes()]),
+                         "weights": pa.array([weights[order].tobytes()])})
+
+    dealt = shares.select("window", "weight", F.expr(f"pmod(xxhash64(window, k), {parts}L)").alias(
+        "part")).repartitionByRange(parts, "part")
+    return settled(dealt.groupBy("part").applyInArrow(
+        pack, "part long, windows binary, weights binary"), "parts")
+
+
+def _mean(table: pa.Table) -> pa.Table:
+    """The weighted mean of some networks, added up in the order of their parts."""
+    table = table.sort_by("part")
+    nets, n = [np.frombuffer(x, np.float32) for x in table["net"].to_pylist()], table["n"]
+    made = np.average(nets, axis=0, weights=n.to_numpy()).astype(np.float32)
+    return pa.table({"part": table["part"][:1], "net": pa.array([made.tobytes()], pa.binary()),
+                     "n": pa.array([float(n.to_numpy().sum())])})
+
+
 def train(documents: DataFrame) -> dict[str, np.ndarray]:
     """The weights fitted to the windows of all texts."""
-    counted = settled(count(documents).repartition(PARTS, "window").withColumn(
-        "part", F.spark_partition_id()), "windows")
-    net = _start()
+    parts = _parts(documents)
+    now = _pack(_start())
     for turn in range(ROUNDS):
-        now, rate = _pack(net), RATE * (1 - turn / ROUNDS)
+        rate = RATE * (1 - turn / ROUNDS)
 
         def work(batches, turn=turn, now=now, rate=rate):
-            got = [(b["window"].to_numpy(), b["n"].to_numpy(), b["part"]) for b in batches]
-            got = [x for x in got if len(x[0])]
-            if not got:
-                return
-            keys, counts = (np.concatenate([x[i] for x in got]) for i in (0, 1))
-            order = np.argsort(keys)
-            seed = turn * 1000 + got[0][2][0].as_py()
-            made = _steps(_unpack(now), keys[order], counts[order], seed, rate)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([_pack(made)], pa.binary()), pa.array([int(counts.sum())])],
-                names=["net", "n"])
-
-        rows = counted.repartition(PARTS, "part").sortWithinPartitions("window").mapInArrow(
-            work, "net binary, n long").orderBy("n", "net").collect()
-        if not rows:
+            for batch in batches:
+                for part, keys, weights in zip(batch["part"], batch["windows"], batch["weights"]):
+                    keys = np.frombuffer(keys.as_buffer(), np.int32)
+                    weights = np.frombuffer(weights.as_buffer(), np.float32)
+                    made = _steps(_unpack(now), keys, weights, turn * 1_000_003 + part.as_py(),
+                                  rate)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([part.as_py()]), pa.array([_pack(made)], pa.binary()),
+                         pa.array([float(weights.sum(dtype=np.float64))])],
+                        names=["part", "net", "n"])
+
+        kinds = "part long, net binary, n double"
+        rows = parts.mapInArrow(work, kinds).groupBy(F.expr(f"part div {FAN}")).applyInArrow(
+            _mean, kinds).toArrow()
+        if not rows.num_rows:
             break
-        nets, weights = [_unpack(r.net) for r in rows], np.array([r.n for r in rows], np.float64)
-        net = {k: np.average([m[k] for m in nets], axis=0, weights=weights).astype(np.float32)
-               for k in net}
-    return net
+        now = _mean(rows)["net"][0].as_py()
+    return _unpack(now)
 
 
 def scored(documents: DataFrame, net: dict[str, np.ndarray] | None = None) -> DataFrame:

@@ -343,6 +343,27 @@ def test_pseudo_likelihood(table, docs, edges, nothing):
     assert got(pseudolm.scored(nothing)) == []
 
 
+def test_every_window_trains(spark, table, monkeypatch):
+    monkeypatch.setattr(pseudolm, "PART", 5_000)
+    counted = pseudolm.count(table("documents")).collect()
+    parts = pseudolm._parts(table("documents")).collect()
+    assert len(parts) > len(counted) // 5_000 > 6
+    total = {}
+    for row in parts:
+        keys = np.frombuffer(row.windows, np.int32).tolist()
+        assert len(keys) < 6_000
+        for k, w in zip(keys, np.frombuffer(row.weights, np.float32).tolist()):
+            total[k] = total.get(k, 0) + w
+    assert total.keys() == {r.window for r in counted}
+    assert all(math.isclose(total[r.window], r.n, rel_tol=1e-4) for r in counted)
+    # Steps pass over every window of a part.
+    seen, split = [], pseudolm._split
+    monkeypatch.setattr(pseudolm, "_split", lambda keys: seen.append(keys) or split(keys))
+    keys = np.arange(300_000, dtype=np.int32)
+    pseudolm._steps(pseudolm._start(), keys, np.ones(len(keys), np.float32), 1, 0.01)
+    assert np.array_equal(np.sort(np.concatenate(seen)), keys)
+
+
 # ---- 7 toxicity
 
 

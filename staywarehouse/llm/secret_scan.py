@@ -2,9 +2,11 @@
 
 Two first-order character models are trained from labelled samples of the corpus: values that the
 patterns find are random strings, runs of letters and digits outside of them ordinary ones.
-Transition counts are summed by Spark (a table of fixed size) and smoothed. A run of
-``least`` characters or more that no pattern covers is a secret if its mean log-likelihood ratio
-is ``margin`` or more and it mixes letters with digits.
+Transition counts are summed by Spark (a table of fixed size) and smoothed. Every run of
+``least`` characters or more outside of the patterns' spans, so also beside one, is scored by its
+pieces of letters and digits; marks between them are as usual in dates and paths and count for
+nothing. A row of pieces is a secret if its summed log-likelihood ratio is ``margin`` or more, which
+outweighs a prior of one random string among 5e8 runs; of a run the best row is taken.
 
 Spans are code points of the whole text, end exclusive. Null counts as the empty text, which has
 no spans; without samples both models are uniform and only the patterns find anything.
@@ -20,7 +22,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .flat import parts
 
-LEAST, MARGIN = 20, 4.0
+LEAST, MARGIN = 8, 20.0
 #: Observations that the backoff of a transition counts for.
 BACKOFF = 50.0
 
@@ -33,10 +35,12 @@ PATTERNS = (
 )
 _LONG_HEX = re.compile(rb"[0-9a-f]{24,}")
 _RUN = re.compile(rb"[A-Za-z0-9+/_=-]{8,}")
+_PIECE = re.compile(rb"[A-Za-z0-9]+")
 ALPHABET = b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _INDEX = np.zeros(256, np.int64)
 _INDEX[list(ALPHABET)] = np.arange(len(ALPHABET)) + 1
 SIZE = len(ALPHABET) + 1
+_SIGN = np.where(_INDEX > 62, 0, _INDEX)
 
 
 def base_spans(text: bytes) -> list[tuple[int, int, int, int, int]]:
@@ -49,12 +53,28 @@ def base_spans(text: bytes) -> list[tuple[int, int, int, int, int]]:
     return sorted(out)
 
 
-def _free_runs(text: bytes, base: list, least: int):
-    for m in _RUN.finditer(text):
-        if m.end() - m.start() < least:
+def _random(text: bytes, base: list, ratios: np.ndarray, least: int, margin: float):
+    """Start and end of the best row of pieces of every run that is more likely a random string."""
+    rest = bytearray(text)
+    for start, _, end, _, _ in base:
+        rest[start:end] = b" " * (end - start)
+    found = [m.span() for m in _RUN.finditer(rest) if m.end() - m.start() >= least]
+    if not found:
+        return
+    index = _SIGN[np.frombuffer(rest, np.uint8)]
+    own = np.where(index > 0, ratios[np.concatenate([[0], index[:-1]]), index], 0)
+    most = np.concatenate([[0], np.cumsum(np.maximum(own, 0))])
+    for start, end in found:
+        if most[end] - most[start] < margin:
             continue
-        if not any(s < m.end() and m.start() < e for s, _, e, _, _ in base):
-            yield m.span()
+        best, score, first = (0.0, start, end), 0.0, start
+        for m in _PIECE.finditer(rest, start, end):
+            if score <= 0:
+                score, first = 0.0, m.start()
+            score += own[m.start():m.end()].sum()
+            best = max(best, (score, first, m.end()), key=lambda x: x[0])
+        if best[0] >= margin:
+            yield best[1:]
 
 
 def _count(table: np.ndarray, value: bytes) -> None:
@@ -114,13 +134,7 @@ def find(text: bytes, ratios: np.ndarray, least: int = LEAST, margin: float = MA
     """All spans (kind, start, end) in code points by start; the added kind is "markov"."""
     base = base_spans(text)
     spans = [(s, n, e) for s, n, e, _, _ in base]
-    for start, end in _free_runs(text, base, least):
-        value = text[start:end]
-        if not (re.search(rb"[0-9]", value) and re.search(rb"[A-Za-z]", value)):
-            continue
-        index = _INDEX[np.frombuffer(value, np.uint8)]
-        if ratios[np.concatenate([[0], index[:-1]]), index].mean() >= margin:
-            spans.append((start, len(PATTERNS), end))
+    spans += [(s, len(PATTERNS), e) for s, e in _random(text, base, ratios, least, margin)]
     names = [kind for kind, *_ in PATTERNS] + ["markov"]
     out, at, points = [], 0, 0
     for start, number, end in sorted(spans):

@@ -412,6 +412,29 @@ def test_random_strings_are_added(spark):
     assert spans == [("markov", text.index("k9X"), text.index(" and"))]
 
 
+def test_random_strings_of_any_alphabet_and_length(spark):
+    import string
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    ratios = secret_scan.train(docs)
+    rng = random.Random(4)
+    low, up, digits = string.ascii_lowercase, string.ascii_uppercase, string.digits
+    hits = lambda text: [s for s in secret_scan.find(text.encode(), ratios)
+                         if s[0] == "markov"]
+    for signs, n, share in ((low + digits, 20, 0.95), (low + digits, 12, 0.9), (up + digits, 32, 0.95),
+                            (digits + "ABCDEF", 20, 0.95), (digits + "ABCDEF", 64, 0.95),
+                            (low + up + digits, 8, 0.85), (low + up, 16, 0.9), (low, 32, 0.9)):
+        made = ["".join(rng.choice(signs) for _ in range(n)) for _ in range(300)]
+        assert sum(bool(hits(f"the id {x} here")) for x in made) >= share * 300, (signs, n)
+    # What stands beside a base span is scored, and the span of a secret in a path is its own.
+    beside = "0123456789abcdef01234567" + "Zk9Xq2Lw8Zr4Tb7"
+    assert hits(beside) == [("markov", 24, len(beside))]
+    path = "reports/common/k9Xq2Lw8Zr4Tb7Vn1Mc6"
+    assert hits(path) == [("markov", 15, len(path))]
+    # Ordinary runs of a corpus raise no false alarm.
+    for row in docs.select("text").limit(1500).collect():
+        assert not hits(row.text or "")
+
+
 # ---- 4 shards
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (decontaminate, jaccard, perplexity, pieces, pii, pseudolm, secret_scan, shards,
+from . import (bpe, decontaminate, jaccard, perplexity, pieces, pii, pseudolm, secret_scan, shards,
                templates, toxicity)
 from .oracle import STATEMENTS
 from .scratch import reachable
@@ -15,10 +15,10 @@ from .scratch import reachable
 KEY = "registered-query-key"
 
 
-def tokenizer_path() -> str:
-    """The SentencePiece model that the registered queries use."""
+def tokenizer_path(name: str = "piece_bpe_32k.model") -> str:
+    """A tokenizer file that the registered queries use."""
     import public_tokenizers
-    return public_tokenizers.path("piece_bpe_32k.model")
+    return public_tokenizers.path(name)
 
 
 def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -45,6 +45,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": _over_documents(lambda d: pieces.digest(d, tokenizer_path())),
     "op9_secret_scan": _over_documents(secret_scan.report),
     "op10_line_templates": _over_documents(templates.report),
+    "op13_pair_index_bpe": _over_documents(
+        lambda d: bpe.digest(d, tokenizer_path("word_bpe_49k.json"))),
 }
 
 

@@ -59,4 +59,31 @@ SELECT doc_id, min(other) AS class_id,
 FROM reach GROUP BY doc_id
 """
 
-STATEMENTS = {"op3_decontamination": _DECONTAMINATION, "op5_jaccard_join": _JACCARD}
+_HARD_NEGATIVES = """
+WITH parts AS (
+    SELECT DISTINCT vec_id,
+        CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda c: floor(256 * CAST(c AS DOUBLE))) AS x
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND coalesce(list_bool_and(list_transform(embedding,
+            lambda c: c IS NOT NULL AND isfinite(CAST(c AS DOUBLE)))), true)),
+scored AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+        CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+    FROM parts a JOIN parts b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id),
+positives AS (
+    SELECT * FROM scored WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5)
+SELECT p.anchor_id, p.other_id AS positive_id, n.other_id AS negative_id,
+    p.score AS positive_score, n.score AS negative_score,
+    CAST(row_number() OVER (PARTITION BY p.anchor_id, p.other_id
+        ORDER BY n.score DESC, n.other_id) AS INTEGER) AS rank
+FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND NOT n.same
+    AND 100 * n.score BETWEEN 50 * p.score AND 95 * p.score
+QUALIFY row_number() OVER (PARTITION BY p.anchor_id, p.other_id
+    ORDER BY n.score DESC, n.other_id) <= 3
+"""
+
+STATEMENTS = {"op3_decontamination": _DECONTAMINATION, "op5_jaccard_join": _JACCARD,
+              "op12_hard_negatives": _HARD_NEGATIVES}

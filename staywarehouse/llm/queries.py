@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (bpe, decontaminate, jaccard, perplexity, pieces, pii, pseudolm, secret_scan, shards,
-               templates, toxicity)
+from . import (bpe, decontaminate, hard_negatives, jaccard, perplexity, pieces, pii, pseudolm, secret_scan, shards,
+               templates, toxicity, whitening)
 from .oracle import STATEMENTS
 from .scratch import reachable
 
@@ -45,6 +45,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sentencepiece": _over_documents(lambda d: pieces.digest(d, tokenizer_path())),
     "op9_secret_scan": _over_documents(secret_scan.report),
     "op10_line_templates": _over_documents(templates.report),
+    "op11_whitening": lambda spark, folder: whitening.report(
+        _table(spark, folder, "embeddings")),
+    "op12_hard_negatives": lambda spark, folder: hard_negatives.report(
+        _table(spark, folder, "embeddings")),
     "op13_pair_index_bpe": _over_documents(
         lambda d: bpe.digest(d, tokenizer_path("word_bpe_49k.json"))),
 }

@@ -27,7 +27,7 @@ def test_equal(spark, name):
 
 def test_names():
     names = set(entry.queries())
-    assert {f"op{n}" for n in range(1, 11)} <= {x.split("_")[0] for x in names}
+    assert {f"op{n}" for n in range(1, 14)} <= {x.split("_")[0] for x in names}
     assert "pipeline" in names
 
 

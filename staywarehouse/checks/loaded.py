@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import facts, scd2
 from ..operators.calendar import calendar
+from ..operators.keys import profile
 from ..schemas import empty, nullable, schema
 from ..session import scratch_path
 from ..sources.fixtures import TestTables
@@ -107,17 +108,20 @@ class Loaded:
         staged = self.staged_bookings
         resolved = facts.resolve_bookings(staged, None, self.users, self.properties, self.dates,
                                           version_at)
-        return facts.load(resolved, facts.BOOKINGS, staged.columns, LOADED)
+        return facts.load(resolved, facts.BOOKINGS, staged.columns, LOADED,
+                          ranges=profile(staged, facts.BOOKINGS.order))
 
     def load_payments(self) -> facts.Load:
         staged = self.staged_payments
         resolved = facts.resolve_payments(staged, None, self.bookings, self.users, self.dates)
-        return facts.load(resolved, facts.PAYMENTS, staged.columns, LOADED)
+        return facts.load(resolved, facts.PAYMENTS, staged.columns, LOADED,
+                          ranges=profile(staged, facts.PAYMENTS.order))
 
     def load_reviews(self) -> facts.Load:
         staged = self.staged_reviews
         resolved = facts.resolve_reviews(staged, None, self.users, self.properties, self.dates)
-        return facts.load(resolved, facts.REVIEWS, staged.columns, LOADED)
+        return facts.load(resolved, facts.REVIEWS, staged.columns, LOADED,
+                          ranges=profile(staged, facts.REVIEWS.order))
 
     @cached_property
     def bookings(self) -> DataFrame:

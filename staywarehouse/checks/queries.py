@@ -530,8 +530,11 @@ def _(w: Loaded):
 
 @query("um01_user_metrics")
 def _(w: Loaded):
-    figures = metrics.user_metrics(w.users, w.bookings, w.payments)
-    return metrics.refresh_users(w.users.where("is_current"), figures).select(
+    run = _run_on(w)
+    for table, rows in (("fact_bookings", w.bookings), ("fact_payments", w.payments)):
+        run.store.append(table, rows, 2, LOADED)
+    run.update_user_metrics()
+    return run.store.read_current("dim_users").select(
         "user_sk", "user_id", "total_bookings", "total_spent", "version_number")
 
 

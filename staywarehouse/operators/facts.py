@@ -9,17 +9,18 @@ counts, and the others are skipped like those of an earlier batch.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from ..functions.dates import moment
 from ..functions.money import FEE_SHARE, NET_SHARE, share
 from ..schemas import enforce
 from .calendar import with_date_key
 from .history import as_of
-from .keys import materialise, number
+from .keys import Profile, materialise, number
 from .lookup import lookup, within
 
 
@@ -60,27 +61,37 @@ class Load:
 ARRIVAL = "_arrival"
 
 
+#: Gives the loaded rows that may hold any of the keys (second) of a column (first).
+Holding = Callable[[str, DataFrame], DataFrame]
+
+
 def first_of_key(rows: DataFrame, key: str) -> DataFrame:
     """One row for each value of ``key``: the first to arrive, or else the least by its columns.
 
-    The least row is combined before the shuffle, so a key that repeats without end is no
-    burden to one task. Rows without the key stay.
+    Keys that repeat are found by counting the key alone; only their rows are shuffled and sorted
+    whole, the first ones of every task before the others. Rows without the key stay.
     """
     columns = [c for c in rows.columns if c != ARRIVAL]
-    whole = F.struct(*[c for c in rows.columns if c == ARRIVAL], *columns)
-    once = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(whole).alias("_first"))
-    return once.select("_first.*").select(rows.columns).union(
-        rows.where(F.col(key).isNull()))
+    order = [ARRIVAL, *columns] if ARRIVAL in rows.columns else columns
+    repeated = (rows.groupBy(key).agg(F.count("*").alias("_n"))
+                .where(F.col(key).isNotNull() & (F.col("_n") > 1)).select(key))
+    place = F.row_number().over(Window.partitionBy(key).orderBy(*order))
+    first = (rows.join(repeated, key, "left_semi").withColumn("_place", place)
+             .where("_place = 1").drop("_place"))
+    return rows.join(repeated, key, "left_anti").select(rows.columns).union(
+        first.select(rows.columns))
 
 
 def not_loaded(staged: DataFrame, loaded: DataFrame | None, keys: tuple[str, ...],
-               order: str) -> DataFrame:
+               order: str, ends: Profile | None = None,
+               holding: Holding | None = None) -> DataFrame:
     """Staged rows none of whose ``keys`` occurs in the loaded fact, one for each key.
 
     The fact is written in order of ``order``, so by that key only the files in the range of
-    the batch are read. By any other key one column of the whole fact is read; the fact is
-    first reduced to the keys of the batch, so a batch small enough to broadcast spares the
-    fact a shuffle, and a larger one lets Spark filter the fact by a Bloom filter before it.
+    the batch are read (``ends``, if known). By any other key those batches of the fact are read
+    that ``holding`` cannot rule out (default: all), one column of them; the fact is first reduced
+    to the keys of the batch, so a batch small enough to broadcast spares the fact a shuffle, and
+    a larger one lets Spark filter the fact by a Bloom filter before it.
     """
     rows = staged
     for key in keys:
@@ -88,14 +99,19 @@ def not_loaded(staged: DataFrame, loaded: DataFrame | None, keys: tuple[str, ...
     rows = rows.drop(ARRIVAL)
     if loaded is not None:
         for key in keys:
-            known = loaded.select(key)
             if key == order:
-                known = within(known, staged, key)
-            found = known.join(staged.select(key), key, "left_semi")
+                known = within(loaded, staged, key, _ends(ends, key))
+            else:
+                known = loaded if holding is None else holding(key, staged.select(key))
+            found = known.select(key).join(staged.select(key), key, "left_semi")
             rows = rows.join(found, key, "left_anti")
     return rows
 
 
+def _ends(profile: Profile | None, key: str) -> tuple[object, object] | None:
+    return (profile.low, profile.high) if profile is not None and profile.key == key else None
+
+
 def preview(staged: DataFrame, loaded: DataFrame | None, fact: Fact) -> DataFrame:
     """Rows a load would consider, before any lookup: the real load may reject some."""
     return not_loaded(staged, loaded, fact.dedupe, fact.order).select(
@@ -116,13 +132,13 @@ def _with_reason(rows: DataFrame, failures: dict[str, Column]) -> DataFrame:
 
 def resolve_bookings(staged: DataFrame, loaded: DataFrame | None, users: DataFrame,
                      properties: DataFrame, calendar: DataFrame,
-                     version_at: str | None = None) -> DataFrame:
+                     version_at: str | None = None, ends: Profile | None = None) -> DataFrame:
     """Staged bookings with user, property and the three calendar keys.
 
     Dimension rows are the current ones, or with ``version_at`` the versions valid at that
     column of the booking.
     """
-    rows = not_loaded(staged, loaded, BOOKINGS.dedupe, BOOKINGS.order)
+    rows = not_loaded(staged, loaded, BOOKINGS.dedupe, BOOKINGS.order, ends)
     rows = _dimension_key(rows, users, "user_id", "user_sk", version_at)
     rows = _dimension_key(rows, properties, "property_id", "property_sk", version_at)
     for role in ("checkin", "checkout", "created"):
@@ -138,13 +154,14 @@ def resolve_bookings(staged: DataFrame, loaded: DataFrame | None, users: DataFra
 
 def resolve_payments(staged: DataFrame, loaded: DataFrame | None, bookings: DataFrame,
                      users: DataFrame, calendar: DataFrame, version_at: str | None = None,
-                     also_payment_id: bool = False) -> DataFrame:
+                     also_payment_id: bool = False, ends: Profile | None = None,
+                     holding: Holding | None = None) -> DataFrame:
     """Staged payments with booking, user and calendar keys, fee and net amount.
 
     Fee and net are rounded one by one, so they may not add up to the amount.
     """
     keys = (*PAYMENTS.dedupe, "payment_id") if also_payment_id else PAYMENTS.dedupe
-    rows = not_loaded(staged, loaded, keys, PAYMENTS.order)
+    rows = not_loaded(staged, loaded, keys, PAYMENTS.order, ends, holding)
     booked = within(bookings.select("booking_id", "booking_sk"), staged, "booking_id")
     rows = lookup(rows, booked, "booking_id")
     rows = _dimension_key(rows, users, "user_id", "user_sk", version_at)
@@ -160,8 +177,8 @@ def resolve_payments(staged: DataFrame, loaded: DataFrame | None, bookings: Data
 
 def resolve_reviews(staged: DataFrame, loaded: DataFrame | None, users: DataFrame,
                     properties: DataFrame, calendar: DataFrame,
-                    version_at: str | None = None) -> DataFrame:
-    rows = not_loaded(staged, loaded, REVIEWS.dedupe, REVIEWS.order)
+                    version_at: str | None = None, ends: Profile | None = None) -> DataFrame:
+    rows = not_loaded(staged, loaded, REVIEWS.dedupe, REVIEWS.order, ends)
     rows = _dimension_key(rows, users, "user_id", "user_sk", version_at)
     rows = _dimension_key(rows, properties, "property_id", "property_sk", version_at)
     rows = with_date_key(rows, "review_date", "review_date_sk", calendar)
@@ -178,13 +195,18 @@ def rejects(resolved: DataFrame, staged_columns: list[str]) -> DataFrame:
 
 
 def load(resolved: DataFrame, fact: Fact, staged_columns: list[str], batch_ts: datetime,
-         start_key: int = 0) -> Load:
-    """Write the resolved rows once, then number the accepted ones and keep the rejects."""
+         start_key: int = 0, ranges: Profile | None = None) -> Load:
+    """Write the resolved rows once, then number the accepted ones and keep the rejects.
+
+    ``ranges`` of the staged order key spare a second run of the lookups; the rows are counted
+    while they are written.
+    """
     split = resolved.withColumn("_accepted", F.col("reject_reason").isNull())
-    written = materialise(split, [fact.order], fact.table, split_by="_accepted")
-    tally = written.agg(F.count_if("_accepted").alias("loaded"),
-                        F.count_if(~F.col("_accepted")).alias("rejected")).first()
+    seen = Observation()
+    written = materialise(split, [fact.order], fact.table, "_accepted", ranges, (seen, {
+        "loaded": F.count_if("_accepted"), "rejected": F.count_if(~F.col("_accepted"))}))
+    loaded, rejected = seen.get["loaded"], seen.get["rejected"]
     numbered = number(written.where("_accepted"), fact.surrogate, start_key)
     accepted = enforce(numbered, fact.table, {"created_at": moment(batch_ts)})
     return Load(accepted, rejects(written.where(~F.col("_accepted")), staged_columns),
-                tally["loaded"], tally["rejected"], start_key + tally["loaded"])
+                loaded, rejected, start_key + loaded)

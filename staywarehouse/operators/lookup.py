@@ -33,14 +33,15 @@ def lookup(rows: DataFrame, table: DataFrame, key: str, how: str = "left",
     return salted_lookup(rows, table, key, how) if salted else rows.join(table, key, how)
 
 
-def within(table: DataFrame, rows: DataFrame, key: str) -> DataFrame:
+def within(table: DataFrame, rows: DataFrame, key: str,
+           ends: tuple[object, object] | None = None) -> DataFrame:
     """The rows of ``table`` whose ``key`` lies in the range of keys in ``rows``.
 
-    Other rows match nothing. The two ends are read first, as one row, so that they reach the
-    scan as literals: of a table written in key order only the files a batch can touch are
-    read.
+    Other rows match nothing. The two ends, if they are not given, are read first, as one row, so
+    that they reach the scan as literals: of a table written in key order only the files a batch
+    can touch are read.
     """
-    low, high = rows.agg(F.min(key), F.max(key)).first()
+    low, high = ends or rows.agg(F.min(key), F.max(key)).first()
     if low is None:
         return table.where("false")
     return table.where(F.col(key).between(low, high))

@@ -54,12 +54,16 @@ def outdated(current: DataFrame, metrics: DataFrame) -> DataFrame:
     ).drop("_bookings", "_spent")
 
 
-def apply_metrics(current: DataFrame, changed: DataFrame, at: Column, by: str) -> DataFrame:
-    """Current user rows with the ``changed`` metrics, marked as updated where they have any."""
+def apply_metrics(current: DataFrame, changed: DataFrame, at: Column, by: str,
+                  how: str = "left") -> DataFrame:
+    """Current user rows with the ``changed`` metrics, marked as updated where they have any.
+
+    All current rows, or with an inner join only those that change.
+    """
     new = changed.select("user_id", F.col("total_bookings").alias("_bookings"),
                          F.col("total_spent").alias("_spent"))
     hit = F.col("_bookings").isNotNull()
-    return (current.join(new, "user_id", "left")
+    return (current.join(new, "user_id", how)
             .withColumns({"total_bookings": F.coalesce("_bookings", "total_bookings"),
                           "total_spent": F.coalesce("_spent", "total_spent"),
                           "updated_at": F.when(hit, at).otherwise(F.col("updated_at")),
@@ -67,15 +71,6 @@ def apply_metrics(current: DataFrame, changed: DataFrame, at: Column, by: str) -
             .select(*current.columns))
 
 
-def refresh_users(current: DataFrame, metrics: DataFrame) -> DataFrame:
-    """Current user rows with refreshed metrics: an update in place, no new version."""
-    return (current.drop("total_bookings", "total_spent")
-            .join(metrics.select("user_id", "total_bookings", "total_spent"), "user_id", "left")
-            .withColumn("total_bookings", F.coalesce("total_bookings", F.lit(0)))
-            .withColumn("total_spent", F.coalesce("total_spent", F.lit(0)).cast(_SPENT))
-            .select(*current.columns))
-
-
 def host_listings(hosts: DataFrame, properties: DataFrame) -> DataFrame:
     """Hosts with their number of properties, 0 if none."""
     counts = properties.groupBy("host_id").agg(F.count("*").cast("int").alias("total_listings"))

@@ -14,12 +14,12 @@ from datetime import datetime
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from ..functions.dates import moment
 from ..functions.text import attribute_hash
 from ..schemas import OPEN_END, enforce
-from .keys import last_key, materialise, number
+from .keys import last_key, materialise, number, profile
 from .lookup import lookup
 
 
@@ -64,13 +64,17 @@ DIMENSIONS = {d.table: d for d in (USERS, HOSTS, PROPERTIES)}
 
 @dataclass
 class Merge:
-    """Outcome of one merge: ``snapshot`` holds the current rows and those just closed."""
+    """Outcome of one merge: ``snapshot`` holds the current rows and those just closed.
+
+    If it is not ``whole``, only those current rows are in it that the merge made.
+    """
 
     snapshot: DataFrame
     inserted: DataFrame
     rows_updated: int
     rows_inserted: int
     last_key: int
+    whole: bool = True
 
     @property
     def rows_affected(self) -> int:
@@ -153,12 +157,12 @@ def merge(current: DataFrame, staged: DataFrame, dim: Dimension, batch_ts: datet
           created_by: str, closed: DataFrame | None = None, start_key: int | None = None,
           enrich: Callable[[DataFrame], DataFrame] | None = None,
           ignore_case: bool = False,
-          rewritten: Callable[[DataFrame], DataFrame] | None = None) -> Merge:
+          whole: Callable[[int], bool] = lambda replaced: True) -> Merge:
     """Apply one staged batch to a dimension.
 
     ``current`` holds the current rows. Keys absent from the batch stay as they are, and so
-    do keys whose tracked columns are equal, whatever their other attributes say. ``rewritten``
-    takes the rows due and returns the current rows that the snapshot must hold (default: all).
+    do keys whose tracked columns are equal, whatever their other attributes say. ``whole`` says,
+    given the number of replaced rows, whether the snapshot must hold the other current rows.
     """
     if start_key is None:
         start_key = last_key(current, dim.surrogate)
@@ -167,9 +171,10 @@ def merge(current: DataFrame, staged: DataFrame, dim: Dimension, batch_ts: datet
     due = pending(current, staged, dim, closed, ignore_case)
     if enrich is not None:
         due = enrich(due)
-    due = materialise(due, [dim.key], dim.table)
-    tally = due.agg(F.count("*").alias("inserted"),
-                    F.count_if("_replaces").alias("updated")).first()
+    seen = Observation()
+    due = materialise(due, [dim.key], dim.table, ranges=profile(staged, dim.key), seen=(seen, {
+        "inserted": F.count("*"), "updated": F.count_if("_replaces")}))
+    tally = seen.get
 
     now = moment(batch_ts)
     computed = {
@@ -185,8 +190,8 @@ def merge(current: DataFrame, staged: DataFrame, dim: Dimension, batch_ts: datet
 
     replaced = due.where("_replaces").select(dim.key, F.lit(True).alias("_closing"))
     closing = F.coalesce("_closing", F.lit(False))
-    touched = current if rewritten is None else rewritten(due)
-    kept = (touched.where("is_current").join(replaced, dim.key, "left")
+    every = whole(tally["updated"])
+    kept = (current.where("is_current").join(replaced, dim.key, "left" if every else "inner")
             .withColumn("is_current", ~closing)
             .withColumn("valid_to", F.when(closing, now).otherwise(F.col("valid_to")))
             .withColumn("updated_at", F.when(closing, now).otherwise(F.col("updated_at")))
@@ -194,4 +199,4 @@ def merge(current: DataFrame, staged: DataFrame, dim: Dimension, batch_ts: datet
                         .otherwise(F.col("updated_by"))))
     snapshot = enforce(kept, dim.table).unionByName(fresh)
     return Merge(snapshot, fresh, tally["updated"], tally["inserted"],
-                 start_key + tally["inserted"])
+                 start_key + tally["inserted"], every)

@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame
 from ..operators import audit, facts, metrics, scd2
 from ..functions.dates import moment
 from ..operators.calendar import FIRST_DAY, LAST_DAY, calendar
-from ..operators.keys import materialise
-from ..session import scratch_released
+from ..operators.keys import Profile, profile
+from ..session import kept_once, scratch_released
 from ..sources import staging
-from ..sources.store import Store, key_bucket
+from ..sources.store import Store, counted
 
 # Merge and load order.
 MERGE_ORDER = ("dim_users", "dim_hosts", "dim_properties")
@@ -91,17 +91,13 @@ class Run:
                 done[table] = staging.load(self.store, df, table, batch_id, now, truncate, safe)
         return done
 
-    def _buckets(self, rows: DataFrame, key: str) -> set[int]:
-        """The buckets that ``rows`` touch, of which there are a fixed number."""
-        return {r[0] for r in rows.select(key_bucket(key)).distinct().collect()}
-
     # ---- merges -------------------------------------------------------------------
 
     def merge_dimension(self, table: str, dry_run: bool = False,
                         ignore_case: bool = False) -> dict:
         """Merge the staged rows, or return the previews and write nothing.
 
-        Only the buckets of current rows that the batch changes are written anew.
+        The rows that the batch changes are written, or all once replaced ones outgrow a share.
         ``ignore_case`` compares texts without regard to case and trailing blanks.
         """
         dim, store = scd2.DIMENSIONS[table], self.store
@@ -120,16 +116,11 @@ class Run:
 
                 def enrich(rows: DataFrame) -> DataFrame:
                     return scd2.with_current_host(rows, hosts)
-            buckets: set[int] = set()
-
-            def rewritten(due: DataFrame) -> DataFrame:
-                buckets.update(self._buckets(due, dim.key))
-                return store.read_current(table, buckets)
             outcome = scd2.merge(store.read_current(table), staged, dim, now, self.created_by,
-                                 closed, state.last_key, enrich, ignore_case, rewritten)
+                                 closed, state.last_key, enrich, ignore_case, state.folds)
             if outcome.rows_affected:
                 store.merge(table, outcome.snapshot, dim.key, batch_id, now, outcome.last_key,
-                            buckets=buckets)
+                            replaced=None if outcome.whole else outcome.rows_updated)
             return {"rows_updated": outcome.rows_updated,
                     "rows_inserted": outcome.rows_inserted,
                     "rows_affected": outcome.rows_affected}
@@ -142,18 +133,18 @@ class Run:
     # ---- facts --------------------------------------------------------------------
 
     def _resolve(self, table: str, staged: DataFrame, loaded: DataFrame,
-                 version_at: str | None, also_payment_id: bool) -> DataFrame:
+                 version_at: str | None, also_payment_id: bool, ends: Profile) -> DataFrame:
         store, dates = self.store, self.store.read("dim_dates")
         read = store.read if version_at else store.read_current
         if table == "fact_bookings":
             return facts.resolve_bookings(staged, loaded, read("dim_users"),
-                                          read("dim_properties"), dates, version_at)
+                                          read("dim_properties"), dates, version_at, ends)
         if table == "fact_payments":
-            return facts.resolve_payments(staged, loaded, store.read("fact_bookings"),
-                                          read("dim_users"), dates, version_at,
-                                          also_payment_id)
+            return facts.resolve_payments(
+                staged, loaded, store.read("fact_bookings"), read("dim_users"), dates, version_at,
+                also_payment_id, ends, lambda column, keys: store.holding(table, column, keys))
         return facts.resolve_reviews(staged, loaded, read("dim_users"),
-                                     read("dim_properties"), dates, version_at)
+                                     read("dim_properties"), dates, version_at, ends)
 
     def load_fact(self, table: str, dry_run: bool = False, staged: DataFrame | None = None,
                   version_at: str | None = None, also_payment_id: bool = False) -> dict:
@@ -170,14 +161,16 @@ class Run:
             return {"would_insert": facts.preview(rows, loaded, fact)}
 
         def work(batch_id: int, now: datetime) -> dict:
-            resolved = self._resolve(table, rows, loaded, version_at, also_payment_id)
+            known = profile(rows, fact.order)
+            resolved = self._resolve(table, rows, loaded, version_at, also_payment_id, known)
             columns = [c for c in rows.columns if c != facts.ARRIVAL]
-            done = facts.load(resolved, fact, columns, now, state.last_key)
+            done = facts.load(resolved, fact, columns, now, state.last_key, known)
             if done.rows_loaded:
-                store.append(table, done.accepted, batch_id, now, done.last_key)
+                store.append(table, done.accepted, batch_id, now, done.last_key,
+                             filtered=next((k for k in fact.dedupe if k != fact.order), None))
             if done.rows_rejected:
                 store.write_rejects(table, done.rejects, batch_id)
-            skipped = rows.count() - done.rows_loaded - done.rows_rejected
+            skipped = known.rows - done.rows_loaded - done.rows_rejected
             return {"rows_loaded": done.rows_loaded, "rows_rejected": done.rows_rejected,
                     "rows_skipped": skipped, "rows_affected": done.rows_loaded}
 
@@ -191,20 +184,25 @@ class Run:
     def update_user_metrics(self) -> dict:
         """Refresh bookings and spending of the current user rows in place.
 
-        All current rows count as affected; only buckets with other figures are written.
+        All current rows count as affected; only rows with other figures are written, or all once
+        replaced ones outgrow a share.
         """
         store = self.store
 
         def work(batch_id: int, now: datetime) -> dict:
             figures = metrics.user_metrics(store.read("dim_users"), store.read("fact_bookings"),
                                            store.read("fact_payments"))
-            current = store.read_current("dim_users")
-            changed = materialise(metrics.outdated(current, figures), ["user_id"], "user_metrics")
-            if buckets := self._buckets(changed, "user_id"):
-                refreshed = metrics.apply_metrics(store.read_current("dim_users", buckets),
-                                                  changed, moment(now), self.created_by)
-                store.merge("dim_users", refreshed, "user_id", batch_id, now,
-                            store.state("dim_users").last_key, "metrics", buckets)
+            current, state = store.read_current("dim_users"), store.state("dim_users")
+            changed, seen = counted(metrics.outdated(current, figures))
+            changed, _ = kept_once(changed, "user_metrics")
+            if count := seen.get["rows"]:
+                whole = state.folds(count)
+                rows = metrics.apply_metrics(current, changed, moment(now), self.created_by,
+                                             "left" if whole else "inner")
+                store.merge("dim_users", rows, "user_id", batch_id, now, state.last_key,
+                            "metrics", None if whole else count)
+            if state.current_rows is not None:
+                return {"rows_affected": state.current_rows}
             return {"rows_affected": current.count()}
 
         return self._logged("dim_users", "UPDATE_METRICS", "update_user_metrics", work)

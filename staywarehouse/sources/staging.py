@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -68,16 +69,21 @@ def sorted_out(df: DataFrame, table: str, loaded_at: datetime) -> DataFrame:
         F.to_json(F.struct(*ready.columns)).alias("raw"))
 
 
-def check_keys(df: DataFrame, table: str, earlier: DataFrame | None = None) -> None:
+def check_keys(df: DataFrame, table: str, earlier: DataFrame | None = None,
+               holding: Callable[[str, DataFrame], DataFrame] | None = None) -> None:
     """Raise unless the declared keys are unique in a batch and new to the ``earlier`` rows.
 
-    Only the batch is grouped; the earlier rows are looked through for its keys.
+    Only the batch is grouped; the earlier rows are looked through for its keys: those in its
+    range, or by another column those that ``holding`` cannot rule out.
     """
     key = S.STAGING_KEYS[table]
     for column in (key, *S.STAGING_UNIQUE.get(table, ())):
         require_unique(df, (column,), table)
         if earlier is not None:
-            known = within(earlier, df, column) if column == key else earlier
+            if column == key:
+                known = within(earlier, df, column)
+            else:
+                known = earlier if holding is None else holding(column, df.select(column))
             if not known.select(column).join(df.select(column), column, "left_semi").isEmpty():
                 raise ValueError(f"{table}: {column} is not unique, staged rows have it too")
 
@@ -98,7 +104,9 @@ def load(store: Store, df: DataFrame, table: str, batch_id: int, loaded_at: date
     else:
         ready = prepare(df, table, loaded_at)
     return put(table, ready, batch_id, loaded_at,
-               verify=lambda rows, earlier: check_keys(rows, table, earlier))
+               verify=lambda rows, earlier: check_keys(
+                   rows, table, earlier, lambda column, keys: store.holding(table, column, keys)),
+               filtered=next(iter(S.STAGING_UNIQUE.get(table, ())), None))
 
 
 UNROUTED = {"clickstream"}

@@ -5,26 +5,33 @@ commit row saying which directories the table gained and lost. Readers see the d
 of the committed rows only: a batch that fails before its commit row leaves the table as it
 was. Directories being read are never overwritten. One writer per table is assumed.
 
-``<root>/data/<table>/batch_id=<n>[/is_current=<bool>/key_bucket=<k>]`` holds rows,
-``<root>/commits/<table>`` the commit rows. A merge replaces only the buckets of current rows
-that it touches. Paths may be on any file system Spark can write to.
+A merge writes the rows that it changes and no others: the versions that it closes, and current
+rows that take the place of earlier ones with the same key. Readers leave out what was replaced,
+by an anti-join with the keys of the later current rows. When these outgrow a share of the table
+(``FOLD_SHARE``), the next merge writes all current rows once and the count begins anew.
+
+``<root>/data/<table>/batch_id=<n>[/is_current=<bool>]`` holds rows, ``<root>/commits/<table>``
+the commit rows, ``<root>/sketches/<table>/batch_id=<n>`` the filter of a batch's key column (see
+``sketch``). Paths may be on any file system Spark can write to.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..schemas import empty, nullable, one_row, schema
+from . import sketch
 
 Verify = Callable[[DataFrame, DataFrame | None], None]
 
-#: Current rows of a dimension lie in this many directories, by hash of the business key.
-KEY_BUCKETS = 64
+#: A merge that would bring the replaced rows above this share of the current ones, or the batches
+#: with replacing rows above this number, writes all current rows.
+FOLD_SHARE, FOLD_BATCHES = 0.1, 64
 
 _COMMIT = T.StructType([
     T.StructField("batch_id", T.LongType()), T.StructField("table_name", T.StringType()),
@@ -32,12 +39,12 @@ _COMMIT = T.StructType([
     T.StructField("added", T.ArrayType(T.StringType())),
     T.StructField("removed", T.ArrayType(T.StringType())),
     T.StructField("row_count", T.LongType()), T.StructField("last_key", T.LongType()),
-    T.StructField("batch_ts", T.StringType())])
-
-
-def key_bucket(key: str) -> Column:
-    """The bucket of a business key."""
-    return F.pmod(F.xxhash64(key), F.lit(KEY_BUCKETS)).cast("int")
+    T.StructField("batch_ts", T.StringType()),
+    # of a merge: its key, the current rows after it, those that it replaces without removing them
+    T.StructField("key_column", T.StringType()), T.StructField("current_rows", T.LongType()),
+    T.StructField("replaced", T.LongType()),
+    # blocks of the batch's filter; the micro-batch that it came from
+    T.StructField("blocks", T.LongType()), T.StructField("source", T.StringType())])
 
 
 @dataclass(frozen=True)
@@ -49,6 +56,33 @@ class State:
     last_key: int = 0
     last_merge_ts: datetime | None = None
     batches: tuple[int, ...] = ()
+    key: str | None = None
+    current_rows: int | None = None
+    replaced: int = 0
+    overlays: tuple[str, ...] = ()
+    rows: int = 0
+    blocks: dict[str, int] = field(default_factory=dict)
+    sources: dict[str, int] = field(default_factory=dict)
+
+    def folds(self, replaced: int) -> bool:
+        """Whether a merge that replaces so many rows should write all current rows."""
+        return (not self.current_rows or len(self.overlays) >= FOLD_BATCHES
+                or self.replaced + replaced > FOLD_SHARE * self.current_rows)
+
+
+def _current(path: str) -> bool:
+    return path.endswith("/is_current=true")
+
+
+def counted(df: DataFrame, **counts: str) -> tuple[DataFrame, Observation]:
+    """``df`` and an observation of ``rows`` and of what else to count, for one write of it.
+
+    Observed where the rows are written and not before a shuffle, so that a stage which runs
+    again after an executor is lost does not count twice.
+    """
+    seen = Observation()
+    more = [F.expr(test).alias(name) for name, test in counts.items()]
+    return df.observe(seen, F.count("*").alias("rows"), *more), seen
 
 
 class Store:
@@ -83,107 +117,156 @@ class Store:
                 raise
             return State()
         paths: dict[str, None] = {}
-        merge_ts = None
+        made: dict = {"blocks": {}, "sources": {}, "rows": 0}
+        overlays: dict[str, None] = {}
         for row in rows:
             for path in row["removed"] or ():
                 paths.pop(path, None)
+                overlays.pop(path, None)
+                made["blocks"].pop(path, None)
             paths.update(dict.fromkeys(row["added"] or ()))
+            made["rows"] = row["row_count"] + (0 if row["operation"] == "replace"
+                                               else made["rows"])
             if row["operation"] == "merge":
-                merge_ts = datetime.fromisoformat(row["batch_ts"])
+                made["last_merge_ts"] = datetime.fromisoformat(row["batch_ts"])
+            if row["operation"] in ("merge", "metrics"):
+                made["key"], made["current_rows"] = row["key_column"], row["current_rows"]
+                if row["replaced"]:
+                    overlays.update(dict.fromkeys(filter(_current, row["added"] or ())))
+                made["replaced"] = (made.get("replaced", 0) + row["replaced"]
+                                    if row["replaced"] is not None else 0)
+            if row["blocks"] is not None:
+                made["blocks"].update(dict.fromkeys(row["added"] or (), row["blocks"]))
+            if row["source"] is not None:
+                made["sources"][row["source"]] = row["batch_id"]
         if not rows:
             return State()
-        return State(tuple(paths), rows[-1]["batch_id"], max(r["last_key"] for r in rows),
-                     merge_ts, tuple(r["batch_id"] for r in rows))
+        return State(paths=tuple(paths), last_batch=rows[-1]["batch_id"],
+                     last_key=max(r["last_key"] for r in rows),
+                     batches=tuple(r["batch_id"] for r in rows), overlays=tuple(overlays), **made)
 
     def read(self, table: str) -> DataFrame:
         """The committed rows with the declared schema; an unknown table is empty."""
-        return self._read(table, self.state(table).paths)
-
-    def _versions(self, table: str, current: bool, buckets: set[int] | None = None) -> list[str]:
-        """Paths of current or closed rows, of the given buckets only if there are any."""
-        mark = f"/is_current={str(current).lower()}/key_bucket="
-        return [p for p in self.state(table).paths
-                if mark in p and (buckets is None or int(p.split(mark)[1]) in buckets)]
+        state = self.state(table)
+        if state.overlays:
+            return self.read_closed(table).unionByName(self.read_current(table))
+        return self._read(table, state.paths)
 
     def read_closed(self, table: str) -> DataFrame:
-        return self._read(table, self._versions(table, False))
-
-    def read_current(self, table: str, buckets: set[int] | None = None) -> DataFrame:
-        return self._read(table, self._versions(table, True, buckets))
-
-    def _read(self, table: str, paths: Iterable[str]) -> DataFrame:
+        paths = [p for p in self.state(table).paths if p.endswith("/is_current=false")]
+        return self._read(table, paths)
+
+    def read_current(self, table: str) -> DataFrame:
+        """The current rows: of every key those of the last batch that has it."""
+        state = self.state(table)
+        base = [p for p in state.paths if _current(p) and p not in state.overlays]
+        if not state.overlays:
+            return self._read(table, base)
+        declared = schema(table).fieldNames()
+        over = self._read(table, state.overlays, "batch_id")
+        last = over.groupBy(state.key).agg(F.max("batch_id").alias("_last"))
+        # A batch without replaced rows may come after one with some: only new keys are in it.
+        kept = self._read(table, base).join(last, state.key, "left_anti")
+        newest = over.join(last, state.key).where("batch_id = _last")
+        return kept.select(*declared).unionByName(newest.select(*declared))
+
+    def _read(self, table: str, paths: Iterable[str], *more: str) -> DataFrame:
         declared = schema(table)
         if not paths:
             return empty(self.spark, declared)
         base = self._base(table)
         rows = (self.spark.read.schema(nullable(declared)).option("basePath", base)
                 .parquet(*[f"{base}/{p}" for p in paths]))
-        return rows.select(*declared.fieldNames())
+        return rows.select(*declared.fieldNames(), *more)
+
+    def holding(self, table: str, column: str, keys: DataFrame) -> DataFrame:
+        """The rows of all batches but those whose filter rejects every key in ``keys``.
+
+        Filters are tested first where that is less work than comparing the keys with the rows.
+        """
+        state = self.state(table)
+        filters = {int(p.removeprefix("batch_id=")): n for p, n in state.blocks.items()}
+        if not filters or keys.count() * len(filters) > state.rows:
+            return self.read(table)
+        root = f"{self.root}/sketches/{table}"
+        held = self.spark.read.option("basePath", root).parquet(
+            *[f"{root}/batch_id={b}" for b in filters])
+        hits = {r.batch_id for r in sketch.passed(keys, column, held, filters).collect()}
+        return self._read(table, [p for p in state.paths if p not in state.blocks
+                                  or int(p.removeprefix("batch_id=")) in hits])
 
     def is_empty(self, table: str) -> bool:
         return self.read(table).isEmpty()
 
-    def _written(self, table: str, path: str) -> int:
-        """Rows of a just written directory, from its file footers."""
-        try:
-            return self.spark.read.schema(nullable(schema(table))).parquet(path).count()
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            return 0
-
     def _commit(self, table: str, batch_id: int, operation: str, added: list[str],
-                removed: list[str], row_count: int, last_key: int, batch_ts: datetime) -> None:
+                removed: list[str], row_count: int, last_key: int, batch_ts: datetime,
+                **more: object) -> None:
         row = (batch_id, table, operation, added, removed, row_count, last_key,
-               batch_ts.isoformat())
+               batch_ts.isoformat(), *[more.get(f.name) for f in _COMMIT[8:]])
         one_row(self.spark, _COMMIT, row).write.mode("append").json(self._commits(table))
         self._states.pop(table, None)
 
     def append(self, table: str, df: DataFrame, batch_id: int, batch_ts: datetime,
-               last_key: int | None = None, verify: Verify | None = None) -> int:
-        return self._put(table, df, batch_id, batch_ts, last_key, False, verify)
+               last_key: int | None = None, verify: Verify | None = None,
+               filtered: str | None = None, source: str | None = None) -> int:
+        """Write ``df`` as one batch, with a filter of its column ``filtered`` if one is named.
+
+        ``source`` names the micro-batch that the rows are, by which a replay is recognised.
+        """
+        return self._put(table, df, batch_id, batch_ts, last_key, False, verify, filtered, source)
 
     def replace(self, table: str, df: DataFrame, batch_id: int, batch_ts: datetime,
-                last_key: int | None = None, verify: Verify | None = None) -> int:
+                last_key: int | None = None, verify: Verify | None = None,
+                filtered: str | None = None) -> int:
         """Truncate and load: the former directories leave the table in the same commit."""
-        return self._put(table, df, batch_id, batch_ts, last_key, True, verify)
+        return self._put(table, df, batch_id, batch_ts, last_key, True, verify, filtered)
 
     def _put(self, table: str, df: DataFrame, batch_id: int, batch_ts: datetime,
-             last_key: int | None, truncate: bool, verify: Verify | None) -> int:
+             last_key: int | None, truncate: bool, verify: Verify | None,
+             filtered: str | None = None, source: str | None = None) -> int:
         """Write, let ``verify`` raise on the new rows and those before, then commit."""
         before = self.state(table)
         if batch_id in before.batches:
             raise ValueError(f"{table}: batch {batch_id} is already committed")
         path = f"batch_id={batch_id}"
+        df, seen = counted(df)
         df.write.mode("overwrite").parquet(f"{self._base(table)}/{path}")
-        rows = self._written(table, f"{self._base(table)}/{path}")
+        rows = seen.get["rows"]
         removed = list(before.paths) if truncate else []
         if verify is not None:
             earlier = self._read(table, before.paths) if before.paths and not truncate else None
             verify(self._read(table, [path]), earlier)
+        blocks = sketch.blocks_for(rows) if filtered else None
+        if filtered:
+            sketch.build(self._read(table, [path]), filtered, blocks).write.mode(
+                "overwrite").parquet(f"{self.root}/sketches/{table}/{path}")
         self._commit(table, batch_id, "replace" if truncate else "append", [path], removed,
-                     rows, before.last_key if last_key is None else last_key, batch_ts)
+                     rows, before.last_key if last_key is None else last_key, batch_ts,
+                     blocks=blocks, source=source)
         return rows
 
     def merge(self, table: str, snapshot: DataFrame, key: str, batch_id: int,
               batch_ts: datetime, last_key: int, operation: str = "merge",
-              buckets: set[int] | None = None) -> None:
-        """Commit a merge: new current rows replace the old ones, closed rows are added.
+              replaced: int | None = None) -> None:
+        """Commit a merge; the closed rows of ``snapshot`` are added.
 
-        ``snapshot`` holds whole buckets of ``key``: all, or those in ``buckets``.
+        Its current rows are all there are, or, if ``replaced`` is given, they take the place of
+        so many earlier ones with the same ``key``.
         """
-        path = f"{self._base(table)}/batch_id={batch_id}"
-        split = ("is_current", "key_bucket")
-        (snapshot.withColumn("key_bucket", key_bucket(key)).hint("rebalance", *split)
-         .write.mode("overwrite").partitionBy(*split).parquet(path))
-        fields = T.StructType([*nullable(schema(table)),
-                               T.StructField("key_bucket", T.IntegerType())])
-        written = (self.spark.read.schema(fields).parquet(path).groupBy(*split)
-                   .agg(F.count("*").alias("n")).collect() if self._written(table, path) else [])
-        added = [f"batch_id={batch_id}/is_current={str(r.is_current).lower()}/"
-                 f"key_bucket={r.key_bucket}" for r in written]
-        self._commit(table, batch_id, operation, added, self._versions(table, True, buckets),
-                     sum(r["n"] for r in written), last_key, batch_ts)
+        before, path = self.state(table), f"batch_id={batch_id}"
+        rows, seen = counted(snapshot.hint("rebalance", "is_current"),
+                             current="count_if(is_current)")
+        rows.write.mode("overwrite").partitionBy("is_current").parquet(
+            f"{self._base(table)}/{path}")
+        total, current = seen.get["rows"], seen.get["current"]
+        added = [f"{path}/is_current={name}" for name, n in
+                 (("true", current), ("false", total - current)) if n]
+        if replaced is None:
+            removed, now = [p for p in before.paths if _current(p)], current
+        else:
+            removed, now = [], (before.current_rows or 0) + current - replaced
+        self._commit(table, batch_id, operation, added, removed, total, last_key, batch_ts,
+                     key_column=key, current_rows=now, replaced=replaced)
 
     def create(self, table: str) -> bool:
         """Register an empty table unless it exists."""

@@ -230,25 +230,84 @@ def test_unknown_frames_are_refused(frames):
         staging.route({"clicks": frames["users"]})
 
 
-def test_a_merge_rewrites_touched_buckets_only(spark, store, clock, frames):
+def written(store, table, batch_id):
+    """Rows in the files that one batch wrote."""
+    root = f"{store.root}/data/{table}/batch_id={batch_id}"
+    return store.spark.read.parquet(root).count()
+
+
+def test_a_merge_writes_what_it_changes(spark, store, clock, frames):
     run = Run(store, "t", clock)
     run.run({"users": frames["users"]}, load=False, refresh_metrics=False)
-    before = {p: store._read("dim_users", [p]).inputFiles() for p in store.state("dim_users").paths}
-    run.stage({"users": frames["users"].withColumn(
+    before = store.state("dim_users").paths
+
+    def merge(condition):
+        users = frames["users"].withColumn("city", F.expr(f"if({condition}, 'Elsewhere', city)"))
+        run.stage({"users": users.where("user_id <> 300 or " + str(condition != "user_id = 7"))},
+                  truncate=True)
+        return run.merge_dimension("dim_users")
+
+    done = merge("user_id = 7")
+    assert done["rows_updated"] == 1 and written(store, "dim_users", done["batch_id"]) == 2
+    state = store.state("dim_users")
+    assert set(before) < set(state.paths) and len(state.overlays) == state.replaced == 1
+    done = merge("user_id in (7, 9)")  # 7 as before
+    assert done["rows_updated"] == 1 and len(store.state("dim_users").overlays) == 2
+    rows = store.read("dim_users")
+    assert rows.count() == 302 and rows.where("is_current").count() == 300
+    assert store.read_current("dim_users").select("user_id").distinct().count() == 300
+    assert [(r.city, r.is_current) for r in
+            rows.where("user_id = 7").orderBy("version_number").collect()][1:] == [
+        ("Elsewhere", True)]
+    back = run.stage({"users": frames["users"]}, truncate=True) and run.merge_dimension("dim_users")
+    assert back["rows_updated"] == 2  # both return to where they were, by one more version
+    assert [r.version_number for r in store.read_current("dim_users").where(
+        "user_id in (7, 9)").collect()] == [3, 3]
+    state = store.state("dim_users")
+    assert (state.replaced, state.current_rows, len(state.overlays)) == (4, 300, 3)
+
+    # beyond the share all current rows are written and nothing is left out on reading
+    run.stage({"users": frames["users"].withColumn("city", F.lit("X"))}, truncate=True)
+    done = run.merge_dimension("dim_users")
+    state = store.state("dim_users")
+    assert written(store, "dim_users", done["batch_id"]) == 300 + done["rows_updated"]
+    assert (state.replaced, state.current_rows, state.overlays) == (0, 300, ())
+    plan = store.read_current("dim_users")._jdf.queryExecution().toString()
+    assert "Join" not in plan
+    rows = store.read("dim_users")
+    assert rows.where("is_current").count() == 300
+    assert rows.count() == 304 + done["rows_updated"]
+    last = rows.groupBy("user_id").agg(F.max("version_number").alias("v"),
+                                       F.count("*").alias("n"), F.count_if("is_current").alias("c"))
+    assert last.where("v <> n or c <> 1").isEmpty()
+    versions = quality.audit({"dim_users": rows}, {"dim_users": quality.RULES["dim_users"]})
+    assert versions.where("violations > 0").isEmpty()
+
+
+def test_new_keys_after_changed_ones(spark, store, clock, frames):
+    run, users = Run(store, "t", clock), frames["users"]
+    run.run({"users": users.where("user_id <= 250")}, load=False, refresh_metrics=False)
+    run.stage({"users": users.where("user_id <= 250").withColumn(
         "city", F.expr("if(user_id = 7, 'Elsewhere', city)"))}, truncate=True)
+    run.merge_dimension("dim_users")
+    run.stage({"users": users.where("user_id > 250")}, truncate=True)
+    done = run.merge_dimension("dim_users")
+    state = store.state("dim_users")
+    assert (done["rows_inserted"], done["rows_updated"]) == (50, 0)
+    assert (len(state.overlays), state.current_rows, state.last_key) == (1, 300, 301)
+    run.stage({"users": users.where("user_id > 250").withColumn(
+        "city", F.expr("if(user_id = 299, 'Elsewhere', city)"))}, truncate=True)
     assert run.merge_dimension("dim_users")["rows_updated"] == 1
-    paths = store.state("dim_users").paths
-    left = set(before) - set(paths)
-    assert len(left) == 1 and {len(p.split("/")) for p in paths} == {3}
-    assert all(store._read("dim_users", [p]).inputFiles() == before[p]
-               for p in set(before) - left)
-    rows = store.read("dim_users")
-    assert rows.count() == 301 and rows.where("is_current").count() == 300
-    assert [r.city for r in rows.where("user_id = 7").orderBy("version_number").collect()][1:] == [
-        "Elsewhere"]
+    current = store.read_current("dim_users")
+    assert current.count() == 300 == current.select("user_id").distinct().count()
+    assert current.where("city = 'Elsewhere'").count() == 2
+    # another store sees the same by the commit rows alone
+    other = Store(spark, store.root)
+    assert other.state("dim_users") == store.state("dim_users")
+    assert other.read_current("dim_users").exceptAll(current).isEmpty()
 
 
-def test_metrics_write_changed_buckets_and_mark_rows(spark, store, clock, frames):
+def test_metrics_write_changed_rows_and_mark_them(spark, store, clock, frames):
     run = Run(store, "t", clock)
     run.run({**frames, "users": frames["users"].drop("total_bookings", "total_spent")})
     marked = store.read_current("dim_users").where("updated_by = 't'")
@@ -257,6 +316,14 @@ def test_metrics_write_changed_buckets_and_mark_rows(spark, store, clock, frames
     state = store.state("dim_users")
     assert run.update_user_metrics()["rows_affected"] == 300
     assert store.state("dim_users") == state
+    one = store.read("fact_payments").where("payment_status = 'paid'").limit(1)
+    store.append("fact_payments", one, 900, clock())
+    owner = one.join(store.read("dim_users"), "user_sk").first()
+    done = run.update_user_metrics()
+    assert done["rows_affected"] == 300 and written(store, "dim_users", done["batch_id"]) == 1
+    now = store.read("dim_users").where(f"user_id = {owner.user_id}").collect()
+    assert [r.total_spent - owner.total_spent for r in now] == [owner.amount]
+    assert store.read_current("dim_users").count() == 300
 
 
 def test_bad_rows_go_to_the_rejects(spark, store, clock, frames):

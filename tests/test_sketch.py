@@ -8,7 +8,7 @@ from staywarehouse.plans.full_load import Run
 from staywarehouse.sources import sketch, staging
 from staywarehouse.sources.store import Store, counted
 
-COLUMNS = {"booking_sk": "1", "booking_id": "1", "user_sk": "1", "payment_date_sk": "20240101"}
+GUID = "00000000-0000-4000-8000-%012d"
 
 
 def names(spark, first, last):
@@ -39,7 +39,7 @@ def test_a_filter_holds_its_keys_and_few_others(spark):
 def payments(spark, first, last):
     return spark.range(first, last).select(
         F.col("id").cast("int").alias("payment_id"), F.lit("p").alias("payment_uuid"),
-        F.format_string("txn-%08d", "id").alias("transaction_id"), F.col("id").alias("booking_id"),
+        F.format_string(GUID, "id").alias("transaction_id"), F.col("id").alias("booking_id"),
         F.lit(1).alias("user_id"), F.lit(10).alias("amount"), F.lit("pix").alias("payment_method"),
         F.lit("paid").alias("payment_status"), F.to_date(F.lit("2024-05-01")).alias("payment_date"))
 
@@ -74,9 +74,9 @@ def test_files_without_a_key_of_the_batch_are_not_read(spark, run, clock):
         files = store.holding("fact_payments", "transaction_id", keys_).inputFiles()
         return sorted({int(f.split("batch_id=")[1].split("/")[0]) for f in files})
 
-    assert read("txn-00001500") == batches[1:2]
-    assert read("txn-00000007", "txn-00002999", None) == [batches[0], batches[2]]
-    assert read("txn-99999999") == [] and read(None) == []
+    assert read(GUID % 1500) == batches[1:2]
+    assert read(GUID % 7, GUID % 2999, None) == [batches[0], batches[2]]
+    assert read(GUID % 99_999_999) == [] and read(None) == []
     # more tests than rows: all is read
     many = ready(0, 1500).select("transaction_id")
     assert store.holding("fact_payments", "transaction_id", many).count() == 3000

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions.dates import days_between
-from .lookup import salted_sides, salting
+from .lookup import fits_broadcast
 
 
 def user_history(users: DataFrame, user_id: int | None = None) -> DataFrame:
@@ -40,20 +40,81 @@ def as_of(rows: DataFrame, versions: DataFrame, key: str, moment: str,
           columns: list[str]) -> DataFrame:
     """Left join ``rows`` with the version of ``key`` valid at column ``moment``.
 
-    The key equality makes it a hash or sort-merge join; the validity range is a residual
-    test over the few versions of that key. Hot keys are split as in ``lookup``.
+    Versions that fit a broadcast are joined on the key, the validity range being a residual test
+    over the few versions of that key: the rows are not moved. Others are carried forward.
     """
-    v = versions.select(key, F.col("valid_from").alias("_from"),
+    if not fits_broadcast(versions.select(key, "valid_from", "valid_to", *columns)):
+        return carried(rows, versions, key, moment, columns)
+    v = versions.select(F.col(key).alias("_key"), F.col("valid_from").alias("_from"),
                         F.col("valid_to").alias("_to"), *columns)
-    salted = salting(rows.sparkSession)
-    left, right = salted_sides(rows, v, key) if salted else (rows, v)
-    right = right.withColumnRenamed(key, "_key")
     test = (F.col(key) == F.col("_key")) & valid_at(
         F.col(moment).cast("timestamp_ntz"), F.col("_from"), F.col("_to"))
-    if salted:
-        right = right.withColumnRenamed("_salt", "_other")
-        test &= F.col("_salt") == F.col("_other")
-    return left.join(right, test, "left").drop("_key", "_from", "_to", "_salt", "_other")
+    return rows.join(v, test, "left").drop("_key", "_from", "_to")
+
+
+def slices(rows: DataFrame, key: str, at: str, parts: int) -> dict[int, list]:
+    """Bounds in time for the keys that fill more than one of ``parts`` ranges of the rows.
+
+    A quantile sketch of the (whole-number) key names a key once for each range that it ends, so
+    there are fewer than ``parts`` such keys and bounds; a sketch of the times of these keys alone
+    cuts each into as many slices as it fills ranges.
+    """
+    shares = [i / parts for i in range(1, parts)]
+    accuracy = max(10_000, 10 * parts)
+    ends = rows.agg(F.percentile_approx(key, shares, accuracy)).first()[0] if shares else None
+    often = {k: n for k in set(ends or ()) if (n := ends.count(k)) > 1}
+    if not often:
+        return {}
+    found = (rows.where(F.col(key).isin(list(often))).groupBy(F.col(key).alias("k"))
+             .agg(F.percentile_approx(at, shares, accuracy).alias("times")).collect())
+    chosen = {}
+    for r in found:
+        n = often[r.k] + 1
+        chosen[r.k] = sorted({r.times[len(r.times) * i // n] for i in range(1, n)})
+    return chosen
+
+
+def carried(rows: DataFrame, versions: DataFrame, key: str, moment: str,
+            columns: list[str], parts: int | None = None) -> DataFrame:
+    """``as_of`` by one pass over rows and versions together, in order of key and time.
+
+    Every row takes the last version before it, if that is still valid. A key that fills more than
+    one of ``parts`` ranges (default: shuffle partitions) is cut into slices of time of like
+    size, and a version goes to every slice that its validity meets, so it stands before the
+    rows of a slice that begins later. So no key is the work of one task, and a row is not
+    compared with all versions of its key. Rows without key or moment are not moved.
+    """
+    spark = rows.sparkSession
+    parts = parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    at, kind, cut, version = "_as_of_at", "_as_of_kind", "_as_of_slice", "_as_of_version"
+    timed = rows.withColumn(at, F.col(moment).cast("timestamp_ntz"))
+    whole = F.col(key).isNotNull() & F.col(at).isNotNull()
+    bounds = slices(timed.where(whole), key, at, parts)
+
+    def slice_of(time: Column) -> Column:
+        """How many bounds of its key a time has reached."""
+        out = F.lit(0)
+        for k, own in bounds.items():
+            reached = F.size(F.filter(F.array(*[F.lit(b) for b in own]), lambda b: b <= time))
+            out = F.when(F.col(key) == k, reached).otherwise(out)
+        return out
+
+    left = timed.where(whole).withColumns({kind: F.lit(1), cut: slice_of(F.col(at))})
+    right = versions.where(F.col(key).isNotNull()).select(
+        key, F.col("valid_from").alias(at), F.lit(0).alias(kind),
+        F.explode(F.sequence(slice_of(F.col("valid_from")), slice_of(F.col("valid_to")))).alias(cut),
+        F.struct(F.col("valid_to").alias("_to"), *columns).alias(version))
+    line = (Window.partitionBy(key, cut).orderBy(at, kind)
+            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    last = left.unionByName(right, allowMissingColumns=True).withColumn(
+        version, F.last(version, ignorenulls=True).over(line)).where(F.col(kind) == 1)
+    valid = F.col(at) < F.col(f"{version}._to")
+    found = last.select(*rows.columns, *[
+        F.when(valid, F.col(f"{version}.{c}")).alias(c) for c in columns])
+    kinds = {f.name: f.dataType for f in versions.schema}
+    none = timed.where(~whole).select(*rows.columns, *[
+        F.lit(None).cast(kinds[c]).alias(c) for c in columns])
+    return found.unionByName(none)
 
 
 def merge_tally(versions: DataFrame) -> DataFrame:

@@ -25,6 +25,13 @@ def salting(spark: SparkSession) -> bool:
     return not _adaptive_skew(spark)
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark's estimate of the size of ``df`` is within its limit for broadcasts."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
+    return int(str(plan.stats().sizeInBytes())) <= limit
+
+
 def lookup(rows: DataFrame, table: DataFrame, key: str, how: str = "left",
            salted: bool | None = None) -> DataFrame:
     """Join ``rows`` with ``table``, unique on ``key``, whatever the skew of ``rows``."""

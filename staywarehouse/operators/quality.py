@@ -332,8 +332,3 @@ def require_unique(df: DataFrame, columns: tuple[str, ...], table: str) -> None:
     """Fail a batch whose declared key is not unique."""
     if not _duplicates(df, UniqueRule("DQ-13", columns)).isEmpty():
         raise ValueError(f"{table}: {', '.join(columns)} is not unique in the batch")
-
-
-def bad_rows(df: DataFrame, table: str) -> DataFrame:
-    """Rows breaking any not-null mark or text length of ``table``."""
-    return df.where(reduce(or_, [_is_bad(r) for r in declared(table)]))

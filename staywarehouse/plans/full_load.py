@@ -12,7 +12,7 @@ from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from ..operators import audit, facts, metrics, scd2
 from ..functions.dates import moment
@@ -51,10 +51,13 @@ class Run:
         try:
             yield
         except Exception as error:
-            self.store.log("etl_error_log", audit.error_entry(
-                self.store.spark, batch_id, procedure, error, self.clock(), self.created_by))
+            self.log_error(procedure, error, batch_id)
             raise
 
+    def log_error(self, procedure: str, error: Exception, batch_id: int | None = None) -> None:
+        self.store.log("etl_error_log", audit.error_entry(
+            self.store.spark, batch_id, procedure, error, self.clock(), self.created_by))
+
     def _logged(self, table: str, operation: str, procedure: str,
                 work: Callable[[int, datetime], dict]) -> dict:
         """Run ``work`` as one batch with a batch log row, or an error log row."""
@@ -147,9 +150,12 @@ class Run:
                                      read("dim_properties"), dates, version_at, ends)
 
     def load_fact(self, table: str, dry_run: bool = False, staged: DataFrame | None = None,
-                  version_at: str | None = None, also_payment_id: bool = False) -> dict:
+                  version_at: str | None = None, also_payment_id: bool = False,
+                  source: str | None = None) -> dict:
         """Load one fact from its staging table or a given staged frame.
 
+        ``source`` names the micro-batch that the frame is; it is committed even without rows, so
+        that ``replayed`` finds it.
         ``version_at`` names the date whose dimension versions count; ``also_payment_id`` takes
         a repeated payment id for a repeated payment as well.
         """
@@ -165,17 +171,33 @@ class Run:
             resolved = self._resolve(table, rows, loaded, version_at, also_payment_id, known)
             columns = [c for c in rows.columns if c != facts.ARRIVAL]
             done = facts.load(resolved, fact, columns, now, state.last_key, known)
-            if done.rows_loaded:
-                store.append(table, done.accepted, batch_id, now, done.last_key,
-                             filtered=next((k for k in fact.dedupe if k != fact.order), None))
             if done.rows_rejected:
                 store.write_rejects(table, done.rejects, batch_id)
+            if done.rows_loaded or source is not None:
+                store.append(table, done.accepted, batch_id, now, done.last_key,
+                             filtered=next((k for k in fact.dedupe if k != fact.order), None),
+                             source=source)
             skipped = known.rows - done.rows_loaded - done.rows_rejected
             return {"rows_loaded": done.rows_loaded, "rows_rejected": done.rows_rejected,
                     "rows_skipped": skipped, "rows_affected": done.rows_loaded}
 
         return self._logged(table, audit.LOAD, f"load_{table}", work)
 
+    def replayed(self, table: str, source: str) -> dict | None:
+        """What is known of a micro-batch that is already committed, None of a new one.
+
+        Where the run ended between the commit and the log row, the row is written now.
+        """
+        store, now = self.store, self.clock()
+        batch_id = store.state(table).sources.get(source)
+        if batch_id is None:
+            return None
+        if store.read_log("etl_batch_log").where(F.col("batch_id") == batch_id).isEmpty():
+            loaded = store.batch_rows(table, batch_id)
+            store.log("etl_batch_log", audit.batch_entry(
+                store.spark, batch_id, table, audit.LOAD, loaded, now, now, self.created_by))
+        return {"batch_id": batch_id, "rows_loaded": 0, "rows_affected": 0, "status": "REPLAYED"}
+
     def load_all(self, dry_run: bool = True) -> dict[str, dict]:
         return {table: self.load_fact(table, dry_run) for table in LOAD_ORDER}
 

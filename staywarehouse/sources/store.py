@@ -195,6 +195,10 @@ class Store:
         return self._read(table, [p for p in state.paths if p not in state.blocks
                                   or int(p.removeprefix("batch_id=")) in hits])
 
+    def batch_rows(self, table: str, batch_id: int) -> int:
+        """The rows that one batch brought."""
+        return self._read(table, [f"batch_id={batch_id}"]).count()
+
     def is_empty(self, table: str) -> bool:
         return self.read(table).isEmpty()
 

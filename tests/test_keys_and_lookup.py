@@ -87,12 +87,43 @@ def test_rows_without_a_key_spread_and_versions_are_found_under_skew(spark):
     largest = salted.groupBy("k", "_salt").count().agg(F.max("count")).first()[0]
     assert largest < 3000 / lookup.SALTS * 2
     plain = as_of(rows, versions, "k", "at", ["sk"])
-    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
+    assert "BroadcastHashJoin" in plain._jdf.queryExecution().toString()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         split = as_of(rows, versions, "k", "at", ["sk"])
-        assert "_salt" in split._jdf.queryExecution().toString()
+        plan = split._jdf.queryExecution().toString()
+        assert "Window" in plan and "Join" not in plan
+        assert split.columns == plain.columns == ["id", "k", "at", "sk"]
+        assert split.exceptAll(plain).isEmpty() and plain.exceptAll(split).isEmpty()
+        assert split.where("sk is null").count() == 3000
     finally:
-        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-    assert split.columns == plain.columns == ["id", "k", "at", "sk"]
-    assert split.exceptAll(plain).isEmpty() and plain.exceptAll(split).isEmpty()
-    assert split.where("sk is null").count() == 3000
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "10485760b")
+
+
+def test_versions_are_carried_through_slices(spark):
+    """A third of the rows under one key, which has many versions, gaps and rows on their ends."""
+    from staywarehouse.operators import history
+    day = "timestamp_ntz'2024-01-01' + make_dt_interval(cast({} as int))"
+    rows = spark.range(6000).selectExpr(
+        "id", "cast(case when id % 3 = 0 then 7 when id % 50 = 1 then null else id % 900 end as int)"
+        " AS k", f"case when id % 40 <> 2 then {day.format('id * 31 % 400')} end AS at")
+    versions = spark.range(120).selectExpr(
+        "7 AS k", f"{day.format('id * 3')} AS valid_from", f"{day.format('id * 3 + 2')} AS valid_to",
+        "id AS sk", "concat('v', id) AS name")
+    versions = versions.union(spark.range(800).selectExpr(
+        "cast(id as int) k", day.format("id % 5"), "timestamp_ntz'9999-12-31 23:59:59'", "id + 1000",
+        "cast(null as string)").where("k <> 7"))
+    plain = history.as_of(rows, versions, "k", "at", ["sk", "name"])
+    for parts in (1, 2, 12):
+        bounds = history.slices(rows.where("k is not null and at is not null"), "k", "at", parts)
+        assert set(bounds) == ({7} if parts > 3 else set())
+        got = history.carried(rows, versions, "k", "at", ["sk", "name"], parts)
+        assert got.columns == plain.columns
+        assert got.exceptAll(plain).isEmpty() and plain.exceptAll(got).isEmpty()
+    assert len(bounds[7]) >= 3
+    assert 500 < got.where("sk is null").count() < 3000
+    largest = got.where("k = 7").groupBy(
+        F.expr(" + ".join(f"int(at >= timestamp_ntz'{b}')" for b in bounds[7]))).count()
+    assert largest.agg(F.max("count")).first()[0] <= 2000 / (len(bounds[7]) + 1) * 1.5
+    none = history.carried(rows.where("false"), versions, "k", "at", ["sk"], 4)
+    assert none.isEmpty() and none.columns == ["id", "k", "at", "sk"]

@@ -12,16 +12,17 @@ def components(edges: DataFrame) -> DataFrame:
 
     Large-star and small-star rounds: each replaces edges by edges to smaller neighbours, until
     all edges are stars. Rounds grow with the logarithm of the size. The least neighbour of a
-    node is a sum that is combined before it is shuffled, and the joins have no state per node,
-    so a node of any degree is split like any skewed join key. Every round is written down.
+    node is combined before it is shuffled and written down before it is joined with the edges, so
+    that both sides of the join are plain shuffles and a node of any degree is split like any
+    skewed join key. Every round is written down.
     """
     edges = settled(edges.where("a <> b").select(
         F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "edges")
     before = None
     while True:
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.min("b").alias("m")) \
-            .select("a", F.least("a", "m").alias("m"))
+        least = settled(both.groupBy("a").agg(F.min("b").alias("m"))
+                        .select("a", F.least("a", "m").alias("m")), "least")
         large = both.join(least, "a").where("b > a").select(F.col("m").alias("a"), "b") \
             .where("a <> b").distinct()
         # Now b > a everywhere, and the smaller neighbours of b are the a.

@@ -11,7 +11,8 @@ found so far. Items longer than a block are cut into pieces that overlap by ``wi
 so that no window is lost.
 
 Defined results: null and empty texts have no words and no hits; items that are null or have no
-words match nothing; repeated items each count; extra columns pass through ``scan`` untouched.
+words match nothing; repeated items each count; items without an id mark words as hit, count as
+one item and are not listed; extra columns pass through ``scan`` untouched.
 """
 
 from __future__ import annotations
@@ -199,7 +200,8 @@ def _pass(df: DataFrame, pieces: list, window: int, finish=None) -> DataFrame:
                 if was["spans"]:
                     spans = merged([*spans, *was["spans"]])
                 found.append({"n_words": len(own), "spans": [list(s) for s in spans],
-                              "items": sorted({*items, *was["items"]})})
+                              "items": sorted({*items, *was["items"]},
+                                              key=lambda i: (i is None, i))})
             batch = batch.set_column(batch.schema.get_field_index("found"), "found",
                                      pa.array(found, _FOUND))
             yield finish[0](batch) if finish else batch

@@ -181,14 +181,16 @@ def _block(share: int):
         sets = [np.frombuffer(g, np.uint64) for g in part["grams"]]
         size = np.array([len(s) for s in sets])
         bands = np.stack(part["bands"].to_numpy()) if len(part) else np.zeros((0, 1))
-        hot = part["hot"].to_numpy()
+        hot = np.zeros(bands.shape, bool)
+        for i, own in enumerate(part["hot"]):
+            hot[i, own] = True
         cut = int((part["side"] == 0).sum()) if low != high else len(part)
         rows, cols = slice(0, cut), slice(cut, None) if low != high else slice(0, cut)
         common = shared(sets[rows], sets[cols])
         link = _similar(common, size[rows, None], size[None, cols], share)
         for other in range(int(band)):  # counted in an earlier large bucket
-            both = (hot[rows, None] & hot[None, cols]) >> other & 1
-            link &= ~((both == 1) & (bands[rows, other][:, None] == bands[None, cols, other]))
+            both = hot[rows, other][:, None] & hot[cols, other]
+            link &= ~(both & (bands[rows, other][:, None] == bands[None, cols, other]))
         if low == high:
             np.fill_diagonal(link, False)
         square = np.zeros((len(part), len(part)), bool)
@@ -228,9 +230,9 @@ def join(documents: DataFrame, n: int = N_GRAM, threshold: float = THRESHOLD,
     buckets = places.groupBy("band", "value").agg(F.count("*").alias("n")).where("n > 1")
     places = settled(places.join(buckets, ["band", "value"]), "buckets")
 
-    # Which bands of a class are large buckets, as bits; classes in any bucket, with their sets.
-    hot = settled(places.groupBy("rep").agg(F.expr(
-        f"sum(CASE WHEN n > {small} THEN shiftleft(1L, band) ELSE 0L END)").alias("hot")), "hot")
+    # Which bands of a class are large buckets; classes in any bucket, with their sets.
+    hot = settled(places.groupBy("rep").agg(F.collect_list(
+        F.when(F.col("n") > small, F.col("band"))).alias("hot")), "hot")
     needed = hot.join(classes.select("rep", "docs", "bands"), "rep")
     ids = hot.select(F.col("rep").alias("doc_id"))
     if hot.count() <= SENT:  # else the texts are shuffled to their ids
@@ -282,8 +284,7 @@ def _verified(pairs: DataFrame, held: DataFrame, share: int) -> DataFrame:
                                        "hot AS ha"), "a") \
         .join(held.selectExpr("rep AS b", "length(grams) AS lb", "bands AS bb", "hot AS hb"), "b") \
         .where(f"10000 * least(la, lb) >= {share} * greatest(la, lb)") \
-        .where("NOT exists(sequence(0, size(ba) - 1), i -> ba[i] = bb[i]"
-               " AND (shiftright(ha & hb, i) & 1) = 1)").select("a", "b")
+        .where("NOT exists(array_intersect(ha, hb), i -> ba[i] = bb[i])").select("a", "b")
     both = sized.join(left.drop("bands_a", "hot_a"), "a").join(right.drop("bands_b", "hot_b"), "b")
 
     def check(batches):

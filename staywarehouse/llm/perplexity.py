@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from .charset import BITS, CLASSES, classes, windows
 from .flat import Flat, INK, Tally, chain, hashes, lines, mix, runs, spans
+from .pieces import free
 from .scratch import settled
 
 ORDER = 4
@@ -259,6 +260,11 @@ def report(documents: DataFrame, width: float = WIDTH) -> DataFrame:
 
 
 def accepted(documents: DataFrame, **options) -> DataFrame:
-    """``documents`` that the rules keep; a doc_id that is on several rows is judged by each."""
-    kept = report(documents, **options).where("kept").select("doc_id").distinct()
-    return documents.join(kept, "doc_id", "left_semi")
+    """``documents`` that the rules keep, each row judged by its own text, with or without an id."""
+    key = free("_key", documents.columns)
+    own = [F.col("doc_id"), F.col("lang"), F.col("text")]
+    mark = F.concat_ws(":", F.xxhash64(*own), F.xxhash64(F.lit(1), *own))
+    marked = documents.withColumn(key, mark)
+    kept = report(marked.select(F.col(key).alias("doc_id"), "lang", "text"), **options) \
+        .where("kept").select(F.col("doc_id").alias(key)).distinct()
+    return marked.join(kept, key, "left_semi").select(documents.columns)

@@ -10,7 +10,8 @@ letters, digits and marks before it. What is not valid stays as it is.
 The permutation: a value is two numbers (a, b) below (u, v); ten rounds add to one of them a keyed
 hash of the other, modulo its bound. Every round can be undone, so different values never meet.
 
-Defined results: null stays null; a text without values stays byte for byte.
+Defined results: null stays null; a text without values stays byte for byte; what only looks like
+a value (a day that no calendar has, a card number of a wrong check digit) stays and is not counted.
 """
 
 from __future__ import annotations
@@ -124,9 +125,13 @@ def _address(key: str) -> str:
 
 
 def _date(key: str) -> str:
-    """Days are counted in the cycle of 400 years that begins with 2000, or a multiple off."""
+    """Days are counted in the cycle of 400 years that begins with 2000, or a multiple off.
+
+    What is no date with the month first is read, and written, with the day first.
+    """
     form = ("CASE WHEN m RLIKE '^[0-9]{4}-' THEN 'yyyy-MM-dd' WHEN m RLIKE '^[0-9]{4}/' THEN "
-            "'yyyy/MM/dd' WHEN m LIKE '%.%' THEN 'dd.MM.yyyy' ELSE 'MM/dd/yyyy' END")
+            "'yyyy/MM/dd' WHEN m LIKE '%.%' THEN 'dd.MM.yyyy' WHEN "
+            "try_to_timestamp(m, 'MM/dd/yyyy') IS NULL THEN 'dd/MM/yyyy' ELSE 'MM/dd/yyyy' END")
     days = CYCLE[0] * CYCLE[1]
     found = feistel(key, "'date'", f"pmod(n, {days}) div {CYCLE[1]}",
                     f"pmod(n, {days}) % {CYCLE[1]}", str(CYCLE[0]), str(CYCLE[1]))
@@ -175,13 +180,20 @@ def pseudonym(key: str) -> str:
 
 
 def hidden(text: str, key: str) -> Column:
-    """A struct of column ``text`` with pseudonyms, and ``pseudonyms``, all of them in order."""
-    text = f"`{text}`"
-    found = f"transform(regexp_extract_all({text}, r'{ANY}', 0), m -> {pseudonym(key)})"
-    joined = (f"array_join(zip_with(split({text}, r'{ANY}'), made, (p, o) -> "
+    """A struct of column ``text`` with pseudonyms, and ``pseudonyms``, in order.
+
+    Values of a format that are not valid (no date, no card number) stay and are not listed. The
+    column is named once, outside of all lambdas, so that none of their names can hide it.
+    """
+    column = "`" + text.replace("`", "``") + "`"
+    made = f"transform(found, m -> {pseudonym(key)})"
+    joined = (f"array_join(zip_with(split(whole, r'{ANY}'), made, (p, o) -> "
               "concat(coalesce(p, ''), coalesce(o, ''))), '')")
-    return F.expr(_let("made", found, f"named_struct('text', if(size(made) = 0, {text}, {joined}),"
-                                      " 'pseudonyms', made)"))
+    new = "filter(made, (o, i) -> o <> found[i])"
+    body = _let("made", made, f"named_struct('text', if(size(made) = 0, whole, {joined}), "
+                              f"'pseudonyms', {new})")
+    return F.expr(_let("whole", column, _let(
+        "found", f"regexp_extract_all(whole, r'{ANY}', 0)", body)))
 
 
 def pseudonymise(documents: DataFrame, key: str, text: str = "text") -> DataFrame:

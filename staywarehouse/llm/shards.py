@@ -13,6 +13,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from .pieces import free
+
 Tree = dict[int, tuple[float, dict[int, tuple[float, dict[int, float]]]]]
 
 REGIONS, RACKS = 4, 2
@@ -40,7 +42,10 @@ def _nodes(children: dict[int, float]) -> str:
 
 
 def _drawn(key: str, path: str, nodes: str) -> str:
-    """SQL for the child of the least draw; ``path`` is SQL for the way to the parent."""
+    """SQL for the child of the least draw; ``path`` is SQL for the way to the parent.
+
+    No column may be named in it: the names of lambdas would hide one of the same name.
+    """
     u = f"(shiftrightunsigned(xxhash64({key}, {path}, n.c), 11) + 0.5D) / 9007199254740992D"
     return f"array_min(transform({nodes}, n -> struct(-ln({u}) / n.w AS d, n.c AS c))).c"
 
@@ -50,7 +55,7 @@ def place(df: DataFrame, key: str, nodes: Tree, name: str = "shard") -> DataFram
 
     The tree is part of the expression: its size is the topology's, not the data's.
     """
-    text = f"coalesce(cast(`{key}` AS string), 'null')"
+    text, column = "k", "`" + key.replace("`", "``") + "`"
     regions = _nodes({r: w for r, (w, _) in nodes.items()})
     racks = ", ".join(f"{r}, {_nodes({k: w for k, (w, _) in own.items()})}"
                       for r, (_, own) in nodes.items())
@@ -61,7 +66,9 @@ def place(df: DataFrame, key: str, nodes: Tree, name: str = "shard") -> DataFram
     leaf = _drawn(text, "p", f"map({leaves})[p]")
     descent = (f"element_at(transform(transform(array({region}), r -> concat(r, '/', {rack})), "
                f"p -> {leaf}), 1)")
-    return df.withColumn(name, F.expr(f"cast({descent} AS int)"))
+    placed = (f"element_at(transform(array(coalesce(cast({column} AS string), 'null')), "
+              f"k -> {descent}), 1)")
+    return df.withColumn(name, F.expr(f"cast({placed} AS int)"))
 
 
 def slots(df: DataFrame, shard: str, order: list[str], slot: str = "slot") -> DataFrame:
@@ -70,16 +77,15 @@ def slots(df: DataFrame, shard: str, order: list[str], slot: str = "slot") -> Da
     A shard is numbered in runs by hash of ``order``, each in a window of its own; the runs are
     chained by their counts, of which there are shards x RUNS, however many rows there are.
     """
-    run = F.pmod(F.xxhash64(*order), F.lit(RUNS))
-    df = df.withColumn("_run", run)
-    counts = df.groupBy(shard, "_run").agg(F.count("*").alias("_n"))
-    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(
-        Window.partitionBy(shard).orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)),
-        F.lit(0))).drop("_n")
-    own = F.row_number().over(Window.partitionBy(shard, "_run").orderBy(*order)) - 1
-    return df.withColumn("_own", own).join(before, [shard, "_run"]) \
-        .withColumn(slot, (F.col("_before") + F.col("_own")).cast("long")) \
-        .drop("_run", "_own", "_before")
+    run, n, first, own = (free(c, [*df.columns, slot]) for c in ("_run", "_n", "_first", "_own"))
+    df = df.withColumn(run, F.pmod(F.xxhash64(*order), F.lit(RUNS)))
+    counts = df.groupBy(shard, run).agg(F.count("*").alias(n))
+    before = counts.withColumn(first, F.coalesce(F.sum(n).over(
+        Window.partitionBy(shard).orderBy(run).rowsBetween(Window.unboundedPreceding, -1)),
+        F.lit(0))).drop(n)
+    place = F.row_number().over(Window.partitionBy(shard, run).orderBy(*order)) - 1
+    return df.withColumn(own, place).join(before, [shard, run]) \
+        .withColumn(slot, (F.col(first) + F.col(own)).cast("long")).drop(run, own, first)
 
 
 def report(documents: DataFrame, shards: int = 40, overhead: int = 16) -> DataFrame:

@@ -13,8 +13,8 @@ The tree is built by shuffles, not in one place. Lines that are the same once va
 masked are one row (a very common line is combined before it is shuffled). A leaf of up to ``WIDE``
 different lines is one group. A wider one is worked off in rounds with the same result: one task
 finds the templates that the first lines begin, all lines of the leaf meet these in groups of
-bounded size, and those that join none go on to the next round. Tokens travel as 16 bits of their
-hash, which is what the comparison needs.
+about ``4 * WIDE`` lines, and those that join none go on to the next round, whose task takes twice
+as many. Tokens travel and are compared as 64-bit hashes.
 
 Defined results: null and empty texts have no lines to drop and stay; lines repeated within one
 document do not recur by that; rows of one doc_id are one document; rows without doc_id count as
@@ -93,15 +93,14 @@ def _slim(documents: DataFrame, least: int) -> DataFrame:
 
 
 def _full(documents: DataFrame, least: int) -> DataFrame:
-    """(line, tokens as 16-bit hashes), once for each different line of a run."""
+    """(line, tokens as 64-bit hashes), once for each different line of a run."""
     def work(batches):
         for batch in batches:
             for _, flat in runs(batch["text"]):
                 _, _, _, count, at, token, (_, line) = _parse(flat)
                 own = np.flatnonzero(count >= least)
                 own = own[np.unique(line[own], return_index=True)[1]]
-                short = (token >> np.uint64(48)).astype(np.uint16)
-                data = [short[at[i]:at[i + 1]].tobytes() for i in own.tolist()]
+                data = [token[at[i]:at[i + 1]].tobytes() for i in own.tolist()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(line[own].view(np.int64)), pa.array(data, pa.binary())],
                     names=["line", "tokens"])
@@ -112,7 +111,7 @@ def _full(documents: DataFrame, least: int) -> DataFrame:
 def _ordered(leaf: list[dict]) -> tuple[list[dict], np.ndarray]:
     """Lines of one leaf in the order in which they are taken, and their tokens."""
     leaf = sorted(leaf, key=lambda x: (x["first"], x["line"]))
-    return leaf, np.stack([np.frombuffer(x["tokens"], np.uint16) for x in leaf])
+    return leaf, np.stack([np.frombuffer(x["tokens"], np.uint64) for x in leaf])
 
 
 def grow(tokens: np.ndarray, similar: float) -> np.ndarray:
@@ -179,7 +178,7 @@ def _met(groups: DataFrame, similar: float) -> DataFrame:
                 own, tokens = _ordered(own)
                 rest, owner = np.arange(len(own)), [None] * len(own)
                 for start in sorted(begins, key=lambda x: (x["first"], x["line"])):
-                    joins = (tokens[rest] == np.frombuffer(start["tokens"], np.uint16)
+                    joins = (tokens[rest] == np.frombuffer(start["tokens"], np.uint64)
                              ).mean(1) >= similar
                     for i in rest[joins].tolist():
                         owner[i] = start["first"]
@@ -217,15 +216,15 @@ def _wide(rows: DataFrame, similar: float) -> DataFrame:
 def recurring(documents: DataFrame, least: int = LEAST, similar: float = SIMILAR) -> DataFrame:
     """(doc, line) of the lines to drop."""
     slim = settled(_slim(documents, least), "lines")
+    # First one row for each line, combined before it is shuffled, however common the line is.
+    seen = settled(slim.groupBy("line", "leaf").agg(
+        F.min("doc").alias("first"), F.max("doc").alias("last")), "leaves")
     # A leaf that only one document reaches holds nothing that recurs.
-    shared = slim.groupBy("leaf").agg(F.min("doc").alias("a"), F.max("doc").alias("b")) \
-        .where("a < b").select("leaf")
-    seen = slim.join(shared, "leaf").groupBy("line", "leaf").agg(
-        F.min("doc").alias("first"), F.max("doc").alias("last"))
-    seen = settled(seen, "leaves")
+    shared = settled(seen.groupBy("leaf").agg(
+        F.min("first").alias("a"), F.max("last").alias("b"), F.count("*").alias("n"))
+        .where("a < b").select("leaf", "n"), "shared-leaves")
+    seen = settled(seen.join(shared, "leaf"), "shared-lines")
     # Lines alone in their leaf need no comparison, so only the others fetch their tokens.
-    alone = seen.groupBy("leaf").agg(F.count("*").alias("n"))
-    seen = seen.join(alone, "leaf")
     single = seen.where("n = 1 AND first < last").select("line", F.col("first").alias("owner"))
     several = seen.where("n > 1").select("line", "leaf", "n", "first", "last")
     found = settled(_full(documents, least).join(several, "line").groupBy(

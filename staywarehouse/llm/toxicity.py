@@ -12,8 +12,9 @@ log-likelihoods, normalised by its length (per word, and per root of words; in a
 words above a margin), fitted on training texts that models of the other half of them score.
 
 The models are fitted on a sample of about ``SAMPLE`` labelled rows of the rarer class at most and
-``BALANCE`` times as many of the other, drawn by hash of doc_id, and hold at most ``EXPRESSIONS``
-expressions, those of most continuations; this bounds what the driver and the executors hold.
+``BALANCE`` times as many of the other, drawn by hash of doc_id. Every expression of the sample
+with evidence is held; a sample of such long texts that there are over ``EXPRESSIONS`` is halved
+until its expressions fit. This bounds what the driver and the executors hold.
 Every text is scored, whole.
 
 Defined results: a text without words (null, empty) gets the score of a difference of 0; without
@@ -91,10 +92,10 @@ def _continuations(labelled: DataFrame) -> DataFrame:
         *[F.sum((F.col("part") == g).cast("int")).cast("int").alias(f"n{g}") for g in range(4)])
 
 
-def _counts(labelled: DataFrame, most: int) -> list[np.ndarray]:
+def _counts(labelled: DataFrame, most: int) -> list[np.ndarray] | None:
     """Expression, its first word (pairs) or stem (words), and continuations by half and class.
 
-    labelled: text, part (2 x half + class).
+    labelled: text, part (2 x half + class). None if there are more than ``most`` expressions.
     """
     pairs = settled(_continuations(labelled), "pairs")
     by = [f"n{g}" for g in range(4)]
@@ -110,16 +111,9 @@ def _counts(labelled: DataFrame, most: int) -> list[np.ndarray]:
         .union(heads.where(evidence).select(F.col("head").bitwiseOR(F.lit(2)),
                                             F.lit(0).cast("long"), *by))
         .toDF("key", "head", *by), "expressions")
-    total = "n0 + n1 + n2 + n3"
-    sizes = rows.groupBy(F.expr(f"least({total}, 100000)").alias("t")).agg(
-        F.count("*").alias("n")).orderBy(F.desc("t")).collect()
-    least, held = EVIDENCE, 0
-    for row in sizes:
-        held += row.n
-        if held > most:
-            least = row.t + 1
-            break
-    got = rows.where(f"{total} >= {least}").toArrow()
+    if rows.count() > most:
+        return None
+    got = rows.toArrow()
     return [got[c].to_numpy() for c in ("key", "head", *by)]
 
 
@@ -252,7 +246,7 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE,
     marks = labels.where("toxic IN (0, 1)").groupBy(F.col("doc_id").cast("long").alias("doc_id")) \
         .agg(F.max(F.col("toxic").cast("long")).alias("toxic")).where(fold != 0)
     sizes = {r.toxic: r.n for r in marks.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    if not sizes.get(0) or not sizes.get(1):
+    if not sizes.get(0) or not sizes.get(1) or not sample:
         return Scorer(None)
     drawn_of_rarer = min(sample, *sizes.values())
     share = {k: min(1.0, (drawn_of_rarer if n < sizes[1 - k] else balance * drawn_of_rarer) / n)
@@ -263,7 +257,10 @@ def train(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE,
     rows = documents.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(
         F.broadcast(drawn), "doc_id").select(
             "text", (2 * (fold % 2) + F.col("toxic")).cast("long").alias("part"))
-    key, head, *n = _counts(rows, expressions)
+    counted = _counts(rows, expressions)
+    if counted is None:
+        return train(documents, labels, drawn_of_rarer // 2, expressions, balance, **options)
+    key, head, *n = counted
     if not (n[0] + n[2]).any() or not (n[1] + n[3]).any():
         return Scorer(None)
     parts = sum((x > 0).astype(np.int64) for x in n)

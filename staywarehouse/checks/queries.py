@@ -530,7 +530,8 @@ def _(w: Loaded):
 
 @query("um01_user_metrics")
 def _(w: Loaded):
-    run = _run_on(w)
+    run = Run(_store(w), "loader", lambda: LOADED)
+    run.store.merge("dim_users", w.users, "user_id", 1, LOADED, 0)
     for table, rows in (("fact_bookings", w.bookings), ("fact_payments", w.payments)):
         run.store.append(table, rows, 2, LOADED)
     run.update_user_metrics()

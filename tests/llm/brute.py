@@ -126,3 +126,69 @@ def templates(docs, least=4, similar=0.7, depth=4):
     for tokens, (a, b) in seen.items():
         leaves[len(tokens), tokens[:depth]].append((a, tokens, b))
     return seen, leaves
+
+
+def grams(text):
+    """The 4-grams of code points plus one, repeated marks once; 0 is the edge."""
+    out = []
+    for c in text or "":
+        if not (out and out[-1] == c and 33 <= ord(c) < 127 and not c.isalnum()):
+            out.append(c)
+    padded = (0, 0, 0, *(ord(c) + 1 for c in out))
+    return [padded[i:i + 4] for i in range(len(out))]
+
+
+def kneser_ney(texts):
+    """Modified Kneser-Ney by dictionaries, of what more than one text holds: p(4-gram)."""
+    levels = {4: Counter(g for t in texts for g in set(grams(t)))}
+    kept = [g for g, n in levels[4].items() if n > 1]
+    for order in (3, 2, 1):
+        levels[order] = Counter(g[1:] for g in kept)
+        kept = list(levels[order])
+    cuts, sums = {}, {}
+    for order, level in levels.items():
+        n = [max(1, sum(v == k for v in level.values())) for k in (1, 2, 3, 4)]
+        y = n[0] / (n[0] + 2 * n[1])
+        cut = {k: min(max(k - (k + 1) * y * n[k] / n[k - 1], 0.1 * k), 0.95 * k) for k in (1, 2, 3)}
+        cuts[order] = cut | {1: 1.0} if order == 4 else cut
+        own = sums[order] = defaultdict(lambda: [0, 0.0])
+        for g, v in level.items():
+            own[g[:-1]][0] += v
+            own[g[:-1]][1] += cuts[order][min(v, 3)]
+
+    def p(gram):
+        order = len(gram)
+        below = p(gram[1:]) if order > 1 else 1 / 0x110000
+        if gram[:-1] not in sums[order]:
+            return below
+        total, spare = sums[order][gram[:-1]]
+        n = levels[order].get(gram, 0)
+        return (n - cuts[order][min(n, 3)] if n else 0) / total + spare / total * below
+
+    return p
+
+
+def perplexity(rows, width=7.0, least=0.02, most=5.0):
+    """Sorted (doc_id, kept, base_failed, perplexity) of (doc_id, lang, text)."""
+    out, langs = [], defaultdict(list)
+    for doc, lang, text in rows:
+        langs[lang or ""].append((doc, text))
+    for own in langs.values():
+        p, known, scored = kneser_ney([t for _, t in own]), {}, []
+        for doc, text in own:
+            n_words, *_, failed = base(text)
+            places = grams(text)
+            for g in set(places) - set(known):
+                known[g] = max(-most, math.log(p(g)))
+            scored.append((doc, failed, len(places), -sum(known[g] for g in places)))
+        passed = [(x / n, n) for _, failed, n, x in scored if not failed]
+        at = lambda k, share: sorted(x[k] for x in passed)[
+            max(math.ceil(share * len(passed)), 1) - 1]
+        for doc, failed, n, x in scored:
+            kept = False
+            if not failed:
+                reach = width * max((at(0, 0.75) - at(0, 0.25)) / 1.349, least)
+                reach *= math.sqrt(max(1, at(1, 0.5) / n))
+                kept = abs(x / n - at(0, 0.5)) <= reach
+            out.append((doc, kept, failed, math.exp(x / n) if n else None))
+    return sorted(out, key=repr)

@@ -280,43 +280,55 @@ def test_base(table, docs, edges, nothing):
     assert perplexity.accepted(edges).columns == edges.columns
 
 
-def plain_model(texts):
-    """Modified Kneser-Ney by dictionaries: a function of (context, symbol)."""
-    from collections import Counter
-    counts = Counter()
-    for t in texts:
-        padded = (0, 0, 0, *t)
-        counts.update(padded[i:i + 4] for i in range(len(t)))
-    levels = {4: counts}
-    for n in (3, 2, 1):
-        levels[n] = Counter(g[1:] for g in levels[n + 1])
-    cut = {n: perplexity._discounts(np.array(list(c.values()))) for n, c in levels.items()}
-
-    def p(gram):
-        n = len(gram)
-        below = p(gram[1:]) if n > 1 else 1 / 64
-        same = [v for g, v in levels[n].items() if g[:-1] == gram[:-1]]
-        if not same:
-            return below
-        own = levels[n][gram]
-        spare = sum(cut[n][min(v, 3)] for v in same) / sum(same)
-        return (own - cut[n][min(own, 3)] if own else 0) / sum(same) + spare * below
-
-    return p
-
-
-def test_kneser_ney():
-    texts = ["abab ab.", "ba ba", "Übung 12", ""]
-    one = flat_of(texts)
-    grams, at = perplexity._grams(one)
-    values, _ = charset.classes(one)
-    keys, n = np.unique(grams, return_counts=True)
-    model = perplexity.Model(keys, n)
-    p = plain_model([tuple(values[a:b].tolist()) for a, b in zip(at, at[1:])])
-    other = np.unique(np.concatenate([keys, keys ^ 1, keys ^ (1 << 20), [0x123456]])).astype(np.uint32)
-    for gram, log in zip(other.tolist(), model.log(other)):
-        parts = tuple(gram >> s & 63 for s in (18, 12, 6, 0))
-        assert math.isclose(p(parts), math.exp(log), rel_tol=1e-4)
+def joined_rows(rows):
+    """Arrays of a model from the rows of its table."""
+    table = rows.toArrow()
+    return perplexity.Arrays(table["key"].to_numpy().view(np.uint64), table["value"].to_numpy())
+
+
+def test_kneser_ney(spark):
+    texts = ["abab ab.", "ba ba!!! ba", "Übung 12 漢字", "abab 漢字 ба ba", "", None]
+    df = spark.createDataFrame([("x", t) for t in texts], "lang string, text string")
+    found = joined_rows(perplexity.arrays(perplexity.model(perplexity.count(df)), 1))
+    p = brute.kneser_ney(texts)
+    seen = {g for t in texts for g in brute.grams(t)}
+    other = sorted(seen | {(a, b, c, ord("z") + 1) for a, b, c, _ in seen}
+                   | {(5, b, c, d) for _, b, c, d in seen} | {(7, 8, c, d) for *_, c, d in seen})
+    head = np.array([g[0] for g in other], np.uint64)
+    tail = np.array([g[1] << 42 | g[2] << 21 | g[3] for g in other], np.uint64)
+    for gram, log in zip(other, found.log("x", head, tail)):
+        assert math.isclose(p(gram), math.exp(log), rel_tol=1e-4)
+    assert np.isclose(found.log("no such language", head, tail), -math.log(0x110000)).all()
+
+
+def test_kept_equals_a_plain_model(spark, table, monkeypatch):
+    rows = [(r.doc_id, r.lang, r.text) for r in table("documents").collect()]
+    rows += [(-1, None, "a text without a language " * 30), (-2, "en", rows[0][2]), (-2, "en", None),
+             (-3, "xx", "漢字 каша " * 40), (-4, "xx", "")]
+    df = spark.createDataFrame(rows, "doc_id long, lang string, text string").repartition(3)
+    wanted = brute.perplexity(rows)
+    # Cut into ranges that are scored one after the other, a model gives the same.
+    for entries in (perplexity.ENTRIES, 40_000):
+        monkeypatch.setattr(perplexity, "ENTRIES", entries)
+        found = got(perplexity.report(df), "doc_id", "kept", "base_failed", "perplexity")
+        assert [r[0] for r in found] == [r[0] for r in wanted]
+        for own, plain in zip(found, wanted):
+            assert own[:3] == plain[:3]
+            assert own[3] is plain[3] is None or math.isclose(own[3], plain[3], rel_tol=1e-4)
+    assert 0 < sum(r[1] for r in found) < len(found)
+
+
+def test_letters_of_one_block_are_told_apart(spark):
+    rng = random.Random(5)
+    for letters in ("абвгдежзик", "漢字文書読本語学校生"):
+        words = ["".join(rng.choice(letters) for _ in range(3)) for _ in range(25)]
+        docs = [(i, "x", " ".join(rng.choice(words) for _ in range(200))) for i in range(60)]
+        other = str.maketrans(letters, letters[1:] + letters[0])
+        docs.append((99, "x", docs[0][2].translate(other)))
+        df = spark.createDataFrame(docs, "doc_id long, lang string, text string")
+        found = {r.doc_id: r for r in perplexity.report(df).collect()}
+        assert all(found[i].kept for i in range(60)) and not found[99].kept
+        assert found[99].perplexity > 2 * found[0].perplexity
 
 
 # ---- 6 pseudo-likelihood

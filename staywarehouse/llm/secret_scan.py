@@ -1,15 +1,23 @@
 """Secret scans: fixed patterns, and Markov models of random strings and ordinary identifiers.
 
-Two first-order character models are trained from labelled samples of the corpus: values that the
-patterns find are random strings, runs of letters and digits outside of them ordinary ones.
-Transition counts are summed by Spark (a table of fixed size) and smoothed. Every run of
-``least`` characters or more outside of the patterns' spans, so also beside one, is scored by its
-pieces of letters and digits; marks between them are as usual in dates and paths and count for
-nothing. A row of pieces is a secret if its summed log-likelihood ratio is ``margin`` or more, which
-outweighs a prior of one random string among 5e8 runs; of a run the best row is taken.
-
-Spans are code points of the whole text, end exclusive. Null counts as the empty text, which has
-no spans; without samples both models are uniform and only the patterns find anything.
+Two first-order character models are trained from labelled samples: values that the patterns find in
+the corpus are random strings, all other text and the words of ``SAMPLES`` ordinary ones. Both
+models are a step between kinds of signs (capital, small letter, digit, mark) times a sign of that
+kind. Ordinary letters follow on letters whatever their case, so that a constant is as ordinary as
+its words; random ones may be of any alphabet, so that half of all is left to equal chances. The
+corpus says little about identifiers, so a step that it does not show keeps a share of ``RARE``.
+Transition counts are summed by Spark (a table of fixed size).
+
+Every run of ``least`` characters or more outside of the patterns' spans, so also beside one, is
+scored by its pieces of letters and digits; marks between them are as usual in dates and paths and
+count for nothing, nor does the kind that a piece begins with. A row of pieces is a secret if its
+summed log-likelihood ratio is ``margin`` or more, which outweighs a prior of one random string
+among 9e6 runs; of a run the best row is taken.
+
+Spans are code points of the whole text, end exclusive. Defined results: null counts as the empty
+text, which has no spans; rows are scanned one by one, repeated ones alike, and texts whole,
+whatever their length; an empty table gives no rows; in a corpus without any found secret, or
+without other text, both models count as equal and only the patterns find anything.
 """
 
 from __future__ import annotations
@@ -22,9 +30,30 @@ from pyspark.sql import DataFrame, functions as F
 
 from .flat import parts
 
-LEAST, MARGIN = 8, 20.0
-#: Observations that the backoff of a transition counts for.
-BACKOFF = 50.0
+LEAST, MARGIN = 8, 16.0
+#: Observations that the backoff of a transition counts for, and the share of the samples' letters.
+BACKOFF, SAMPLED = 50.0, 0.1
+#: The share of steps between kinds of signs that an ordinary text need not show.
+RARE = 0.001
+#: The share of the found secrets in the steps of random strings, and in their signs.
+FOUND_STEPS, FOUND_SIGNS = 0.3, 0.2
+#: Labelled words of ordinary identifiers, beside those of the corpus.
+SAMPLES = tuple("""
+    access account action address after align amount app array attribute author back background
+    batch before binary block body box branch buffer button bytes cache call card category channel
+    check child class click client close cloud code color column command commit config connect
+    content context control convert copy core count create current data database date debug default
+    delete depth device display document domain download driver edit element email empty encode
+    engine error event execute export extension external factory feature field file filter flag
+    folder font form frame function gateway generic global graph grid group handler hash header
+    height hidden history home host icon image import index input insert internal invoice item job
+    json key label language last layout left length library limit link list load lock login loop
+    main manager map mask match max media member memory menu message method mode model month
+    network next node null number object offset option order output owner package page param parse
+    path pixel plugin policy position prefix process product profile proxy public query queue range
+    record region remote report request reset resource response result role root route row schema
+    script service session size source stack state status storage switch system table
+    """.split())
 
 # The patterns of the scan, in the order of their kinds, with the least lengths.
 PATTERNS = (
@@ -41,6 +70,13 @@ _INDEX = np.zeros(256, np.int64)
 _INDEX[list(ALPHABET)] = np.arange(len(ALPHABET)) + 1
 SIZE = len(ALPHABET) + 1
 _SIGN = np.where(_INDEX > 62, 0, _INDEX)
+#: Kinds of signs: 0 none, 1 capitals, 2 small letters, 3 digits, 4 marks.
+_KIND = np.searchsorted([1, 27, 53, 63], np.arange(SIZE), "right")
+_CASELESS = np.arange(SIZE)
+_CASELESS[27:53] -= 26
+#: Steps from each kind to each, as for any alphabet: a kind is mostly kept.
+_ANY_STEP = np.array([[0, 0.3, 0.3, 0.3, 0.1], [0, 0.5, 0.2, 0.25, 0.05], [0, 0.2, 0.5, 0.25, 0.05],
+                      [0, 0.25, 0.25, 0.45, 0.05], [0, 0.3, 0.3, 0.3, 0.1]])
 
 
 def base_spans(text: bytes) -> list[tuple[int, int, int, int, int]]:
@@ -82,6 +118,43 @@ def _count(table: np.ndarray, value: bytes) -> None:
     np.add.at(table, (np.concatenate([[0], index[:-1]]), index), 1)
 
 
+def _steps(table: np.ndarray) -> np.ndarray:
+    """Shares of the steps between kinds of signs."""
+    sums = np.zeros((5, 5))
+    np.add.at(sums, (_KIND[:, None], _KIND[None]), table)
+    return sums / np.maximum(sums.sum(1, keepdims=True), 1)
+
+
+def _letters(table: np.ndarray) -> np.ndarray:
+    """Shares of the letters after each sign, whatever the case of both."""
+    sums = np.zeros((SIZE, SIZE))
+    np.add.at(sums, (_CASELESS[:, None], _CASELESS[None]), table)
+    sums = sums[:, 1:27]
+    single = (sums.sum(0) + 1) / (sums.sum(0) + 1).sum()
+    return (sums + BACKOFF * single) / (sums.sum(1, keepdims=True) + BACKOFF)
+
+
+def likelihood_ratios(secrets: np.ndarray, ordinary: np.ndarray,
+                      samples: tuple[str, ...] = SAMPLES) -> np.ndarray:
+    """Log-likelihood ratio, random over ordinary, of each transition, from their counts."""
+    words = np.zeros((SIZE, SIZE))
+    for word in samples:
+        _count(words, word.encode())
+    letters = (1 - SAMPLED) * _letters(ordinary) + SAMPLED * _letters(words)
+    alike = 1 / np.bincount(_KIND, minlength=5)[_KIND]
+    usual = np.tile(alike, (SIZE, 1))
+    usual[:, 1:27] = usual[:, 27:53] = letters[_CASELESS]
+    seen = secrets.sum(0) + 1
+    random = FOUND_SIGNS * seen / np.bincount(_KIND, seen)[_KIND] + (1 - FOUND_SIGNS) * alike
+    steps = np.full((2, 5, 5), 1.0)
+    steps[0] = FOUND_STEPS * _steps(secrets) + (1 - FOUND_STEPS) * _ANY_STEP
+    steps[1] = (1 - RARE) * _steps(ordinary) + RARE * _ANY_STEP[0]
+    steps[:, 0] = 1  # the kind that a piece begins with says nothing
+    out = np.log(random) - np.log(usual)
+    out[:, 1:] += (np.log(steps[0, :, 1:]) - np.log(steps[1, :, 1:]))[_KIND][:, _KIND[1:] - 1]
+    return out
+
+
 def train(documents: DataFrame, text: str = "text") -> np.ndarray:
     """Log-likelihood ratio, random over ordinary, of each transition: SIZE x SIZE."""
     def count(batches):
@@ -111,12 +184,7 @@ def train(documents: DataFrame, text: str = "text") -> np.ndarray:
     tables = tables.reshape(2, SIZE, SIZE)
     if not tables[0].any() or not tables[1].any():
         return np.zeros((SIZE, SIZE))
-    # A transition backs off to how often its character occurs, and for random strings, which may
-    # be of any alphabet, half of this to all characters alike.
-    single = (tables.sum(1) + 0.5) / (tables.sum(1) + 0.5).sum(1, keepdims=True)
-    single[0] = (single[0] + 1 / SIZE) / 2
-    p = (tables + BACKOFF * single[:, None]) / (tables.sum(2, keepdims=True) + BACKOFF)
-    return np.log(p[0]) - np.log(p[1])
+    return likelihood_ratios(*tables)
 
 
 def _around(base: list, size: int):

@@ -6,6 +6,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from staywarehouse.llm import (charset, decontaminate, flat, jaccard, perplexity, pieces, pii,
                                pseudolm, queries, secret_scan, shards, templates, toxicity)
@@ -424,6 +425,43 @@ def test_random_strings_are_added(spark):
     assert spans == [("markov", text.index("k9X"), text.index(" and"))]
 
 
+def test_ordinary_identifiers_are_left_alone(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    ratios = secret_scan.train(docs)
+    hits = lambda text: [s for s in secret_scan.find(f"see {text} here".encode(),
+                                                     ratios) if s[0] == "markov"]
+    for text in ("2024-12-31T23:59:59Z", "MAX_BUFFER_SIZE", "AbstractSingletonProxyFactoryBean",
+                 "https://example.org/wp-content/uploads/2019/IMG_20190312_121314.jpg",
+                 "getElementsByClassName", "XMLHttpRequest", "DEFAULT_CONNECTION_TIMEOUT",
+                 "2023-01-15-weekly-meeting-notes", "application/x-www-form-urlencoded",
+                 "20240131T120000Z", "/usr/local/lib/python3/site-packages", "+44-20-7946-0958",
+                 "scheduler_thread_pool", "ByteArrayOutputStream", "ENABLE_STRICT_TRANSPORT",
+                 "KeyboardInterruptHandler", "invoice_2023_000417", "thumbnail_320x240"):
+        assert not hits(text), text
+    # Identifiers of words that are in neither the corpus nor the samples, in usual shapes.
+    words = """river mountain orchard harvest lantern whisper journey castle thunder velvet copper
+        meadow saddle kitchen barrel window garden ladder pepper winter blanket feather marble
+        pocket ribbon shoulder anchor candle dragon engineer falcon guitar hammer island jungle
+        kettle lemon mirror needle oyster pencil quartz rabbit silver turtle umbrella violin
+        walnut yellow zebra""".split()
+    rng, made = random.Random(8), []
+    for _ in range(400):
+        own = [rng.choice(words) for _ in range(3)]
+        made += ["_".join(own).upper(), "_".join(own), "-".join(own), "/".join(own),
+                 "".join(w.title() for w in own),
+                 f"{own[0]}_{rng.randint(2000, 2030)}_{rng.randint(1, 99999):05d}"]
+    assert sum(bool(hits(x)) for x in made) <= 0.005 * len(made)
+
+
+def test_the_models_decide(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    texts = [(1, "the key k9Xq2Lw8Zr4Tb7Vn1Mc6 of MAX_BUFFER_SIZE"), (2, "no key is here, again")]
+    df = docs.select("doc_id", "text").union(spark.createDataFrame(texts, "doc_id long, text string"))
+    added = {r[0]: r[1] for r in secret_scan.report(df).where(
+        F.col("spans").contains("markov")).select("doc_id", "spans").collect()}
+    assert added == {1: "markov:8:28"}
+
+
 def test_random_strings_of_any_alphabet_and_length(spark):
     import string
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")

@@ -352,7 +352,8 @@ def scored(documents: DataFrame) -> DataFrame:
                              .alias("lang"), F.col("text").cast("string").alias("text"))
     entries = settled(model(settled(count(texts), "grams")), "entries")
     ranges = max(1, -(-entries.count() // ENTRIES))
-    held = settled(arrays(entries, ranges).repartition("part"), "arrays")
+    held = settled(arrays(entries, ranges).repartition("part", F.expr("pmod(key, 64)"))
+                   .sortWithinPartitions("part"), "arrays")
     if ranges > 1:
         texts = texts.withColumn("_row", _identity(texts))
     done = None

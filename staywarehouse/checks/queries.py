@@ -6,6 +6,7 @@ Results are put into portable form: dates and times as text, decimals as doubles
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from datetime import datetime
 from functools import reduce
 
@@ -371,6 +372,18 @@ def _(w: Loaded):
                       CREATED_BY, closed=rows.where("not is_current")).inserted
 
 
+@query("pf02_merge_by_mail_of_any_case")
+def _(w: Loaded):
+    """Users by mail address; the batch spells some addresses and cities in another way."""
+    by_mail = replace(scd2.USERS, key="email")
+    batch = w.source.staged("tb_user", 2).withColumns({
+        "email": F.expr("if(user_id % 2 = 0, concat(upper(email), '  '), email)"),
+        "city": F.expr("if(user_id % 3 = 0, concat(lower(city), ' '), city)")})
+    done = scd2.merge(w.users_1.snapshot, batch, by_mail, LOADED, CREATED_BY, ignore_case=True)
+    return done.snapshot.select("email", "user_id", "user_type", "country", "city",
+                                "version_number", "is_current")
+
+
 def _preview(w: Loaded, dim: scd2.Dimension, before: scd2.Merge, action: str) -> DataFrame:
     return scd2.preview(before.snapshot, w.source.staged(dim.staging, 2), dim)[action]
 

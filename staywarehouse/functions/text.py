@@ -12,6 +12,9 @@ NULL_TOKENS = ("none", "nan", "null")
 
 SEED = 42
 
+#: Texts that differ by case or trailing blanks only are equal in it.
+FOLDED = "UTF8_LCASE_RTRIM"
+
 
 def null_token(column: str) -> str:
     tokens = ", ".join(f"'{t}'" for t in NULL_TOKENS)

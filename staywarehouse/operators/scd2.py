@@ -14,10 +14,10 @@ from datetime import datetime
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, Observation, functions as F
+from pyspark.sql import Column, DataFrame, Observation, functions as F, types as T
 
 from ..functions.dates import moment
-from ..functions.text import attribute_hash
+from ..functions.text import FOLDED, attribute_hash
 from ..schemas import OPEN_END, enforce
 from .keys import last_key, materialise, number, profile
 from .lookup import lookup
@@ -88,10 +88,22 @@ def differs(new: Column, old: Column, null_as: object = None,
     if null_as is not None:
         new, old = F.coalesce(new, F.lit(null_as)), F.coalesce(old, F.lit(null_as))
     if ignore_case:
-        new, old = F.lower(F.rtrim(new.cast("string"))), F.lower(F.rtrim(old.cast("string")))
+        new, old = (F.collate(x.cast("string"), FOLDED) for x in (new, old))
     return new != old
 
 
+def _is_text(rows: DataFrame, dim: Dimension) -> bool:
+    return isinstance(rows.schema[dim.key].dataType, T.StringType)
+
+
+def _same_key(rows: DataFrame, dim: Dimension, new: str, old: str, ignore_case: bool) -> Column:
+    """Equality of the business key; a text is compared like the tracked columns."""
+    new, old = F.col(f"{new}.{dim.key}"), F.col(f"{old}.{dim.key}")
+    if ignore_case and _is_text(rows, dim):
+        new, old = F.collate(new, FOLDED), F.collate(old, FOLDED)
+    return new == old
+
+
 def changed(dim: Dimension, new: str = "s", old: str = "c", ignore_case: bool = False) -> Column:
     """True where any tracked column differs between the aliases ``new`` and ``old``."""
     tests = [differs(F.col(f"{new}.{t.column}"), F.col(f"{old}.{t.column}"), t.null_as,
@@ -112,15 +124,22 @@ def pending(current: DataFrame, staged: DataFrame, dim: Dimension,
     """
     s = staged.alias("s")
     c = _current_side(current, dim)
-    pair = s.join(c, F.col(f"s.{dim.key}") == F.col(f"c.{dim.key}"), "left")
+    pair = s.join(c, _same_key(staged, dim, "s", "c", ignore_case), "left")
     known = F.col(f"c.{dim.key}").isNotNull()
+    # A key keeps the spelling of its first version.
+    own = [F.coalesce(f"c.{dim.key}", f"s.{dim.key}").alias(dim.key) if name == dim.key
+           else F.col(f"s.`{name}`") for name in staged.columns]
     due = pair.where(~known | changed(dim, ignore_case=ignore_case)).select(
-        "s.*", known.alias("_replaces"), F.col("c.version_number").alias("_version"))
+        *own, known.alias("_replaces"), F.col("c.version_number").alias("_version"))
     if closed is None:
         return (due.withColumn("version_number", F.coalesce("_version", F.lit(0)) + 1)
                 .drop("_version"))
     highest = latest_version(closed, dim.key).withColumnRenamed("version_number", "_highest")
-    return (due.join(highest, dim.key, "left")
+    d, h = due.alias("d"), highest.alias("h")
+    own = [F.coalesce(f"h.{dim.key}", f"d.{dim.key}").alias(dim.key) if name == dim.key
+           else F.col(f"d.`{name}`") for name in due.columns]
+    return (d.join(h, _same_key(staged, dim, "d", "h", ignore_case), "left")
+            .select(*own, "h._highest")
             .withColumn("version_number", F.coalesce(
                 F.greatest("_version", "_highest"), F.lit(0)) + 1)
             .drop("_version", "_highest"))
@@ -142,7 +161,7 @@ def preview(current: DataFrame, staged: DataFrame, dim: Dimension,
             ignore_case: bool = False) -> dict[str, DataFrame]:
     """What a merge would do: changed keys with old and new values, and keys to insert."""
     s, c = staged.alias("s"), current.where("is_current").alias("c")
-    same = F.col(f"s.{dim.key}") == F.col(f"c.{dim.key}")
+    same = _same_key(staged, dim, "s", "c", ignore_case)
     pairs = [col for name, source in dim.preview
              for col in (F.col(f"s.{source}").alias(f"new_{name}"),
                          F.col(f"c.{source}").alias(f"old_{name}"))]
@@ -161,7 +180,9 @@ def merge(current: DataFrame, staged: DataFrame, dim: Dimension, batch_ts: datet
     """Apply one staged batch to a dimension.
 
     ``current`` holds the current rows. Keys absent from the batch stay as they are, and so
-    do keys whose tracked columns are equal, whatever their other attributes say. ``whole`` says,
+    do keys whose tracked columns are equal, whatever their other attributes say. With
+    ``ignore_case`` texts, a business key included, are equal if they differ by case or trailing
+    blanks only (a batch holds one spelling of a key). ``whole`` says,
     given the number of replaced rows, whether the snapshot must hold the other current rows.
     """
     if start_key is None:
@@ -172,7 +193,9 @@ def merge(current: DataFrame, staged: DataFrame, dim: Dimension, batch_ts: datet
     if enrich is not None:
         due = enrich(due)
     seen = Observation()
-    due = materialise(due, [dim.key], dim.table, ranges=profile(staged, dim.key), seen=(seen, {
+    # Ranges of whole numbers are known beforehand; a text is sampled by Spark.
+    ranges = None if _is_text(staged, dim) else profile(staged, dim.key)
+    due = materialise(due, [dim.key], dim.table, ranges=ranges, seen=(seen, {
         "inserted": F.count("*"), "updated": F.count_if("_replaces")}))
     tally = seen.get
 

@@ -1,3 +1,4 @@
+from dataclasses import replace
 from datetime import datetime, timedelta
 import random
 
@@ -86,6 +87,40 @@ def test_case_can_be_ignored(spark):
     assert scd2.pending(first.snapshot, staged, scd2.USERS, ignore_case=True).isEmpty()
 
 
+def test_text_keys_of_any_case(spark):
+    """A key keeps its first spelling, in open and closed versions, and is not opened anew."""
+    by_mail = replace(scd2.USERS, key="email")
+
+    def batch(*rows):
+        made = users(spark, [(i, kind, "BR", "A", None, True) for i, (_, kind) in enumerate(rows)])
+        mails = spark.createDataFrame([(i, m) for i, (m, _) in enumerate(rows)],
+                                      "user_id int, mail string")
+        return made.join(mails, "user_id").withColumn("email", F.col("mail")).drop("mail")
+
+    def kept(merged):
+        return sorted((r.email, r.version_number, r.user_type, r.is_current)
+                      for r in merged.snapshot.collect())
+
+    first = scd2.merge(empty(spark, schema("dim_users")), batch(("Ana@x", "vip"), ("bo@x", "vip")),
+                       by_mail, T1, "t", ignore_case=True)
+    second = batch(("ANA@X  ", "VIP "), ("BO@x", "premium"), (" bo@x", "vip"))
+    done = scd2.merge(first.snapshot, second, by_mail, T2, "t", ignore_case=True)
+    assert kept(done) == [(" bo@x", 1, "vip", True), ("Ana@x", 1, "vip", True),
+                          ("bo@x", 1, "vip", False), ("bo@x", 2, "premium", True)]
+    sets = scd2.preview(first.snapshot, second, by_mail, ignore_case=True)
+    assert [r.new_user_type for r in sets["would_update"].collect()] == ["premium"]
+    assert [r.email for r in sets["would_insert"].collect()] == [" bo@x"]
+    # Without the option they are keys of their own.
+    plain = scd2.merge(first.snapshot, second, by_mail, T2, "t")
+    assert (plain.rows_updated, plain.rows_inserted) == (0, 3)
+    closed = first.snapshot.withColumn("is_current", F.lit(False)).withColumn(
+        "version_number", F.lit(3))
+    again = scd2.merge(empty(spark, schema("dim_users")), second, by_mail, T3, "t", closed,
+                       ignore_case=True)
+    assert kept(again) == [(" bo@x", 1, "vip", True), ("Ana@x", 4, "VIP ", True),
+                           ("bo@x", 4, "premium", True)]
+
+
 def test_preview_agrees_with_merge(spark):
     first = merge(spark, empty(spark, schema("dim_users")),
                   [(i, "vip", "BR", "A", None, True) for i in range(9)], T1)

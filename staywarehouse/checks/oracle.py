@@ -789,6 +789,19 @@ _HISTORY = """
       datediff('day', valid_from, valid_to) AS days_valid
     FROM dim_users"""
 CTE["user_history"] = _HISTORY
+CTE["mail_batch"] = """
+    SELECT user_id, user_type, country, phone,
+      CASE WHEN user_id % 2 = 0 THEN upper(email) || '  ' ELSE email END AS email,
+      CASE WHEN user_id % 3 = 0 THEN lower(city) || ' ' ELSE city END AS city
+    FROM stg_user_2"""
+CTE["mail_due"] = """
+    SELECT s.*, c.email AS known, c.version_number
+    FROM mail_batch s LEFT JOIN dim_users_1 c
+      ON lower(rtrim(s.email)) = lower(rtrim(c.email)) AND c.is_current
+    WHERE c.email IS NULL OR lower(rtrim(s.user_type)) <> lower(rtrim(c.user_type))
+      OR lower(rtrim(coalesce(s.country, ''))) <> lower(rtrim(coalesce(c.country, '')))
+      OR lower(rtrim(coalesce(s.city, ''))) <> lower(rtrim(coalesce(c.city, '')))
+      OR lower(rtrim(coalesce(s.phone, ''))) <> lower(rtrim(coalesce(c.phone, '')))"""
 
 STATEMENTS: dict[str, str] = {
     "io01_snapshot_properties": f"SELECT {cols(_GEN_NAMES)} FROM gen_properties",
@@ -931,22 +944,11 @@ STATEMENTS: dict[str, str] = {
                   bool_or(is_current AND user_type <> 'vip') AS open
                 FROM dim_users GROUP BY 1) k ON s.user_id = k.user_id WHERE NOT k.open) r""",
     "pf02_merge_by_mail_of_any_case": """
-        WITH batch AS (SELECT user_id, user_type, country, phone,
-            CASE WHEN user_id % 2 = 0 THEN upper(email) || '  ' ELSE email END AS email,
-            CASE WHEN user_id % 3 = 0 THEN lower(city) || ' ' ELSE city END AS city
-          FROM stg_user_2),
-        due AS (SELECT s.*, c.email AS known, c.version_number
-          FROM batch s LEFT JOIN dim_users_1 c
-            ON lower(rtrim(s.email)) = lower(rtrim(c.email)) AND c.is_current
-          WHERE c.email IS NULL OR lower(rtrim(s.user_type)) <> lower(rtrim(c.user_type))
-            OR lower(rtrim(coalesce(s.country, ''))) <> lower(rtrim(coalesce(c.country, '')))
-            OR lower(rtrim(coalesce(s.city, ''))) <> lower(rtrim(coalesce(c.city, '')))
-            OR lower(rtrim(coalesce(s.phone, ''))) <> lower(rtrim(coalesce(c.phone, ''))))
         SELECT coalesce(known, email) AS email, user_id, user_type, country, city,
-          coalesce(version_number, 0) + 1 AS version_number, true AS is_current FROM due
+          coalesce(version_number, 0) + 1 AS version_number, true AS is_current FROM mail_due
         UNION ALL
         SELECT email, user_id, user_type, country, city, version_number,
-          is_current AND email NOT IN (SELECT known FROM due WHERE known IS NOT NULL)
+          is_current AND email NOT IN (SELECT known FROM mail_due WHERE known IS NOT NULL)
         FROM dim_users_1""",
     "sc04_users_would_update": _preview("user", "users", "full_name", {
         "user_type": ("user_type", "VARCHAR"), "city": ("city", "VARCHAR")}),

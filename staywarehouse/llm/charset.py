@@ -1,42 +1,85 @@
-"""Code points as a fixed alphabet of 64 classes, for character models.
+"""Code points as an alphabet of 128 classes fitted to a corpus, for character models.
 
-0 is the edge of a text, 1-26 letters (A-Z fall into 40-47), 27 digits, 28 blanks, 29 and 30 full
-stop and comma, 31 quotes and hyphens, 32 line ends, 33-39 other ASCII, 48-63 all else by hash.
-Four classes fill 24 bits, five 30, so that tables of n-grams have a size bound.
+Class 0 is the edge of a text. The commonest ``OWN`` code points of the corpus have a class each;
+every other code point belongs to the class of its Unicode block (128 code points, by hash), in
+which it has its share of the class: P(code point) = P(class) * share. So all code points are told
+apart, and the chances over all of them add up to at most one. Code points that the corpus lacks
+divide one count of their class among all that there are.
+
+An alphabet has at most as many rows as Unicode has code points (1,114,112, 12 bytes each).
 """
 
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, functions as F
+
+from .flat import Flat, Tally, runs
+from .perplexity import POINTS, points
+
+CLASSES, BITS, OWN = 128, 7, 95
+
+
+class Alphabet:
+    """Class and log share of every code point, from the counts of a corpus."""
+
+    def __init__(self, points: np.ndarray, counts: np.ndarray):
+        order = np.lexsort((points, -counts))
+        self.points = np.asarray(points, np.int64)[order]
+        self.counts = np.asarray(counts, np.int64)[order]
+        # The last place stands for all code points above those of the corpus.
+        size = int(self.points.max(initial=0)) + 2
+        blocks = np.arange(size, dtype=np.uint32) >> np.uint32(7)
+        spread = blocks * np.uint32(2654435761) >> np.uint32(16)
+        self.first = OWN + 1
+        self.classes = (self.first + spread % (CLASSES - self.first)).astype(np.uint8)
+        own = self.points[:OWN]
+        self.classes[own] = np.arange(1, len(own) + 1)
+        rest, n = self.points[OWN:], self.counts[OWN:]
+        total = np.bincount(self.classes[rest], n, CLASSES) + 1
+        self.shares = -np.log(total[self.classes] * POINTS)
+        self.shares[rest] = np.log(n / total[self.classes[rest]])
+        self.shares[own] = 0
+        self._total = total
+
+    def __reduce__(self):
+        return Alphabet, (self.points, self.counts)
+
+    def look_up(self, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The class of every code point, and the log of its share of the class."""
+        last = len(self.classes) - 1
+        if found.max(initial=0) < last:
+            return self.classes[found], self.shares[found]
+        inside = np.minimum(found, last)
+        classes, shares = self.classes[inside], self.shares[inside]
+        above = found >= last
+        spread = (found[above].astype(np.uint32) >> np.uint32(7)) * np.uint32(2654435761)
+        classes[above] = self.first + (spread >> np.uint32(16)) % (CLASSES - self.first)
+        shares[above] = -np.log(self._total[classes[above]] * POINTS)
+        return classes, shares
 
-from .flat import Flat
 
-CLASSES, BITS = 64, 6
+def code_points(flat: Flat) -> tuple[np.ndarray, np.ndarray]:
+    """All code points, and the offsets of the texts in them."""
+    found, at = points(flat)
+    return (found - np.uint64(1)).astype(np.int64), at
 
-_ASCII = np.zeros(256, np.uint32)
-_ASCII[:128] = 33 + np.arange(128) % 7
-_ASCII[97:123] = np.arange(1, 27)
-_ASCII[65:91] = 40 + np.arange(26) % 8
-_ASCII[48:58] = 27
-_ASCII[[9, 11, 12, 13, 32]] = 28
-_ASCII[ord(".")], _ASCII[ord(",")] = 29, 30
-_ASCII[[ord(c) for c in "'\"-"]] = 31
-_ASCII[10] = 32
 
+def alphabet(documents: DataFrame) -> Alphabet:
+    """The code points of all texts, counted."""
+    def work(batches):
+        tally = Tally()
+        for batch in batches:
+            for _, flat in runs(batch["text"]):
+                tally.add(code_points(flat)[0].astype(np.uint64))
+        keys, n = tally.total()
+        yield pa.RecordBatch.from_arrays([pa.array(keys.astype(np.int32)), pa.array(n)],
+                                         names=["point", "n"])
 
-def classes(flat: Flat) -> tuple[np.ndarray, np.ndarray]:
-    """The class of every code point, and the offsets of the texts in them."""
-    head = (flat.data & 0xC0) != 0x80
-    at = np.flatnonzero(head)
-    byte = flat.data[at]
-    out = _ASCII[byte]
-    wide = np.flatnonzero(byte >= 0x80)
-    if len(wide):
-        spot = at[wide]
-        code = byte[wide].astype(np.uint32) * 64 + flat.data[np.minimum(spot + 1,
-                                                                        len(flat.data) - 1)]
-        out[wide] = 48 + (code * np.uint32(2654435761) >> np.uint32(28))
-    return out, np.searchsorted(at, flat.at)
+    rows = documents.select(F.col("text").cast("string").alias("text")).mapInArrow(
+        work, "point int, n long").groupBy("point").agg(F.sum("n").alias("n")).toArrow()
+    return Alphabet(rows["point"].to_numpy(), rows["n"].to_numpy())
 
 
 def windows(values: np.ndarray, at: np.ndarray, before: int, after: int) -> np.ndarray:
@@ -46,9 +89,9 @@ def windows(values: np.ndarray, at: np.ndarray, before: int, after: int) -> np.n
     # Texts are laid out with gaps of zeros as wide as a window reaches.
     gap = before + after
     spot = np.arange(n) + (owner + 1) * gap
-    padded = np.zeros(n + (texts + 1) * gap, np.uint32)
+    padded = np.zeros(n + (texts + 1) * gap, np.int64)
     padded[spot] = values
-    out = np.zeros(n, np.uint32)
+    out = np.zeros(n, np.int64)
     for shift in range(-before, after + 1):
-        out = out << np.uint32(BITS) | padded[spot + shift] if n else out
+        out = out << BITS | padded[spot + shift] if n else out
     return out

@@ -1,8 +1,9 @@
 """LM scoring: masked pseudo-likelihood of a bidirectional window network, trained in numpy.
 
-Tokens are character classes. The network sees two tokens on each side of a masked one (an edge
-class beyond the text) and predicts it: embeddings, one hidden layer, a softmax over the classes.
-A text scores the sum of its tokens' conditional log-probabilities.
+Tokens are code points. The network sees the classes (``charset``) of two tokens on each side of a
+masked one, an edge class beyond the text, and predicts its class: embeddings, one hidden layer, a
+softmax. A token's probability is that of its class times its share of the class, which is 1 for
+the commonest code points. A text scores the sum of its tokens' conditional log-probabilities.
 
 Training data are all windows of all texts: Spark counts the distinct ones and deals each count
 out in shares of at most the mean count, so that no step holds a very common window alone. The
@@ -14,16 +15,19 @@ weights are averaged part by part in tasks, ``FAN`` parts to one row for the dri
 seeded, so a task that is run again gives the same result.
 
 Defined results: null and empty texts have no tokens and the score 0; without any text the
-network stays as it was initialised.
+network stays as it was initialised. Repeated rows are scored each, and count each in training;
+a text of any length is scored whole. Other columns are not read.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from .charset import BITS, CLASSES, classes, windows
+from .charset import BITS, CLASSES, Alphabet, alphabet, code_points, windows
 from .flat import Tally, runs
 from .scratch import settled
 
@@ -31,6 +35,13 @@ SIDE, EMBED, HIDDEN = 2, 16, 48
 ROUNDS, STEPS, BATCH, PART, FAN, RATE = 6, 80, 2048, 200_000, 64, 0.01
 
 
+class Model(NamedTuple):
+    """An alphabet, and the weights that predict its classes."""
+
+    alphabet: Alphabet
+    net: dict[str, np.ndarray]
+
+
 def _start() -> dict[str, np.ndarray]:
     rng = np.random.default_rng(11)
     wide = 2 * SIDE * EMBED
@@ -63,6 +74,19 @@ def log_p(net: dict, keys: np.ndarray, most: int = 50_000) -> np.ndarray:
     return out
 
 
+def _slope(net: dict, context: np.ndarray, masked: np.ndarray, weights: np.ndarray) -> dict:
+    """The gradient of the mean weighted loss, -log P(masked token), by each weight."""
+    x, h, log = _forward(net, context)
+    dz = np.exp(log)
+    dz[np.arange(len(masked)), masked] -= 1
+    dz *= weights[:, None] / len(masked)
+    dh = (dz @ net["out"].T) * (1 - h * h)
+    dx = (dh @ net["into"].T).reshape(-1, EMBED)
+    embed = (np.arange(CLASSES)[:, None] == context.reshape(-1)).astype(dx.dtype) @ dx
+    return {"embed": embed, "into": x.T @ dh, "bias": dh.sum(0), "out": h.T @ dz,
+            "base": dz.sum(0)}
+
+
 def _steps(net: dict, keys: np.ndarray, weights: np.ndarray, seed: int, rate: float) -> dict:
     """``net`` after steps of Adam over all windows, weighted; STEPS at least."""
     rng = np.random.default_rng(seed)
@@ -71,22 +95,14 @@ def _steps(net: dict, keys: np.ndarray, weights: np.ndarray, seed: int, rate: fl
     second = {k: np.zeros_like(v) for k, v in net.items()}
     weights = (weights / weights.mean()).astype(np.float32)
     passes = -(-STEPS // -(-len(keys) // BATCH))
-    step, signs = 0, np.arange(CLASSES)[:, None]
+    step = 0
     for _ in range(passes):
         order = rng.permutation(len(keys))
         for at in range(0, len(keys), BATCH):
             step += 1
             taken = order[at:at + BATCH]
             context, masked = _split(keys[taken])
-            x, h, log = _forward(net, context)
-            dz = np.exp(log)
-            dz[np.arange(len(taken)), masked] -= 1
-            dz *= weights[taken, None] / len(taken)
-            dh = (dz @ net["out"].T) * (1 - h * h)
-            dx = (dh @ net["into"].T).reshape(-1, EMBED)
-            embed = (signs == context.reshape(-1)).astype(np.float32) @ dx
-            slope = {"embed": embed, "into": x.T @ dh, "bias": dh.sum(0), "out": h.T @ dz,
-                     "base": dz.sum(0)}
+            slope = _slope(net, context, masked, weights[taken])
             for name, g in slope.items():
                 first[name] = 0.9 * first[name] + 0.1 * g
                 second[name] = 0.99 * second[name] + 0.01 * g * g
@@ -108,26 +124,27 @@ def _unpack(data: bytes) -> dict[str, np.ndarray]:
     return net
 
 
-def count(documents: DataFrame) -> DataFrame:
+def count(documents: DataFrame, signs: Alphabet) -> DataFrame:
     """(window, n): all windows of all texts."""
     def work(batches):
         tally = Tally()
         for batch in batches:
             for _, flat in runs(batch["text"]):
-                tally.add(windows(*classes(flat), SIDE, SIDE))
+                found, at = code_points(flat)
+                tally.add(windows(signs.look_up(found)[0], at, SIDE, SIDE).astype(np.uint64))
         keys, n = tally.total()
         for a in range(0, len(keys), 100_000):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(keys[a:a + 100_000].astype(np.int32)), pa.array(n[a:a + 100_000])],
+                [pa.array(keys[a:a + 100_000].astype(np.int64)), pa.array(n[a:a + 100_000])],
                 names=["window", "n"])
 
     return documents.select(F.col("text").cast("string").alias("text")).mapInArrow(
-        work, "window int, n long").groupBy("window").agg(F.sum("n").alias("n"))
+        work, "window long, n long").groupBy("window").agg(F.sum("n").alias("n"))
 
 
-def _parts(documents: DataFrame) -> DataFrame:
+def _parts(documents: DataFrame, signs: Alphabet) -> DataFrame:
     """(part, windows, weights): each part one row, its shares as packed arrays."""
-    counted = settled(count(documents), "windows")
+    counted = settled(count(documents, signs), "windows")
     mean = counted.agg(F.avg("n")).first()[0] or 1.0
     shares = counted.withColumn("k", F.explode(F.expr(f"sequence(1L, cast(ceil(n / {mean}D) AS "
                                                       "bigint))"))) \
@@ -155,9 +172,10 @@ def _mean(table: pa.Table) -> pa.Table:
                      "n": pa.array([float(n.to_numpy().sum())])})
 
 
-def train(documents: DataFrame) -> dict[str, np.ndarray]:
-    """The weights fitted to the windows of all texts."""
-    parts = _parts(documents)
+def train(documents: DataFrame) -> Model:
+    """The code points of all texts, and the weights fitted to their windows."""
+    signs = alphabet(documents)
+    parts = _parts(documents, signs)
     now = _pack(_start())
     for turn in range(ROUNDS):
         rate = RATE * (1 - turn / ROUNDS)
@@ -165,7 +183,7 @@ def train(documents: DataFrame) -> dict[str, np.ndarray]:
         def work(batches, turn=turn, now=now, rate=rate):
             for batch in batches:
                 for part, keys, weights in zip(batch["part"], batch["windows"], batch["weights"]):
-                    keys = np.frombuffer(keys.as_buffer(), np.int32)
+                    keys = np.frombuffer(keys.as_buffer(), np.int64)
                     weights = np.frombuffer(weights.as_buffer(), np.float32)
                     made = _steps(_unpack(now), keys, weights, turn * 1_000_003 + part.as_py(),
                                   rate)
@@ -180,20 +198,21 @@ def train(documents: DataFrame) -> dict[str, np.ndarray]:
         if not rows.num_rows:
             break
         now = _mean(rows)["net"][0].as_py()
-    return _unpack(now)
+    return Model(signs, _unpack(now))
 
 
-def scored(documents: DataFrame, net: dict[str, np.ndarray] | None = None) -> DataFrame:
+def scored(documents: DataFrame, model: Model | None = None) -> DataFrame:
     """Per row: doc_id, n_tokens, log_likelihood (summed), mean_log_p (null without tokens)."""
-    net = train(documents) if net is None else net
+    signs, net = train(documents) if model is None else model
     data = _pack(net)
 
     def work(batches):
         held = _unpack(data)
-        known, values = np.zeros(0, np.uint32), np.zeros(0, np.float32)
+        known, values = np.zeros(0, np.int64), np.zeros(0, np.float32)
         for batch in batches:
             for first, flat in runs(batch["text"]):
-                own, at = classes(flat)
+                found, at = code_points(flat)
+                own, shares = signs.look_up(found)
                 keys, inverse = np.unique(windows(own, at, SIDE, SIDE), return_inverse=True)
                 new = keys[~np.isin(keys, known, assume_unique=True)]
                 if len(known) + len(new) > 4_000_000:
@@ -203,7 +222,7 @@ def scored(documents: DataFrame, net: dict[str, np.ndarray] | None = None) -> Da
                     values = np.concatenate([values, log_p(held, new)])
                     order = np.argsort(known)
                     known, values = known[order], values[order]
-                log = values[np.searchsorted(known, keys)][inverse]
+                log = values[np.searchsorted(known, keys)][inverse] + shares
                 owner = np.repeat(np.arange(len(flat)), np.diff(at))
                 yield pa.RecordBatch.from_arrays(
                     [batch["doc_id"].slice(first, len(flat)),

@@ -192,3 +192,26 @@ def perplexity(rows, width=7.0, least=0.02, most=5.0):
                 kept = abs(x / n - at(0, 0.5)) <= reach
             out.append((doc, kept, failed, math.exp(x / n) if n else None))
     return sorted(out, key=repr)
+
+
+def letter_classes(texts, own=95, classes=128):
+    """Code point -> (class, share of the class), of the code points of the texts."""
+    n = Counter(c for t in texts for c in t or "")
+    ranked = sorted(n, key=lambda c: (-n[c], c))
+    block = lambda c: (ord(c) // 128 * 2654435761 % 2 ** 32 >> 16) % (classes - own - 1)
+    found = {c: (i + 1, 1.0) for i, c in enumerate(ranked[:own])}
+    total = Counter()
+    for c in ranked[own:]:
+        total[block(c)] += n[c]
+    return found | {c: (own + 1 + block(c), n[c] / (total[block(c)] + 1)) for c in ranked[own:]}
+
+
+def masked_log_p(net, classes, i):
+    """log P of class i of a text given two on each side, by a network of one hidden layer."""
+    at = lambda k: classes[k] if 0 <= k < len(classes) else 0
+    x = [float(v) for k in (i - 2, i - 1, i + 1, i + 2) for v in net["embed"][at(k)]]
+    h = [math.tanh(float(b) + sum(a * float(w) for a, w in zip(x, column)))
+         for column, b in zip(net["into"].T, net["bias"])]
+    z = [float(b) + sum(a * float(w) for a, w in zip(h, column))
+         for column, b in zip(net["out"].T, net["base"])]
+    return z[at(i)] - max(z) - math.log(sum(math.exp(v - max(z)) for v in z))

@@ -336,34 +336,85 @@ def test_letters_of_one_block_are_told_apart(spark):
 
 
 def test_pseudo_likelihood(table, docs, edges, nothing):
-    net = pseudolm.train(table("documents"))
-    found = {r[0]: r for r in got(pseudolm.scored(table("documents"), net))}
-    values, at = charset.classes(flat_of([t for _, t in docs][:20]))
-    share = np.bincount(values, minlength=64) / len(values)
-    for i, (doc, _) in enumerate(docs[:20]):
-        own = np.concatenate([[0, 0], values[at[i]:at[i + 1]], [0, 0]])
-        total = 0.0
-        for k in range(2, len(own) - 2):
-            context = own[[k - 2, k - 1, k + 1, k + 2]].astype(np.int64)
-            total += pseudolm._forward(net, context[None])[2][0, own[k]]
+    fitted = pseudolm.train(table("documents"))
+    found = {r[0]: r for r in got(pseudolm.scored(table("documents"), fitted))}
+    letters = brute.letter_classes([t for _, t in docs])
+    for doc, text in sorted(docs, key=lambda d: len(d[1] or ""))[:6]:
+        own = [letters[c][0] for c in text]
+        total = sum(brute.masked_log_p(fitted.net, own, i) + math.log(letters[c][1])
+                    for i, c in enumerate(text))
         assert math.isclose(found[doc][2], total, rel_tol=1e-3, abs_tol=1e-3)
-        assert found[doc][1] == len(own) - 4
+        assert found[doc][1] == len(text)
     chars = sum(r[1] for r in found.values())
-    assert sum(r[2] for r in found.values()) / chars > 0.75 * (share[share > 0] * np.log(
-        share[share > 0])).sum()
-    odd = {r[0]: r for r in got(pseudolm.scored(edges, net))}
+    share = np.unique(list("".join(t or "" for _, t in docs)), return_counts=True)[1] / chars
+    assert sum(r[2] for r in found.values()) / chars > 0.75 * (share * np.log(share)).sum()
+    odd = {r[0]: r for r in got(pseudolm.scored(edges, fitted))}
     assert odd[1][1:] == odd[2][1:] == (0, 0.0, None)
     assert got(pseudolm.scored(nothing)) == []
 
 
+def test_shares_of_all_code_points():
+    rng = random.Random(5)
+    texts = ["".join(chr(rng.choice((97, 0x430, 0x4E00, 0x1F600)) + int(rng.expovariate(0.05)))
+                     for _ in range(300)) for _ in range(30)]
+    letters = brute.letter_classes(texts)
+    assert len(letters) > 200
+    seen = np.unique([ord(c) for t in texts for c in t], return_counts=True)
+    signs = charset.Alphabet(*seen)
+    classes, shares = signs.look_up(np.array([ord(c) for c in letters]))
+    assert classes.tolist() == [k for k, _ in letters.values()]
+    assert np.allclose(np.exp(shares), [s for _, s in letters.values()])
+    # Every code point has a chance, and those of a class add up to one at most.
+    classes, shares = signs.look_up(np.arange(charset.POINTS))
+    total = np.bincount(classes, np.exp(shares), charset.CLASSES)
+    assert not total[0] and shares.min() > -40 and total[1:].max() < 1 + 1e-9
+    assert total[[k for k, _ in letters.values()]].min() > 0.5
+
+
+def test_letters_of_one_prefix_score_differently(spark):
+    rng = random.Random(6)
+    for begin in (0x4E00, 0x6F00, 0x430):  # Han and Cyrillic letters of the same first two bytes
+        words = ["".join(chr(begin + rng.randrange(24)) for _ in range(3)) for _ in range(20)]
+        rows = [(i, " ".join(rng.choice(words) for _ in range(60))) for i in range(40)]
+        garbled = "".join(chr(begin + (ord(c) - begin + 17) % 32) if c != " " else c
+                          for c in rows[0][1])
+        fitted = pseudolm.train(spark.createDataFrame(rows, "doc_id long, text string"))
+        found = dict(pseudolm.scored(spark.createDataFrame(
+            [rows[0], (99, garbled)], "doc_id long, text string"), fitted).select(
+            "doc_id", "mean_log_p").collect())
+        assert found[99] < 1.3 * found[0]
+
+
+def test_slope_of_the_loss():
+    rng = np.random.default_rng(4)
+    net = {k: v.astype(np.float64) for k, v in pseudolm._start().items()}
+    context, masked = rng.integers(0, 128, (50, 4)), rng.integers(0, 128, 50)
+    weights = rng.random(50)
+
+    def loss():
+        return -(weights * pseudolm._forward(net, context)[2][np.arange(50), masked]).mean()
+
+    slope = pseudolm._slope(net, context, masked, weights)
+    for name, values in net.items():
+        for spot in zip(*(rng.integers(0, n, 5) for n in values.shape)):
+            kept, around = values[spot], []
+            for step in (1e-5, -1e-5):
+                values[spot] = kept + step
+                around.append(loss())
+            values[spot] = kept
+            assert math.isclose((around[0] - around[1]) / 2e-5, slope[name][spot],
+                                rel_tol=1e-4, abs_tol=1e-8)
+
+
 def test_every_window_trains(spark, table, monkeypatch):
     monkeypatch.setattr(pseudolm, "PART", 5_000)
-    counted = pseudolm.count(table("documents")).collect()
-    parts = pseudolm._parts(table("documents")).collect()
+    signs = charset.alphabet(table("documents"))
+    counted = pseudolm.count(table("documents"), signs).collect()
+    parts = pseudolm._parts(table("documents"), signs).collect()
     assert len(parts) > len(counted) // 5_000 > 6
     total = {}
     for row in parts:
-        keys = np.frombuffer(row.windows, np.int32).tolist()
+        keys = np.frombuffer(row.windows, np.int64).tolist()
         assert len(keys) < 6_000
         for k, w in zip(keys, np.frombuffer(row.weights, np.float32).tolist()):
             total[k] = total.get(k, 0) + w
@@ -372,7 +423,7 @@ def test_every_window_trains(spark, table, monkeypatch):
     # Steps pass over every window of a part.
     seen, split = [], pseudolm._split
     monkeypatch.setattr(pseudolm, "_split", lambda keys: seen.append(keys) or split(keys))
-    keys = np.arange(300_000, dtype=np.int32)
+    keys = np.arange(300_000, dtype=np.int64)
     pseudolm._steps(pseudolm._start(), keys, np.ones(len(keys), np.float32), 1, 0.01)
     assert np.array_equal(np.sort(np.concatenate(seen)), keys)
 

@@ -1039,6 +1039,7 @@ STATEMENTS: dict[str, str] = {
         LEFT JOIN (SELECT host_id, count(*) AS n FROM stg_property_2 GROUP BY 1) p
           ON h.host_id = p.host_id""",
     "dq_warehouse_audit": _AUDIT,
+    "dq10_audit_by_batches": _AUDIT,
     "dq14_declared_audit": _declared(_REQUIRED, _LENGTHS),
     "dq14_staging_audit": _declared(_STAGING_REQUIRED, _STAGING_LENGTHS, _STAGING),
     "dq13_staging_audit": _STAGING_AUDIT,

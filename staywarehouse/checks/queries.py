@@ -570,6 +570,23 @@ def _(w: Loaded):
     return quality.audit(w.tables, quality.RULES, with_declared=False)
 
 
+@query("dq10_audit_by_batches")
+def _(w: Loaded):
+    """Facts in two batches, audited after each; payments of the first have later bookings."""
+    run = Run(_store(w), "loader", lambda: LOADED)
+    for table, rows, key in (("dim_users", w.users, "user_id"), ("dim_hosts", w.hosts, "host_id"),
+                             ("dim_properties", w.properties, "property_id")):
+        run.store.merge(table, rows, key, 1, LOADED, 0)
+    run.store.append("dim_dates", w.dates, 1, LOADED)
+    for batch, odd in ((2, 0), (3, 1)):
+        for table, rows, key in (("fact_bookings", w.bookings, "booking_id"),
+                                 ("fact_payments", w.payments, "payment_id"),
+                                 ("dim_reviews", w.reviews, "review_id")):
+            run.store.append(table, rows.where(f"{key} % 2 = {odd}"), batch, LOADED)
+        lines = run.audit(with_declared=False)
+    return lines
+
+
 @query("dq14_declared_audit")
 def _(w: Loaded):
     rules = {t: [] for t in quality.RULES}

@@ -8,6 +8,7 @@ compared, so a hot key is one row.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
@@ -148,6 +149,15 @@ STAGING_RULES["tb_review"] += [
     ReferenceRule("DQ-12", "property_id", "tb_property", "property_id")]
 
 
+def all_rules(table: str, with_declared: bool = True) -> list[Rule]:
+    return [*RULES[table], *(declared(table) if with_declared else ())]
+
+
+def basis(rules: list[Rule], replaced_at: list[int]) -> str:
+    """A name for what states of batches rest on: the rules, and when tables were truncated."""
+    return hashlib.sha256(repr((rules, replaced_at)).encode()).hexdigest()[:16]
+
+
 def _is_bad(rule: RowRule) -> Column:
     return F.expr(f"coalesce({rule.bad}, false)")
 

@@ -11,10 +11,11 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from dataclasses import dataclass, field
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from ..operators import audit, facts, metrics, scd2
+from ..operators import audit, audit_states, facts, metrics, quality, scd2
 from ..functions.dates import moment
 from ..operators.calendar import FIRST_DAY, LAST_DAY, calendar
 from ..operators.keys import Profile, profile
@@ -25,6 +26,8 @@ from ..sources.store import Store, counted
 # Merge and load order.
 MERGE_ORDER = ("dim_users", "dim_hosts", "dim_properties")
 LOAD_ORDER = ("fact_bookings", "fact_payments", "dim_reviews")
+#: Tables that only gain rows, audited batch by batch.
+GROWING = ("dim_dates", *LOAD_ORDER)
 
 
 @dataclass
@@ -232,6 +235,38 @@ class Run:
     def totals(self) -> DataFrame:
         return metrics.amount_totals(self.store.read("tb_payment"))
 
+    # ---- audit --------------------------------------------------------------------
+
+    def audit(self, with_declared: bool = True) -> DataFrame:
+        """Violations of all declared rules: of the facts by their batches, of the rest whole.
+
+        Batches of a fact that no earlier audit saw are read, and what is found in them is kept;
+        of earlier ones and of parents the keys are read. Where a table or a parent was truncated,
+        or the rules are others, its states begin anew.
+        """
+        store, parts = self.store, []
+        tables = {t: store.read(t) for t in quality.RULES}
+        with self.errors_logged("audit"):
+            for table in GROWING:
+                rules = quality.all_rules(table, with_declared)
+                links = {r.parent for r in rules if isinstance(r, quality.ReferenceRule)}
+                basis = quality.basis(rules, [store.state(t).replaced_at
+                                              for t in sorted({table, *links})])
+                mine = (F.col("table_name") == table) & (F.col("basis") == basis)
+                known = {int(r.check_name) for r in store.read("audit_states").where(
+                    mine & (F.col("rule") == audit_states.BATCH)).collect()}
+                held = {int(p.removeprefix("batch_id=")) for p in store.state(table).paths}
+                if new := sorted(held - known):
+                    earlier = store.read_batches(table, known) if known else None
+                    store.append("audit_states", audit_states.found(
+                        table, basis, new, store.read_batches(table, new), earlier, rules, tables),
+                        self.next_batch_id(), self.clock())
+                parts.append(audit_states.totals(store.read("audit_states").where(mine), table,
+                                                 rules, tables))
+        whole = {t: rules for t, rules in quality.RULES.items() if t not in GROWING}
+        parts.append(quality.audit(tables, whole, with_declared))
+        return reduce(DataFrame.unionByName, parts)
+
     # ---- everything ---------------------------------------------------------------
 
     def run(self, frames: dict[str, DataFrame] | None = None, truncate: bool = False,

@@ -135,6 +135,10 @@ _DDL = {
         error_severity int, error_state int, error_line int, error_procedure string,
         error_message string not null, error_timestamp timestamp_ntz not null,
         created_by string not null""",
+    # what audits found in batches (operators.audit_states)
+    "audit_states": """
+        table_name string not null, basis string not null, rule string not null,
+        check_name string not null, key_text string, n bigint not null""",
 }
 
 # Declared column defaults (load times and users are run parameters).

@@ -63,6 +63,7 @@ class State:
     rows: int = 0
     blocks: dict[str, int] = field(default_factory=dict)
     sources: dict[str, int] = field(default_factory=dict)
+    replaced_at: int = 0
 
     def folds(self, replaced: int) -> bool:
         """Whether a merge that replaces so many rows should write all current rows."""
@@ -127,6 +128,8 @@ class Store:
             paths.update(dict.fromkeys(row["added"] or ()))
             made["rows"] = row["row_count"] + (0 if row["operation"] == "replace"
                                                else made["rows"])
+            if row["operation"] == "replace":
+                made["replaced_at"] = row["batch_id"]
             if row["operation"] == "merge":
                 made["last_merge_ts"] = datetime.fromisoformat(row["batch_ts"])
             if row["operation"] in ("merge", "metrics"):
@@ -195,6 +198,11 @@ class Store:
         return self._read(table, [p for p in state.paths if p not in state.blocks
                                   or int(p.removeprefix("batch_id=")) in hits])
 
+    def read_batches(self, table: str, batches: Iterable[int]) -> DataFrame:
+        """The rows that some batches of a table without merges brought."""
+        wanted = {f"batch_id={b}" for b in batches}
+        return self._read(table, [p for p in self.state(table).paths if p in wanted])
+
     def batch_rows(self, table: str, batch_id: int) -> int:
         """The rows that one batch brought."""
         return self._read(table, [f"batch_id={batch_id}"]).count()

@@ -3,7 +3,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from staywarehouse.operators import generate, quality
+from staywarehouse.operators import audit_states, generate, quality
 from staywarehouse.plans import operations, reports
 from staywarehouse.plans.full_load import Run
 from staywarehouse.session import scratch_path
@@ -452,3 +452,77 @@ def test_an_unreadable_file_leaves_one_error_row(spark, store, clock):
     errors = run.error_summary().collect()
     assert [e.error_procedure for e in errors] == ["stream_fact_bookings"] * 2
     assert store.read("fact_bookings").isEmpty()
+
+
+def _lines(df):
+    return sorted(tuple(r) for r in df.select("rule", "table_name", "check_name",
+                                              "violations").collect())
+
+
+def test_audit_by_batches(spark, store, clock, frames, monkeypatch):
+    run = Run(store, "t", clock)
+    run.run(frames)
+    whole = {t: store.read(t) for t in quality.RULES}
+    assert _lines(run.audit()) == _lines(quality.audit(whole, quality.RULES))
+    booked, paid = store.read("fact_bookings"), store.read("fact_payments")
+    key = booked.agg(F.max("booking_sk")).first()[0] + 10
+    # keys of earlier rows, one twice and one for the third time; payments before their booking
+    again = booked.where("booking_id <= 5").unionByName(booked.where("booking_id <= 2"))
+    store.append("fact_bookings", again.withColumn("user_sk", F.lit(999_999).cast("long")), 901,
+                 clock())
+    early = paid.where("payment_id <= 7").withColumns({
+        "booking_sk": F.lit(key).cast("long"), "amount": F.lit(-1).cast("decimal(12,2)"),
+        "payment_id": F.col("payment_id") + 100_000})
+    store.append("fact_payments", early, 902, clock())
+    read, batches = [], store.read_batches
+    monkeypatch.setattr(store, "read_batches",
+                        lambda table, ids: read.append((table, sorted(ids))) or batches(table, ids))
+    found = _lines(run.audit())
+    whole = {t: store.read(t) for t in quality.RULES}
+    assert found == _lines(quality.audit(whole, quality.RULES))
+    counts = {line[1:3]: line[3] for line in found}
+    assert counts["fact_bookings", "unique booking_id"] == 5
+    assert counts["fact_bookings", "user_sk in dim_users.user_sk"] == 7
+    assert counts["fact_payments", "booking_sk in fact_bookings.booking_sk"] == 7
+    assert counts["fact_payments", "amount not negative"] == 7
+    assert [(t, i) for t, i in read if 901 in i or 902 in i] == [
+        ("fact_bookings", [901]), ("fact_payments", [902])]
+
+    # the booking arrives: its payments are found without reading them again
+    read.clear()
+    store.append("fact_bookings", booked.where("booking_id = 9").withColumns({
+        "booking_id": F.col("booking_id") + 100_000, "booking_sk": F.lit(key).cast("long")}), 903,
+        clock())
+    found = _lines(run.audit())
+    assert found == _lines(quality.audit({t: store.read(t) for t in quality.RULES},
+                                         quality.RULES))
+    assert {t for t, _ in read} == {"fact_bookings"}
+    assert {line[1:3]: line[3] for line in found}[
+        "fact_payments", "booking_sk in fact_bookings.booking_sk"] == 0
+    # nothing new: no batch is read; a truncated table begins anew
+    read.clear()
+    assert _lines(run.audit()) == found and not read
+    store.replace("fact_payments", paid.where("payment_id <= 50"), 904, clock())
+    assert _lines(run.audit()) == _lines(quality.audit(
+        {t: store.read(t) for t in quality.RULES}, quality.RULES))
+
+
+def test_second_audit_reads_keys_of_earlier_rows_only(spark, store, clock, frames):
+    run = Run(store, "t", clock)
+    run.run(frames)
+    run.audit()
+    store.append("fact_bookings", store.read("fact_bookings").where("booking_id = 1"), 901,
+                 clock())
+    rules = quality.all_rules("fact_bookings")
+    state = audit_states.found(
+        "fact_bookings", "x", [901], store.read_batches("fact_bookings", [901]),
+        store.read_batches("fact_bookings", [
+            b for b in store.state("fact_bookings").batches if b != 901]),
+        rules, {t: store.read(t) for t in quality.RULES})
+    leaves = state._jdf.queryExecution().sparkPlan().collectLeaves()
+    scans = [(len(leaf.requiredSchema().fieldNames()), leaf.relation().location().inputFiles())
+             for leaf in (leaves.apply(i) for i in range(leaves.size()))
+             if leaf.nodeName().startswith("Scan parquet")]
+    wide = [files for columns, files in scans if columns > 1]
+    assert len(scans) > len(wide) > 0
+    assert all("/batch_id=901/" in file for files in wide for file in files)

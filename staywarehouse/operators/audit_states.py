@@ -10,9 +10,9 @@ parents may have come later; keys of parents never go.
 from __future__ import annotations
 
 from functools import reduce
-from operator import and_
+from operator import and_, or_
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from ..schemas import schema
 from .quality import ReferenceRule, RowRule, Rule, UniqueRule, _lines, _row_rules, _without
@@ -87,18 +87,36 @@ def found(table: str, basis: str, batches: list[int], new: DataFrame, earlier: D
     return reduce(DataFrame.unionByName, [p.select(*declared) for p in parts])
 
 
-def totals(states: DataFrame, table: str, rules: list[Rule],
-           parents: dict[str, DataFrame]) -> DataFrame:
-    """(rule, table_name, check_name, violations) of all audited batches of a table."""
-    references = [r for r in rules if isinstance(r, ReferenceRule)]
-    lost = states.where("key_text IS NOT NULL")
-    rows = states.where("key_text IS NULL")
-    if references and not lost.isEmpty():
-        rows = rows.unionByName(still_lost(lost, references, parents))
-    counted = rows.groupBy("rule", "check_name").agg(F.sum("n").alias("n"))
-    place = {r: i for i, r in enumerate(rules)}
-    names = {r: r.check.replace("'", "\\'") for r in rules}
-    sums = counted.agg(*[F.expr(
-        f"sum(if(rule = '{r.rule}' AND check_name = '{names[r]}', n, 0)) AS v{i}")
-        for r, i in place.items()])
-    return _lines(sums, [(table, r) for r in rules])
+def _of(table: str, basis: str) -> Column:
+    return (F.col("table_name") == table) & (F.col("basis") == basis)
+
+
+def audited(states: DataFrame, bases: dict[str, str]) -> dict[str, set[int]]:
+    """The batches of each table that have a state on the table's present basis."""
+    mine = reduce(or_, [_of(t, b) for t, b in bases.items()])
+    out: dict[str, set[int]] = {t: set() for t in bases}
+    for row in states.where(mine & (F.col("rule") == BATCH)).collect():
+        out[row.table_name].add(int(row.check_name))
+    return out
+
+
+def totals(states: DataFrame, bases: dict[str, str], rules: dict[str, list[Rule]],
+           parents: dict[str, DataFrame]) -> list[DataFrame]:
+    """For each table (rule, table_name, check_name, violations) of all its audited batches."""
+    mine = reduce(or_, [_of(t, b) for t, b in bases.items()])
+    losing = {r.table_name for r in states.where(mine & F.col("key_text").isNotNull())
+              .select("table_name").distinct().collect()}
+    out = []
+    for table, basis in bases.items():
+        own = states.where(_of(table, basis))
+        rows = own.where("key_text IS NULL")
+        if table in losing:
+            references = [r for r in rules[table] if isinstance(r, ReferenceRule)]
+            rows = rows.unionByName(still_lost(own.where("key_text IS NOT NULL"), references,
+                                               parents))
+        names = [r.check.replace("'", "\\'") for r in rules[table]]
+        sums = rows.agg(*[F.expr(
+            f"sum(if(rule = '{r.rule}' AND check_name = '{name}', n, 0)) AS v{i}")
+            for i, (r, name) in enumerate(zip(rules[table], names))])
+        out.append(_lines(sums, [(table, r) for r in rules[table]]))
+    return out

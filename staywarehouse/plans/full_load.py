@@ -244,28 +244,31 @@ class Run:
         of earlier ones and of parents the keys are read. Where a table or a parent was truncated,
         or the rules are others, its states begin anew.
         """
-        store, parts = self.store, []
+        store = self.store
         tables = {t: store.read(t) for t in quality.RULES}
         with self.errors_logged("audit"):
+            rules, bases = {}, {}
+            for table in GROWING:
+                rules[table] = quality.all_rules(table, with_declared)
+                links = {r.parent for r in rules[table] if isinstance(r, quality.ReferenceRule)}
+                bases[table] = quality.basis(rules[table], [
+                    store.state(t).replaced_at for t in sorted({table, *links})])
+            known = audit_states.audited(store.read("audit_states"), bases)
+            found = []
             for table in GROWING:
-                rules = quality.all_rules(table, with_declared)
-                links = {r.parent for r in rules if isinstance(r, quality.ReferenceRule)}
-                basis = quality.basis(rules, [store.state(t).replaced_at
-                                              for t in sorted({table, *links})])
-                mine = (F.col("table_name") == table) & (F.col("basis") == basis)
-                known = {int(r.check_name) for r in store.read("audit_states").where(
-                    mine & (F.col("rule") == audit_states.BATCH)).collect()}
                 held = {int(p.removeprefix("batch_id=")) for p in store.state(table).paths}
-                if new := sorted(held - known):
-                    earlier = store.read_batches(table, known) if known else None
-                    store.append("audit_states", audit_states.found(
-                        table, basis, new, store.read_batches(table, new), earlier, rules, tables),
-                        self.next_batch_id(), self.clock())
-                parts.append(audit_states.totals(store.read("audit_states").where(mine), table,
-                                                 rules, tables))
+                if new := sorted(held - known[table]):
+                    earlier = store.read_batches(table, known[table]) if known[table] else None
+                    found.append(audit_states.found(
+                        table, bases[table], new, store.read_batches(table, new), earlier,
+                        rules[table], tables))
+            if found:
+                store.append("audit_states", reduce(DataFrame.unionByName, found),
+                             self.next_batch_id(), self.clock())
+            parts = audit_states.totals(store.read("audit_states"), bases, rules, tables)
         whole = {t: rules for t, rules in quality.RULES.items() if t not in GROWING}
-        parts.append(quality.audit(tables, whole, with_declared))
-        return reduce(DataFrame.unionByName, parts)
+        return reduce(DataFrame.unionByName, [
+            *parts, quality.audit(tables, whole, with_declared)])
 
     # ---- everything ---------------------------------------------------------------
 

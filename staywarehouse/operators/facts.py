@@ -21,7 +21,7 @@ from ..schemas import enforce
 from .calendar import with_date_key
 from .history import as_of
 from .keys import Profile, materialise, number
-from .lookup import lookup, within
+from .lookup import fits_broadcast, lookup, within
 
 
 @dataclass(frozen=True)
@@ -61,6 +61,10 @@ class Load:
 ARRIVAL = "_arrival"
 
 
+#: Repeated keys of a batch up to this number are broadcast, so that its other rows stay in place.
+FEW_KEYS = 10_000
+
+
 #: Gives the loaded rows that may hold any of the keys (second) of a column (first).
 Holding = Callable[[str, DataFrame], DataFrame]
 
@@ -68,18 +72,25 @@ Holding = Callable[[str, DataFrame], DataFrame]
 def first_of_key(rows: DataFrame, key: str) -> DataFrame:
     """One row for each value of ``key``: the first to arrive, or else the least by its columns.
 
-    Keys that repeat are found by counting the key alone; only their rows are shuffled and sorted
-    whole, the first ones of every task before the others. Rows without the key stay.
+    Keys that repeat are counted first, by the key alone. A batch without any is left as it is; of
+    a few, only their rows are shuffled and sorted whole; of more, all rows are, once. The first
+    ones of every task come before the others. Rows without the key stay.
     """
     columns = [c for c in rows.columns if c != ARRIVAL]
     order = [ARRIVAL, *columns] if ARRIVAL in rows.columns else columns
-    repeated = (rows.groupBy(key).agg(F.count("*").alias("_n"))
-                .where(F.col(key).isNotNull() & (F.col("_n") > 1)).select(key))
+    known = F.col(key).isNotNull()
+    repeated = rows.where(known).groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1")
+    found = repeated.count()
+    if not found:
+        return rows
+    if found > FEW_KEYS:
+        copies, others = rows.where(known), rows.where(~known)
+    else:
+        few = F.broadcast(repeated.select(key))
+        copies, others = rows.join(few, key, "left_semi"), rows.join(few, key, "left_anti")
     place = F.row_number().over(Window.partitionBy(key).orderBy(*order))
-    first = (rows.join(repeated, key, "left_semi").withColumn("_place", place)
-             .where("_place = 1").drop("_place"))
-    return rows.join(repeated, key, "left_anti").select(rows.columns).union(
-        first.select(rows.columns))
+    first = copies.withColumn("_place", place).where("_place = 1")
+    return others.select(rows.columns).union(first.select(rows.columns))
 
 
 def not_loaded(staged: DataFrame, loaded: DataFrame | None, keys: tuple[str, ...],
@@ -89,9 +100,8 @@ def not_loaded(staged: DataFrame, loaded: DataFrame | None, keys: tuple[str, ...
 
     The fact is written in order of ``order``, so by that key only the files in the range of
     the batch are read (``ends``, if known). By any other key those batches of the fact are read
-    that ``holding`` cannot rule out (default: all), one column of them; the fact is first reduced
-    to the keys of the batch, so a batch small enough to broadcast spares the fact a shuffle, and
-    a larger one lets Spark filter the fact by a Bloom filter before it.
+    that ``holding`` cannot rule out (default: all), one column of them; by a batch small enough to
+    broadcast the fact is first reduced to its keys, which spares the fact a shuffle.
     """
     rows = staged
     for key in keys:
@@ -103,7 +113,9 @@ def not_loaded(staged: DataFrame, loaded: DataFrame | None, keys: tuple[str, ...
                 known = within(loaded, staged, key, _ends(ends, key))
             else:
                 known = loaded if holding is None else holding(key, staged.select(key))
-            found = known.select(key).join(staged.select(key), key, "left_semi")
+            found = known.select(key)
+            if fits_broadcast(staged.select(key)):
+                found = found.join(staged.select(key), key, "left_semi")
             rows = rows.join(found, key, "left_anti")
     return rows
 

@@ -87,3 +87,47 @@ def test_unknown_host_is_minus_one(spark):
     rows = spark.sql("select * from values (1, 1), (2, 8) t(property_id, host_id)")
     got = {r.property_id: r.host_sk for r in scd2.with_current_host(rows, hosts).collect()}
     assert got == {1: 4, 2: -1}
+
+
+def _plan(df):
+    return df._jdf.queryExecution().toString()
+
+
+def test_a_batch_without_copies_is_not_moved_to_find_the_first_of_each(spark):
+    rows = spark.range(100).selectExpr("if(id % 10 = 0, null, id) AS k", "id AS v")
+    got = facts.first_of_key(rows, "k")
+    assert not [word for word in ("Join", "Window", "Exchange") if word in _plan(got)]
+    assert got.count() == 100
+
+
+def test_first_of_few_and_of_many_repeated_keys(spark, monkeypatch):
+    rows = spark.sql("select * from values (1, 'b'), (1, 'a'), (1, 'a'), (2, 'c'), (null, 'd'), "
+                     "(null, 'd') t(k, v)")
+    want = [(1, "a"), (2, "c"), (None, "d"), (None, "d")]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few = facts.first_of_key(rows, "k")
+        assert "SortMergeJoin" not in _plan(few) and "BroadcastHashJoin" in _plan(few)
+        monkeypatch.setattr(facts, "FEW_KEYS", 0)
+        many = facts.first_of_key(rows, "k")
+        assert "Join" not in _plan(many)
+        for got in (few, many):
+            assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_loaded_keys_are_reduced_to_a_batch_only_where_that_spares_a_shuffle(spark):
+    loaded = spark.range(50).selectExpr("id AS payment_id", "concat('t', id) AS transaction_id")
+    staged = spark.range(40, 60).selectExpr("id AS payment_id", "concat('t', id) AS transaction_id")
+
+    def new():
+        return facts.not_loaded(staged, loaded, ("transaction_id",), "payment_id")
+
+    assert "LeftSemi" in _plan(new())
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert "LeftSemi" not in _plan(new())
+        assert sorted(r.payment_id for r in new().collect()) == list(range(50, 60))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")

@@ -16,7 +16,7 @@ from ..operators import facts, scd2
 from ..operators.calendar import calendar
 from ..operators.keys import profile
 from ..schemas import empty, nullable, schema
-from ..session import scratch_path
+from ..session import CODEC, scratch_path
 from ..sources.fixtures import TestTables
 
 BATCH_1 = datetime(2024, 1, 1)
@@ -29,7 +29,7 @@ def keep(df: DataFrame, label: str, partition_by: str | None = None) -> DataFram
     """Write a finished table to the shared folder and read it back."""
     path = scratch_path(df.sparkSession, label)
     writer = df.write.partitionBy(partition_by) if partition_by else df.write
-    writer.parquet(path)
+    writer.parquet(path, compression=CODEC)
     return df.sparkSession.read.schema(nullable(df.schema)).parquet(path)
 
 

@@ -20,7 +20,7 @@ from math import isqrt
 from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
 
 from ..schemas import nullable
-from ..session import scratch_path
+from ..session import CODEC, scratch_path
 
 #: Rows of a range, about; there are no more ranges than shuffle partitions.
 RANGE_ROWS = 100_000
@@ -89,7 +89,7 @@ def materialise(df: DataFrame, order_by: Sequence[str], label: str,
     writer = dealt.write.mode("errorifexists")
     if split_by:
         writer = writer.partitionBy(split_by)
-    writer.parquet(path)
+    writer.parquet(path, compression=CODEC)
     return spark.read.schema(nullable(df.schema)).parquet(path)
 
 
@@ -100,13 +100,13 @@ def number(written: DataFrame, key: str, start: int = 0) -> DataFrame:
     """
     path = F.col("_metadata.file_path")
     part = F.regexp_extract("_metadata.file_name", r"^part-(\d+)", 1).cast("int")
-    # One row per written file; Spark broadcasts them if they are few enough.
+    # One row per written file, of which there are no more than ranges: the rows stay where they are.
     files = (written.groupBy(part.alias("_part"), path.alias("_file"))
              .agg(F.count("*").alias("_n")))
     before = Window.orderBy("_part", "_file").rowsBetween(Window.unboundedPreceding, -1)
     offsets = files.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
     placed = written.select("*", path.alias("_file"), F.col("_metadata.row_index").alias("_row"))
-    return (placed.join(offsets, "_file")
+    return (placed.join(F.broadcast(offsets), "_file")
             .withColumn(key, F.lit(start) + F.col("_base") + F.col("_row") + 1)
             .drop("_file", "_base", "_row"))
 

@@ -25,6 +25,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from ..schemas import empty, nullable, one_row, schema
+from ..session import CODEC
 from . import sketch
 
 Verify = Callable[[DataFrame, DataFrame | None], None]
@@ -242,7 +243,7 @@ class Store:
             raise ValueError(f"{table}: batch {batch_id} is already committed")
         path = f"batch_id={batch_id}"
         df, seen = counted(df)
-        df.write.mode("overwrite").parquet(f"{self._base(table)}/{path}")
+        df.write.mode("overwrite").parquet(f"{self._base(table)}/{path}", compression=CODEC)
         rows = seen.get["rows"]
         removed = list(before.paths) if truncate else []
         if verify is not None:
@@ -251,7 +252,7 @@ class Store:
         blocks = sketch.blocks_for(rows) if filtered else None
         if filtered:
             sketch.build(self._read(table, [path]), filtered, blocks).write.mode(
-                "overwrite").parquet(f"{self.root}/sketches/{table}/{path}")
+                "overwrite").parquet(f"{self.root}/sketches/{table}/{path}", compression=CODEC)
         self._commit(table, batch_id, "replace" if truncate else "append", [path], removed,
                      rows, before.last_key if last_key is None else last_key, batch_ts,
                      blocks=blocks, source=source)
@@ -269,7 +270,7 @@ class Store:
         rows, seen = counted(snapshot.hint("rebalance", "is_current"),
                              current="count_if(is_current)")
         rows.write.mode("overwrite").partitionBy("is_current").parquet(
-            f"{self._base(table)}/{path}")
+            f"{self._base(table)}/{path}", compression=CODEC)
         total, current = seen.get["rows"], seen.get["current"]
         added = [f"{path}/is_current={name}" for name, n in
                  (("true", current), ("false", total - current)) if n]
@@ -290,7 +291,7 @@ class Store:
     def write_rejects(self, table: str, rejects: DataFrame, batch_id: int) -> None:
         """Keep the rejected staging rows of one load with their reasons."""
         rejects.write.mode("overwrite").parquet(
-            f"{self.root}/rejects/{table}/batch_id={batch_id}")
+            f"{self.root}/rejects/{table}/batch_id={batch_id}", compression=CODEC)
 
     def read_rejects(self, table: str, staging_table: str | None = None) -> DataFrame:
         """Rejected rows of all loads, told apart by ``batch_id``.

@@ -173,3 +173,22 @@ def test_a_hot_user_and_a_hot_property_are_both_split(spark, store):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+def test_rows_stay_where_they_are_to_be_numbered(spark):
+    rows = spark.range(1000, 0, -1).selectExpr("id AS k")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        numbered = keys.number(keys.materialise(rows, ["k"], "numbered"), "sk", 5)
+        assert "SortMergeJoin" not in numbered._jdf.queryExecution().toString()
+        assert all(r.sk == r.k + 5 for r in numbered.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_written_tables_are_packed_closely(spark, store):
+    written = keys.materialise(spark.range(10).selectExpr("id AS k"), ["k"], "packed")
+    store.append("dim_dates", spark.createDataFrame([], store.read("dim_dates").schema), 1,
+                 datetime(2024, 1, 1))
+    files = written.inputFiles() + store.read("dim_dates").inputFiles()
+    assert files and all(f.endswith(".zstd.parquet") for f in files)

@@ -15,6 +15,7 @@ from operator import and_, or_
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..schemas import schema
+from .lookup import fits_broadcast
 from .quality import ReferenceRule, RowRule, Rule, UniqueRule, _lines, _row_rules, _without
 
 #: The rule name of rows that say which batches are audited.
@@ -28,7 +29,11 @@ def _state(lines: DataFrame, basis: str) -> DataFrame:
 
 def _ambiguous(new: DataFrame, earlier: DataFrame | None, table: str,
                rule: UniqueRule) -> DataFrame:
-    """One line: the keys that have several rows now and had one at most before."""
+    """One line: the keys that have several rows now and had one at most before.
+
+    Earlier rows are first reduced to the new keys if these fit a broadcast; else both are counted
+    by one shuffle of either.
+    """
     def rows(df: DataFrame) -> DataFrame:
         return (df.where(rule.where) if rule.where else df).select(*rule.columns)
 
@@ -39,6 +44,12 @@ def _ambiguous(new: DataFrame, earlier: DataFrame | None, table: str,
     now = rows(new).groupBy(*rule.columns).agg(F.count("*").alias("n"))
     if earlier is None:
         hit = now.where("n > 1")
+    elif not fits_broadcast(rows(new)):
+        both = rows(new).withColumn("_new", F.lit(1)).unionByName(
+            rows(earlier).withColumn("_new", F.lit(0)))
+        hit = both.groupBy(*rule.columns).agg(
+            F.sum("_new").alias("n"), F.sum(1 - F.col("_new")).alias("m")).where(
+            "n > 0 AND n + m > 1 AND m < 2")
     else:
         before = (rows(earlier).alias("old").join(
             now.select(*rule.columns).alias("now"), same("old", "now"), "left_semi")

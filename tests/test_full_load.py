@@ -526,3 +526,17 @@ def test_second_audit_reads_keys_of_earlier_rows_only(spark, store, clock, frame
     wide = [files for columns, files in scans if columns > 1]
     assert len(scans) > len(wide) > 0
     assert all("/batch_id=901/" in file for files in wide for file in files)
+
+
+def test_new_keys_are_counted_with_earlier_ones_by_one_shuffle_of_either(spark):
+    rule = quality.UniqueRule("DQ-10", ("k",))
+    new = spark.sql("select * from values ('a'), ('a'), ('b'), ('c'), ('d'), (null) t(k)")
+    earlier = spark.sql("select * from values ('b'), ('c'), ('c'), ('e'), ('e'), (null) t(k)")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        large = audit_states._ambiguous(new, earlier, "t", rule)
+        assert "Join" not in large._jdf.queryExecution().toString()
+        assert large.first().violations == 3
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert audit_states._ambiguous(new, earlier, "t", rule).first().violations == 3

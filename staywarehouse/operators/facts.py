@@ -13,7 +13,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Observation, Window, functions as F
+from pyspark.sql import Column, DataFrame, Observation, Window, functions as F, types as T
 
 from ..functions.dates import moment
 from ..functions.money import FEE_SHARE, NET_SHARE, share
@@ -72,22 +72,27 @@ Holding = Callable[[str, DataFrame], DataFrame]
 def first_of_key(rows: DataFrame, key: str) -> DataFrame:
     """One row for each value of ``key``: the first to arrive, or else the least by its columns.
 
-    Keys that repeat are counted first, by the key alone. A batch without any is left as it is; of
-    a few, only their rows are shuffled and sorted whole; of more, all rows are, once. The first
-    ones of every task come before the others. Rows without the key stay.
+    Keys that repeat are counted first, by the key alone (texts by their hash, so keys whose hashes
+    meet may be looked at as well). A batch without any is left as it is; of a few, only their rows
+    are shuffled and sorted whole; of more, all rows are, once. The first ones of every task come
+    before the others. Rows without the key stay.
     """
     columns = [c for c in rows.columns if c != ARRIVAL]
     order = [ARRIVAL, *columns] if ARRIVAL in rows.columns else columns
     known = F.col(key).isNotNull()
-    repeated = rows.where(known).groupBy(key).agg(F.count("*").alias("_n")).where("_n > 1")
+    plain = rows.schema[key].dataType == T.StringType()
+    mark = F.xxhash64(key) if plain else F.col(key)
+    repeated = (rows.where(known).groupBy(mark.alias("_mark")).agg(F.count("*").alias("_n"))
+                .where("_n > 1"))
     found = repeated.count()
     if not found:
         return rows
     if found > FEW_KEYS:
         copies, others = rows.where(known), rows.where(~known)
     else:
-        few = F.broadcast(repeated.select(key))
-        copies, others = rows.join(few, key, "left_semi"), rows.join(few, key, "left_anti")
+        few = F.broadcast(repeated.select("_mark"))
+        hit = known & (mark == F.col("_mark"))
+        copies, others = rows.join(few, hit, "left_semi"), rows.join(few, hit, "left_anti")
     place = F.row_number().over(Window.partitionBy(key).orderBy(*order))
     first = copies.withColumn("_place", place).where("_place = 1")
     return others.select(rows.columns).union(first.select(rows.columns))

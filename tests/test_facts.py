@@ -131,3 +131,12 @@ def test_loaded_keys_are_reduced_to_a_batch_only_where_that_spares_a_shuffle(spa
         assert sorted(r.payment_id for r in new().collect()) == list(range(50, 60))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_repeated_text_keys_are_counted_by_their_hash(spark):
+    rows = spark.sql("select * from values ('x', 2), ('x', 1), ('y', 3), (null, 4), (null, 4) "
+                     "t(k, v)")
+    got = facts.first_of_key(rows, "k")
+    assert "xxhash64" in _plan(got)
+    assert sorted(map(tuple, got.collect()), key=str) == [
+        ("x", 1), ("y", 3), (None, 4), (None, 4)]

@@ -140,3 +140,23 @@ def test_repeated_text_keys_are_counted_by_their_hash(spark):
     assert "xxhash64" in _plan(got)
     assert sorted(map(tuple, got.collect()), key=str) == [
         ("x", 1), ("y", 3), (None, 4), (None, 4)]
+
+
+def test_a_batch_without_copies_is_moved_once_for_each_lookup(spark):
+    users = spark.range(3).selectExpr("id AS user_sk", "cast(id as int) AS user_id",
+                                      "id < 3 AS is_current")
+    places = spark.range(9).selectExpr("id + 4 AS property_sk", "cast(id as int) AS property_id",
+                                       "id < 6 AS is_current")
+    dates = calendar(spark)
+    staged = bookings(spark, [(1, 1, 5, date(2024, 5, 1)), (2, 1, 8, date(2024, 5, 1)),
+                              (None, 1, 5, date(2024, 5, 1))])
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = facts.resolve_bookings(staged, None, users, places, dates)
+        plan = _plan(found)
+        # the rows and the dimension, for users and for properties
+        assert plan.count("Exchange hashpartitioning") == 4 and "Window" not in plan
+        assert [(r.booking_id, r.user_sk, r.property_sk) for r in found.orderBy("booking_id")
+                .collect()] == [(None, 1, 9), (1, 1, 9), (2, 1, None)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
